@@ -23,6 +23,8 @@ def matches(labels: Column, matchers: Mapping[str, str]) -> Column:
 
 def label_map(pairs: Mapping[str, Column]) -> Column:
     """A label map; null and empty values leave their label out."""
+    if not pairs:
+        return F.create_map().cast("map<string,string>")
     entries = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in pairs.items()])
     return F.map_from_entries(F.filter(entries, lambda e: F.coalesce(e["value"], F.lit("")) != ""))
 

@@ -66,22 +66,27 @@ def humanise(value: Column) -> Column:
     """Four significant digits with an SI suffix: ``10.74G``, ``1.5k``, ``250m``."""
     size = F.abs(value)
 
+    def rounded(scaled: Column, decimals: int) -> Column:
+        return F.rint(scaled * 10.0**decimals) / 10.0**decimals
+
     def four_digits(scaled: Column) -> Column:
         width = F.abs(scaled)
-        rounded = (
-            F.when(width >= 100, F.round(scaled, 1)).when(width >= 10, F.round(scaled, 2)).otherwise(F.round(scaled, 3))
-        )
-        return F.regexp_replace(rounded.cast("string"), r"\.0$", "")
+        digits = F.when(width >= 100, rounded(scaled, 1)).when(width >= 10, rounded(scaled, 2)).otherwise(rounded(scaled, 3))
+        return F.regexp_replace(digits.cast("string"), r"\.0$", "")
 
     result = F.when(F.isnan(value) | (size == float("inf")) | (value == 0), plain_number(value))
+    scaled = value
     for power, suffix in enumerate(SI_ABOVE_ONE):
-        top = power == len(SI_ABOVE_ONE) - 1
-        reach = (size >= 1) if top else (size >= 1) & (size < 1000.0 ** (power + 1))
-        result = result.when(reach, F.concat(four_digits(value / F.lit(1000.0**power)), F.lit(suffix)))
+        reach = size >= 1
+        if power < len(SI_ABOVE_ONE) - 1:
+            reach = reach & (F.abs(scaled) < 1000)
+        result = result.when(reach, F.concat(four_digits(scaled), F.lit(suffix)))
+        scaled = scaled / 1000.0
+    scaled = value
     for power, suffix in enumerate(SI_BELOW_ONE, start=1):
-        last = power == len(SI_BELOW_ONE)
-        reach = F.lit(True) if last else size >= 1000.0**-power
-        result = result.when(reach, F.concat(four_digits(value * F.lit(1000.0**power)), F.lit(suffix)))
+        scaled = scaled * 1000.0
+        reach = F.lit(True) if power == len(SI_BELOW_ONE) else F.abs(scaled) >= 1
+        result = result.when(reach, F.concat(four_digits(scaled), F.lit(suffix)))
     return result
 
 

@@ -162,5 +162,472 @@ FROM ranked WHERE rank <= 5 AND day(make_timestamp(w * 1000000)) % 7 <> 0"""),
 }
 
 
+CATALOGUE_ROWS = """
+catalog AS (
+  SELECT p_partkey AS k, printf('prod-%03d', p_partkey) AS id, p_name AS name,
+         CASE WHEN p_partkey % 37 = 0 THEN NULL WHEN p_partkey % 41 = 0 THEN 'Promo' ELSE lower(p_type) END AS category,
+         p_name || ' ' || lower(p_type) AS description, p_retailprice AS price, 'RUB' AS currency,
+         cast(p_size AS bigint) AS quantity, 'seller-' || (p_partkey % 10) AS seller_id, p_brand AS brand,
+         p_name AS tags, '2024-01-10T08:00:00Z' AS created_at
+  FROM part)"""
+
+PRODUCT_COLUMNS = "id, name, category, description, price, currency, quantity, seller_id, brand, tags, created_at"
+IS_BANNED = "coalesce(category IN ('promo', 'small'), false)"
+PRODUCT_JSON = ("cast(to_json({'id': id, 'name': name, 'category': coalesce(category, ''), 'description': description, "
+                "'price': price, 'currency': currency, 'quantity': quantity, 'seller_id': seller_id, 'brand': brand, "
+                "'tags': string_split(tags, ' '), 'created_at': created_at}) AS varchar)")
+CATEGORY_LINE = "coalesce(category, '')"
+
+NUMBERED = f"""
+numbered AS (
+  SELECT topic, part AS partition, row_number() OVER (PARTITION BY topic, part ORDER BY seq) - 1 AS "offset",
+         user_id AS key, {EVENT_JSON} AS value, ts
+  FROM client_events)"""
+
+LAGS = """
+lags AS (
+  SELECT g."group", topic, partition, done AS log_end_offset,
+         CASE WHEN g."group" = 'connect-filesink-group' OR partition <> 0 THEN early END AS current_offset
+  FROM (SELECT topic, part AS partition, count(*) AS done,
+               count(*) FILTER (ts < TIMESTAMP '2024-01-25') AS early FROM client_events GROUP BY topic, part)
+  CROSS JOIN (VALUES ('connect-filesink-group'), ('stream-processor')) AS g("group"))"""
+
+TABLE_BANNED = "SELECT lower(p_name) AS category FROM part WHERE p_size >= 45"
+
+
+def search(word: str) -> str:
+    columns = ["name", "description", "category", "brand"]
+    hit = " OR ".join(f"coalesce(contains(lower({c}), '{word}'), false)" for c in columns)
+    tag = f"list_bool_or(list_transform(string_split(tags, ' '), lambda t: contains(lower(t), '{word}')))"
+    return f"({hit} OR {tag})"
+
+
+def listing(word: str) -> str:
+    return with_ctes(CATALOGUE_ROWS, select=f"""
+SELECT id, '[' || id || '] ' || name AS title,
+       'Category: ' || coalesce(category, '') || ' | Brand: ' || brand || ' | Price: '
+         || printf('%.2f', price) || ' ' || currency AS details,
+       description
+FROM catalog WHERE {search(word)}""")
+
+
+CATALOGUE = {
+    "catalog_publish": with_ctes(CATALOGUE_ROWS, select=f"SELECT id AS key, {PRODUCT_JSON} AS value FROM catalog"),
+    "catalog_decode": with_ctes(CATALOGUE_ROWS, select="""
+SELECT id, CASE WHEN bare THEN '' ELSE name END AS name, CASE WHEN bare THEN '' ELSE coalesce(category, '') END AS category,
+       CASE WHEN bare THEN 0.0::double ELSE price END AS price, CASE WHEN bare THEN 0 ELSE quantity END AS quantity,
+       CASE WHEN bare THEN '' ELSE brand END AS brand
+FROM (SELECT *, k % 61 = 0 AS bare FROM catalog WHERE k % 53 <> 0 AND k % 59 <> 0)"""),
+    "catalog_dead_letters": with_ctes(CATALOGUE_ROWS, select=f"""
+SELECT id AS key, CASE WHEN k % 53 = 0 THEN replace({PRODUCT_JSON}, '"quantity":' || quantity, '"quantity":"many"')
+                       ELSE '{{' || {PRODUCT_JSON} END AS raw, 'malformed' AS reason
+FROM catalog WHERE k % 53 = 0 OR k % 59 = 0"""),
+    "catalog_passed": with_ctes(CATALOGUE_ROWS, select=f"SELECT {PRODUCT_COLUMNS} FROM catalog WHERE NOT {IS_BANNED}"),
+    "catalog_filtered": with_ctes(CATALOGUE_ROWS, select=f"SELECT {PRODUCT_COLUMNS} FROM catalog WHERE {IS_BANNED}"),
+    "catalog_passed_normalised": with_ctes(CATALOGUE_ROWS, select="""
+SELECT id, category FROM catalog WHERE coalesce(lower(trim(category)), '') NOT IN ('promo', 'small')"""),
+    "catalog_passed_messages": with_ctes(CATALOGUE_ROWS, select=f"""
+SELECT 'key-' || id AS key, {PRODUCT_JSON} AS value FROM catalog WHERE NOT {IS_BANNED}"""),
+    "catalog_screen_by_brand": """
+SELECT CASE WHEN p_name IN (SELECT p_name FROM part WHERE p_brand = 'Brand#7') THEN 'FILTERED' ELSE 'PASSED' END AS status,
+       p_name AS category, count(*) AS n
+FROM part GROUP BY 1, 2""",
+    "catalog_audit": with_ctes(CATALOGUE_ROWS, select=f"""
+SELECT id, CASE WHEN {IS_BANNED} THEN 'FILTERED' ELSE 'PASSED' END AS status,
+       CASE WHEN {IS_BANNED} THEN 'FILTERED [' || id || '] ' || name || ' (category=' || {CATEGORY_LINE} || '): banned category'
+            ELSE 'PASSED  [' || id || '] ' || name || ' (category=' || {CATEGORY_LINE} || ') -> products-filtered' END AS line
+FROM catalog"""),
+    "catalog_audit_tally": with_ctes(CATALOGUE_ROWS, select=f"""
+SELECT CASE WHEN {IS_BANNED} THEN 'FILTERED' ELSE 'PASSED' END AS status, category, count(*) AS n FROM catalog GROUP BY 1, 2"""),
+    "catalog_stream_screen": with_ctes(CATALOGUE_ROWS, select=f"""
+SELECT id AS key, CASE WHEN {IS_BANNED} THEN 'FILTERED' ELSE 'PASSED' END AS status, coalesce(category, '') AS category
+FROM catalog"""),
+    "catalog_stream_passed": with_ctes(CATALOGUE_ROWS, select=f"SELECT {PRODUCT_COLUMNS} FROM catalog WHERE NOT {IS_BANNED}"),
+    "banned_list": f"SELECT DISTINCT category FROM ({TABLE_BANNED})",
+    "banned_add": f"{TABLE_BANNED} UNION SELECT lower(p_name) FROM part WHERE p_size = 1",
+    "banned_remove": f"{TABLE_BANNED} EXCEPT SELECT lower(p_name) FROM part WHERE p_size <= 2",
+    "catalog_search": listing("widget"),
+    "catalog_search_words": listing("red widget"),
+    "catalog_search_count": with_ctes(CATALOGUE_ROWS, select=f"SELECT count(*) AS found FROM catalog WHERE {search('widget')}"),
+    "catalog_search_all": "SELECT count(*) AS found FROM part",
+    "catalog_search_tags": with_ctes(CATALOGUE_ROWS, select="""
+SELECT id, tags FROM catalog
+WHERE list_bool_or(list_transform(string_split(tags, ' '), lambda t: contains(lower(t), 'bol')))"""),
+    "product_receipts": with_ctes(CATALOGUE_ROWS, select="""
+SELECT receipt, id, printf('[%4d] -> ', receipt) || id || ' | ' || rpad(name, cast(greatest(40, length(name)) AS integer), ' ') || ' | '
+       || printf('%.2f', price) AS line
+FROM (SELECT *, row_number() OVER (ORDER BY k) AS receipt FROM catalog)"""),
+    "file_sink_roundtrip": with_ctes(CATALOGUE_ROWS, select=f"SELECT {PRODUCT_COLUMNS} FROM catalog WHERE NOT {IS_BANNED}"),
+    "file_sink_head": with_ctes(CATALOGUE_ROWS, select=f"""
+SELECT id, name, price FROM catalog WHERE NOT {IS_BANNED} ORDER BY id LIMIT 5"""),
+    "file_sink_count": with_ctes(CATALOGUE_ROWS, select=f"SELECT count(*) AS lines FROM catalog WHERE NOT {IS_BANNED}"),
+    "message_offsets": with_ctes(CLIENT_EVENTS, NUMBERED, select="""
+SELECT topic, partition, "offset", key, value FROM numbered"""),
+    "mirror_topics": with_ctes(CLIENT_EVENTS, NUMBERED, select="""
+SELECT 'cluster1.' || topic AS topic, partition, "offset", key, value FROM numbered
+WHERE topic IN ('products-raw', 'products-filtered', 'client-events')"""),
+    "mirror_all_but_excluded": with_ctes(CLIENT_EVENTS, select="""
+SELECT 'backup.' || topic AS topic, part AS partition, count(*) AS n FROM client_events
+WHERE topic NOT LIKE '%.internal' AND topic NOT LIKE '%-internal' AND NOT starts_with(topic, '__') GROUP BY 1, 2"""),
+    "mirror_streamed": with_ctes(CLIENT_EVENTS, NUMBERED, select="""
+SELECT 'cluster1.' || topic AS topic, partition, key, value FROM numbered
+WHERE topic IN ('products-raw', 'products-filtered', 'client-events')"""),
+    "partition_counts": with_ctes(CLIENT_EVENTS, select="""
+SELECT topic, part AS partition, count(*) AS n, count(*) AS log_end_offset FROM client_events GROUP BY topic, part"""),
+    "consumer_lag": with_ctes(CLIENT_EVENTS, LAGS, select="""
+SELECT "group", topic, partition, current_offset, log_end_offset, log_end_offset - current_offset AS lag FROM lags"""),
+    "consumer_lag_total": with_ctes(CLIENT_EVENTS, LAGS, select="""
+SELECT "group", topic, cast(sum(log_end_offset - current_offset) AS bigint) AS lag FROM lags GROUP BY "group", topic"""),
+}
+
+
+STEP, AGE, SPAN = 6 * 3600, 12 * 3600, 86400
+
+LABEL_COLUMNS = ["broker", "cluster", "grp", "instance", "job", "part", "topic"]
+LABEL_NAMES = {"grp": "group", "part": "partition"}
+
+
+def label_text(columns: list[str]) -> str:
+    parts = ", ".join(f"'{LABEL_NAMES.get(c, c)}=' || nullif({c}, '')" for c in sorted(columns, key=lambda c: LABEL_NAMES.get(c, c)))
+    return f"concat_ws(',', {parts})"
+
+
+def _family(metric: str, value: str, broker: bool, topic: bool, lag: bool = False, part: bool = False) -> str:
+    return (f"SELECT '{metric}' AS metric, s, {'broker' if broker else 'NULL'} AS broker, 'cluster-1' AS cluster, "
+            f"{'grp' if lag else 'NULL'} AS grp, instance, 'kafka' AS job, {'part' if part else 'NULL'} AS part, "
+            f"{'topic' if topic else 'NULL'} AS topic, {value} AS value FROM base")
+
+
+SAMPLES = f"""
+base AS (
+  SELECT event_id, {epoch('ts')} AS s, 'kafka-' || (user_id % 3 + 1) AS broker, user_id % 3 + 1 AS b,
+         'kafka-' || (user_id % 3 + 1) || ':910' || (user_id % 3 + 1) AS instance,
+         CASE WHEN event_type = 'view' THEN 'products-raw' ELSE event_type END AS topic,
+         CASE WHEN user_id % 2 = 0 THEN 'stream-processor' ELSE 'connect-filesink-group' END AS grp,
+         cast(user_id % 3 AS varchar) AS part, value, event_type = 'error' AS is_error
+  FROM events),
+raw_samples AS (
+  {_family('up', "CASE WHEN is_error THEN 0.0::double ELSE 1.0 END", True, False)}
+  UNION ALL {_family('kafka_consumer_group_lag', "value * 10", False, True, lag=True, part=True)}
+  UNION ALL {_family('kafka_server_replicamanager_underreplicatedpartitions',
+                     "CASE WHEN is_error THEN floor(value / 10) ELSE 0.0 END", True, False)}
+  UNION ALL {_family('kafka_controller_kafkacontroller_activecontrollercount',
+                     "CASE WHEN b = 1 AND NOT is_error THEN 1.0::double ELSE 0.0 END", True, False)}
+  UNION ALL {_family('kafka_log_log_size', "round(value * 1e8)", True, True, part=True)}
+  UNION ALL {_family('kafka_server_brokertopicmetrics_MessagesInPerSec_OneMinuteRate', "value", True, True)}
+  UNION ALL {_family('kafka_server_brokertopicmetrics_BytesInPerSec_OneMinuteRate', "round(value * 1000)", True, True)}),
+samples AS (SELECT *, {label_text(LABEL_COLUMNS)} AS labels FROM raw_samples)"""
+
+# One value per series and second, then the latest one at every tick.
+INSTANT = f"""
+single AS (
+  SELECT metric, labels, s, {', '.join(f'any_value({c}) AS {c}' for c in LABEL_COLUMNS)}, max(value) AS value
+  FROM samples GROUP BY metric, labels, s),
+spans AS (
+  SELECT metric, labels, cast(ceil(min(s) / {STEP}) AS bigint) AS a, max(s + {AGE}) // {STEP} AS z
+  FROM single GROUP BY metric, labels),
+grid AS (SELECT metric, labels, unnest(range(a, z + 1)) * {STEP} AS t FROM spans),
+instant AS (
+  SELECT grid.metric, grid.labels, grid.t, {', '.join(f'single.{c}' for c in LABEL_COLUMNS)}, single.value
+  FROM grid ASOF JOIN single ON grid.metric = single.metric AND grid.labels = single.labels AND grid.t >= single.s
+  WHERE grid.t - single.s <= {AGE})"""
+
+RATES = f"""
+steps AS (
+  SELECT *, CASE WHEN value >= before THEN value - before WHEN before IS NOT NULL THEN value ELSE 0 END AS inc
+  FROM (SELECT *, lag(value) OVER (PARTITION BY metric, labels ORDER BY s) AS before FROM single))"""
+
+TICK_RATES = f"""
+inside AS (
+  SELECT g.metric, g.labels, g.t, p.s, p.inc, p.topic, p.broker
+  FROM grid g JOIN steps p ON g.metric = p.metric AND g.labels = p.labels AND p.s BETWEEN g.t - {SPAN} AND g.t),
+wide_grid AS (SELECT 1),
+tick_rates AS (
+  SELECT metric, labels, t, any_value(topic) AS topic, any_value(broker) AS broker,
+         (sum(inc) - arg_min(inc, s)) / (max(s) - min(s)) AS value
+  FROM inside GROUP BY metric, labels, t HAVING max(s) > min(s))"""
+
+# Ticks reach one span past the last sample for rates, not one age limit.
+RATE_GRID = INSTANT.replace(f"max(s + {AGE})", f"max(s + {SPAN})")
+
+BYTES = "metric = 'kafka_server_brokertopicmetrics_BytesInPerSec_OneMinuteRate'"
+MESSAGES = "metric = 'kafka_server_brokertopicmetrics_MessagesInPerSec_OneMinuteRate'"
+LAG = "metric = 'kafka_consumer_group_lag'"
+EXACT_SUM = "cast(sum(cast(value AS decimal(28,2))) AS double)"
+
+
+def lag_by_topic(colour: bool = False, ctes: str = INSTANT, where: str = "") -> str:
+    bands = "CASE WHEN value >= 1000 THEN 'red' WHEN value >= 100 THEN 'yellow' ELSE 'green' END"
+    return with_ctes(SAMPLES, ctes, select=f"""
+SELECT *, {bands} AS colour FROM (
+  SELECT {bound('t')} AS ts, grp AS "group", topic, {EXACT_SUM} AS value
+  FROM instant WHERE {LAG} {where} GROUP BY t, grp, topic)""")
+
+
+def _rule_rows(alertname: str, metric: str, compare: str, by: list[str] | None, where: str = "true") -> str:
+    if by is None:
+        return f"""SELECT '{alertname}' AS alertname, labels, t, value, broker, cluster, NULL AS grp, NULL AS topic
+  FROM instant WHERE metric = '{metric}' AND {where} AND value {compare}"""
+    kept = {c: (c if c in by else "NULL") for c in ("broker", "cluster", "grp", "topic")}
+    text = label_text(by) if by else "''"
+    group = ", ".join(["t", *by])
+    columns = ", ".join(f"{v} AS {c}" for c, v in kept.items())
+    return f"""SELECT '{alertname}' AS alertname, {text} AS labels, t, {EXACT_SUM} AS value, {columns}
+  FROM instant WHERE metric = '{metric}' AND {where} GROUP BY {group} HAVING {EXACT_SUM} {compare}"""
+
+
+RULE_ROWS = {
+    "KafkaBrokerDown": _rule_rows("KafkaBrokerDown", "up", "= 0", None),
+    "KafkaConsumerGroupLag": _rule_rows("KafkaConsumerGroupLag", "kafka_consumer_group_lag", "> 1000", ["grp", "topic"]),
+    "KafkaUnderReplicatedPartitions": _rule_rows(
+        "KafkaUnderReplicatedPartitions", "kafka_server_replicamanager_underreplicatedpartitions", "> 0", None),
+    "KafkaNoActiveController": _rule_rows(
+        "KafkaNoActiveController", "kafka_controller_kafkacontroller_activecontrollercount", "<> 1", []),
+    "KafkaDiskUsageHigh": _rule_rows("KafkaDiskUsageHigh", "kafka_log_log_size", "> 10737418240", ["broker"]),
+    "StreamProcessorDown": _rule_rows(
+        "StreamProcessorDown", "kafka_consumer_group_lag", "> 100", ["grp"],
+        "grp = 'stream-processor' AND topic = 'products-raw'"),
+}
+HOLD = {"KafkaBrokerDown": 60, "KafkaConsumerGroupLag": 300, "KafkaUnderReplicatedPartitions": 120,
+        "KafkaNoActiveController": 30, "KafkaDiskUsageHigh": 300, "StreamProcessorDown": 120}
+CRITICAL = "alertname IN ('KafkaBrokerDown', 'KafkaUnderReplicatedPartitions', 'KafkaNoActiveController')"
+SEVERITY = f"CASE WHEN {CRITICAL} THEN 'critical' ELSE 'warning' END"
+HOLD_OF = "CASE alertname " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in HOLD.items()) + " END"
+
+
+def active(rows: list[str]) -> str:
+    union = "\n  UNION ALL ".join(rows)
+    # Runs of consecutive ticks: tick number less row number is constant inside a run.
+    return f"""
+active AS ({union}),
+runs AS (
+  SELECT *, t // {STEP} - row_number() OVER (PARTITION BY alertname, labels ORDER BY t) AS run FROM active),
+states AS (
+  SELECT *, {SEVERITY} AS severity, min(t) OVER (PARTITION BY alertname, labels, run) AS since,
+         CASE WHEN t - min(t) OVER (PARTITION BY alertname, labels, run) >= {HOLD_OF} THEN 'firing' ELSE 'pending' END AS state
+  FROM runs),
+firing AS (SELECT * FROM states WHERE state = 'firing')"""
+
+
+ALL_RULES = active(list(RULE_ROWS.values()))
+FULL_LABELS = active([
+    RULE_ROWS["KafkaBrokerDown"],
+    _rule_rows("KafkaDiskUsageHigh", "kafka_log_log_size", "> 1e9", ["broker", "cluster"]),
+])
+
+
+def one_rule(alertname: str) -> str:
+    return with_ctes(SAMPLES, INSTANT, active([RULE_ROWS[alertname]]), select=f"""
+SELECT labels, {bound('t')} AS ts, value, {bound('since')} AS active_at, state FROM states""")
+
+
+CHANGES = f"""
+marked AS (
+  SELECT *, lag(t) OVER w AS earlier, lead(t) OVER w AS later FROM firing
+  WINDOW w AS (PARTITION BY alertname, labels ORDER BY t)),
+changes AS (
+  SELECT alertname, severity, labels, broker, cluster, t AS moment, 'firing' AS status FROM marked
+  WHERE earlier IS NULL OR t - earlier > {STEP}
+  UNION ALL
+  SELECT alertname, severity, labels, broker, cluster, t + {STEP}, 'resolved' FROM marked
+  WHERE later IS NULL OR later - t > {STEP})"""
+
+
+def _template_sql(template: str) -> str:
+    """A template as a concatenation; the pieces between the marks are plain text."""
+    import re
+
+    number = "regexp_replace(cast(value AS varchar), '\\.0$', '')"
+    # Disk values lie between ten and a hundred billion here: two decimals of a G.
+    scaled = "regexp_replace(cast(round_even(value / 1000 / 1000 / 1000, 2) AS varchar), '\\.0$', '') || 'G'"
+    fields = {"$labels.broker": "coalesce(broker, '')", "$labels.cluster": "coalesce(cluster, '')",
+              "$labels.group": "coalesce(grp, '')", "$labels.topic": "coalesce(topic, '')",
+              "$value": number, "$value | humanize": scaled}
+    pieces = re.split(r"\{\{ (.*?) \}\}", template)
+    return " || ".join(f"'{p}'" if i % 2 == 0 else fields[p] for i, p in enumerate(pieces))
+
+
+def _annotation(attribute: str) -> str:
+    from marketstream.operators.rules import RULES
+
+    return "CASE alertname " + " ".join(
+        f"WHEN '{r.alertname}' THEN {_template_sql(getattr(r, attribute))}" for r in RULES) + " END"
+
+
+AUDIBLE = f"""
+annotated AS (SELECT *, {_annotation('summary')} AS summary, {_annotation('description')} AS description FROM firing),
+inhibited AS (
+  SELECT *, severity = 'warning' AND EXISTS (
+    SELECT 1 FROM firing f WHERE f.alertname = 'KafkaBrokerDown' AND f.t = a.t
+      AND coalesce(f.cluster, '') = coalesce(a.cluster, '') AND coalesce(f.broker, '') = coalesce(a.broker, '')) AS inhibited
+  FROM annotated a),
+audible AS (SELECT * FROM inhibited WHERE NOT inhibited),
+grouped AS (
+  SELECT t, alertname AS group_alertname, coalesce(cluster, '') AS group_cluster, coalesce(broker, '') AS group_broker,
+         count(*) AS n_alerts, CASE WHEN count(DISTINCT summary) = 1 THEN min(summary) ELSE '' END AS common_summary,
+         list(string_split(labels, ',')) AS label_lists,
+         string_agg('<b>Статус:</b> FIRING' || chr(10) || '<b>Кластер:</b> ' || coalesce(cluster, '') || chr(10)
+           || CASE WHEN coalesce(broker, '') <> '' THEN '<b>Брокер:</b> ' || broker ELSE '' END
+           || CASE WHEN coalesce(broker, '') <> '' THEN chr(10) ELSE chr(10) END
+           || '<b>Описание:</b> ' || description, chr(10) || chr(10) ORDER BY labels) AS body
+  FROM audible GROUP BY 1, 2, 3, 4)"""
+
+PACED = f"""
+paced AS (
+  SELECT alertname AS group_alertname, coalesce(cluster, '') AS group_cluster, coalesce(broker, '') AS group_broker,
+         labels, moment, CASE WHEN status = 'firing' THEN 1 ELSE -1 END AS step,
+         CASE WHEN severity = 'critical' THEN 5 ELSE 30 END AS wait, 300 AS every,
+         CASE WHEN severity = 'critical' THEN 900 ELSE 7200 END AS again
+  FROM changes),
+net AS (
+  SELECT group_alertname, group_cluster, group_broker, moment, any_value(every) AS every, sum(step) AS net
+  FROM paced GROUP BY 1, 2, 3, 4),
+level AS (SELECT *, sum(net) OVER g AS firing_now, moment - lag(moment) OVER g AS gap FROM net
+          WINDOW g AS (PARTITION BY group_alertname, group_cluster, group_broker ORDER BY moment)),
+birth AS (
+  SELECT *, coalesce(lag(firing_now) OVER g, 0) = 0 AND coalesce(gap >= every, true) AS born FROM level
+  WINDOW g AS (PARTITION BY group_alertname, group_cluster, group_broker ORDER BY moment)),
+life AS (
+  SELECT *, max(CASE WHEN born THEN moment END) OVER (
+    PARTITION BY group_alertname, group_cluster, group_broker ORDER BY moment) AS birth_at FROM birth),
+seen AS (
+  SELECT p.*, l.birth_at,
+         l.birth_at + p.wait + greatest(0, cast(ceil((p.moment - l.birth_at - p.wait) / p.every) AS bigint)) * p.every AS look
+  FROM paced p JOIN life l USING (group_alertname, group_cluster, group_broker, moment)),
+turned AS (
+  SELECT group_alertname, group_cluster, group_broker, birth_at, look, labels, any_value(again) AS again, sum(step) AS step
+  FROM seen GROUP BY 1, 2, 3, 4, 5, 6 HAVING sum(step) <> 0),
+looks AS (
+  SELECT group_alertname, group_cluster, group_broker, birth_at, look, any_value(again) AS again, sum(step) AS net
+  FROM turned GROUP BY 1, 2, 3, 4, 5),
+counted AS (
+  SELECT *, sum(net) OVER g AS n_firing, row_number() OVER g AS nth, coalesce(lead(look) OVER g, look + 1) AS until
+  FROM looks WINDOW g AS (PARTITION BY group_alertname, group_cluster, group_broker, birth_at ORDER BY look))"""
+
+NUMBER = "cast(user_id AS varchar)"
+BEANS = f"""
+beans AS (
+  SELECT event_id, event_id % 13 AS form, event_type AS topic, {NUMBER} AS n,
+         upper(substr(event_type, 1, 1)) || substr(event_type, 2) AS attribute FROM events)"""
+
+MONITORING = {
+    "bean_to_metric": with_ctes(BEANS, select="""
+SELECT event_id,
+  CASE form
+    WHEN 0 THEN 'kafka_server_brokertopicmetrics_MessagesInPerSec_' || attribute
+    WHEN 1 THEN 'kafka_server_brokertopicmetrics_BytesInPerSec_OneMinuteRate'
+    WHEN 2 THEN 'kafka_network_requestmetrics_fetchconsumer_TotalTimeMs_Mean'
+    WHEN 3 THEN 'kafka_network_requestmetrics_produce_TotalTimeMs_Max'
+    WHEN 4 THEN 'kafka_consumer_group_lag'
+    WHEN 5 THEN 'kafka_server_replicamanager_underreplicatedpartitions'
+    WHEN 6 THEN 'kafka_server_replicamanager_leadercount'
+    WHEN 7 THEN 'kafka_server_replicamanager_partitioncount'
+    WHEN 8 THEN 'kafka_controller_kafkacontroller_activecontrollercount'
+    WHEN 9 THEN 'kafka_log_log_size'
+    WHEN 10 THEN 'kafka_server_socket_server_connection_count'
+    WHEN 11 THEN 'kafka_cluster_partition_insyncreplicas, topic=' || topic
+  END AS metric,
+  CASE form WHEN 1 THEN 'topic=' || topic
+    WHEN 4 THEN 'client=c' || n || ',partition=' || n || ',topic=' || topic
+    WHEN 9 THEN 'partition=' || n || ',topic=' || topic
+    WHEN 10 THEN 'listener=SSL,processor=' || n
+    WHEN 12 THEN NULL ELSE '' END AS labels
+FROM beans"""),
+    "metric_relabel": """
+SELECT event_id, CASE WHEN user_id % 4 = 3 THEN 'cluster=cluster-1,instance=kafka-analytics:9104,job=kafka'
+  ELSE 'broker=kafka-' || (user_id % 3 + 1) || ',cluster=cluster-1,instance=kafka-' || (user_id % 3 + 1) || ':910'
+       || (user_id % 3 + 1) || ',job=kafka' END AS labels
+FROM events""",
+    "metric_instant": with_ctes(SAMPLES, INSTANT, select=f"SELECT metric, labels, {bound('t')} AS ts, value FROM instant"),
+    "metric_matching": with_ctes(SAMPLES, select=f"""
+SELECT {bound('s')} AS ts, labels, value FROM samples
+WHERE {LAG} AND grp = 'stream-processor' AND topic = 'products-raw'"""),
+    "metric_sum_by": with_ctes(SAMPLES, INSTANT, select=f"""
+SELECT {bound('t')} AS ts, 'group=' || grp || ',topic=' || topic AS labels, {EXACT_SUM} AS value
+FROM instant WHERE {LAG} GROUP BY t, grp, topic"""),
+    "metric_sum_all": with_ctes(SAMPLES, INSTANT, select=f"""
+SELECT {bound('t')} AS ts, {EXACT_SUM} AS value FROM instant WHERE {LAG} GROUP BY t"""),
+    "metric_last": with_ctes(SAMPLES, select=f"""
+SELECT metric, labels, {bound('s')} AS ts, value
+FROM (SELECT *, row_number() OVER (PARTITION BY metric, labels ORDER BY s DESC, value DESC) AS i FROM samples) WHERE i = 1"""),
+    "metric_rate": with_ctes(SAMPLES, INSTANT, RATES, select=f"""
+SELECT labels, {bound('s')} AS ts, value,
+       round((sum(inc) OVER w - first_value(inc) OVER w) / nullif(s - first_value(s) OVER w, 0), 6) AS rate
+FROM steps WHERE {BYTES}
+WINDOW w AS (PARTITION BY labels ORDER BY s RANGE BETWEEN {SPAN} PRECEDING AND CURRENT ROW)"""),
+    "metric_rate_at_ticks": with_ctes(SAMPLES, RATE_GRID, RATES, TICK_RATES, select=f"""
+SELECT labels, {bound('t')} AS ts, round(value, 6) AS value FROM tick_rates WHERE {BYTES}"""),
+    "dash_broker_status": with_ctes(SAMPLES, select="""
+SELECT broker, value, CASE WHEN value = 0 THEN 'DOWN' ELSE 'UP' END AS status,
+       CASE WHEN value >= 1 THEN 'green' ELSE 'red' END AS colour
+FROM (SELECT *, row_number() OVER (PARTITION BY broker ORDER BY s DESC, value DESC) AS i FROM samples WHERE metric = 'up')
+WHERE i = 1"""),
+    "dash_under_replicated": with_ctes(SAMPLES, INSTANT, select=f"""
+SELECT *, CASE WHEN value >= 1 THEN 'red' ELSE 'green' END AS colour
+FROM (SELECT {bound('t')} AS ts, {EXACT_SUM} AS value FROM instant
+      WHERE metric = 'kafka_server_replicamanager_underreplicatedpartitions' GROUP BY t)"""),
+    "dash_lag": lag_by_topic(),
+    "dash_last_days": lag_by_topic(ctes=INSTANT.replace("FROM samples GROUP BY", "FROM samples WHERE s >= 1706054400 GROUP BY")),
+    "dash_messages_by_topic": with_ctes(SAMPLES, RATE_GRID, RATES, TICK_RATES, select=f"""
+SELECT {bound('t')} AS ts, topic, round(cast(sum(cast(value AS decimal(28,9))) AS double), 4) AS value
+FROM tick_rates WHERE {MESSAGES} GROUP BY t, topic"""),
+    "dash_bytes_by_broker": with_ctes(SAMPLES, RATE_GRID, RATES, TICK_RATES, select=f"""
+SELECT {bound('t')} AS ts, broker, round(cast(sum(cast(value AS decimal(28,9))) AS double), 4) AS value
+FROM tick_rates WHERE {BYTES} GROUP BY t, broker"""),
+    "target_health": with_ctes(SAMPLES, select="""
+SELECT job, instance, CASE WHEN value = 1 THEN 'up' ELSE 'down' END AS health
+FROM (SELECT *, row_number() OVER (PARTITION BY job, instance ORDER BY s DESC, value DESC) AS i FROM samples WHERE metric = 'up')
+WHERE i = 1"""),
+    "alert_threshold": with_ctes(SAMPLES, INSTANT, ALL_RULES, select=f"SELECT alertname, labels, {bound('t')} AS ts, value FROM active"),
+    "alert_broker_down": one_rule("KafkaBrokerDown"),
+    "alert_consumer_lag": one_rule("KafkaConsumerGroupLag"),
+    "alert_under_replicated": one_rule("KafkaUnderReplicatedPartitions"),
+    "alert_no_controller": one_rule("KafkaNoActiveController"),
+    "alert_disk_usage": one_rule("KafkaDiskUsageHigh"),
+    "alert_processor_down": one_rule("StreamProcessorDown"),
+    "alert_states": with_ctes(SAMPLES, INSTANT, ALL_RULES, select=f"""
+SELECT alertname, labels, {bound('t')} AS ts, value, {bound('since')} AS active_at, state, severity FROM states"""),
+    "alert_hold_ticks": with_ctes(SAMPLES, INSTANT, f"""
+ticks AS (
+  SELECT t, 'group=' || grp || ',topic=' || topic AS labels, {EXACT_SUM} AS value
+  FROM instant WHERE {LAG} GROUP BY t, grp, topic),
+flagged AS (SELECT *, t // {STEP} - row_number() OVER (PARTITION BY labels, value > 300 ORDER BY t) AS run FROM ticks),
+held AS (SELECT *, min(t) OVER (PARTITION BY labels, value > 300, run) AS since FROM flagged)""", select=f"""
+SELECT {bound('t')} AS ts, labels, value, CASE WHEN value > 300 THEN {bound('since')} END AS active_at,
+       CASE WHEN value <= 300 THEN 'inactive' WHEN t - since >= 86400 THEN 'firing' ELSE 'pending' END AS state
+FROM held"""),
+    "alert_transitions": with_ctes(SAMPLES, INSTANT, ALL_RULES, CHANGES, select=f"""
+SELECT alertname, severity, labels, {bound('moment')} AS "at", status FROM changes"""),
+    "alert_annotated": with_ctes(SAMPLES, INSTANT, ALL_RULES, AUDIBLE, select=f"""
+SELECT alertname, labels, {bound('t')} AS ts, value, summary, description FROM annotated"""),
+    "alert_routed": with_ctes(SAMPLES, INSTANT, ALL_RULES, select=f"""
+SELECT alertname, labels, {bound('t')} AS ts, severity, 'telegram-notifications' AS receiver,
+       CASE WHEN severity = 'critical' THEN 5 ELSE 30 END AS group_wait, 300 AS group_interval,
+       CASE WHEN severity = 'critical' THEN 900 ELSE 7200 END AS repeat_interval
+FROM firing"""),
+    "alert_inhibited": with_ctes(SAMPLES, INSTANT, ALL_RULES, AUDIBLE, select=f"""
+SELECT alertname, labels, {bound('t')} AS ts, severity, inhibited FROM inhibited"""),
+    "alert_inhibited_full_labels": with_ctes(SAMPLES, INSTANT, FULL_LABELS, AUDIBLE, select=f"""
+SELECT alertname, labels, {bound('t')} AS ts, severity, inhibited FROM inhibited"""),
+    "alert_groups": with_ctes(SAMPLES, INSTANT, ALL_RULES, AUDIBLE, select=f"""
+SELECT {bound('t')} AS ts, group_alertname, group_cluster, group_broker, n_alerts, common_summary,
+       array_to_string(list_sort(list_reduce(label_lists, lambda a, b: list_intersect(a, b))), ',') AS common_labels
+FROM grouped"""),
+    "alert_messages": with_ctes(SAMPLES, INSTANT, ALL_RULES, AUDIBLE, select=f"""
+SELECT {bound('t')} AS ts, group_alertname, group_cluster, group_broker, n_alerts, 1 AS part, 1 AS parts,
+       '🔴 <b>' || group_alertname || '</b>' || chr(10) || chr(10) || body || chr(10) || chr(10)
+       || '<i>Время: ' || common_summary || '</i>' AS text
+FROM grouped"""),
+    "alert_notifications": with_ctes(SAMPLES, INSTANT, ALL_RULES, CHANGES, PACED, select=f"""
+SELECT group_alertname, group_cluster, group_broker, {bound('look')} AS "at",
+       CASE WHEN n_firing = 0 THEN 'resolved' WHEN nth = 1 THEN 'new' ELSE 'changed' END AS reason,
+       cast(n_firing AS bigint) AS n_firing
+FROM counted
+UNION ALL
+SELECT group_alertname, group_cluster, group_broker, {bound('later')} AS "at", 'repeat' AS reason, cast(n_firing AS bigint)
+FROM (SELECT *, unnest(range(look + again, until, again)) AS later FROM counted WHERE n_firing > 0)"""),
+}
+
+
 def statements() -> dict[str, str]:
-    return {**RECOMMENDATIONS}
+    return {**RECOMMENDATIONS, **CATALOGUE, **MONITORING}

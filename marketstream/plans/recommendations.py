@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketstream import schemas
 from marketstream.functions import codec, times
-from marketstream.operators import activity, events, offsets, ranking, readback
+from marketstream.operators import activity, events, ranking, readback
 from marketstream.session import scratch_dir
 from marketstream.sources import tables
 from marketstream.streaming import recommend
@@ -193,11 +193,6 @@ def recommendation_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readback.numbered(read).withColumn("position", F.col("position").cast("bigint"))
 
 
-def partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = offsets.partition_counts(tables.messages(spark, sf_dir))
-    return found.withColumn("partition", F.col("partition").cast("bigint"))
-
-
 QUERIES = {
     "event_decode": event_decode,
     "event_construct": event_construct,

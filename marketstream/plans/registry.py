@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketstream.plans import oracle, recommendations
+from marketstream.plans import catalogue, monitoring, oracle, recommendations
 from marketstream.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,7 +23,7 @@ def _prepared(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
-    for module in (recommendations,):
+    for module in (recommendations, catalogue, monitoring):
         found |= {name: _prepared(query) for name, query in module.QUERIES.items()}
     return found
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -64,3 +64,13 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder the engine wrote itself; a missing one is fine."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a result that several branches of a query read to the shared folder, and continue from there.
+
+    The branches then do not repeat the work behind it, and a lost executor costs no more than its own tasks.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

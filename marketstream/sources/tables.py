@@ -6,6 +6,8 @@ Each view is narrow (no shuffle) except the message offsets.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,8 +125,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event gives one sample of every metric below (one scan, one explode)."""
+def metric_samples(spark: SparkSession, sf_dir: str, metrics: Iterable[str] | None = None) -> DataFrame:
+    """Each event gives one sample of every metric below, or of the named ones (one scan, one explode)."""
     is_error = F.col("event_type") == "error"
     broker = F.col("user_id") % 3 + 1
     address = F.format_string("kafka-%d:910%d", broker, broker)
@@ -147,8 +149,9 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
             base | {"topic": topic, "broker": broker_name}, F.round(F.col("value") * 1000)),
     }
     entries = F.array(*[
-        F.struct(F.lit(name).alias("metric"), labels.label_map(pairs).alias("labels"), value.alias("value"))
+        F.struct(F.lit(name).alias("metric"), labels.label_map(pairs).alias("labels"), value.cast("double").alias("value"))
         for name, (pairs, value) in families.items()
+        if metrics is None or name in set(metrics)
     ])
     return (
         events(spark, sf_dir)
