@@ -67,7 +67,7 @@ def humanise(value: Column) -> Column:
     size = F.abs(value)
 
     def rounded(scaled: Column, decimals: int) -> Column:
-        return F.rint(scaled * 10.0**decimals) / 10.0**decimals
+        return F.signum(scaled) * F.floor(F.abs(scaled) * 10.0**decimals + 0.5) / 10.0**decimals
 
     def four_digits(scaled: Column) -> Column:
         width = F.abs(scaled)

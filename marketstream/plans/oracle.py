@@ -439,7 +439,7 @@ def _template_sql(template: str) -> str:
 
     number = "regexp_replace(cast(value AS varchar), '\\.0$', '')"
     # Disk values lie between ten and a hundred billion here: two decimals of a G.
-    scaled = "regexp_replace(cast(round_even(value / 1000 / 1000 / 1000, 2) AS varchar), '\\.0$', '') || 'G'"
+    scaled = "regexp_replace(cast(round(value / 1000 / 1000 / 1000, 2) AS varchar), '\\.0$', '') || 'G'"
     fields = {"$labels.broker": "coalesce(broker, '')", "$labels.cluster": "coalesce(cluster, '')",
               "$labels.group": "coalesce(grp, '')", "$labels.topic": "coalesce(topic, '')",
               "$value": number, "$value | humanize": scaled}

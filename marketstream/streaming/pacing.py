@@ -1,0 +1,127 @@
+"""Notification pacing on a stream of alert transitions, one state machine per alert group."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from marketstream.functions import labels as lb
+from marketstream.operators import routing
+
+
+class GroupPacer(StatefulProcessor):
+    """Follows the definition of ``routing.notifications`` in event time.
+
+    Transitions wait in state until the watermark has passed the look that sees them. One timer per group
+    stands at its next look; when the watermark jumps over several, they are taken in order.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "at long, series string", "firing boolean")
+        self.firing = handle.getMapState("firing", "series string", "since long")
+        # born, next look, last notification and last clearing (epoch seconds), and the number now firing
+        self.group = handle.getValueState(
+            "group", "born long, look long, sent long, clear long, n long, told boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        earliest = None
+        for batch in rows:
+            for at, series, status in zip(batch["at_s"], batch["series"], batch["status"]):
+                self.waiting.updateValue((int(at), series), (status == "firing",))
+                if status == "firing" and (earliest is None or at < earliest):
+                    earliest = int(at)
+        group = self.group.get()
+        if earliest is not None and (group is None or (group[5] is False and earliest < group[0])):
+            # A group that has not looked yet is born at its earliest firing, whatever the order of arrival.
+            if group is not None:
+                self.handle.deleteTimer(group[1] * 1000)
+            self._be_born(key, earliest)
+        yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs() // 1000
+        interval, repeat = int(key[-2]), int(key[-1])
+        told = []
+        group = self.group.get()
+        while group is not None and group[1] <= now:
+            born, look, sent, clear, n, has_told = group
+            changes = sorted(self._waiting_until(look))
+            before: dict[str, bool] = {}
+            reborn = None
+            for (at, series), firing in changes:
+                if n == 0 and clear is not None and firing and at - clear >= interval:
+                    reborn = at
+                    break
+                self.waiting.removeKey((at, series))
+                if firing == self.firing.containsKey((series,)):
+                    continue
+                before.setdefault(series, not firing)
+                if firing:
+                    self.firing.updateValue((series,), (at,))
+                    n += 1
+                else:
+                    self.firing.removeKey((series,))
+                    n -= 1
+                    clear = at if n == 0 else clear
+            changed = any(self.firing.containsKey((s,)) != was for s, was in before.items())
+            if changed:
+                reason = "resolved" if n == 0 else "changed" if has_told else "new"
+                told.append((look, reason, n))
+                sent, has_told = look, True
+            elif n > 0 and has_told and look - sent >= repeat:
+                told.append((look, "repeat", n))
+                sent = look
+            if reborn is None and n == 0 and clear is not None and look - clear >= interval:
+                later = [at for (at, _), firing in self._waiting_until(None) if firing]
+                reborn = min(later) if later else -1
+            if reborn is not None and reborn < 0:
+                self.group.clear()
+                group = None
+            elif reborn is not None:
+                group = self._be_born(key, reborn, timer=False)
+            else:
+                group = (born, look + interval, sent, clear, n, has_told)
+        if group is not None:
+            self.group.update(group)
+            self.handle.registerTimer(group[1] * 1000)
+        columns = {name: key[i] for i, name in enumerate(routing.group_columns())}
+        yield pd.DataFrame([
+            {**columns, "at": pd.Timestamp(look, unit="s"), "reason": reason, "n_firing": n} for look, reason, n in told
+        ], columns=[*columns, "at", "reason", "n_firing"])
+
+    def _waiting_until(self, look: int | None):
+        for (at, series), (firing,) in self.waiting.iterator():
+            if look is None or at <= look:
+                yield (at, series), firing
+
+    def _be_born(self, key, at: int, timer: bool = True):
+        group = (at, at + int(key[-3]), None, None, 0, False)
+        self.group.update(group)
+        if timer:
+            self.handle.registerTimer(group[1] * 1000)
+        return group
+
+    def close(self) -> None:
+        pass
+
+
+def paced(transitions: DataFrame, lateness: str = "1 minute", by: Sequence[str] = routing.GROUP_BY) -> DataFrame:
+    """A stream of routed transitions (``at`` is the event time) to the notifications of their groups.
+
+    The input has one row per start or end of an alert, not per sample or tick.
+    """
+    keys = [*routing.group_columns(by), "group_wait", "group_interval", "repeat_interval"]
+    rows = (
+        routing.with_group(transitions.withWatermark("at", lateness), by)
+        .withColumn("series", lb.label_text(F.col("labels")))
+        .withColumn("at_s", F.unix_seconds("at"))
+        .select(*keys, "at", "at_s", "series", "status")
+    )
+    output = ", ".join(f"{c} string" for c in routing.group_columns(by)) + ", at timestamp, reason string, n_firing long"
+    return rows.groupBy(*keys).transformWithStateInPandas(
+        GroupPacer(), outputStructType=output, outputMode="Append", timeMode="EventTime")
