@@ -73,18 +73,18 @@ def start_update(
         # The changes feed two tables; the state must not be read twice, so they are written first.
         write_batch(changes, f"{output}/changes", batch_id)
         changes = spark.read.schema(changes.schema).parquet(batch_folder(f"{output}/changes", batch_id))
-        known = changes
+        known = changes.withColumn("open", F.lit(True))
         if batch_id > 0:
-            older = spark.read.schema(changes.schema).parquet(batch_folder(counts_path, batch_id - 1))
+            older = spark.read.schema(known.schema).parquet(batch_folder(counts_path, batch_id - 1))
             newest = older.agg(F.max("window.end")).first()[0]
-            if newest is not None:
-                # The watermark of this batch is at least the newest window's end less size and lateness.
-                horizon = F.lit(newest) - F.expr(f"INTERVAL {size}") - F.expr(f"INTERVAL {lateness}")
-                older = older.filter(F.col("window.end") >= horizon)
             # Counts only grow, so the larger one is the newer one.
-            known = older.unionByName(changes).groupBy("window", *by).agg(F.max("n").alias("n"))
+            known = older.filter("open").drop("open").unionByName(changes).groupBy("window", *by).agg(F.max("n").alias("n"))
+            # Spark drops late events by the watermark of the batch before, so the next batch can still change
+            # the windows that the events seen before this batch left open.
+            horizon = F.lit(newest) - F.expr(f"INTERVAL {size}") - F.expr(f"INTERVAL {lateness}")
+            known = known.withColumn("open", F.lit(True) if newest is None else F.col("window.end") > horizon)
         write_batch(known, counts_path, batch_id)
-        known = spark.read.schema(changes.schema).parquet(batch_folder(counts_path, batch_id))
+        known = spark.read.schema(known.schema).parquet(batch_folder(counts_path, batch_id))
         touched = changes.select(*within).distinct()
         lists = ranking.as_lists(ranking.top_k(known, within, k), within)
         # Null-safe: events without a user form a group too.
