@@ -37,7 +37,7 @@ def add_label(labels: Column, name: str, value: Column) -> Column:
 
 def series_key(labels: Column) -> Column:
     """Labels as a sorted array: equal for equal label sets, and usable as a grouping key."""
-    return F.array_sort(F.map_entries(labels))
+    return F.sort_array(F.map_entries(labels))
 
 
 def from_series_key(key: Column) -> Column:

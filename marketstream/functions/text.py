@@ -93,8 +93,11 @@ def humanise(value: Column) -> Column:
 _PLACEHOLDER = re.compile(r"\{\{\s*(.*?)\s*\}\}")
 
 
-def render_template(template: str, label: Callable[[str], Column], value: Column) -> Column:
-    """Fill ``{{ $labels.x }}``, ``{{ $value }}`` and ``{{ $value | humanize }}``; a missing label is empty."""
+def render_template(template: str, label: Callable[[str], Column], plain: Column, human: Column) -> Column:
+    """Fill ``{{ $labels.x }}``, ``{{ $value }}`` and ``{{ $value | humanize }}``; a missing label is empty.
+
+    ``plain`` and ``human`` are the value's texts by ``plain_number`` and ``humanise``.
+    """
     parts: list[Column] = []
     end = 0
     for match in _PLACEHOLDER.finditer(template):
@@ -104,9 +107,9 @@ def render_template(template: str, label: Callable[[str], Column], value: Column
         if expression.startswith("$labels."):
             parts.append(label(expression.removeprefix("$labels.")))
         elif expression == "$value":
-            parts.append(plain_number(value))
+            parts.append(plain)
         elif expression == "$value|humanize":
-            parts.append(humanise(value))
+            parts.append(human)
         else:
             raise ValueError(f"unknown placeholder {match[0]!r}")
         end = match.end()

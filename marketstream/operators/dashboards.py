@@ -39,15 +39,11 @@ def since(samples: DataFrame, start: int | None) -> DataFrame:
 
 def broker_status(samples: DataFrame, job: str = "kafka") -> DataFrame:
     """Up or down for every broker of a job, from its newest value."""
-    newest = (
-        series.matching(samples, "up", {"job": job})
-        .filter(F.col("value").isNotNull())
-        .groupBy(lb.label(F.col("labels"), "broker").alias("broker"))
-        .agg(F.max(F.struct("ts", "value")).alias("s"))
-    )
-    value = F.col("s.value")
+    value = F.col("value")
     text = F.when(value == 0, F.lit("DOWN")).when(value == 1, F.lit("UP")).otherwise(value.cast("string"))
-    return newest.select("broker", value.alias("value"), text.alias("status"), colour(value, STATUS_BANDS).alias("colour"))
+    up = series.matching(samples, "up", {"job": job}).withColumn("broker", lb.label(F.col("labels"), "broker"))
+    return series.newest(up, ["broker"]).select(
+        "broker", value, text.alias("status"), colour(value, STATUS_BANDS).alias("colour"))
 
 
 def under_replicated(samples: DataFrame, step: str | int, max_age: str | int, end: int | None = None) -> DataFrame:
@@ -80,9 +76,7 @@ def throughput(
 def target_health(samples: DataFrame) -> DataFrame:
     """The newest ``up`` of every (job, instance) as up or down."""
     labels = F.col("labels")
-    return (
-        samples.filter(F.col("metric") == "up")
-        .groupBy(lb.label(labels, "job").alias("job"), lb.label(labels, "instance").alias("instance"))
-        .agg(F.max(F.struct("ts", "value")).alias("s"))
-        .select("job", "instance", F.when(F.col("s.value") == 1, F.lit("up")).otherwise(F.lit("down")).alias("health"))
-    )
+    up = samples.filter(F.col("metric") == "up").select(
+        "ts", "value", lb.label(labels, "job").alias("job"), lb.label(labels, "instance").alias("instance"))
+    health = F.when(F.col("value") == 1, F.lit("up")).otherwise(F.lit("down"))
+    return series.newest(up, ["job", "instance"]).select("job", "instance", health.alias("health"))

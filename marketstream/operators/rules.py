@@ -172,10 +172,17 @@ def states(
 def annotate(alerts: DataFrame, rules: Sequence[Rule] = tuple(RULES)) -> DataFrame:
     """Add ``summary`` and ``description`` from the rule's templates."""
     def rendered(template: str) -> Column:
-        return text.render_template(template, lambda name: lb.label(F.col("labels"), name), F.col("value"))
+        return text.render_template(
+            template, lambda name: lb.label(F.col("labels"), name), F.col("_plain"), F.col("_human"))
 
-    return alerts.withColumn("summary", _per_rule(rules, lambda r: rendered(r.summary))).withColumn(
-        "description", _per_rule(rules, lambda r: rendered(r.description))
+    value = F.col("value")
+    return (
+        alerts.withColumns({"_plain": text.plain_number(value), "_human": text.humanise(value)})
+        .withColumns({
+            "summary": _per_rule(rules, lambda r: rendered(r.summary)),
+            "description": _per_rule(rules, lambda r: rendered(r.description)),
+        })
+        .drop("_plain", "_human")
     )
 
 

@@ -1,7 +1,7 @@
 """Metric series: values at evaluation times, rates, sums by label, last values.
 
-Samples are ``ts, metric, labels, value``. Two samples of a series at the same time count as one: the larger value.
-Evaluation times (ticks) are whole multiples of the step since the epoch.
+Samples are ``ts, metric, labels, value``. Evaluation times (ticks) are whole multiples of the step since the epoch.
+Times are kept as microseconds while they are computed with.
 """
 
 from __future__ import annotations
@@ -15,17 +15,41 @@ from pyspark.sql import functions as F
 from marketstream.functions import labels as lb
 from marketstream.functions import times
 
+MICROS = 1_000_000
+DAY = 86_400 * MICROS
+
 
 def as_seconds(ts: Column) -> Column:
     return F.unix_seconds(ts)
 
 
+def round_up(at: Column, step: int) -> Column:
+    """The first multiple of ``step`` that is not before ``at``, in whole numbers."""
+    return at + F.pmod(-at, F.lit(step))
+
+
+def round_down(at: Column, step: int) -> Column:
+    return at - F.pmod(at, F.lit(step))
+
+
+def order_within(offset: Column, span: int, value: Column) -> Column:
+    """A whole number that orders samples by ``offset``, from 0 to ``span``.
+
+    Equal times are settled by a hash of the value, so a task that is run again picks the same sample. One number
+    instead of a struct keeps ``max_by`` in a hash aggregate, which needs no sort of the samples.
+    """
+    bits = min(24, 62 - span.bit_length())
+    return F.shiftleft(offset, bits) + F.xxhash64(value).bitwiseAND(F.lit((1 << bits) - 1))
+
+
+def keyed(samples: DataFrame) -> DataFrame:
+    """Samples with a groupable ``series`` and the time ``at`` in microseconds."""
+    return samples.select(
+        "metric", lb.series_key(F.col("labels")).alias("series"), F.unix_micros("ts").alias("at"), "value")
+
+
 def at_ticks(
-    samples: DataFrame,
-    step: str | int = 30,
-    max_age: str | int = 300,
-    end: int | None = None,
-    keys: Sequence[str] = ("metric", "series"),
+    samples: DataFrame, step: str | int = 30, max_age: str | int = 300, end: int | None = None
 ) -> DataFrame:
     """Every series' latest value at or before each tick, no older than ``max_age``: ``metric, labels, ts, value``.
 
@@ -33,27 +57,27 @@ def at_ticks(
     shuffle; whatever a series' sample rate, at most one row per tick is left. Each such row then stands for its
     own tick and the following ones up to the next row, its age limit or ``end`` (epoch seconds).
     """
-    step_s, age_s = times.seconds(step), times.seconds(max_age)
-    at = as_seconds(F.col("ts"))
-    tick = (F.ceil(F.unix_micros("ts") / F.lit(step_s * 1_000_000)) * step_s).cast("bigint")
+    step_us, age_us = times.seconds(step) * MICROS, times.seconds(max_age) * MICROS
+    key = ["metric", "series"]
     latest = (
-        samples.select("metric", lb.series_key(F.col("labels")).alias("series"), tick.alias("tick"),
-                       F.struct(at.alias("at"), F.col("value").alias("value")).alias("s"))
-        .groupBy(*keys, "tick")
-        .agg(F.max("s").alias("s"))
+        keyed(samples)
+        .withColumn("tick", round_up(F.col("at"), step_us))
+        .groupBy(*key, "tick")
+        .agg(
+            F.max("at").alias("at"),
+            F.max_by("value", order_within(F.col("at") - F.col("tick") + step_us, step_us, F.col("value"))).alias("value"),
+        )
     )
-    following = F.lead("tick").over(W.partitionBy(*keys).orderBy("tick"))
-    reach = (F.floor((F.col("s.at") + age_s) / step_s) * step_s).cast("bigint")
-    bounds = [reach, following - step_s]
+    following = F.lead("tick").over(W.partitionBy(*key).orderBy("tick"))
+    bounds = [round_down(F.col("at") + age_us, step_us), following - step_us]
     if end is not None:
-        bounds.append(F.lit(end).cast("bigint"))
+        bounds.append(F.lit(end * MICROS))
     return (
         latest.withColumn("_last", F.least(*bounds))
         .filter(F.col("_last") >= F.col("tick"))
-        .select(*keys, F.explode(F.sequence(F.col("tick"), F.col("_last"), F.lit(step_s).cast("bigint"))).alias("tick"),
-                F.col("s.value").alias("value"))
+        .select(*key, "value", F.explode(F.sequence("tick", "_last", F.lit(step_us))).alias("tick"))
         .select("metric", lb.from_series_key(F.col("series")).alias("labels"),
-                F.timestamp_seconds("tick").alias("ts"), "value")
+                F.timestamp_micros("tick").alias("ts"), "value")
     )
 
 
@@ -75,38 +99,44 @@ def matching(samples: DataFrame, metric: str, matchers: dict[str, str] | None =
     return samples.filter((F.col("metric") == metric) & lb.matches(F.col("labels"), matchers or {}))
 
 
-def last_values(samples: DataFrame) -> DataFrame:
-    """Each series' newest value that is not null."""
-    newest = F.max(F.struct("ts", "value")).alias("s")
-    return (
+def newest(samples: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The newest ``ts`` and ``value`` that is not null of each key.
+
+    Per day first, where a plain number can order the samples, then over the few days left.
+    """
+    at = F.unix_micros("ts")
+    per_day = (
         samples.filter(F.col("value").isNotNull())
-        .groupBy("metric", lb.series_key(F.col("labels")).alias("series"))
-        .agg(newest)
-        .select("metric", lb.from_series_key(F.col("series")).alias("labels"), F.col("s.ts").alias("ts"),
-                F.col("s.value").alias("value"))
+        .groupBy(*keys, F.floor(at / F.lit(DAY)).alias("_day"))
+        .agg(F.max("ts").alias("ts"), F.max_by("value", order_within(F.pmod(at, F.lit(DAY)), DAY, F.col("value"))).alias("value"))
     )
+    return per_day.groupBy(*keys).agg(F.max(F.struct("ts", "value")).alias("_s")).select(*keys, "_s.ts", "_s.value")
+
+
+def last_values(samples: DataFrame) -> DataFrame:
+    """Each series' newest value that is not null."""
+    with_key = samples.select("ts", "metric", "value", lb.series_key(F.col("labels")).alias("series"))
+    return newest(with_key, ["metric", "series"]).select(
+        "metric", lb.from_series_key(F.col("series")).alias("labels"), "ts", "value")
 
 
 def increases(samples: DataFrame, span: str | int, bucket: str | int = 3600) -> DataFrame:
     """Each sample's increase over the one before it, for use over spans: ``metric, series, bucket, at, value, inc, home``.
 
-    A fall is a counter reset: the new value is the increase since.
+    A fall is a counter reset: the new value is the increase since. Two samples of a series at the same time count
+    as one, the larger.
 
     A series is cut into time buckets, and each bucket also gets the last ``span`` of the bucket before it (rows
     with ``home`` false). Spans that end in the bucket need no more, so no task sorts more of a series than one
     bucket and one span. The first sample of a span counts as its start, so an increase that a bucket cannot see
     is one that no span uses.
     """
-    span_s = times.seconds(span)
-    width = max(times.seconds(bucket), span_s)
-    unique = (
-        samples.select("metric", lb.series_key(F.col("labels")).alias("series"), as_seconds(F.col("ts")).alias("at"), "value")
-        .groupBy("metric", "series", "at")
-        .agg(F.max("value").alias("value"))
-    )
-    own = F.floor(F.col("at") / width).cast("bigint")
-    near_end = F.col("at") >= (own + 1) * width - span_s
-    copies = F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))
+    span_us = times.seconds(span) * MICROS
+    width = max(times.seconds(bucket) * MICROS, span_us)
+    unique = keyed(samples).groupBy("metric", "series", "at").agg(F.max("value").alias("value"))
+    own = round_down(F.col("at"), width)
+    near_end = F.col("at") >= own + width - span_us
+    copies = F.when(near_end, F.array(own, own + width)).otherwise(F.array(own))
     previous = F.lag("value").over(W.partitionBy("metric", "series", "bucket").orderBy("at"))
     inc = F.when(F.col("value") >= previous, F.col("value") - previous).when(previous.isNotNull(), F.col("value"))
     return (
@@ -122,15 +152,15 @@ def rate(samples: DataFrame, span: str | int = 60, bucket: str | int = 3600) ->
     There is no extrapolation to the span's edges.
     """
     ordered = W.partitionBy("metric", "series", "bucket").orderBy("at")
-    frame = ordered.rangeBetween(-times.seconds(span), 0)
-    climbed = increases(samples, span, bucket)
+    frame = ordered.rangeBetween(-times.seconds(span) * MICROS, 0)
     increase = F.sum("inc").over(frame) - F.first("inc").over(frame)
-    elapsed = F.col("at") - F.first("at").over(frame)
+    elapsed = (F.col("at") - F.first("at").over(frame)) / F.lit(MICROS)
     return (
-        climbed.withColumn("rate", F.try_divide(increase, elapsed))
+        increases(samples, span, bucket)
+        .withColumn("rate", F.try_divide(increase, elapsed))
         .filter("home")
         .select("metric", lb.from_series_key(F.col("series")).alias("labels"),
-                F.timestamp_seconds("at").alias("ts"), "value", "rate")
+                F.timestamp_micros("at").alias("ts"), "value", "rate")
     )
 
 
@@ -141,22 +171,22 @@ def rate_at_ticks(
 
     Each sample is copied to the ticks whose span holds it (about ``span / step``) and summed there.
     """
-    span_s, step_s = times.seconds(span), times.seconds(step)
-    first = (F.ceil(F.col("at") / step_s) * step_s).cast("bigint")
-    last = (F.floor((F.col("at") + span_s) / step_s) * step_s).cast("bigint")
+    span_us, step_us = times.seconds(span) * MICROS, times.seconds(step) * MICROS
+    first, last = round_up(F.col("at"), step_us), round_down(F.col("at") + span_us, step_us)
     if end is not None:
-        last = F.least(last, F.lit(end).cast("bigint"))
+        last = F.least(last, F.lit(end * MICROS))
+    ticks = F.explode(F.sequence(F.col("_first"), F.col("_last"), F.lit(step_us))).alias("tick")
     sums = (
         increases(samples, span, bucket)
         .filter("home")
         .withColumns({"_first": first, "_last": last})
         .filter(F.col("_last") >= F.col("_first"))
-        .select("metric", "series", "at", "inc",
-                F.explode(F.sequence(F.col("_first"), F.col("_last"), F.lit(step_s).cast("bigint"))).alias("tick"))
+        .select("metric", "series", "at", "inc", ticks)
         .groupBy("metric", "series", "tick")
-        .agg(F.sum("inc").alias("_inc"), F.min(F.struct("at", "inc")).alias("_start"), F.max("at").alias("_end"))
-        .filter(F.col("_end") > F.col("_start.at"))
+        # A series has one sample per time here, so the first increase is unambiguous.
+        .agg(F.sum("inc").alias("_all"), F.min_by("inc", "at").alias("_first"), F.min("at").alias("_start"), F.max("at").alias("_end"))
+        .filter(F.col("_end") > F.col("_start"))
     )
-    value = (F.col("_inc") - F.col("_start.inc")) / (F.col("_end") - F.col("_start.at"))
+    value = (F.col("_all") - F.col("_first")) / ((F.col("_end") - F.col("_start")) / F.lit(MICROS))
     return sums.select("metric", lb.from_series_key(F.col("series")).alias("labels"),
-                       F.timestamp_seconds("tick").alias("ts"), value.alias("value"))
+                       F.timestamp_micros("tick").alias("ts"), value.alias("value"))

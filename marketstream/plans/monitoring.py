@@ -216,7 +216,7 @@ def alert_inhibited(chosen=None):
 def audible(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Firing alerts that nothing inhibits, with their texts."""
     found = routing.inhibit(materialise(firing(spark, sf_dir), "firing"))
-    return rules.annotate(found.filter(~F.col("inhibited")).drop("inhibited"))
+    return materialise(rules.annotate(found.filter(~F.col("inhibited")).drop("inhibited")), "audible")
 
 
 def alert_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -281,7 +281,15 @@ SELECT "group", topic, cast(sum(log_end_offset - current_offset) AS bigint) AS l
 }
 
 
-STEP, AGE, SPAN = 6 * 3600, 12 * 3600, 86400
+STEP = 6 * 3600
+# Sample times are microseconds, ticks are seconds.
+STEP_US, AGE_US, SPAN_US = STEP * 10**6, 12 * 3600 * 10**6, 86400 * 10**6
+
+
+def moment(us: str) -> str:
+    return f"strftime(make_timestamp({us}), '%Y-%m-%dT%H:%M:%SZ')"
+
+
 
 LABEL_COLUMNS = ["broker", "cluster", "grp", "instance", "job", "part", "topic"]
 LABEL_NAMES = {"grp": "group", "part": "partition"}
@@ -300,7 +308,7 @@ def _family(metric: str, value: str, broker: bool, topic: bool, lag: bool = Fals
 
 SAMPLES = f"""
 base AS (
-  SELECT event_id, {epoch('ts')} AS s, 'kafka-' || (user_id % 3 + 1) AS broker, user_id % 3 + 1 AS b,
+  SELECT event_id, epoch_us(ts) AS s, 'kafka-' || (user_id % 3 + 1) AS broker, user_id % 3 + 1 AS b,
          'kafka-' || (user_id % 3 + 1) || ':910' || (user_id % 3 + 1) AS instance,
          CASE WHEN event_type = 'view' THEN 'products-raw' ELSE event_type END AS topic,
          CASE WHEN user_id % 2 = 0 THEN 'stream-processor' ELSE 'connect-filesink-group' END AS grp,
@@ -324,13 +332,13 @@ single AS (
   SELECT metric, labels, s, {', '.join(f'any_value({c}) AS {c}' for c in LABEL_COLUMNS)}, max(value) AS value
   FROM samples GROUP BY metric, labels, s),
 spans AS (
-  SELECT metric, labels, cast(ceil(min(s) / {STEP}) AS bigint) AS a, max(s + {AGE}) // {STEP} AS z
+  SELECT metric, labels, (min(s) + {STEP_US} - 1) // {STEP_US} AS a, (max(s) + {AGE_US}) // {STEP_US} AS z
   FROM single GROUP BY metric, labels),
 grid AS (SELECT metric, labels, unnest(range(a, z + 1)) * {STEP} AS t FROM spans),
 instant AS (
   SELECT grid.metric, grid.labels, grid.t, {', '.join(f'single.{c}' for c in LABEL_COLUMNS)}, single.value
-  FROM grid ASOF JOIN single ON grid.metric = single.metric AND grid.labels = single.labels AND grid.t >= single.s
-  WHERE grid.t - single.s <= {AGE})"""
+  FROM grid ASOF JOIN single ON grid.metric = single.metric AND grid.labels = single.labels AND grid.t * 1000000 >= single.s
+  WHERE grid.t * 1000000 - single.s <= {AGE_US})"""
 
 RATES = f"""
 steps AS (
@@ -340,15 +348,14 @@ steps AS (
 TICK_RATES = f"""
 inside AS (
   SELECT g.metric, g.labels, g.t, p.s, p.inc, p.topic, p.broker
-  FROM grid g JOIN steps p ON g.metric = p.metric AND g.labels = p.labels AND p.s BETWEEN g.t - {SPAN} AND g.t),
-wide_grid AS (SELECT 1),
+  FROM grid g JOIN steps p ON g.metric = p.metric AND g.labels = p.labels AND p.s BETWEEN g.t * 1000000 - {SPAN_US} AND g.t * 1000000),
 tick_rates AS (
   SELECT metric, labels, t, any_value(topic) AS topic, any_value(broker) AS broker,
-         (sum(inc) - arg_min(inc, s)) / (max(s) - min(s)) AS value
+         (sum(inc) - arg_min(inc, s)) / ((max(s) - min(s)) / 1e6) AS value
   FROM inside GROUP BY metric, labels, t HAVING max(s) > min(s))"""
 
 # Ticks reach one span past the last sample for rates, not one age limit.
-RATE_GRID = INSTANT.replace(f"max(s + {AGE})", f"max(s + {SPAN})")
+RATE_GRID = INSTANT.replace(f"(max(s) + {AGE_US})", f"(max(s) + {SPAN_US})")
 
 BYTES = "metric = 'kafka_server_brokertopicmetrics_BytesInPerSec_OneMinuteRate'"
 MESSAGES = "metric = 'kafka_server_brokertopicmetrics_MessagesInPerSec_OneMinuteRate'"
@@ -540,7 +547,7 @@ SELECT event_id, CASE WHEN user_id % 4 = 3 THEN 'cluster=cluster-1,instance=kafk
 FROM events""",
     "metric_instant": with_ctes(SAMPLES, INSTANT, select=f"SELECT metric, labels, {bound('t')} AS ts, value FROM instant"),
     "metric_matching": with_ctes(SAMPLES, select=f"""
-SELECT {bound('s')} AS ts, labels, value FROM samples
+SELECT {moment('s')} AS ts, labels, value FROM samples
 WHERE {LAG} AND grp = 'stream-processor' AND topic = 'products-raw'"""),
     "metric_sum_by": with_ctes(SAMPLES, INSTANT, select=f"""
 SELECT {bound('t')} AS ts, 'group=' || grp || ',topic=' || topic AS labels, {EXACT_SUM} AS value
@@ -548,13 +555,13 @@ FROM instant WHERE {LAG} GROUP BY t, grp, topic"""),
     "metric_sum_all": with_ctes(SAMPLES, INSTANT, select=f"""
 SELECT {bound('t')} AS ts, {EXACT_SUM} AS value FROM instant WHERE {LAG} GROUP BY t"""),
     "metric_last": with_ctes(SAMPLES, select=f"""
-SELECT metric, labels, {bound('s')} AS ts, value
+SELECT metric, labels, {moment('s')} AS ts, value
 FROM (SELECT *, row_number() OVER (PARTITION BY metric, labels ORDER BY s DESC, value DESC) AS i FROM samples) WHERE i = 1"""),
     "metric_rate": with_ctes(SAMPLES, INSTANT, RATES, select=f"""
-SELECT labels, {bound('s')} AS ts, value,
-       round((sum(inc) OVER w - first_value(inc) OVER w) / nullif(s - first_value(s) OVER w, 0), 6) AS rate
+SELECT labels, {moment('s')} AS ts, value,
+       round((sum(inc) OVER w - first_value(inc) OVER w) / nullif((s - first_value(s) OVER w) / 1e6, 0), 6) AS rate
 FROM steps WHERE {BYTES}
-WINDOW w AS (PARTITION BY labels ORDER BY s RANGE BETWEEN {SPAN} PRECEDING AND CURRENT ROW)"""),
+WINDOW w AS (PARTITION BY labels ORDER BY s RANGE BETWEEN {SPAN_US} PRECEDING AND CURRENT ROW)"""),
     "metric_rate_at_ticks": with_ctes(SAMPLES, RATE_GRID, RATES, TICK_RATES, select=f"""
 SELECT labels, {bound('t')} AS ts, round(value, 6) AS value FROM tick_rates WHERE {BYTES}"""),
     "dash_broker_status": with_ctes(SAMPLES, select="""
@@ -567,7 +574,7 @@ SELECT *, CASE WHEN value >= 1 THEN 'red' ELSE 'green' END AS colour
 FROM (SELECT {bound('t')} AS ts, {EXACT_SUM} AS value FROM instant
       WHERE metric = 'kafka_server_replicamanager_underreplicatedpartitions' GROUP BY t)"""),
     "dash_lag": lag_by_topic(),
-    "dash_last_days": lag_by_topic(ctes=INSTANT.replace("FROM samples GROUP BY", "FROM samples WHERE s >= 1706054400 GROUP BY")),
+    "dash_last_days": lag_by_topic(ctes=INSTANT.replace("FROM samples GROUP BY", "FROM samples WHERE s >= 1706054400000000 GROUP BY")),
     "dash_messages_by_topic": with_ctes(SAMPLES, RATE_GRID, RATES, TICK_RATES, select=f"""
 SELECT {bound('t')} AS ts, topic, round(cast(sum(cast(value AS decimal(28,9))) AS double), 4) AS value
 FROM tick_rates WHERE {MESSAGES} GROUP BY t, topic"""),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketstream import schemas
-from marketstream.functions import codec, labels, times
+from marketstream.functions import codec, times
 from marketstream.operators import numbering
 from marketstream.sources import files
 
@@ -43,6 +43,12 @@ def prop_k(props: Column) -> Column:
     return F.from_json(props, "k int")["k"]
 
 
+def padded(prefix: str, number: Column) -> Column:
+    """The prefix and the number with at least three digits."""
+    digits = number.cast("string")
+    return F.concat(F.lit(prefix), F.when(number < 1000, F.lpad(digits, 3, "0")).otherwise(digits))
+
+
 def client_event_columns(wide: DataFrame, *keep: str) -> DataFrame:
     product = F.when(
         F.col("event_type").isin(*PRODUCT_EVENT_TYPES),
@@ -52,7 +58,7 @@ def client_event_columns(wide: DataFrame, *keep: str) -> DataFrame:
         *keep,
         F.concat_ws("-", "event_type", F.col("event_id").cast("string")).alias("event_id"),
         "event_type",
-        F.format_string("user-%03d", F.col("user_id")).alias("user_id"),
+        padded("user-", F.col("user_id")).alias("user_id"),
         product.alias("product_id"),
         F.lit("").alias("query"),
         times.format_rfc3339(F.col("ts")).alias("timestamp"),
@@ -76,7 +82,7 @@ def catalogue(spark: SparkSession, sf_dir: str, streaming: bool = False) -> Data
         .otherwise(part_type)
     )
     return parts(spark, sf_dir, streaming).select(
-        F.format_string("prod-%03d", F.col("p_partkey")).alias("id"),
+        padded("prod-", F.col("p_partkey")).alias("id"),
         F.col("p_name").alias("name"),
         category.alias("category"),
         F.concat_ws(" ", F.col("p_name"), part_type).alias("description"),
@@ -127,34 +133,36 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metric_samples(spark: SparkSession, sf_dir: str, metrics: Iterable[str] | None = None) -> DataFrame:
     """Each event gives one sample of every metric below, or of the named ones (one scan, one explode)."""
-    is_error = F.col("event_type") == "error"
-    broker = F.col("user_id") % 3 + 1
-    address = F.format_string("kafka-%d:910%d", broker, broker)
-    base = {"job": F.lit("kafka"), "cluster": F.lit("cluster-1"), "instance": address}
-    topic = F.when(F.col("event_type") == "view", F.lit("products-raw")).otherwise(F.col("event_type"))
-    group = F.when(F.col("user_id") % 2 == 0, F.lit("stream-processor")).otherwise(F.lit("connect-filesink-group"))
-    broker_name = F.regexp_extract(address, r"^(kafka-\d+):.*$", 1)
-    per_topic = {**base, "topic": topic, "partition": (F.col("user_id") % 3).cast("string")}
+    number = (F.col("user_id") % 3 + 1).cast("string")
+    wide = events(spark, sf_dir).select(
+        "ts", "value",
+        (F.col("event_type") == "error").alias("is_error"),
+        F.concat(F.lit("kafka-"), number).alias("broker"),
+        F.concat(F.lit("kafka-"), number, F.lit(":910"), number).alias("instance"),
+        F.when(F.col("event_type") == "view", F.lit("products-raw")).otherwise(F.col("event_type")).alias("topic"),
+        F.when(F.col("user_id") % 2 == 0, F.lit("stream-processor")).otherwise(F.lit("connect-filesink-group")).alias("group"),
+        (F.col("user_id") % 3).cast("string").alias("partition"),
+    )
+    value, is_error = F.col("value"), F.col("is_error")
     families = {
-        "up": (base | {"broker": broker_name}, F.when(is_error, F.lit(0.0)).otherwise(F.lit(1.0))),
-        "kafka_consumer_group_lag": (per_topic | {"group": group}, F.col("value") * 10),
+        "up": (["broker"], F.when(is_error, 0.0).otherwise(1.0)),
+        "kafka_consumer_group_lag": (["topic", "partition", "group"], value * 10),
         "kafka_server_replicamanager_underreplicatedpartitions": (
-            base | {"broker": broker_name}, F.when(is_error, F.floor(F.col("value") / 10).cast("double")).otherwise(F.lit(0.0))),
+            ["broker"], F.when(is_error, F.floor(value / 10)).otherwise(0)),
         "kafka_controller_kafkacontroller_activecontrollercount": (
-            base | {"broker": broker_name}, F.when((broker == 1) & ~is_error, F.lit(1.0)).otherwise(F.lit(0.0))),
-        "kafka_log_log_size": (per_topic | {"broker": broker_name}, F.round(F.col("value") * 1e8)),
-        "kafka_server_brokertopicmetrics_MessagesInPerSec_OneMinuteRate": (
-            base | {"topic": topic, "broker": broker_name}, F.col("value")),
-        "kafka_server_brokertopicmetrics_BytesInPerSec_OneMinuteRate": (
-            base | {"topic": topic, "broker": broker_name}, F.round(F.col("value") * 1000)),
+            ["broker"], F.when((F.col("broker") == "kafka-1") & ~is_error, 1.0).otherwise(0.0)),
+        "kafka_log_log_size": (["topic", "partition", "broker"], F.round(value * 1e8)),
+        "kafka_server_brokertopicmetrics_MessagesInPerSec_OneMinuteRate": (["topic", "broker"], value),
+        "kafka_server_brokertopicmetrics_BytesInPerSec_OneMinuteRate": (["topic", "broker"], F.round(value * 1000)),
     }
-    entries = F.array(*[
-        F.struct(F.lit(name).alias("metric"), labels.label_map(pairs).alias("labels"), value.cast("double").alias("value"))
-        for name, (pairs, value) in families.items()
-        if metrics is None or name in set(metrics)
-    ])
-    return (
-        events(spark, sf_dir)
-        .select(F.date_trunc("second", "ts").alias("ts"), F.explode(entries).alias("s"))
-        .select("ts", "s.metric", "s.labels", "s.value")
-    )
+
+    def sample(name: str, label_names: list[str], sampled: Column) -> Column:
+        # Every label here has a text of its own, so the map needs no check for empty ones.
+        pairs = [(F.lit("job"), F.lit("kafka")), (F.lit("cluster"), F.lit("cluster-1"))]
+        pairs += [(F.lit(n), F.col(n)) for n in ["instance", *label_names]]
+        tags = F.create_map(*[c for pair in pairs for c in pair])
+        return F.struct(F.lit(name).alias("metric"), tags.alias("labels"), sampled.cast("double").alias("value"))
+
+    chosen = families if metrics is None else {name: families[name] for name in families if name in set(metrics)}
+    samples = F.array(*[sample(name, *family) for name, family in chosen.items()])
+    return wide.select("ts", F.explode(samples).alias("s")).select("ts", "s.metric", "s.labels", "s.value")

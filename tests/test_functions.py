@@ -33,10 +33,11 @@ def test_humanise(spark, value, expected):
 def test_template(spark):
     template = "{{ $labels.broker }} of {{$labels.cluster}}: {{ $value }} ({{ $value | humanize }}B)"
     tags = F.create_map(F.lit("broker"), F.lit("kafka-1"))
-    rendered = text.render_template(template, lambda n: labels.label(tags, n), F.lit(2048.0))
+    value = F.lit(2048.0)
+    rendered = text.render_template(template, lambda n: labels.label(tags, n), text.plain_number(value), text.humanise(value))
     assert one(spark, rendered) == "kafka-1 of : 2048 (2.048kB)"
     with pytest.raises(ValueError):
-        text.render_template("{{ $externalURL }}", lambda n: F.lit(""), F.lit(1.0))
+        text.render_template("{{ $externalURL }}", lambda n: F.lit(""), F.lit("1"), F.lit("1"))
 
 
 def test_trim_strips_unicode_space(spark):
