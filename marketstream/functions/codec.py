@@ -11,6 +11,15 @@ from marketstream import schemas
 _CORRUPT = "_corrupt"
 
 
+def computed_once(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """Add a costly column by way of ``explode`` of a one-element array.
+
+    The optimizer moves no filter across it. A filter on an ordinary column is pushed below the projection that
+    makes it, and the expression (a JSON or time parse) is then evaluated again for the filter.
+    """
+    return df.withColumn(name, F.explode(F.array(column)))
+
+
 def as_text(value: Column) -> Column:
     return value.cast("string")
 
@@ -25,7 +34,7 @@ def parse_json(df: DataFrame, schema: T.StructType, value: str = "value") -> Dat
     dead = F.col("_parsed").isNull() | F.col(f"_parsed.{_CORRUPT}").isNotNull()
     record = F.struct(*[F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields])
     return (
-        df.withColumn("_parsed", parsed)
+        computed_once(df, "_parsed", parsed)
         .withColumn("dead", dead)
         .withColumn("data", F.when(~dead, record))
         .drop("_parsed")

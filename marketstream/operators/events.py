@@ -45,7 +45,7 @@ def with_product(events: DataFrame) -> DataFrame:
 
 def with_event_time(events: DataFrame, lateness: str | None = None) -> DataFrame:
     """Add ``event_time`` (null for unreadable text) and, if asked, the watermark."""
-    timed = events.withColumn("event_time", times.parse_rfc3339(F.col("timestamp")))
+    timed = codec.computed_once(events, "event_time", times.parse_rfc3339(F.col("timestamp")))
     return timed.withWatermark("event_time", lateness) if lateness else timed
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import operator
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -109,14 +110,13 @@ def evaluate(
     All rules share one scan, one lookup at the ticks and one sum. A sample is copied once per rule that selects
     it (at most once per rule), with the labels that rule keeps. An absent metric gives no row, so nothing holds.
     """
-    selects = F.filter(
-        F.array(*[
-            F.when((F.col("metric") == r.metric) & lb.matches(F.col("labels"), r.matchers), F.lit(r.alertname))
-            for r in rules
-        ]),
-        lambda name: name.isNotNull(),
-    )
+    def selected(rule: Rule) -> Column:
+        return (F.col("metric") == rule.metric) & lb.matches(F.col("labels"), rule.matchers)
+
+    selects = F.filter(F.array(*[F.when(selected(r), F.lit(r.alertname)) for r in rules]), lambda name: name.isNotNull())
+    # The plain list of names can reach the scan; the matchers keep other series out of the shuffle.
     wanted = samples.filter(F.col("metric").isin(sorted({r.metric for r in rules})))
+    wanted = wanted.filter(functools.reduce(operator.or_, map(selected, rules)))
     instant = series.at_ticks(wanted, step, max_age, end)
     # A rule with ``by`` keeps only those labels; one without keeps all, so its "sum" has a single term.
     kept = _per_rule(rules, lambda r: F.col("labels") if r.by is None else lb.keep_labels(F.col("labels"), r.by))

@@ -54,12 +54,12 @@ def client_event_columns(wide: DataFrame, *keep: str) -> DataFrame:
         F.col("event_type").isin(*PRODUCT_EVENT_TYPES),
         F.concat(F.lit("prod-"), F.lpad(prop_k(F.col("props")).cast("string"), 3, "0")),
     ).otherwise(F.lit(""))
-    return wide.select(
+    return codec.computed_once(wide, "product_id", product).select(
         *keep,
         F.concat_ws("-", "event_type", F.col("event_id").cast("string")).alias("event_id"),
         "event_type",
         padded("user-", F.col("user_id")).alias("user_id"),
-        product.alias("product_id"),
+        "product_id",
         F.lit("").alias("query"),
         times.format_rfc3339(F.col("ts")).alias("timestamp"),
     )
