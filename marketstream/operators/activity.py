@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from marketstream.functions import times
 
 # From this many windows per event on, counting whole panes first saves more than its extra shuffle costs.
-PANES_FROM = 12
+PANES_FROM = 4
 
 
 def sliding_counts(

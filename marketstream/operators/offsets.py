@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketstream.operators import membership
-
 
 def partition_counts(messages: DataFrame) -> DataFrame:
     return messages.groupBy("topic", "partition").agg(
@@ -15,10 +13,11 @@ def partition_counts(messages: DataFrame) -> DataFrame:
 
 
 def consumer_lag(committed: DataFrame, log_ends: DataFrame) -> DataFrame:
-    """``committed`` has ``group, topic, partition, current_offset``; an unknown offset leaves the lag null."""
+    """``committed`` has ``group, topic, partition, current_offset``; an unknown offset leaves the lag null.
+
+    Both sides have one row per partition at most per group, so the join's type is left to Spark's measurement.
+    """
     ends = log_ends.select("topic", "partition", "log_end_offset")
-    if membership.is_small(ends):
-        ends = F.broadcast(ends)
     return committed.join(ends, ["topic", "partition"], "left").withColumn(
         "lag", F.col("log_end_offset") - F.col("current_offset")
     )

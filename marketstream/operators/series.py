@@ -150,17 +150,38 @@ def rate(samples: DataFrame, span: str | int = 60, bucket: str | int = 3600) ->
     """Per-second increase at each sample over the ``span`` before it, ends included; null for a lone sample.
 
     There is no extrapolation to the span's edges.
+
+    A sliding window frame would be summed anew for every row. Instead each sample also leaves a mark one span
+    later, which names the sample that spans start at from there on; one running pass over samples and marks
+    then knows the start of every span.
     """
-    ordered = W.partitionBy("metric", "series", "bucket").orderBy("at")
-    frame = ordered.rangeBetween(-times.seconds(span) * MICROS, 0)
-    increase = F.sum("inc").over(frame) - F.first("inc").over(frame)
-    elapsed = (F.col("at") - F.first("at").over(frame)) / F.lit(MICROS)
+    group = ["metric", "series", "bucket"]
+    ordered = W.partitionBy(*group).orderBy("at")
+    running = ordered.rowsBetween(W.unboundedPreceding, 0)
+    climbed = increases(samples, span, bucket).withColumn("_sum", F.sum("inc").over(running))
+    climbed = climbed.withColumns({"_next_at": F.lead("at").over(ordered), "_next_sum": F.lead("_sum").over(ordered)})
+
+    def place(pos: Column, kind: int, first_at: Column, first_sum: Column) -> Column:
+        return F.struct(pos.alias("pos"), F.lit(kind).alias("kind"),
+                        first_at.cast("bigint").alias("first_at"), first_sum.cast("double").alias("first_sum"))
+
+    # At equal positions a sample comes before the mark: a span includes its start.
+    places = F.array(
+        place(F.col("at"), 0, F.lit(None), F.lit(None)),
+        place(F.col("at") + times.seconds(span) * MICROS, 1, F.col("_next_at"), F.col("_next_sum")),
+    )
+    passed = W.partitionBy(*group).orderBy("pos", "kind").rowsBetween(W.unboundedPreceding, 0)
+
+    def at_start(marked: str, own: str) -> Column:
+        return F.coalesce(F.last(marked, ignorenulls=True).over(passed), F.first(own).over(passed))
+
+    elapsed = (F.col("at") - F.col("_from_at")) / F.lit(MICROS)
     return (
-        increases(samples, span, bucket)
-        .withColumn("rate", F.try_divide(increase, elapsed))
-        .filter("home")
-        .select("metric", lb.from_series_key(F.col("series")).alias("labels"),
-                F.timestamp_micros("at").alias("ts"), "value", "rate")
+        climbed.select(*group, "at", "value", "home", "_sum", F.inline(places))
+        .withColumns({"_from_at": at_start("first_at", "at"), "_from_sum": at_start("first_sum", "_sum")})
+        .filter((F.col("kind") == 0) & F.col("home"))
+        .select("metric", lb.from_series_key(F.col("series")).alias("labels"), F.timestamp_micros("at").alias("ts"),
+                "value", F.try_divide(F.col("_sum") - F.col("_from_sum"), elapsed).alias("rate"))
     )
 
 
