@@ -8,7 +8,7 @@ before its shuffle. No list of a user's events is ever kept, and Spark's check o
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +16,28 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketstream.operators import activity, ranking
 from marketstream.session import delete_folder
+from marketstream.sinks import kafka as kafka_sink
 from marketstream.sinks import triggered
 from marketstream.sinks.files import batch_folder, write_batch
 
 COUNTS, RESULTS = "counts", "results"
 
+Publish = Callable[[DataFrame], None]
+
+
+def to_kafka(brokers: str, topic: str, security: dict[str, str] | None = None) -> Publish:
+    """Send each batch's recommendations to a topic, keyed by user. A replayed batch is sent again."""
+    return lambda recommended: kafka_sink.publish(ranking.as_messages(recommended), brokers, topic, security)
+
+
+def _write(lists: DataFrame, output: str, batch_id: int, publish: Publish | None) -> None:
+    """Write the batch's recommendations and publish the written rows, so both agree."""
+    recommended = ranking.recommendations(lists)
+    write_batch(recommended, f"{output}/{RESULTS}", batch_id)
+    if publish:
+        spark = lists.sparkSession
+        publish(spark.read.schema(recommended.schema).parquet(batch_folder(f"{output}/{RESULTS}", batch_id)))
+
 
 def start_append(
     timed_events: DataFrame,
@@ -31,6 +48,7 @@ def start_append(
     k: int = 5,
     within: Sequence[str] = ("window", "user_id"),
     trigger: str | None = "60 seconds",
+    publish: Publish | None = None,
 ) -> StreamingQuery:
     """Write each window's lists once, after the watermark has passed its end.
 
@@ -41,7 +59,7 @@ def start_append(
 
     def rank(closed: DataFrame, batch_id: int) -> None:
         lists = ranking.as_lists(ranking.top_k(closed, within, k), within)
-        write_batch(ranking.recommendations(lists), f"{output}/{RESULTS}", batch_id)
+        _write(lists, output, batch_id, publish)
 
     writer = counts.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(rank)
     return triggered(writer, trigger).start()
@@ -57,6 +75,7 @@ def start_update(
     k: int = 5,
     within: Sequence[str] = ("window", "user_id"),
     trigger: str | None = "60 seconds",
+    publish: Publish | None = None,
 ) -> StreamingQuery:
     """After every micro-batch, write the current list of each group whose counts changed.
 
@@ -66,7 +85,7 @@ def start_update(
     """
     by = [c for c in within if c != "window"] + ["product_id"]
     counts = activity.sliding_counts(timed_events, size, slide, by)
-    counts_path, results_path = f"{output}/{COUNTS}", f"{output}/{RESULTS}"
+    counts_path = f"{output}/{COUNTS}"
 
     def rank(changes: DataFrame, batch_id: int) -> None:
         spark = changes.sparkSession
@@ -91,7 +110,7 @@ def start_update(
         same = F.lit(True)
         for c in within:
             same = same & lists[c].eqNullSafe(touched[c])
-        write_batch(ranking.recommendations(lists.join(touched, same, "left_semi")), results_path, batch_id)
+        _write(lists.join(touched, same, "left_semi"), output, batch_id, publish)
         for folder in (f"{output}/changes", counts_path):
             delete_folder(spark, batch_folder(folder, batch_id - 2))
 

@@ -10,7 +10,7 @@ from marketstream.functions import codec
 from marketstream.operators import activity, events, ranking
 from marketstream.sources import files, tables
 from marketstream.streaming import mirror as mirror_stream
-from marketstream.streaming import recommend, screening as screening_stream
+from marketstream.streaming import progress, recommend, screening as screening_stream
 from marketstream.sinks import kafka as kafka_sink
 
 T0 = 1704067200  # 2024-01-01T00:00:00Z, a multiple of two minutes
@@ -223,6 +223,30 @@ def test_append_stream_writes_closed_windows_once(spark, tmp_path):
     assert found == expected and len(found) == recommend.results(spark, out).count()
 
 
+def test_published_messages_are_the_written_ones(spark, tmp_path):
+    path = write(tmp_path / "in", BATCHES[:2])
+    out, sent = str(tmp_path / "out"), []
+
+    def publish(recommended):
+        sent.extend((r.key, json.loads(r.value)) for r in ranking.as_messages(recommended).collect())
+
+    recommend.start_update(stream_of(spark, path), out, str(tmp_path / "cp"), trigger=None, publish=publish).awaitTermination()
+    written = recommend.results(spark, out).collect()
+    assert len(sent) == len(written)
+    assert sorted((k or "", m["product_ids"], m["generated_at"]) for k, m in sent) == sorted(
+        (r.user_id or "", r.product_ids, r.generated_at) for r in written)
+    assert all("user_id" not in m for k, m in sent if k is None)
+
+
+def test_running_total(spark, tmp_path):
+    path = write(tmp_path / "in", BATCHES[:3])
+    lines = spark.readStream.option("maxFilesPerTrigger", 1).text(path)
+    query = (progress.counted(lines).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "cp"))
+             .trigger(availableNow=True).start())
+    progress.run_until_stopped(query)
+    assert progress.total(query) == sum(len(b) for b in BATCHES[:3])
+
+
 def test_stateful_check_stays_on(spark):
     assert spark.conf.get("spark.sql.streaming.statefulOperator.checkCorrectness.enabled") == "true"
 
