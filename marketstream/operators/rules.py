@@ -84,7 +84,7 @@ RULES = [
         by=("group",), op=">", threshold=100.0, hold="2m", severity="warning",
         summary="Stream Processor остановлен или отстаёт",
         description="Consumer group stream-processor отстаёт на {{ $value }} сообщений в топике products-raw. "
-                    "Проверьте: cd step-4-stream-processor && go run .",
+                    "Проверьте stream-processor.",
     ),
 ]
 
