@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from marketstream.plans import registry
 from oracle_check import connect, spark_rows, sql_rows
 
-SQL = entry.oracle_sql()
+QUERIES, SQL = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,12 +15,13 @@ def db(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, sf_dir, name):
-    columns, rows = spark_rows(entry.queries()[name](spark, sf_dir))
+    columns, rows = spark_rows(QUERIES[name](spark, sf_dir))
     assert (columns, rows) == sql_rows(db, SQL[name])
     assert rows
 
