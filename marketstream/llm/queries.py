@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketstream.llm import decontaminate, mixing, quality, sharding, simhash
+from marketstream.llm import decontaminate, fingerprints, mixing, quality, sharding, simhash
 from marketstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +14,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 40
 
 
+def op1_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.report(table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,6 +48,7 @@ def op9_pivotal_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
+        op1_weighted_fingerprints,
         op2_decontaminate,
         op3_rendezvous_shards,
         op5_ordinal_quality,
