@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketstream.llm import decontaminate, fingerprints, mixing, quality, sharding, simhash
+from marketstream.llm import decontaminate, fingerprints, lines, mixing, quality, sharding, simhash, spans
 from marketstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
 
 
+def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,10 @@ def op9_pivotal_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicated(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -52,7 +60,9 @@ QUERIES: dict[str, Query] = {
         op2_decontaminate,
         op3_rendezvous_shards,
         op5_ordinal_quality,
+        op7_sentence_spans,
         op8_simhash_pivots,
         op9_pivotal_mixture,
+        op10_line_templates,
     )
 }
