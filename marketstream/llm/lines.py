@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketstream.functions.codec import computed_once
 from marketstream.llm.common import written
 
 VARIABLE = "<*>"
@@ -31,7 +32,7 @@ def masked(tokens: Column) -> Column:
 def parsed(docs: DataFrame, doc_id: str, text: str, leading: int) -> DataFrame:
     """One row per line that has a token: doc (a hash of id and text), line (from 0), leaf and tokens."""
     lines = docs.select(F.xxhash64(doc_id, text).alias("doc"), F.posexplode(F.split(text, "\n")).alias("line", "value"))
-    tokens = lines.select("doc", "line", F.regexp_extract_all("value", F.lit(TOKEN), F.lit(0)).alias("tokens"))
+    tokens = computed_once(lines, "tokens", F.regexp_extract_all("value", F.lit(TOKEN), F.lit(0)))
     leaf = F.xxhash64(F.size("tokens"), masked(F.slice("tokens", 1, leading)))
     return tokens.filter(F.size("tokens") > 0).select("doc", "line", leaf.alias("leaf"), "tokens")
 

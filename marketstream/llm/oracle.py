@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marketstream.llm import queries, sharding
+from marketstream.llm import licenses, lines, queries, sharding
 
 #: The CRC-32 of a text's bytes, bit by bit from its polynomial; the table is made by the rule, not listed.
 CRC_TABLE = """
@@ -36,5 +36,66 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS
 FROM rows JOIN best USING (r) JOIN crc USING (r)"""
 
 
+def op4_license_scan() -> str:
+    notices = ", ".join(f"('{k}', '{v}')" for k, v in licenses.NOTICES.items())
+    n = licenses.SHINGLE
+    words = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')"
+    cut = f"unnest(list_transform(range(greatest(len(w) - {n - 1}, least(len(w), 1))), lambda i: {{'place': i, 's': array_to_string(w[i + 1 : i + {n}], ' ')}}), recursive := true)"
+    return f"""
+WITH notices(license_id, text) AS (VALUES {notices}),
+wanted AS (SELECT DISTINCT license_id, s FROM (SELECT license_id, {cut} FROM (SELECT license_id, {words} AS w FROM notices))),
+sizes AS (
+  SELECT license_id, count(*) AS m, greatest(1, count(*) // 4) AS stride, count(*) + greatest(1, count(*) // 4) - 1 AS span
+  FROM wanted GROUP BY license_id
+), shingles AS (
+  SELECT doc_id, text, {cut} FROM (SELECT DISTINCT doc_id, text, {words} AS w FROM documents)
+), hits AS (
+  SELECT doc_id, text, license_id, s, m, stride, unnest(range(greatest(ceil((place - span + 1) / stride), 0)::BIGINT, place // stride + 1)) AS number
+  FROM shingles JOIN wanted USING (s) JOIN sizes USING (license_id)
+), windows AS (
+  SELECT doc_id, text, license_id, number * stride AS word, count(DISTINCT s) / m AS share
+  FROM hits GROUP BY doc_id, text, license_id, number, stride, m
+)
+SELECT doc_id, license_id, max(share) AS containment, count(*) AS n_windows, min(word)::BIGINT AS first_word
+FROM windows WHERE share >= {licenses.LEAST} GROUP BY doc_id, text, license_id"""
+
+
+def op10_line_templates() -> str:
+    least, blank = lines.LEAST_DOCUMENTS, lines.VARIABLE
+    return f"""
+WITH split_lines AS (
+  SELECT DISTINCT doc_id, text, unnest(range(len(string_split(text, chr(10))))) AS line, unnest(string_split(text, chr(10))) AS value FROM documents
+), parsed AS (
+  SELECT doc_id, text, line, list_transform(regexp_extract_all(value, '[^\\x09-\\x0D\\x20]+'),
+    lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{blank}' ELSE t END) AS tokens
+  FROM split_lines
+), leaves AS (
+  SELECT len(tokens) AS n, tokens[1:{lines.LEADING}] AS lead FROM parsed WHERE len(tokens) > 0
+  GROUP BY ALL HAVING count(DISTINCT (doc_id, text)) >= {least}
+), shared AS (
+  SELECT doc_id, text, line, tokens, n, lead FROM parsed JOIN leaves ON n = len(tokens) AND lead = tokens[1:{lines.LEADING}]
+), different AS (
+  SELECT n, lead, tokens, count(DISTINCT (doc_id, text)) AS docs FROM shared GROUP BY ALL
+), spread AS (
+  SELECT n, lead, tokens, docs, unnest(range(len(tokens))) AS place, unnest(tokens) AS token FROM different
+), common AS (
+  SELECT n, lead, place, token FROM spread GROUP BY ALL HAVING sum(docs) >= {least}
+), templates AS (
+  SELECT n, lead, tokens, list(CASE WHEN c.token IS NULL THEN '{blank}' ELSE s.token END ORDER BY place) AS template
+  FROM spread s LEFT JOIN common c USING (n, lead, place, token) GROUP BY ALL
+  HAVING count(CASE WHEN c.token IS NOT NULL AND c.token <> '{blank}' THEN 1 END) >= {lines.LEAST_FIXED} * n
+), often AS (
+  SELECT n, lead, template FROM shared JOIN templates USING (n, lead, tokens) GROUP BY ALL HAVING count(DISTINCT (doc_id, text)) >= {least}
+), gone AS (
+  SELECT DISTINCT doc_id, text, line FROM shared JOIN templates USING (n, lead, tokens) JOIN often USING (n, lead, template)
+), kept AS (
+  SELECT doc_id, text, count(*) FILTER (gone.line IS NOT NULL) AS n_dropped,
+    coalesce(string_agg(CASE WHEN gone.line IS NULL THEN value END, chr(10) ORDER BY split_lines.line), '') AS rest
+  FROM split_lines LEFT JOIN gone USING (doc_id, text, line) GROUP BY doc_id, text
+)
+SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped, rest AS text
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id AND d.text = k.text"""
+
+
 def statements() -> dict[str, str]:
-    return {f.__name__: f() for f in (op3_rendezvous_shards,)}
+    return {f.__name__: f() for f in (op3_rendezvous_shards, op4_license_scan, op10_line_templates)}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketstream.llm import decontaminate, fingerprints, lines, mixing, quality, sharding, simhash, spans
+from marketstream.llm import decontaminate, fingerprints, licenses, lines, mixing, quality, sharding, simhash, spans
 from marketstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op3_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.NOTICES)
+
+
 def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
     """Fitted on the labelled rows of the table itself, which a stage's input may hold only in part."""
     ratings = quality.grades(table(spark, sf_dir, "labels"))
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
         op1_weighted_fingerprints,
         op2_decontaminate,
         op3_rendezvous_shards,
+        op4_license_scan,
         op5_ordinal_quality,
         op7_sentence_spans,
         op8_simhash_pivots,
