@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketstream.llm import decontaminate, fingerprints, licenses, lines, mixing, quality, sharding, simhash, spans
+from marketstream.llm import decontaminate, fingerprints, katz, licenses, lines, mixing, quality, sharding, simhash, spans
 from marketstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
 
 
+def op6_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.report(table(spark, sf_dir, "documents"))
+
+
 def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.deduplicated(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Query] = {
         op3_rendezvous_shards,
         op4_license_scan,
         op5_ordinal_quality,
+        op6_katz_backoff,
         op7_sentence_spans,
         op8_simhash_pivots,
         op9_pivotal_mixture,
