@@ -68,7 +68,7 @@ def suffix_array(seq: np.ndarray, owned: int, depth: int) -> np.ndarray:
     order = np.argsort(seq, kind="stable")
     while span < depth:
         later = np.zeros(n, dtype=np.uint64)
-        later[: n - span] = rank[span:] + np.uint64(1)
+        later[: max(n - span, 0)] = rank[span:] + np.uint64(1)
         keys = np.sort((((rank << bits) | later) << bits) | place)
         order = (keys & low).astype(np.int64)
         keys >>= bits

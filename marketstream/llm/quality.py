@@ -23,9 +23,10 @@ DIMENSIONS = 1 << 18
 PREFIX = 4
 #: A feature counts when it stands in at least so many fitted documents.
 LEAST_DOCUMENTS = 3
-STEPS = 400
+STEPS = 300
 RATE = 0.12
-PENALTY = 1e-5
+#: Inverse variance of the weights, whose prior is normal around 0.
+PENALTY = 1.0
 
 SYMBOLS = ~(words.ALPHANUMERIC | words.byte_set((0x09, 0x0D), (0x20, 0x20)))
 UPPER = words.byte_set((0x41, 0x5A))
@@ -119,7 +120,7 @@ def fit_arrays(flat: np.ndarray, first: np.ndarray, grades: np.ndarray, n_grades
         by_cut = np.bincount(grades, by_low, n_grades + 1) + np.bincount(grades + 1, by_high, n_grades + 1)
         inner = by_cut[1:n_grades]
         from_end = np.cumsum(inner[::-1])[::-1]
-        grad = np.concatenate([np.bincount(flat, by_score[row], k) + PENALTY * x[:k], from_end[:1], from_end[1:] * gaps])
+        grad = np.concatenate([np.bincount(flat, by_score[row], k) + PENALTY / n * x[:k], from_end[:1], from_end[1:] * gaps])
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         x -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     weights = np.zeros(DIMENSIONS)
