@@ -20,6 +20,7 @@ SAMPLES = 32
 #: The logarithms that samples compare lie within +-128 and are kept to so many binary places, above 32 bits of identity.
 PLACES = 23
 LOW = (1 << 32) - 1
+NONE = (1 << 63) - 1
 
 
 def halves(h: Column) -> tuple[Column, Column]:
@@ -36,14 +37,18 @@ def gamma(h: Column) -> Column:
 
 
 def sample(word: Column, weight: Column, k: int) -> Column:
-    """Sample ``k`` of one word: least for the word that the document takes. Null for weight 0."""
+    """Sample ``k`` of one word: least for the word that the document takes, and ``NONE`` for weight 0.
+
+    Everything is evaluated for every weight, so what depends on the word alone is worked out once for several weights.
+    """
     h = F.xxhash64(word, F.lit(3 * k + 2))
     r, c = gamma(F.xxhash64(word, F.lit(3 * k))), gamma(F.xxhash64(word, F.lit(3 * k + 1)))
     beta = halves(h)[0]
-    t = F.floor(F.log(weight.cast("double")) / r + beta)
+    t = F.floor(F.log(F.greatest(weight, F.lit(1)).cast("double")) / r + beta)
     ln_a = F.log(c) - r * (t - beta) - r
     rank = F.shiftleft(((ln_a + F.lit(128.0)) * F.lit(float(1 << PLACES))).cast("bigint"), 32)
-    return F.when(weight > 0, rank.bitwiseOR(h.bitwiseXOR(t).bitwiseAND(F.lit(LOW))))
+    absent = F.when(weight > 0, F.lit(0).cast("bigint")).otherwise(F.lit(NONE))
+    return F.greatest(rank.bitwiseOR(h.bitwiseXOR(t).bitwiseAND(F.lit(LOW))), absent)
 
 
 def signatures(rows: DataFrame, keys: Sequence[str], texts: Sequence[str], samples: int = SAMPLES) -> DataFrame:
@@ -61,7 +66,7 @@ def signatures(rows: DataFrame, keys: Sequence[str], texts: Sequence[str], sampl
         F.min(sample(F.col("word"), F.col(f"w{i}"), k)).alias(f"s{i}_{k}") for i in range(len(texts)) for k in range(samples)
     ])
     found = [
-        F.when(F.col(f"s{i}_0").isNotNull(), F.array(*[F.col(f"s{i}_{k}").bitwiseAND(F.lit(LOW)) for k in range(samples)])).alias(f"{t}_samples")
+        F.when(F.col(f"s{i}_0") < NONE, F.array(*[F.col(f"s{i}_{k}").bitwiseAND(F.lit(LOW)) for k in range(samples)])).alias(f"{t}_samples")
         for i, t in enumerate(texts)
     ]
     return taken.select(*keys, *found)
