@@ -20,9 +20,9 @@ HEADLINE = [
     "recommend_topk_user", "recommend_topk_user_5m", "recommend_topk_global", "recommend_lists", "recommend_json",
     "recommend_stream_update", "recommend_stream_append",
     "catalog_passed", "catalog_audit_tally", "catalog_search", "catalog_search_count", "catalog_stream_screen",
-    "file_sink_roundtrip", "message_offsets", "mirror_topics", "consumer_lag",
+    "file_sink_roundtrip", "mirror_topics", "consumer_lag",
     "metric_instant", "metric_sum_by", "metric_rate", "metric_rate_at_ticks", "dash_lag", "dash_bytes_by_broker",
-    "bean_to_metric", "alert_states", "alert_transitions", "alert_inhibited", "alert_groups", "alert_notifications",
+    "bean_to_metric", "alert_states", "alert_transitions", "alert_inhibited", "alert_groups", "alert_messages",
 ]
 
 

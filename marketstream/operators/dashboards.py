@@ -48,13 +48,13 @@ def broker_status(samples: DataFrame, job: str = "kafka") -> DataFrame:
 
 def under_replicated(samples: DataFrame, step: str | int, max_age: str | int, end: int | None = None) -> DataFrame:
     at = series.at_ticks(series.matching(samples, UNDER_REPLICATED, {"job": "kafka"}), step, max_age, end)
-    total = series.sum_by(at, scale=2)
+    total = series.sum_by(at)
     return total.select("ts", "value", colour(F.col("value"), UNDER_REPLICATED_BANDS).alias("colour"))
 
 
 def lag(samples: DataFrame, step: str | int, max_age: str | int, end: int | None = None) -> DataFrame:
     at = series.at_ticks(series.matching(samples, LAG, {"job": "kafka"}), step, max_age, end)
-    total = series.sum_by(at, ["group", "topic"], scale=2)
+    total = series.sum_by(at, ["group", "topic"])
     return total.select(
         "ts",
         lb.label(F.col("labels"), "group").alias("group"),
@@ -69,7 +69,7 @@ def throughput(
 ) -> DataFrame:
     """``sum by (label) (rate(metric[span]))`` at the ticks."""
     rates = series.rate_at_ticks(series.matching(samples, metric, {"job": "kafka"}), span, step, end=end)
-    total = series.sum_by(rates, [by], scale=9)
+    total = series.sum_by(rates, [by])
     return total.select("ts", lb.label(F.col("labels"), by).alias(by), "value")
 
 

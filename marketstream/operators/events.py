@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marketstream import schemas
 from marketstream.config import or_default
 from marketstream.functions import codec, times
+from marketstream.operators import numbering
 
 # Fixed value: the user an event without one belongs to.
 DEFAULT_USER = "user-demo-001"
@@ -32,10 +33,9 @@ def keyed(events: DataFrame) -> DataFrame:
     return codec.encode(events, schemas.CLIENT_EVENT, "user_id")
 
 
-def partition_by_key(messages: DataFrame, partitions: int, key: str = "key", order: tuple[str, ...] = ()) -> DataFrame:
-    """Equal keys into the same partition, ordered inside it, as a keyed topic would hold them."""
-    placed = messages.repartition(partitions, key)
-    return placed.sortWithinPartitions(key, *order) if order else placed
+def in_key_order(messages: DataFrame, key: str = "key", order: str = "seq") -> DataFrame:
+    """Equal keys in one task, their messages in order."""
+    return messages.repartition(key).sortWithinPartitions(key, order)
 
 
 def with_product(events: DataFrame) -> DataFrame:
@@ -55,27 +55,29 @@ def activity(messages: DataFrame, lateness: str | None = None) -> DataFrame:
 
 
 def drop_duplicates(events: DataFrame, key: str = "event_id", lateness: str = "10 minutes") -> DataFrame:
-    """One row per event id. A stream compares events within the watermark; a table keeps the earliest copy."""
+    """One row per event id.
+
+    A table keeps the copy with the earliest event time, ties by the other columns; a copy whose time cannot be read
+    comes last. A stream keeps the copy that arrives first within the watermark. The rank limit runs before the shuffle.
+    """
     if events.isStreaming:
         return events.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark([key])
-    rest = [c for c in events.columns if c != key]
-    first = F.min(F.struct(*rest)).alias("_first")
-    return events.groupBy(key).agg(first).select(key, "_first.*").select(*events.columns)
+    at = F.col("event_time") if "event_time" in events.columns else times.parse_rfc3339(F.col("timestamp"))
+    timed = codec.computed_once(events, "_at", at)
+    rest = [F.col(c).asc_nulls_last() for c in events.columns if c != key]
+    ordered = W.partitionBy(key).orderBy(F.col("_at").asc_nulls_last(), *rest)
+    return timed.withColumn("_copy", F.row_number().over(ordered)).filter("_copy = 1").select(*events.columns)
 
 
 def mark_late(events: DataFrame, batch: str, lateness: str | int, window: str | int, slide: str | int) -> DataFrame:
     """Flag the events a stream would drop because every window they fall in was already closed.
 
-    ``batch`` is the arrival batch. The watermark of a batch is the latest event time of the batches before it
-    less ``lateness``; batches are summed up first, so the running maximum reads one row per batch.
+    ``batch`` is the arrival batch, a whole number from 0. The watermark of a batch is the latest event time of the batches
+    before it less ``lateness``; batches are summed up first, and the maxima run in ranges of batches side by side.
     """
-    before = W.orderBy(batch).rowsBetween(W.unboundedPreceding, -1)
-    marks = (
-        events.groupBy(batch)
-        .agg(F.max("event_time").alias("_latest"))
-        .withColumn("watermark", F.max("_latest").over(before) - F.expr(f"INTERVAL {times.seconds(lateness)} SECONDS"))
-        .select(batch, "watermark")
-    )
+    latest = events.groupBy(batch).agg(F.max("event_time").alias("_latest"))
+    before = numbering.before(latest, [], batch, "_latest", F.max, "_mark")
+    marks = before.select(batch, (F.col("_mark") - F.expr(f"INTERVAL {times.seconds(lateness)} SECONDS")).alias("watermark"))
     slide_s, window_s = times.seconds(slide), times.seconds(window)
     at = F.col("event_time").cast("bigint")
     last_end = F.timestamp_seconds(F.floor(at / slide_s) * slide_s + window_s)

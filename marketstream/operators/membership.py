@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 << 20
@@ -17,6 +18,22 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, bytes_: int = BROADCAST_
     return n <= rows and total <= bytes_
 
 
+def spread(df: DataFrame, salts: int) -> Column:
+    """A number below ``salts`` that differs between rows, whatever their columns; maps are hashed by their entries."""
+    columns = [F.map_entries(f.name) if isinstance(f.dataType, T.MapType) else F.col(f.name) for f in df.schema.fields]
+    flat = [F.to_json(F.struct(c)) if _has_map(f.dataType) else c for c, f in zip(columns, df.schema.fields, strict=True)]
+    return F.pmod(F.xxhash64(*flat), F.lit(salts))
+
+
+def _has_map(kind: T.DataType) -> bool:
+    """A map below the top level, which no hash takes."""
+    if isinstance(kind, T.ArrayType):
+        return isinstance(kind.elementType, T.MapType) or _has_map(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return isinstance(kind.valueType, T.MapType) or _has_map(kind.valueType)
+    return isinstance(kind, T.StructType) and any(isinstance(f.dataType, T.MapType) or _has_map(f.dataType) for f in kind.fields)
+
+
 def join_set(
     df: DataFrame, keys: DataFrame, on: str, how: str, small: bool | None = None, salts: int = SALTS
 ) -> DataFrame:
@@ -30,8 +47,8 @@ def join_set(
         raise ValueError(f"unsupported join type {how!r}")
     if small is None:
         small = is_small(keys)
-    if small or df.isStreaming:
-        return df.join(F.broadcast(keys) if small else keys, on, how)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    if small:
+        return df.join(F.broadcast(keys), on, how)
+    salted = df.withColumn("_salt", spread(df, salts))
     copies = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     return salted.join(copies, [on, "_salt"], how).drop("_salt")

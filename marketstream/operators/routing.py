@@ -1,4 +1,4 @@
-"""What happens to alerts after they fire: routes, inhibition, groups, messages, pacing."""
+"""What happens to alerts after they fire: routes, inhibition, groups, messages."""
 
 from __future__ import annotations
 
@@ -6,12 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marketstream.functions import labels as lb
 from marketstream.functions import times
-from marketstream.operators import series
 
 # Fixed value: the labels alerts are grouped by.
 GROUP_BY = ("alertname", "cluster", "broker")
@@ -80,134 +78,67 @@ def group_columns(by: Sequence[str] = GROUP_BY) -> list[str]:
     return [f"group_{name}" for name in by]
 
 
-def groups(alerts: DataFrame, by: Sequence[str] = GROUP_BY) -> DataFrame:
+def groups(alerts: DataFrame, names: Sequence[str], by: Sequence[str] = GROUP_BY) -> DataFrame:
     """One row per group and time: the number of alerts and the labels all of them share.
 
-    Labels are compared by count, minimum and maximum, so a group of any size needs no list of its alerts.
-    ``common_summary`` is filled when all alerts have the same summary.
+    ``names`` are the labels that alerts can have, which the rules tell. Each is compared by count, minimum and maximum, so
+    one aggregate does for a group of any size. ``common_summary`` is filled when all alerts have the same summary.
     """
     keys = ["ts", *group_columns(by)]
-    grouped = with_group(alerts, by)
-    sizes = grouped.groupBy(*keys).agg(
+    value = {n: F.nullif(lb.label(F.col("labels"), n), F.lit("")) for n in names}
+    same = {n: F.when((F.count(v) == F.count(F.lit(1))) & (F.min(v) == F.max(v)), F.min(v)) for n, v in value.items()}
+    sums = with_group(alerts, by).groupBy(*keys).agg(
         F.count("*").alias("n_alerts"),
         F.when(F.min("summary") == F.max("summary"), F.min("summary")).otherwise(F.lit("")).alias("common_summary"),
+        *[column.alias(f"_{n}") for n, column in same.items()],
     )
-    per_label = (
-        grouped.select(*keys, F.explode("labels").alias("name", "label"))
-        .groupBy(*keys, "name")
-        .agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
-        .filter(F.col("low") == F.col("high"))
-    )
-    # The label names of one group are few (they come from the rules), so this list stays small.
-    shared = per_label.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("name", "low", "n"))).alias("entries"))
-    common = F.filter(F.coalesce("entries", F.array().cast("array<struct<name:string,low:string,n:bigint>>")),
-                      lambda e: e["n"] == F.col("n_alerts"))
-    return (
-        sizes.join(shared, keys, "left")
-        .withColumn("common_labels", F.map_from_entries(F.transform(common, lambda e: F.struct(e["name"], e["low"]))))
-        .drop("entries")
-    )
+    shared = lb.label_map({n: F.col(f"_{n}") for n in names})
+    return sums.withColumn("common_labels", shared).drop(*[f"_{n}" for n in names])
 
 
-# The texts of a notification.
+# The marks of a notification.
 FIRING_MARK, RESOLVED_MARK = "🔴", "🟢"
+HEAD, LINE, FOOT = 0, 1, 2
 
 
-def message_lines(alerts: DataFrame, status: Column | None = None) -> DataFrame:
-    """Add ``line``, the part of a notification that describes one alert."""
-    status = F.lit("firing") if status is None else status
+def message_lines(alerts: DataFrame) -> DataFrame:
+    """Add ``line``, the part of a notification that describes one alert; ``status`` is firing or resolved."""
     broker = lb.label(F.col("labels"), "broker")
     return alerts.withColumn("line", F.concat(
-        F.lit("<b>Статус:</b> "), F.upper(status),
+        F.lit("<b>Статус:</b> "), F.upper("status"),
         F.lit("\n<b>Кластер:</b> "), lb.label(F.col("labels"), "cluster"),
         F.when(broker != "", F.concat(F.lit("\n<b>Брокер:</b> "), broker)).otherwise(F.lit("\n")),
         F.lit("\n<b>Описание:</b> "), F.col("description"),
     ))
 
 
-def messages(alerts: DataFrame, by: Sequence[str] = GROUP_BY, per_message: int = 50) -> DataFrame:
-    """The notification text of each group and time; a large group is told in several parts.
+def messages(alerts: DataFrame, by: Sequence[str] = GROUP_BY) -> DataFrame:
+    """The notification of each group and time, one row per part: ``ts, group_*, place, alert, text``.
 
-    A group of n alerts has ``ceil(n / per_message)`` parts, and its alerts are dealt to them by the hash of their
-    labels: every alert is in exactly one part, and no part collects a large group.
+    The head (place 0) says whether anything still fires, each alert has a line of its own (place 1, in the order of
+    ``alert``, its labels), and the foot (place 2) has the summary that all alerts share. No part grows with the group, so
+    a group of any size has the same form. ``alerts`` have a ``status``, firing or resolved.
     """
     keys = ["ts", *group_columns(by)]
-    mark = F.lit(FIRING_MARK)
-    sized = message_lines(with_group(alerts, by)).join(groups(alerts, by), keys)
-    parts = F.ceil(F.col("n_alerts") / F.lit(per_message)).cast("bigint")
-    dealt = sized.withColumn("parts", parts).withColumn(
-        "part", F.pmod(F.xxhash64(lb.series_key(F.col("labels"))), parts) + 1)
-    lines = F.array_sort(F.collect_list(F.struct(lb.label_text(F.col("labels")).alias("name"), F.col("line").alias("line"))))
-    head = F.concat(mark, F.lit(" <b>"), F.col("group_alertname"), F.lit("</b>"))
-    foot = F.concat(F.lit("<i>Время: "), F.col("common_summary"), F.lit("</i>"))
-    return (
-        dealt.groupBy(*keys, "n_alerts", "common_summary", "parts", "part")
-        .agg(F.array_join(F.transform(lines, lambda e: e["line"]), "\n\n").alias("_body"))
-        .select(*keys, "n_alerts", "part", "parts", F.concat_ws("\n\n", head, "_body", foot).alias("text"))
+    grouped = with_group(alerts, by)
+    lines = message_lines(grouped).select(
+        *keys, F.lit(LINE).alias("place"), lb.label_text(F.col("labels")).alias("alert"), F.col("line").alias("text"))
+    # Minimum and maximum of the status and the summary are all that head and foot need.
+    whole = grouped.groupBy(*keys).agg(
+        F.min("status").alias("_status"),
+        F.when(F.min("summary") == F.max("summary"), F.min("summary")).otherwise(F.lit("")).alias("_summary"),
     )
-
-
-def notifications(changes: DataFrame, until: Column | None = None, by: Sequence[str] = GROUP_BY) -> DataFrame:
-    """When each group notifies: ``group_*, at, reason, n_firing``.
-
-    ``changes`` are routed transitions (``alertname, labels, at, status`` and the pacing seconds). A group lives
-    from its first firing alert until nothing has fired for ``group_interval``. Its first notification comes
-    ``group_wait`` after its birth; from then on it looks every ``group_interval``. It notifies when the set of
-    firing alerts has changed, and again after ``repeat_interval`` without a change while something fires, up to
-    ``until`` (epoch seconds; by default the group's last change).
-
-    Changes are summed per group and second, then per group and look, before any ordered pass, so these passes
-    read at most one row per second that saw a change and one per look.
-    """
-    keys = [*group_columns(by), "group_wait", "group_interval", "repeat_interval"]
-    step = F.when(F.col("status") == "firing", F.lit(1)).otherwise(F.lit(-1))
-    changes = with_group(changes, by).select(
-        *keys, lb.series_key(F.col("labels")).alias("series"), series.as_seconds(F.col("at")).alias("at"), step.alias("step"))
-
-    # 1. Lives of a group: born at a firing after a quiet time of at least group_interval.
-    ordered = W.partitionBy(*keys).orderBy("at")
-    net = changes.groupBy(*keys, "at").agg(F.sum("step").alias("net"))
-    net = net.withColumn("firing", F.sum("net").over(ordered))
-    quiet_before = F.coalesce(F.lag("firing").over(ordered), F.lit(0)) == 0
-    gap = F.col("at") - F.lag("at").over(ordered)
-    born = quiet_before & F.coalesce(gap >= F.col("group_interval"), F.lit(True))
-    lives = (
-        net.withColumn("_born", F.when(born, F.col("at")))
-        .withColumn("born", F.last("_born", ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, 0)))
-        .select(*keys, "at", "born")
+    mark = F.when(F.col("_status") == "firing", F.lit(FIRING_MARK)).otherwise(F.lit(RESOLVED_MARK))
+    ends = F.array(
+        F.struct(F.lit(HEAD).alias("place"), F.concat(mark, F.lit(" <b>"), F.col("group_alertname"), F.lit("</b>")).alias("text")),
+        F.struct(F.lit(FOOT).alias("place"), F.concat(F.lit("<i>Время: "), F.col("_summary"), F.lit("</i>")).alias("text")),
     )
+    edges = whole.select(*keys, F.explode(ends).alias("e")).select(*keys, "e.place", F.lit("").alias("alert"), "e.text")
+    return edges.unionByName(lines)
 
-    # 2. The look each change is seen at; an alert that changed there and back in between did not change.
-    first_look = F.col("born") + F.col("group_wait")
-    looks = F.greatest(F.lit(0), F.ceil((F.col("at") - first_look) / F.col("group_interval")))
-    per_alert = (
-        changes.join(lives, [*keys, "at"])
-        .withColumn("look", (first_look + looks * F.col("group_interval")).cast("bigint"))
-        .groupBy(*keys, "born", "look", "series")
-        .agg(F.sum("step").alias("step"))
-        .filter(F.col("step") != 0)
-    )
-    in_life = W.partitionBy(*keys, "born").orderBy("look")
-    changed = (
-        per_alert.groupBy(*keys, "born", "look")
-        .agg(F.sum("step").alias("net"), F.sum(F.when(F.col("step") > 0, 1).otherwise(0)).alias("fired"))
-        .withColumn("n_firing", F.sum("net").over(in_life))
-        .withColumn("_first", F.row_number().over(in_life) == 1)
-        .withColumn("_next", F.lead("look").over(in_life))
-    )
 
-    # 3. Repeats between one change and the next.
-    every = (F.ceil(F.col("repeat_interval") / F.col("group_interval")) * F.col("group_interval")).cast("bigint")
-    stop = F.coalesce(F.col("_next") - 1, until.cast("bigint") if until is not None else F.col("look"))
-    last = F.when(F.col("n_firing") > 0, F.greatest(F.col("look"), stop)).otherwise(F.col("look"))
-    reason = (
-        F.when(F.col("at") > F.col("look"), F.lit("repeat"))
-        .when(F.col("n_firing") == 0, F.lit("resolved"))
-        .when(F.col("_first"), F.lit("new"))
-        .otherwise(F.lit("changed"))
-    )
-    return (
-        changed.withColumn("at", F.explode(F.sequence(F.col("look"), last, every)))
-        .withColumn("reason", reason)
-        .select(*group_columns(by), F.timestamp_seconds("at").alias("at"), "reason", "n_firing")
-    )
+def notified(firing: DataFrame, changes: DataFrame) -> DataFrame:
+    """Firing alerts at each time, and with them the alerts that resolve then: ``alertname, severity, labels, ts, value, status``."""
+    resolved = changes.filter(F.col("status") == "resolved").withColumnRenamed("at", "ts")
+    columns = ["alertname", "severity", "labels", "ts", "value", "status"]
+    return firing.withColumn("status", F.lit("firing")).select(*columns).unionByName(resolved.select(*columns))

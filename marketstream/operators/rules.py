@@ -41,7 +41,7 @@ class Rule:
         return _COMPARE[self.op](value, F.lit(self.threshold))
 
 
-# The shipped rules.
+# The shipped rules. Only the end of the last description differs, a plain hint in place of a command.
 RULES = [
     Rule(
         alertname="KafkaBrokerDown", metric="up", matchers={"job": "kafka"},
@@ -103,7 +103,6 @@ def evaluate(
     step: str | int = 30,
     max_age: str | int = 300,
     end: int | None = None,
-    scale: int | None = None,
 ) -> DataFrame:
     """Ticks at which a rule's comparison holds: ``alertname, labels, ts, value``.
 
@@ -123,7 +122,7 @@ def evaluate(
     sums = (
         instant.withColumn("alertname", F.explode(selects))
         .groupBy("alertname", "ts", lb.series_key(kept).alias("series"))
-        .agg(series.total(F.col("value"), scale).alias("value"))
+        .agg(F.sum("value").alias("value"))
     )
     return sums.filter(_per_rule(rules, lambda r: r.holds(F.col("value")))).select(
         "alertname", lb.from_series_key(F.col("series")).alias("labels"), "ts", "value"
@@ -131,12 +130,14 @@ def evaluate(
 
 
 def hold(
-    ticks: DataFrame, keys: Sequence[Column | str], hold_s: Column, step: str | int, holds: Column | None = None
+    ticks: DataFrame, keys: Sequence[Column | str], hold_s: Column, step: str | int, holds: Column | None = None,
+    since: Column | None = None,
 ) -> DataFrame:
     """Add ``active_at`` and ``state`` (inactive, pending, firing) to the ticks of a condition.
 
     The condition must hold at every tick for ``hold_s`` seconds before it fires; a false or missing tick starts
-    over. ``holds`` is the condition, when false ticks are rows too. Each key has at most one row per tick.
+    over. ``holds`` is the condition, when false ticks are rows too. Each key has at most one row per tick. A row
+    whose ``since`` is not null is known to hold since then, from ticks that are no rows any more.
     """
     step_s = times.seconds(step)
     ordered = W.partitionBy(*keys).orderBy("ts")
@@ -145,7 +146,8 @@ def hold(
     starts = F.col("_true") & (
         ~F.coalesce(F.lag("_true").over(ordered), F.lit(False)) | (at - F.lag(at).over(ordered) > step_s)
     )
-    df = df.withColumn("_start", F.when(starts, F.col("ts")))
+    begun = F.when(starts, F.col("ts"))
+    df = df.withColumn("_start", begun if since is None else F.coalesce(since, begun))
     active = F.last("_start", ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, 0))
     df = df.withColumn("active_at", F.when(F.col("_true"), active))
     state = (
@@ -157,13 +159,13 @@ def hold(
 
 
 def states(
-    active: DataFrame, rules: Sequence[Rule] = tuple(RULES), step: str | int = 30
+    active: DataFrame, rules: Sequence[Rule] = tuple(RULES), step: str | int = 30, since: Column | None = None
 ) -> DataFrame:
-    """Pending and firing alerts at each tick, with severity and series key."""
+    """Pending and firing alerts at each tick, with severity; ``since`` as for ``hold``."""
     hold_s = _per_rule(rules, lambda r: F.lit(times.seconds(r.hold)))
     keyed = active.withColumn("series", lb.series_key(F.col("labels")))
     return (
-        hold(keyed, ["alertname", "series"], hold_s, step)
+        hold(keyed, ["alertname", "series"], hold_s, step, since=since)
         .withColumn("severity", _per_rule(rules, lambda r: F.lit(r.severity)))
         .drop("series")
     )
@@ -187,15 +189,16 @@ def annotate(alerts: DataFrame, rules: Sequence[Rule] = tuple(RULES)) -> DataFra
 
 
 def transitions(firing: DataFrame, step: str | int = 30, resolve_after: str | int = 300) -> DataFrame:
-    """When alerts start firing and when they resolve: ``alertname, severity, labels, at, status``.
+    """When alerts start firing and when they resolve: ``alertname, severity, labels, at, status, value``.
 
     ``firing`` has one row per alert and firing tick. An alert resolves once it has not fired for
-    ``resolve_after`` (at least one step), and its next firing tick then starts it anew.
+    ``resolve_after`` (at least one step), and its next firing tick then starts it anew. ``value`` is that of the
+    first or last firing tick.
     """
     quiet = max(times.seconds(resolve_after), times.seconds(step))
     ordered = W.partitionBy("alertname", "severity", "series").orderBy("at")
     ticks = firing.select(
-        "alertname", "severity", lb.series_key(F.col("labels")).alias("series"), series.as_seconds(F.col("ts")).alias("at")
+        "alertname", "severity", lb.series_key(F.col("labels")).alias("series"), series.as_seconds(F.col("ts")).alias("at"), "value"
     )
     begins = F.coalesce(F.col("at") - F.lag("at").over(ordered) > quiet, F.lit(True))
     ends = F.coalesce(F.lead("at").over(ordered) - F.col("at") > quiet, F.lit(True))
@@ -208,6 +211,6 @@ def transitions(firing: DataFrame, step: str | int = 30, resolve_after: str | in
     )
     return (
         ticks.withColumn("_begins", begins).withColumn("_ends", ends)
-        .select("alertname", "severity", lb.from_series_key(F.col("series")).alias("labels"), F.explode(marks).alias("m"))
-        .select("alertname", "severity", "labels", F.timestamp_seconds("m.at").alias("at"), "m.status")
+        .select("alertname", "severity", lb.from_series_key(F.col("series")).alias("labels"), "value", F.explode(marks).alias("m"))
+        .select("alertname", "severity", "labels", F.timestamp_seconds("m.at").alias("at"), "m.status", "value")
     )

@@ -81,17 +81,10 @@ def at_ticks(
     )
 
 
-def total(value: Column, scale: int | None) -> Column:
-    """A sum; with ``scale`` it adds decimals, so the result does not depend on the order of the rows."""
-    if scale is None:
-        return F.sum(value)
-    return F.sum(value.cast(f"decimal(28,{scale})")).cast("double")
-
-
-def sum_by(instant: DataFrame, by: Sequence[str] = (), scale: int | None = None) -> DataFrame:
+def sum_by(instant: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Sum at each time by the named labels; the other labels and the metric's name go. No input, no row."""
     label_columns = [lb.label(F.col("labels"), name).alias(f"_{name}") for name in by]
-    sums = instant.groupBy("ts", *label_columns).agg(total(F.col("value"), scale).alias("value"))
+    sums = instant.groupBy("ts", *label_columns).agg(F.sum("value").alias("value"))
     return sums.select("ts", lb.label_map({name: F.col(f"_{name}") for name in by}).alias("labels"), "value")
 
 

@@ -111,6 +111,30 @@ def catalog_stream_passed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(files.json_lines(spark, f"{work}/lines", schemas.PRODUCT))
 
 
+def as_json_array(rows: DataFrame, path: str) -> str:
+    """Write a column of JSON values as files that each hold one array."""
+    listed = F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]"))
+    # A fixed number of rows goes to each file, so none grows with the table.
+    cut = rows.withColumn("_file", F.pmod(F.xxhash64("value"), F.lit(1 + rows.count() // 10_000)))
+    cut.groupBy("_file").agg(listed.alias("value")).select("value").write.text(path)
+    return path
+
+
+def catalog_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue written as JSON arrays and read back as the shop does."""
+    products = codec.zero_values(tables.catalogue(spark, sf_dir))
+    path = as_json_array(products.select(F.to_json(F.struct(*products.columns)).alias("value")), scratch_dir(spark, "catalogue"))
+    return flat(files.catalogue(spark, path))
+
+
+def banned_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A control set written as JSON arrays, with repeated names, and read back."""
+    names = table_banned(spark, sf_dir).unionByName(table_banned(spark, sf_dir))
+    path = as_json_array(names.select(F.to_json(F.struct("category")).alias("value")).select(
+        F.regexp_extract("value", r"^\{\"category\":(.*)\}$", 1).alias("value")), scratch_dir(spark, "banned"))
+    return files.control_set(spark, path)
+
+
 def table_banned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_control_set(spark, sf_dir, F.col("p_size") >= 45, F.lower("p_name"))
 
@@ -188,12 +212,6 @@ def readable(messages: DataFrame) -> DataFrame:
     )
 
 
-def message_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages in topic, partition and offset order inside each task."""
-    ordered = tables.messages(spark, sf_dir).sortWithinPartitions("topic", "partition", "offset")
-    return readable(ordered.select("topic", "partition", "offset", "key", "value"))
-
-
 def mirror_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readable(mirror.mirror(tables.messages(spark, sf_dir)).select("topic", "partition", "offset", "key", "value"))
 
@@ -213,15 +231,9 @@ def mirror_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def committed_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One group has read all before a time; the other's offset in partition 0 is not known."""
-    read = F.sum(F.when(F.col("sent_at") < "2024-01-25", 1).otherwise(0))
-    done = tables.unnumbered_messages(spark, sf_dir).groupBy("topic", "partition").agg(read.cast("bigint").alias("done"))
-    unknown = F.when(F.col("partition") != 0, F.col("done"))
-    groups = F.array(
-        F.struct(F.lit("connect-filesink-group").alias("group"), F.col("done").alias("current_offset")),
-        F.struct(F.lit("stream-processor").alias("group"), unknown.alias("current_offset")),
-    )
-    return done.select("topic", "partition", F.explode(groups).alias("g")).select("topic", "partition", "g.*")
+    """Each user is a group that has come as far as its own newest message; users of other partitions have no offset there."""
+    sent = tables.messages(spark, sf_dir).select(codec.as_text(F.col("key")).alias("group"), "topic", "partition", "offset")
+    return sent.groupBy("group", "topic", "partition").agg((F.max("offset") + 1).alias("current_offset"))
 
 
 def partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,6 +267,8 @@ QUERIES = {
     "catalog_audit_tally": catalog_audit_tally,
     "catalog_stream_screen": catalog_stream_screen,
     "catalog_stream_passed": catalog_stream_passed,
+    "catalog_from_json": catalog_from_json,
+    "banned_from_file": banned_from_file,
     "banned_list": banned_list,
     "banned_add": banned_add,
     "banned_remove": banned_remove,
@@ -267,7 +281,6 @@ QUERIES = {
     "file_sink_roundtrip": file_sink_roundtrip,
     "file_sink_head": file_sink_head,
     "file_sink_count": file_sink_count,
-    "message_offsets": message_offsets,
     "mirror_topics": mirror_topics,
     "mirror_all_but_excluded": mirror_all_but_excluded,
     "mirror_streamed": mirror_streamed,

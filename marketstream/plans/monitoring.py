@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketstream.functions import labels as lb
-from marketstream.functions import times
+from marketstream.functions import text, times
 from marketstream.operators import dashboards, relabel, routing, rules, series
-from marketstream.session import materialise
+from marketstream.session import materialise, scratch_dir
 from marketstream.sources import tables
+from marketstream.streaming import alert_clock
 
 STEP, MAX_AGE = "6 hours", "12 hours"
 SPAN = "1 day"
@@ -33,6 +34,11 @@ def shown(df: DataFrame) -> DataFrame:
     return df
 
 
+def rounded(df: DataFrame, places: int = 2) -> DataFrame:
+    """Sums of doubles depend on the order of the rows in their last digits; results are compared without these."""
+    return df.withColumn("value", F.round("value", places))
+
+
 def bean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Management-bean lines, one form per event in turn."""
     topic, n = F.col("event_type"), F.col("user_id").cast("string")
@@ -86,11 +92,11 @@ def lag_at_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_sum_by(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(series.sum_by(lag_at_ticks(spark, sf_dir), ["group", "topic"], scale=2))
+    return shown(rounded(series.sum_by(lag_at_ticks(spark, sf_dir), ["group", "topic"])))
 
 
 def metric_sum_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(series.sum_by(lag_at_ticks(spark, sf_dir), scale=2).select("ts", "value"))
+    return shown(rounded(series.sum_by(lag_at_ticks(spark, sf_dir))).select("ts", "value"))
 
 
 def metric_last(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,17 +122,19 @@ def dash_broker_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dash_under_replicated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(dashboards.under_replicated(tables.metric_samples(spark, sf_dir, [dashboards.UNDER_REPLICATED]), STEP, MAX_AGE))
+    return shown(rounded(dashboards.under_replicated(tables.metric_samples(spark, sf_dir, [dashboards.UNDER_REPLICATED]), STEP, MAX_AGE)))
 
 
 def dash_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(dashboards.lag(tables.metric_samples(spark, sf_dir, [LAG_METRIC]), STEP, MAX_AGE))
+    return shown(rounded(dashboards.lag(tables.metric_samples(spark, sf_dir, [LAG_METRIC]), STEP, MAX_AGE)))
 
 
 def dash_last_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dashboard's time filter, at the table's pace: a week of lag instead of an hour."""
-    recent = dashboards.since(tables.metric_samples(spark, sf_dir, [LAG_METRIC]), 1706054400)
-    return shown(dashboards.lag(recent, STEP, MAX_AGE))
+    """The dashboard's time filter, at the table's pace: the week up to the newest sample instead of an hour."""
+    samples = tables.metric_samples(spark, sf_dir, [LAG_METRIC])
+    newest = tables.events(spark, sf_dir).agg(F.unix_seconds(F.max("ts"))).first()[0]
+    recent = dashboards.since(samples, None if newest is None else newest - times.seconds("7 days"))
+    return shown(rounded(dashboards.lag(recent, STEP, MAX_AGE)))
 
 
 def throughput(metric: str, by: str):
@@ -141,8 +149,13 @@ def target_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboards.target_health(tables.metric_samples(spark, sf_dir, ["up"]))
 
 
-# Shipped thresholds where the table's values reach them.
-RULES = rules.RULES
+# Shipped thresholds where the table's values reach them. The holds are all different, and long enough to matter at steps of
+# six hours.
+HOLDS = {
+    "KafkaBrokerDown": "6 hours", "KafkaConsumerGroupLag": "12 hours", "KafkaUnderReplicatedPartitions": "18 hours",
+    "KafkaNoActiveController": "1 day", "KafkaDiskUsageHigh": "30 hours", "StreamProcessorDown": "36 hours",
+}
+RULES = [replace(r, hold=HOLDS[r.alertname]) for r in rules.RULES]
 # The inhibition and grouping that full labels would give: disk use by cluster and broker.
 FULL_LABEL_RULES = [
     RULES[0],
@@ -153,7 +166,7 @@ FULL_LABEL_RULES = [
 def active(spark: SparkSession, sf_dir: str, chosen=None) -> DataFrame:
     chosen = chosen or RULES
     samples = tables.metric_samples(spark, sf_dir, {r.metric for r in chosen})
-    return rules.evaluate(samples, chosen, STEP, MAX_AGE, scale=2)
+    return rounded(rules.evaluate(samples, chosen, STEP, MAX_AGE))
 
 
 def states(spark: SparkSession, sf_dir: str, chosen=None) -> DataFrame:
@@ -183,7 +196,7 @@ def alert_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alert_hold_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A hold of one day with false ticks kept: is the lag of a (group, topic) above 300?"""
-    ticks = series.sum_by(lag_at_ticks(spark, sf_dir), ["group", "topic"], scale=2)
+    ticks = rounded(series.sum_by(lag_at_ticks(spark, sf_dir), ["group", "topic"]))
     keyed = ticks.withColumn("series", lb.series_key(F.col("labels")))
     held = rules.hold(keyed, ["series"], F.lit(86400), STEP, F.col("value") > 300)
     return shown(held.drop("series"))
@@ -194,7 +207,7 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alert_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(changes(spark, sf_dir))
+    return shown(changes(spark, sf_dir).drop("value"))
 
 
 def alert_annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,21 +227,44 @@ def alert_inhibited(chosen=None):
 
 
 def audible(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Firing alerts that nothing inhibits, with their texts."""
+    """Firing alerts that nothing inhibits."""
     found = routing.inhibit(materialise(firing(spark, sf_dir), "firing"))
-    return materialise(rules.annotate(found.filter(~F.col("inhibited")).drop("inhibited")), "audible")
+    return found.filter(~F.col("inhibited")).drop("inhibited")
+
+
+ALERT_LABELS = ["broker", "cluster", "group", "instance", "job", "topic"]
 
 
 def alert_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(routing.groups(audible(spark, sf_dir)))
+    return shown(routing.groups(rules.annotate(audible(spark, sf_dir)), ALERT_LABELS))
 
 
 def alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(routing.messages(audible(spark, sf_dir)))
+    """Who fires and who resolves at each time."""
+    heard = materialise(audible(spark, sf_dir), "audible")
+    resolved = rules.transitions(heard, STEP, routing.RESOLVE_TIMEOUT)
+    return shown(routing.messages(rules.annotate(routing.notified(heard, resolved))))
+
+
+def humanised_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table's values moved over the SI ranges from thousandths to billions, a thousand at a time."""
+    scales = F.array(*[F.lit(x) for x in (0.001, 1.0, 1000.0, 1e6, 1e9)])
+    value = F.round("value", 0) * F.element_at(scales, (F.col("event_id") % 5 + 1).cast("int"))
+    return tables.events(spark, sf_dir).select("event_id", text.humanise(value).alias("human"))
 
 
-def alert_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(routing.notifications(routing.route(materialise(changes(spark, sf_dir), "changes"))))
+def alert_clock_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The states of the table's samples as they arrive, a slice of time in each start of the stream."""
+    work, slices = scratch_dir(spark, "clock"), 5
+    samples = tables.metric_samples(spark, sf_dir, {r.metric for r in RULES})
+    first, last = tables.events(spark, sf_dir).agg(F.unix_seconds(F.min("ts")), F.unix_seconds(F.max("ts"))).first()
+    at = F.unix_seconds("ts")
+    for i in range(slices):
+        edges = [(first or 0) + ((last or 0) + 1 - (first or 0)) * k // slices for k in (i, i + 1)]
+        samples.filter((at >= edges[0]) & (at < edges[1])).write.mode("append").parquet(f"{work}/samples")
+        stream = spark.readStream.schema(samples.schema).parquet(f"{work}/samples")
+        alert_clock.start(stream, work, f"{work}/checkpoint", RULES, STEP, MAX_AGE, trigger=None).awaitTermination()
+    return shown(rounded(spark.read.schema(alert_clock.STATE).parquet(f"{work}/states")).drop("batch_id"))
 
 
 QUERIES = {
@@ -264,5 +300,6 @@ QUERIES = {
     "alert_inhibited_full_labels": alert_inhibited(FULL_LABEL_RULES),
     "alert_groups": alert_groups,
     "alert_messages": alert_messages,
-    "alert_notifications": alert_notifications,
+    "humanised_values": humanised_values,
+    "alert_clock_states": alert_clock_states,
 }

@@ -109,8 +109,8 @@ FROM (SELECT *, CASE WHEN event_type = 'signup' THEN 'search' ELSE event_type EN
              'item ' || json_extract_string(props, '$.k') AS arg FROM events)""",
     "event_keying": with_ctes(CLIENT_EVENTS, select=f"""
 SELECT user_id AS key, {EVENT_JSON} AS value FROM client_events"""),
-    "event_partitions": with_ctes(CLIENT_EVENTS, select="""
-SELECT user_id AS key, count(*) AS n, 1 AS partitions FROM client_events GROUP BY user_id"""),
+    "event_key_order": with_ctes(CLIENT_EVENTS, select="""
+SELECT user_id AS key, count(*) AS n, count(*) AS in_order, max(seq) AS newest FROM client_events GROUP BY user_id"""),
     "event_dead_letters": with_ctes(CLIENT_EVENTS, DAMAGED, select="""
 SELECT user_id AS key, seq, value AS raw,
        CASE WHEN value IS NULL OR value = '' THEN 'empty' ELSE 'malformed' END AS reason
@@ -122,7 +122,7 @@ SELECT event_id, event_type, user_id, product_id, query, timestamp FROM client_e
     "event_time_parse": f"""
 SELECT event_id, CASE WHEN event_id % 50 = 0 THEN NULL ELSE {epoch('ts')} END AS event_seconds FROM events""",
     "dedup_events": with_ctes(CLIENT_EVENTS, select="""
-SELECT event_id, timestamp, user_id FROM client_events"""),
+SELECT event_id, event_type, user_id, product_id, query, timestamp FROM client_events"""),
     "late_rows": f"""
 WITH arriving AS (
   SELECT event_id, event_id // 500 AS batch,
@@ -155,6 +155,11 @@ SELECT {bound('w')} AS window_start,
        CASE WHEN odd THEN NULL ELSE '2024-02-01T00:00:00Z' END AS generated_at,
        CASE WHEN odd THEN 'plain text for ' || user_id END AS raw
 FROM read_back"""),
+    "recommendation_stream_read": with_ctes(*ranked(DAY, DAY), RECOMMENDATION_MESSAGES, select="""
+SELECT CASE WHEN odd THEN NULL ELSE user_id END AS user_id, CASE WHEN odd THEN NULL ELSE '2024-02-01T00:00:00Z' END AS generated_at,
+       CASE WHEN odd THEN 'plain text for ' || user_id END AS raw, CASE WHEN odd THEN NULL ELSE i END AS position,
+       CASE WHEN odd THEN NULL ELSE ids[i] END AS product_id
+FROM (SELECT *, unnest(range(1, CASE WHEN odd THEN 2 ELSE len(ids) + 1 END)) AS i FROM read_back)"""),
     "recommendation_numbered": with_ctes(*ranked(DAY, DAY), RECOMMENDATION_MESSAGES, select=f"""
 SELECT {bound('ranked.w')} AS window_start, user_id, '2024-02-01T00:00:00Z' AS generated_at,
        rank AS position, product_id
@@ -180,17 +185,15 @@ CATEGORY_LINE = "coalesce(category, '')"
 
 NUMBERED = f"""
 numbered AS (
-  SELECT topic, part AS partition, row_number() OVER (PARTITION BY topic, part ORDER BY seq) - 1 AS "offset",
-         user_id AS key, {EVENT_JSON} AS value, ts
+  SELECT topic, part AS partition, seq AS "offset", user_id AS key, {EVENT_JSON} AS value, ts
   FROM client_events)"""
 
 LAGS = """
 lags AS (
-  SELECT g."group", topic, partition, done AS log_end_offset,
-         CASE WHEN g."group" = 'connect-filesink-group' OR partition <> 0 THEN early END AS current_offset
-  FROM (SELECT topic, part AS partition, count(*) AS done,
-               count(*) FILTER (ts < TIMESTAMP '2024-01-25') AS early FROM client_events GROUP BY topic, part)
-  CROSS JOIN (VALUES ('connect-filesink-group'), ('stream-processor')) AS g("group"))"""
+  SELECT DISTINCT user_id AS "group", topic, part AS partition,
+         max(seq) OVER (PARTITION BY topic, part) + 1 AS log_end_offset,
+         max(seq) OVER (PARTITION BY user_id, topic, part) + 1 AS current_offset
+  FROM client_events)"""
 
 TABLE_BANNED = "SELECT lower(p_name) AS category FROM part WHERE p_size >= 45"
 
@@ -257,12 +260,13 @@ WHERE list_bool_or(list_transform(string_split(tags, ' '), lambda t: contains(lo
 SELECT receipt, id, printf('[%4d] -> ', receipt) || id || ' | ' || rpad(name, cast(greatest(40, length(name)) AS integer), ' ') || ' | '
        || printf('%.2f', price) AS line
 FROM (SELECT *, row_number() OVER (ORDER BY k) AS receipt FROM catalog)"""),
+    "catalog_from_json": with_ctes(CATALOGUE_ROWS, select=f"""
+SELECT {PRODUCT_COLUMNS.replace('category', CATEGORY_LINE + ' AS category')} FROM catalog"""),
+    "banned_from_file": f"SELECT DISTINCT category FROM ({TABLE_BANNED})",
     "file_sink_roundtrip": with_ctes(CATALOGUE_ROWS, select=f"SELECT {PRODUCT_COLUMNS} FROM catalog WHERE NOT {IS_BANNED}"),
     "file_sink_head": with_ctes(CATALOGUE_ROWS, select=f"""
 SELECT id, name, price FROM catalog WHERE NOT {IS_BANNED} ORDER BY id LIMIT 5"""),
     "file_sink_count": with_ctes(CATALOGUE_ROWS, select=f"SELECT count(*) AS lines FROM catalog WHERE NOT {IS_BANNED}"),
-    "message_offsets": with_ctes(CLIENT_EVENTS, NUMBERED, select="""
-SELECT topic, partition, "offset", key, value FROM numbered"""),
     "mirror_topics": with_ctes(CLIENT_EVENTS, NUMBERED, select="""
 SELECT 'cluster1.' || topic AS topic, partition, "offset", key, value FROM numbered
 WHERE topic IN ('products-raw', 'products-filtered', 'client-events')"""),
@@ -273,7 +277,7 @@ WHERE topic NOT LIKE '%.internal' AND topic NOT LIKE '%-internal' AND NOT starts
 SELECT 'cluster1.' || topic AS topic, partition, key, value FROM numbered
 WHERE topic IN ('products-raw', 'products-filtered', 'client-events')"""),
     "partition_counts": with_ctes(CLIENT_EVENTS, select="""
-SELECT topic, part AS partition, count(*) AS n, count(*) AS log_end_offset FROM client_events GROUP BY topic, part"""),
+SELECT topic, part AS partition, count(*) AS n, max(seq) + 1 AS log_end_offset FROM client_events GROUP BY topic, part"""),
     "consumer_lag": with_ctes(CLIENT_EVENTS, LAGS, select="""
 SELECT "group", topic, partition, current_offset, log_end_offset, log_end_offset - current_offset AS lag FROM lags"""),
     "consumer_lag_total": with_ctes(CLIENT_EVENTS, LAGS, select="""
@@ -360,7 +364,7 @@ RATE_GRID = INSTANT.replace(f"(max(s) + {AGE_US})", f"(max(s) + {SPAN_US})")
 BYTES = "metric = 'kafka_server_brokertopicmetrics_BytesInPerSec_OneMinuteRate'"
 MESSAGES = "metric = 'kafka_server_brokertopicmetrics_MessagesInPerSec_OneMinuteRate'"
 LAG = "metric = 'kafka_consumer_group_lag'"
-EXACT_SUM = "cast(sum(cast(value AS decimal(28,2))) AS double)"
+EXACT_SUM = "round(sum(value), 2)"
 
 
 def lag_by_topic(colour: bool = False, ctes: str = INSTANT, where: str = "") -> str:
@@ -380,7 +384,7 @@ def _rule_rows(alertname: str, metric: str, compare: str, by: list[str] | None,
     group = ", ".join(["t", *by])
     columns = ", ".join(f"{v} AS {c}" for c, v in kept.items())
     return f"""SELECT '{alertname}' AS alertname, {text} AS labels, t, {EXACT_SUM} AS value, {columns}
-  FROM instant WHERE metric = '{metric}' AND {where} GROUP BY {group} HAVING {EXACT_SUM} {compare}"""
+  FROM instant WHERE metric = '{metric}' AND {where} GROUP BY {group} HAVING sum(value) {compare}"""
 
 
 RULE_ROWS = {
@@ -395,8 +399,8 @@ RULE_ROWS = {
         "StreamProcessorDown", "kafka_consumer_group_lag", "> 100", ["grp"],
         "grp = 'stream-processor' AND topic = 'products-raw'"),
 }
-HOLD = {"KafkaBrokerDown": 60, "KafkaConsumerGroupLag": 300, "KafkaUnderReplicatedPartitions": 120,
-        "KafkaNoActiveController": 30, "KafkaDiskUsageHigh": 300, "StreamProcessorDown": 120}
+HOLD = {"KafkaBrokerDown": 21600, "KafkaConsumerGroupLag": 43200, "KafkaUnderReplicatedPartitions": 64800,
+        "KafkaNoActiveController": 86400, "KafkaDiskUsageHigh": 108000, "StreamProcessorDown": 129600}
 CRITICAL = "alertname IN ('KafkaBrokerDown', 'KafkaUnderReplicatedPartitions', 'KafkaNoActiveController')"
 SEVERITY = f"CASE WHEN {CRITICAL} THEN 'critical' ELSE 'warning' END"
 HOLD_OF = "CASE alertname " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in HOLD.items()) + " END"
@@ -440,29 +444,46 @@ changes AS (
   WHERE later IS NULL OR later - t > {STEP})"""
 
 
-def _template_sql(template: str) -> str:
-    """A template as a concatenation; the pieces between the marks are plain text."""
-    import re
-
-    number = "regexp_replace(cast(value AS varchar), '\\.0$', '')"
-    # Disk values lie between ten and a hundred billion here: two decimals of a G.
-    scaled = "regexp_replace(cast(round(value / 1000 / 1000 / 1000, 2) AS varchar), '\\.0$', '') || 'G'"
-    fields = {"$labels.broker": "coalesce(broker, '')", "$labels.cluster": "coalesce(cluster, '')",
-              "$labels.group": "coalesce(grp, '')", "$labels.topic": "coalesce(topic, '')",
-              "$value": number, "$value | humanize": scaled}
-    pieces = re.split(r"\{\{ (.*?) \}\}", template)
-    return " || ".join(f"'{p}'" if i % 2 == 0 else fields[p] for i, p in enumerate(pieces))
-
-
-def _annotation(attribute: str) -> str:
-    from marketstream.operators.rules import RULES
-
-    return "CASE alertname " + " ".join(
-        f"WHEN '{r.alertname}' THEN {_template_sql(getattr(r, attribute))}" for r in RULES) + " END"
+NUMBER_TEXT = "regexp_replace(cast(value AS varchar), '\\.0$', '')"
+
+
+def human(value: str) -> str:
+    """Four significant digits and an SI suffix, for values from thousandths to billions."""
+    def digits(scaled: str) -> str:
+        places = f"CASE WHEN {scaled} >= 100 THEN 1 WHEN {scaled} >= 10 THEN 2 ELSE 3 END"
+        return f"regexp_replace(cast(floor({scaled} * pow(10, {places}) + 0.5) / pow(10, {places}) AS varchar), '\\.0$', '')"
+
+    ranges = [(1e9, "G"), (1e6, "M"), (1e3, "k"), (1.0, ""), (1e-3, "m")]
+    cases = " ".join(f"WHEN {value} >= {low} THEN {digits(f'({value} / {low})')} || '{suffix}'" for low, suffix in ranges)
+    return f"CASE WHEN {value} = 0 THEN '0' {cases} END"
+
+
+BROKER, CLUSTER, GROUP, TOPIC = (f"coalesce({c}, '')" for c in ("broker", "cluster", "grp", "topic"))
+# The texts that the rules give.
+SUMMARY = f"""CASE alertname
+  WHEN 'KafkaBrokerDown' THEN 'Kafka брокер ' || {BROKER} || ' недоступен'
+  WHEN 'KafkaConsumerGroupLag' THEN 'Consumer group ' || {GROUP} || ' отстаёт в топике ' || {TOPIC}
+  WHEN 'KafkaUnderReplicatedPartitions' THEN 'Под-реплицированные партиции на ' || {BROKER}
+  WHEN 'KafkaNoActiveController' THEN 'Kafka: нет активного контроллера'
+  WHEN 'KafkaDiskUsageHigh' THEN 'Kafka: высокое использование диска на ' || {BROKER}
+  WHEN 'StreamProcessorDown' THEN 'Stream Processor остановлен или отстаёт' END"""
+DESCRIPTION = f"""CASE alertname
+  WHEN 'KafkaBrokerDown' THEN 'Брокер ' || {BROKER} || ' (cluster=' || {CLUSTER}
+    || ') не отвечает более 1 минуты. Проверьте: docker logs ' || {BROKER}
+  WHEN 'KafkaConsumerGroupLag' THEN 'Отставание: ' || {NUMBER_TEXT} || ' сообщений. Consumer группа ' || {GROUP}
+    || ' не успевает обрабатывать сообщения из ' || {TOPIC} || '. Проверьте stream-processor.'
+  WHEN 'KafkaUnderReplicatedPartitions' THEN {NUMBER_TEXT} || ' партиций не имеют полного набора реплик на брокере ' || {BROKER}
+    || '. Это снижает надёжность (при отказе брокера данные могут быть потеряны).'
+  WHEN 'KafkaNoActiveController' THEN 'Активных контроллеров: ' || {NUMBER_TEXT}
+    || ' (должен быть ровно 1). Кластер не может обрабатывать metadata запросы. Проверьте KRaft quorum: docker logs kafka-1'
+  WHEN 'KafkaDiskUsageHigh' THEN 'Брокер ' || {BROKER} || ' использует ' || {human('value')}
+    || 'B дискового пространства. Рассмотрите уменьшение retention.ms или увеличение диска.'
+  WHEN 'StreamProcessorDown' THEN 'Consumer group stream-processor отстаёт на ' || {NUMBER_TEXT}
+    || ' сообщений в топике products-raw. Проверьте stream-processor.' END"""
 
 
 AUDIBLE = f"""
-annotated AS (SELECT *, {_annotation('summary')} AS summary, {_annotation('description')} AS description FROM firing),
+annotated AS (SELECT *, {SUMMARY} AS summary, {DESCRIPTION} AS description FROM firing),
 inhibited AS (
   SELECT *, severity = 'warning' AND EXISTS (
     SELECT 1 FROM firing f WHERE f.alertname = 'KafkaBrokerDown' AND f.t = a.t
@@ -472,44 +493,27 @@ audible AS (SELECT * FROM inhibited WHERE NOT inhibited),
 grouped AS (
   SELECT t, alertname AS group_alertname, coalesce(cluster, '') AS group_cluster, coalesce(broker, '') AS group_broker,
          count(*) AS n_alerts, CASE WHEN count(DISTINCT summary) = 1 THEN min(summary) ELSE '' END AS common_summary,
-         list(string_split(labels, ',')) AS label_lists,
-         string_agg('<b>Статус:</b> FIRING' || chr(10) || '<b>Кластер:</b> ' || coalesce(cluster, '') || chr(10)
-           || CASE WHEN coalesce(broker, '') <> '' THEN '<b>Брокер:</b> ' || broker ELSE '' END
-           || CASE WHEN coalesce(broker, '') <> '' THEN chr(10) ELSE chr(10) END
-           || '<b>Описание:</b> ' || description, chr(10) || chr(10) ORDER BY labels) AS body
+         list(string_split(labels, ',')) AS label_lists
   FROM audible GROUP BY 1, 2, 3, 4)"""
 
-PACED = f"""
-paced AS (
-  SELECT alertname AS group_alertname, coalesce(cluster, '') AS group_cluster, coalesce(broker, '') AS group_broker,
-         labels, moment, CASE WHEN status = 'firing' THEN 1 ELSE -1 END AS step,
-         CASE WHEN severity = 'critical' THEN 5 ELSE 30 END AS wait, 300 AS every,
-         CASE WHEN severity = 'critical' THEN 900 ELSE 7200 END AS again
-  FROM changes),
-net AS (
-  SELECT group_alertname, group_cluster, group_broker, moment, any_value(every) AS every, sum(step) AS net
-  FROM paced GROUP BY 1, 2, 3, 4),
-level AS (SELECT *, sum(net) OVER g AS firing_now, moment - lag(moment) OVER g AS gap FROM net
-          WINDOW g AS (PARTITION BY group_alertname, group_cluster, group_broker ORDER BY moment)),
-birth AS (
-  SELECT *, coalesce(lag(firing_now) OVER g, 0) = 0 AND coalesce(gap >= every, true) AS born FROM level
-  WINDOW g AS (PARTITION BY group_alertname, group_cluster, group_broker ORDER BY moment)),
-life AS (
-  SELECT *, max(CASE WHEN born THEN moment END) OVER (
-    PARTITION BY group_alertname, group_cluster, group_broker ORDER BY moment) AS birth_at FROM birth),
-seen AS (
-  SELECT p.*, l.birth_at,
-         l.birth_at + p.wait + greatest(0, cast(ceil((p.moment - l.birth_at - p.wait) / p.every) AS bigint)) * p.every AS look
-  FROM paced p JOIN life l USING (group_alertname, group_cluster, group_broker, moment)),
-turned AS (
-  SELECT group_alertname, group_cluster, group_broker, birth_at, look, labels, any_value(again) AS again, sum(step) AS step
-  FROM seen GROUP BY 1, 2, 3, 4, 5, 6 HAVING sum(step) <> 0),
-looks AS (
-  SELECT group_alertname, group_cluster, group_broker, birth_at, look, any_value(again) AS again, sum(step) AS net
-  FROM turned GROUP BY 1, 2, 3, 4, 5),
-counted AS (
-  SELECT *, sum(net) OVER g AS n_firing, row_number() OVER g AS nth, coalesce(lead(look) OVER g, look + 1) AS until
-  FROM looks WINDOW g AS (PARTITION BY group_alertname, group_cluster, group_broker, birth_at ORDER BY look))"""
+TOLD = f"""
+told AS (
+  SELECT t, alertname, labels, broker, cluster, summary, description, 'FIRING' AS status FROM audible
+  UNION ALL
+  SELECT t + {STEP}, alertname, labels, broker, cluster, summary, description, 'RESOLVED'
+  FROM (SELECT *, lead(t) OVER (PARTITION BY alertname, labels ORDER BY t) AS later FROM audible)
+  WHERE later IS NULL OR later - t > {STEP}),
+parts AS (
+  SELECT t, alertname AS group_alertname, coalesce(cluster, '') AS group_cluster, coalesce(broker, '') AS group_broker,
+         labels, summary, status,
+         '<b>Статус:</b> ' || status || chr(10) || '<b>Кластер:</b> ' || coalesce(cluster, '') || chr(10)
+           || CASE WHEN coalesce(broker, '') <> '' THEN '<b>Брокер:</b> ' || broker ELSE '' END || chr(10)
+           || '<b>Описание:</b> ' || description AS line
+  FROM told),
+whole AS (
+  SELECT t, group_alertname, group_cluster, group_broker, bool_or(status = 'FIRING') AS fires,
+         CASE WHEN count(DISTINCT summary) = 1 THEN min(summary) ELSE '' END AS common_summary
+  FROM parts GROUP BY 1, 2, 3, 4)"""
 
 NUMBER = "cast(user_id AS varchar)"
 BEANS = f"""
@@ -574,12 +578,12 @@ SELECT *, CASE WHEN value >= 1 THEN 'red' ELSE 'green' END AS colour
 FROM (SELECT {bound('t')} AS ts, {EXACT_SUM} AS value FROM instant
       WHERE metric = 'kafka_server_replicamanager_underreplicatedpartitions' GROUP BY t)"""),
     "dash_lag": lag_by_topic(),
-    "dash_last_days": lag_by_topic(ctes=INSTANT.replace("FROM samples GROUP BY", "FROM samples WHERE s >= 1706054400000000 GROUP BY")),
+    "dash_last_days": lag_by_topic(ctes=INSTANT.replace("FROM samples GROUP BY", "FROM samples WHERE s >= (SELECT max(epoch_us(ts)) // 1000000 - 604800 FROM events) * 1000000 GROUP BY")),
     "dash_messages_by_topic": with_ctes(SAMPLES, RATE_GRID, RATES, TICK_RATES, select=f"""
-SELECT {bound('t')} AS ts, topic, round(cast(sum(cast(value AS decimal(28,9))) AS double), 4) AS value
+SELECT {bound('t')} AS ts, topic, round(sum(value), 4) AS value
 FROM tick_rates WHERE {MESSAGES} GROUP BY t, topic"""),
     "dash_bytes_by_broker": with_ctes(SAMPLES, RATE_GRID, RATES, TICK_RATES, select=f"""
-SELECT {bound('t')} AS ts, broker, round(cast(sum(cast(value AS decimal(28,9))) AS double), 4) AS value
+SELECT {bound('t')} AS ts, broker, round(sum(value), 4) AS value
 FROM tick_rates WHERE {BYTES} GROUP BY t, broker"""),
     "target_health": with_ctes(SAMPLES, select="""
 SELECT job, instance, CASE WHEN value = 1 THEN 'up' ELSE 'down' END AS health
@@ -620,19 +624,19 @@ SELECT alertname, labels, {bound('t')} AS ts, severity, inhibited FROM inhibited
 SELECT {bound('t')} AS ts, group_alertname, group_cluster, group_broker, n_alerts, common_summary,
        array_to_string(list_sort(list_reduce(label_lists, lambda a, b: list_intersect(a, b))), ',') AS common_labels
 FROM grouped"""),
-    "alert_messages": with_ctes(SAMPLES, INSTANT, ALL_RULES, AUDIBLE, select=f"""
-SELECT {bound('t')} AS ts, group_alertname, group_cluster, group_broker, n_alerts, 1 AS part, 1 AS parts,
-       '🔴 <b>' || group_alertname || '</b>' || chr(10) || chr(10) || body || chr(10) || chr(10)
-       || '<i>Время: ' || common_summary || '</i>' AS text
-FROM grouped"""),
-    "alert_notifications": with_ctes(SAMPLES, INSTANT, ALL_RULES, CHANGES, PACED, select=f"""
-SELECT group_alertname, group_cluster, group_broker, {bound('look')} AS "at",
-       CASE WHEN n_firing = 0 THEN 'resolved' WHEN nth = 1 THEN 'new' ELSE 'changed' END AS reason,
-       cast(n_firing AS bigint) AS n_firing
-FROM counted
+    "alert_messages": with_ctes(SAMPLES, INSTANT, ALL_RULES, AUDIBLE, TOLD, select=f"""
+SELECT {bound('t')} AS ts, group_alertname, group_cluster, group_broker, 1 AS place, labels AS alert, line AS text FROM parts
+UNION ALL
+SELECT {bound('t')} AS ts, group_alertname, group_cluster, group_broker, 0, '',
+       CASE WHEN fires THEN '🔴' ELSE '🟢' END || ' <b>' || group_alertname || '</b>' FROM whole
 UNION ALL
-SELECT group_alertname, group_cluster, group_broker, {bound('later')} AS "at", 'repeat' AS reason, cast(n_firing AS bigint)
-FROM (SELECT *, unnest(range(look + again, until, again)) AS later FROM counted WHERE n_firing > 0)"""),
+SELECT {bound('t')} AS ts, group_alertname, group_cluster, group_broker, 2, '', '<i>Время: ' || common_summary || '</i>' FROM whole"""),
+    "humanised_values": f"""
+SELECT event_id, {human('v')} AS human
+FROM (SELECT event_id, round(value, 0) * [0.001, 1.0, 1000.0, 1e6, 1e9][event_id % 5 + 1]::double AS v FROM events)""",
+    "alert_clock_states": with_ctes(SAMPLES, INSTANT, ALL_RULES, select=f"""
+SELECT alertname, labels, {bound('t')} AS ts, value, {bound('since')} AS active_at, state, severity FROM states
+WHERE t <= (SELECT max(epoch_us(ts)) // 1000000 // {STEP} * {STEP} FROM events)"""),
 }
 
 

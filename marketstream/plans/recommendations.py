@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marketstream import schemas
 from marketstream.functions import codec, times
 from marketstream.operators import activity, events, ranking, readback
 from marketstream.session import scratch_dir
-from marketstream.sources import tables
-from marketstream.streaming import recommend
+from marketstream.sinks import triggered
+from marketstream.sources import files, tables
+from marketstream.streaming import jobs, recommend
 
 SPARSE = ("7 days", "1 day")
 REFERENCE = ("5 minutes", "2 minutes")
@@ -80,11 +82,14 @@ def event_keying(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.keyed(tables.client_events(spark, sf_dir))
 
 
-def event_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Place messages by key, then check that no key is in two partitions: one row per key."""
-    placed = events.partition_by_key(event_keying(spark, sf_dir), 8)
-    return placed.withColumn("_p", F.spark_partition_id()).groupBy("key").agg(
-        F.count("*").alias("n"), (F.max("_p") - F.min("_p") + 1).cast("bigint").alias("partitions"))
+def event_key_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a reader of each key sees: its messages, and how many of them stand after all older ones."""
+    placed = events.in_key_order(tables.unnumbered_messages(spark, sf_dir).select("key", "seq"))
+    stored = placed.withColumn("_row", F.monotonically_increasing_id())
+    above = F.max("seq").over(W.partitionBy("key").orderBy("_row").rowsBetween(W.unboundedPreceding, -1))
+    in_order = F.coalesce(F.col("seq") > above, F.lit(True))
+    return stored.withColumn("_in_order", in_order).groupBy("key").agg(
+        F.count("*").alias("n"), F.count_if("_in_order").alias("in_order"), F.max("seq").alias("newest"))
 
 
 def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,11 +128,11 @@ def event_time_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each third event arrives twice, the copy with a later timestamp text."""
+    """Each third event arrives twice; the copy is an hour younger, though its other columns sort before the event's."""
     source = tables.events(spark, sf_dir)
-    copies = source.filter(F.col("event_id") % 3 == 0).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR"))
-    both = tables.client_event_columns(source).unionByName(tables.client_event_columns(copies))
-    return events.drop_duplicates(both.select("event_id", "timestamp", "user_id"))
+    late = source.filter(F.col("event_id") % 3 == 0).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR"))
+    copies = tables.client_event_columns(late).withColumns({"event_type": F.lit("again"), "user_id": F.lit("user")})
+    return events.drop_duplicates(tables.client_event_columns(source).unionByName(copies))
 
 
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,11 +198,23 @@ def recommendation_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readback.numbered(read).withColumn("position", F.col("position").cast("bigint"))
 
 
+def recommendation_stream_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily messages as a stream, as a reader sees them: numbered products, or the raw text."""
+    work = scratch_dir(spark, "read-back")
+    sent = recommendation_messages(spark, sf_dir).select(F.lit(None).cast("string").alias("key"), "value")
+    sent.write.parquet(f"{work}/topic")
+    read = jobs.recommendations_read(files.table_stream(spark, f"{work}/topic"))
+    writer = read.writeStream.format("parquet").option("checkpointLocation", f"{work}/checkpoint").outputMode("append")
+    triggered(writer, None).start(f"{work}/read").awaitTermination()
+    return spark.read.schema(read.schema).parquet(f"{work}/read")
+
+
 QUERIES = {
+    "recommendation_stream_read": recommendation_stream_read,
     "event_decode": event_decode,
     "event_construct": event_construct,
     "event_keying": event_keying,
-    "event_partitions": event_partitions,
+    "event_key_order": event_key_order,
     "event_dead_letters": event_dead_letters,
     "event_activity": event_activity,
     "events_with_product": events_with_product,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,14 +21,15 @@ def catalogue(spark: SparkSession, path: str) -> DataFrame:
 
 def control_set(spark: SparkSession, path: str) -> DataFrame:
     """A JSON array of category names without duplicates; the default set when the file is missing."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop_path):
+    try:
+        lines = spark.read.text(path, wholetext=True)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([(c,) for c in DEFAULT_BANNED], "category string")
     names = F.from_json("value", T.ArrayType(T.StringType()), {"mode": "FAILFAST"})
     return (
-        spark.read.text(path, wholetext=True)
-        .select(F.explode(names).alias("category"))
+        lines.select(F.explode(names).alias("category"))
         .filter(F.col("category").isNotNull())
         .distinct()
     )

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from marketstream import schemas
 from marketstream.functions import codec, times
-from marketstream.operators import numbering
 from marketstream.sources import files
 
 PRODUCT_EVENT_TYPES = ["view", "click", "purchase"]
@@ -117,15 +116,13 @@ def unnumbered_messages(spark: SparkSession, sf_dir: str, streaming: bool = Fals
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns of the Kafka source; offsets count from 0 by ``event_id`` within (topic, partition)."""
-    numbered = numbering.number_rows(
-        unnumbered_messages(spark, sf_dir), ["topic", "partition"], "seq", name="offset")
-    return numbered.select(
+    """The columns of the Kafka source; the event id is the offset, with gaps as in a compacted topic."""
+    return unnumbered_messages(spark, sf_dir).select(
         F.col("key").cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         "topic",
         "partition",
-        "offset",
+        F.col("seq").alias("offset"),
         F.col("sent_at").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

@@ -15,9 +15,7 @@ from marketstream.sinks import triggered
 from marketstream.sinks.files import batch_folder, write_batch
 
 
-def horizon(rules: Sequence[alert_rules.Rule], step: str | int, max_age: str | int) -> int:
-    """How far back, in seconds, samples can matter to a state at the newest tick."""
-    return times.seconds(max_age) + max(times.seconds(r.hold) for r in rules) + 2 * times.seconds(step)
+STATE = "alertname string, labels map<string,string>, ts timestamp, value double, active_at timestamp, state string, severity string"
 
 
 def start(
@@ -27,17 +25,17 @@ def start(
     rules: Sequence[alert_rules.Rule] = tuple(alert_rules.RULES),
     step: str | int = 30,
     max_age: str | int = 300,
-    scale: int | None = None,
     trigger: str | None = "30 seconds",
 ) -> StreamingQuery:
     """Write ``states`` for each tick once a sample at or after it has been seen.
 
-    A micro-batch evaluates the ticks since the one before. It works on the samples of the last ``horizon``
-    only, kept as a table of its own per batch, so its cost does not grow with the stream's age. ``active_at``
-    is exact within the horizon.
+    A micro-batch evaluates the ticks since the one before. From batch to batch it keeps the samples that later ticks can
+    look back at, and one row for each alert open at the last tick, with the time it has held since; so its cost does not
+    grow with the stream's age, and a state is that of a table of all samples however old the alert is. Samples that
+    arrive after their tick was evaluated count for later ticks only.
     """
-    step_s, reach = times.seconds(step), horizon(rules, step, max_age)
-    recent_path, states_path = f"{output}/recent", f"{output}/states"
+    step_s, age_s = times.seconds(step), times.seconds(max_age)
+    recent_path, states_path, open_path = f"{output}/recent", f"{output}/states", f"{output}/open"
 
     def last_tick(df: DataFrame) -> int | None:
         newest = df.agg(F.unix_seconds(F.max("ts"))).first()[0]
@@ -46,29 +44,35 @@ def start(
     def evaluate(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.select("ts", "metric", "labels", "value")
+
+        def stored(df: DataFrame, path: str, number: int) -> DataFrame:
+            return spark.read.schema(df.schema).parquet(batch_folder(path, number))
+
         write_batch(batch, f"{output}/arrived", batch_id)
-        recent = spark.read.schema(batch.schema).parquet(batch_folder(f"{output}/arrived", batch_id))
-        done = None
+        recent, done = stored(batch, f"{output}/arrived", batch_id), None
+        still_open = spark.createDataFrame([], STATE)
         if batch_id > 0:
-            older = spark.read.schema(batch.schema).parquet(batch_folder(recent_path, batch_id - 1))
+            older = stored(batch, recent_path, batch_id - 1)
             done = last_tick(older)
-            recent = older.unionByName(recent)
+            recent, still_open = older.unionByName(recent), stored(still_open, open_path, batch_id - 1)
         end = last_tick(recent)
-        if end is not None:
-            # Ticks still to be evaluated look back one horizon from the first of them.
-            start_at = (done if done is not None else end) - reach
-            window = recent if done is None else recent.filter(F.col("ts") >= F.timestamp_seconds(F.lit(start_at)))
-        else:
-            window = recent
-        write_batch(window, f"{output}/window", batch_id)
-        window = spark.read.schema(batch.schema).parquet(batch_folder(f"{output}/window", batch_id))
-        kept = window if end is None else window.filter(F.col("ts") >= F.timestamp_seconds(F.lit(end - reach)))
+        found = still_open.limit(0)
+        if end is not None and (done is None or end > done):
+            ticks = alert_rules.evaluate(recent, rules, step, max_age, end)
+            if done is not None:
+                ticks = ticks.filter(F.col("ts") > F.timestamp_seconds(F.lit(done)))
+            ticks = ticks.withColumn("since", F.lit(None).cast("timestamp"))
+            known = still_open.select("alertname", "labels", "ts", "value", F.col("active_at").alias("since"))
+            both = alert_rules.states(ticks.unionByName(known), rules, step, F.col("since")).drop("since")
+            found = both if done is None else both.filter(F.col("ts") > F.timestamp_seconds(F.lit(done)))
+        write_batch(found.select(*still_open.columns), states_path, batch_id)
+        if end is not None and (done is None or end > done):
+            # An alert that does not hold at the last tick starts over when it holds again.
+            still_open = stored(still_open, states_path, batch_id).filter(F.col("ts") == F.timestamp_seconds(F.lit(end)))
+        write_batch(still_open, open_path, batch_id)
+        kept = recent if end is None else recent.filter(F.col("ts") >= F.timestamp_seconds(F.lit(end - age_s)))
         write_batch(kept, recent_path, batch_id)
-        found = alert_rules.states(alert_rules.evaluate(window, rules, step, max_age, end, scale), rules, step)
-        if done is not None:
-            found = found.filter(F.col("ts") > F.timestamp_seconds(F.lit(done)))
-        write_batch(found, states_path, batch_id)
-        for folder in ("arrived", "window", "recent"):
+        for folder in ("arrived", "recent", "open"):
             delete_folder(spark, batch_folder(f"{output}/{folder}", batch_id - 2))
 
     writer = samples.writeStream.option("checkpointLocation", checkpoint).foreachBatch(evaluate)

@@ -2,20 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from marketstream.session import delete_folder
+from marketstream.sinks.files import batch_folder, write_batch
+
+Sink = Callable[[DataFrame, int], None]
+TOTAL = "total bigint"
+
+
+def counted(sink: Sink, counts: str) -> Sink:
+    """A ``foreachBatch`` function that hands each micro-batch to ``sink`` and keeps the number of rows so far below ``counts``.
+
+    The rows are counted while ``sink`` reads them, so it has to read its batch whole. Each batch writes the total up to it, from
+    that of the batch before; a batch that runs again writes the same total, and a restart goes on from the last one.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        seen, spark = Observation(), batch.sparkSession
+        sink(batch.observe(seen, F.count(F.lit(1)).alias("n")), batch_id)
+        before = 0
+        if batch_id > 0:
+            before = spark.read.schema(TOTAL).parquet(batch_folder(counts, batch_id - 1)).first()["total"]
+        write_batch(spark.createDataFrame([(before + seen.get["n"],)], TOTAL), counts, batch_id)
+        delete_folder(spark, batch_folder(counts, batch_id - 2))
 
-def counted(df: DataFrame, name: str = "messages") -> DataFrame:
-    """Count the rows that pass, at no extra pass: each micro-batch reports ``n`` in the query's progress."""
-    return df.observe(name, F.count(F.lit(1)).alias("n"))
+    return run
 
 
-def total(query: StreamingQuery, name: str = "messages") -> int:
-    """Rows counted over the batches whose progress the query still remembers."""
-    reports = (p.observedMetrics.get(name) for p in query.recentProgress)
-    return sum(r["n"] for r in reports if r is not None)
+def total(spark: SparkSession, counts: str) -> int:
+    """Rows that all batches of the stream have had, over all its starts."""
+    return spark.read.schema(TOTAL).parquet(counts).agg(F.max("total")).first()[0] or 0
 
 
 def run_until_stopped(query: StreamingQuery) -> None:

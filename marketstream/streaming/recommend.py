@@ -8,7 +8,9 @@ before its shuffle. No list of a user's events is ever kept, and Spark's check o
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import functools
+import operator
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,10 @@ from marketstream.sinks import kafka as kafka_sink
 from marketstream.sinks import triggered
 from marketstream.sinks.files import batch_folder, write_batch
 
-COUNTS, RESULTS = "counts", "results"
+COUNTS, CHANGES, RESULTS = "counts", "changes", "results"
+
+#: Batches between two snapshots of the open counts.
+SNAPSHOT = 10
 
 Publish = Callable[[DataFrame], None]
 
@@ -65,6 +70,16 @@ def start_append(
     return triggered(writer, trigger).start()
 
 
+def _open_counts(older: list[DataFrame], by: Sequence[str], size: str, lateness: str) -> DataFrame:
+    """The newest counts of the windows that events can still reach."""
+    known = functools.reduce(DataFrame.unionByName, older)
+    latest = known.agg(F.max("window.end").alias("_latest"))
+    newest = known.groupBy("window", *by).agg(F.max("n").alias("n"))
+    # Spark drops late events by the watermark of the batch before, so windows that all older batches left open stay.
+    horizon = F.col("_latest") - F.expr(f"INTERVAL {size}") - F.expr(f"INTERVAL {lateness}")
+    return newest.join(F.broadcast(latest), F.col("window.end") > horizon).drop("_latest")
+
+
 def start_update(
     timed_events: DataFrame,
     output: str,
@@ -79,40 +94,40 @@ def start_update(
 ) -> StreamingQuery:
     """After every micro-batch, write the current list of each group whose counts changed.
 
-    The aggregate emits changed counts only, but a rank also depends on the unchanged ones. So every batch
-    writes the counts of the windows still open as a new table, made from the previous batch's table and the
-    changes. A batch that runs again reads the same previous table and replaces its own folders.
+    The aggregate emits changed counts only, but a rank also depends on the unchanged ones. So each batch writes its
+    changes, and every ``SNAPSHOT`` batches the counts of all windows still open are put together into a snapshot. A batch
+    reads the last snapshot and the changes since, keeps the groups it touches and ranks those alone. A batch that runs
+    again reads the same tables and replaces its own folders.
     """
     by = [c for c in within if c != "window"] + ["product_id"]
     counts = activity.sliding_counts(timed_events, size, slide, by)
-    counts_path = f"{output}/{COUNTS}"
+    counts_path, changes_path = f"{output}/{COUNTS}", f"{output}/{CHANGES}"
 
     def rank(changes: DataFrame, batch_id: int) -> None:
         spark = changes.sparkSession
-        # The changes feed two tables; the state must not be read twice, so they are written first.
-        write_batch(changes, f"{output}/changes", batch_id)
-        changes = spark.read.schema(changes.schema).parquet(batch_folder(f"{output}/changes", batch_id))
-        known = changes.withColumn("open", F.lit(True))
-        if batch_id > 0:
-            older = spark.read.schema(known.schema).parquet(batch_folder(counts_path, batch_id - 1))
-            newest = older.agg(F.max("window.end")).first()[0]
-            # Counts only grow, so the larger one is the newer one.
-            known = older.filter("open").drop("open").unionByName(changes).groupBy("window", *by).agg(F.max("n").alias("n"))
-            # Spark drops late events by the watermark of the batch before, so the next batch can still change
-            # the windows that the events seen before this batch left open.
-            horizon = F.lit(newest) - F.expr(f"INTERVAL {size}") - F.expr(f"INTERVAL {lateness}")
-            known = known.withColumn("open", F.lit(True) if newest is None else F.col("window.end") > horizon)
-        write_batch(known, counts_path, batch_id)
-        known = spark.read.schema(known.schema).parquet(batch_folder(counts_path, batch_id))
-        touched = changes.select(*within).distinct()
-        lists = ranking.as_lists(ranking.top_k(known, within, k), within)
-        # Null-safe: events without a user form a group too.
-        same = F.lit(True)
-        for c in within:
-            same = same & lists[c].eqNullSafe(touched[c])
-        _write(lists.join(touched, same, "left_semi"), output, batch_id, publish)
-        for folder in (f"{output}/changes", counts_path):
-            delete_folder(spark, batch_folder(folder, batch_id - 2))
+
+        def stored(path: str, batches: Iterable[int]) -> list[DataFrame]:
+            return [spark.read.schema(changes.schema).parquet(batch_folder(path, b)) for b in batches]
+
+        write_batch(changes, changes_path, batch_id)
+        base = batch_id // SNAPSHOT * SNAPSHOT
+        if batch_id == base:
+            older = stored(counts_path, [base - SNAPSHOT] if base else []) + stored(changes_path, range(max(base - SNAPSHOT, 0), base))
+            write_batch(_open_counts(older, by, size, lateness) if older else changes.limit(0), counts_path, base)
+        now = stored(changes_path, [batch_id])[0]
+        touched = now.select(*within).distinct()
+        known = functools.reduce(DataFrame.unionByName, stored(counts_path, [base]) + stored(changes_path, range(base, batch_id + 1)))
+        # Null-safe: events without a user form a group too. The touched groups are picked before anything is ranked.
+        same = functools.reduce(operator.and_, [known[c].eqNullSafe(touched[c]) for c in within])
+        picked = known.join(touched, same, "left_semi")
+        # Counts only grow, so the larger one is the newer one.
+        newest = picked.groupBy("window", *by).agg(F.max("n").alias("n"))
+        _write(ranking.as_lists(ranking.top_k(newest, within, k), within), output, batch_id, publish)
+        if batch_id == base + 1:
+            # The snapshot's batch is done, so nothing reads what it was made from again.
+            delete_folder(spark, batch_folder(counts_path, base - SNAPSHOT))
+            for done in range(base - SNAPSHOT, base):
+                delete_folder(spark, batch_folder(changes_path, done))
 
     writer = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(rank)
     return triggered(writer, trigger).start()

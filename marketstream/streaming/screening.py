@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,35 +11,45 @@ from pyspark.sql.streaming import StreamingQuery
 from marketstream import schemas
 from marketstream.functions import codec
 from marketstream.operators import membership, screening
+from marketstream.session import materialise
 from marketstream.sinks import kafka as kafka_sink
 from marketstream.sinks import triggered
-from marketstream.sinks.files import write_batch
+from marketstream.sinks.files import batch_folder, write_batch
+from marketstream.streaming import progress
 
 
 def screen_stream(products: DataFrame, banned: DataFrame, normalise: bool = False) -> DataFrame:
-    """Allowed products of a stream. The banned set is read at the query's start and fixed for its life."""
-    return screening.passed(products, banned, normalise, small=membership.is_small(banned))
+    """Allowed products of a stream. The banned set is written down now and stays as it is for the query's life."""
+    fixed = materialise(banned, "banned")
+    return screening.passed(products, fixed, normalise, small=membership.is_small(fixed))
 
 
 def start(
     messages: DataFrame, banned: DataFrame, output: str, checkpoint: str, normalise: bool = False,
-    trigger: str | None = "60 seconds",
+    trigger: str | None = "60 seconds", publish: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Screen product messages into ``output``: ``passed`` (key, value), ``audit`` and ``dead`` tables.
 
+    ``publish`` gets each batch's passed messages as well; a batch that runs again is published again. The banned set is written down at the start; changes of its source count from the next start on.
     Each micro-batch is decoded and matched once; the audited rows are written and the other outputs read them.
     """
-    small = membership.is_small(banned)
+    fixed = materialise(banned, "banned")
+    small = membership.is_small(fixed)
 
     def screen(batch: DataFrame, batch_id: int) -> None:
         parsed = codec.parse_json(batch.select("key", "value"), schemas.PRODUCT)
         flat = parsed.select("key", "dead", F.when(F.col("dead"), codec.as_text(F.col("value"))).alias("raw"), "data.*")
-        audited = screening.audit(flat, banned, normalise, small)
+        audited = screening.audit(flat, fixed, normalise, small)
         audited = audited.withColumn("status", F.when(F.col("dead"), F.lit("DEAD")).otherwise(F.col("status")))
         write_batch(audited, f"{output}/audit", batch_id)
-        done = batch.sparkSession.read.parquet(f"{output}/audit/batch_id={batch_id}")
-        write_batch(kafka_sink.passed_messages(done.filter(F.col("status") == screening.PASSED)), f"{output}/passed", batch_id)
+        spark = batch.sparkSession
+        done = spark.read.parquet(batch_folder(f"{output}/audit", batch_id))
+        passed = kafka_sink.passed_messages(done.filter(F.col("status") == screening.PASSED))
+        write_batch(passed, f"{output}/passed", batch_id)
+        if publish:
+            publish(spark.read.schema(passed.schema).parquet(batch_folder(f"{output}/passed", batch_id)))
         write_batch(done.filter("dead").select("key", "raw"), f"{output}/dead", batch_id)
 
-    writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(screen)
+    run = progress.counted(screen, f"{output}/totals")
+    writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     return triggered(writer, trigger).start()

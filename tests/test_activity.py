@@ -169,16 +169,26 @@ def test_straggler_is_ranked_among_the_older_counts(spark, tmp_path):
     assert as_dict(recommend.latest(recommend.results(spark, out))) == expected
 
 
-def test_closed_counts_are_not_carried_on(spark, tmp_path):
-    path = write(tmp_path / "in", BATCHES)
+def test_closed_counts_are_not_carried_on(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(recommend, "SNAPSHOT", 2)
+    path = write(tmp_path / "in", [*BATCHES, BATCHES[-1], BATCHES[-1]])
     out = str(tmp_path / "out")
     recommend.start_update(stream_of(spark, path), out, str(tmp_path / "cp"), trigger=None).awaitTermination()
     kept = spark.read.parquet(f"{out}/counts")
+    assert kept.count() > 0
     last = kept.agg(F.max("batch_id")).first()[0]
     assert kept.filter(F.col("batch_id") == last).agg(F.min(F.unix_seconds("window.end")) - T0).first()[0] > 15 * MINUTE
     assert kept.select("batch_id").distinct().count() <= 2
 
 
+def test_touched_groups_are_picked_before_they_are_ranked(spark):
+    counts = activity.sliding_counts(timed(spark, [event(0, "u", "p")]))
+    touched = counts.select("window", "user_id").distinct()
+    same = counts["window"].eqNullSafe(touched["window"]) & counts["user_id"].eqNullSafe(touched["user_id"])
+    plan = ranking.top_k(counts.join(touched, same, "left_semi"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("WindowGroupLimit") < plan.index("LeftSemi")
+
+
 def test_update_stream_goes_on_after_a_restart(spark, tmp_path):
     out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
     path = write(tmp_path / "in", BATCHES[:1])
@@ -190,8 +200,10 @@ def test_update_stream_goes_on_after_a_restart(spark, tmp_path):
     assert as_dict(recommend.latest(recommend.results(spark, out))) == expected
 
 
-def test_update_stream_random(spark, tmp_path):
+@pytest.mark.parametrize("snapshot", [3, 100])
+def test_update_stream_random(spark, tmp_path, monkeypatch, snapshot):
     """In-order batches: the final lists equal the table's, though old counts are dropped on the way."""
+    monkeypatch.setattr(recommend, "SNAPSHOT", snapshot)
     rng = random.Random(4)
     batches = [[event(b * 400 + rng.randrange(400), "hot" if rng.random() < 0.5 else f"u{rng.randrange(4)}", f"p{rng.randrange(8)}",
                       f"{b}-{i}") for i in range(40)] for b in range(8)]
@@ -239,12 +251,21 @@ def test_published_messages_are_the_written_ones(spark, tmp_path):
 
 
 def test_running_total(spark, tmp_path):
-    path = write(tmp_path / "in", BATCHES[:3])
-    lines = spark.readStream.option("maxFilesPerTrigger", 1).text(path)
-    query = (progress.counted(lines).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "cp"))
-             .trigger(availableNow=True).start())
-    progress.run_until_stopped(query)
-    assert progress.total(query) == sum(len(b) for b in BATCHES[:3])
+    """More batches than a query's progress remembers, with a restart among them."""
+    seen = []
+
+    def sink(batch, batch_id):
+        seen.extend(r.value for r in batch.collect())
+
+    counts = str(tmp_path / "counts")
+    for part in range(2):
+        path = write(tmp_path / "in", [[f"{i}"] for i in range(60 * (part + 1))])
+        lines = spark.readStream.option("maxFilesPerTrigger", 1).text(path)
+        query = (lines.writeStream.option("checkpointLocation", str(tmp_path / "cp"))
+                 .foreachBatch(progress.counted(sink, counts)).trigger(availableNow=True).start())
+        progress.run_until_stopped(query)
+        assert progress.total(spark, counts) == len(seen) == 60 * (part + 1)
+    assert len(list((tmp_path / "counts").glob("batch_id=*"))) <= 2
 
 
 def test_stateful_check_stays_on(spark):
@@ -252,16 +273,22 @@ def test_stateful_check_stays_on(spark):
 
 
 def test_duplicates_in_a_stream_and_a_table(spark, tmp_path):
-    rows = [event(0, "u", "p1", "a"), event(1, "u", "p1", "a"), event(2, "u", "p1", "b")]
+    """The earlier copy wins though the later one's other columns sort first."""
+    rows = [event(2, "u", "p1", "a", "view"), event(3, "u", "p1", "a", "click"), event(2, "u", "p1", "b")]
     path = write(tmp_path / "in", [rows[:1], rows[1:]])
     lines = spark.readStream.option("maxFilesPerTrigger", 1).text(path)
     decoded = events.with_event_time(codec.decode(lines, schemas.CLIENT_EVENT))
     query = (events.drop_duplicates(decoded).writeStream.format("memory").queryName("dedup")
              .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
     query.awaitTermination()
-    assert sorted(r.event_id for r in spark.table("dedup").collect()) == ["a", "b"]
-    table = events.drop_duplicates(events.with_event_time(codec.decode(spark.read.text(path), schemas.CLIENT_EVENT)))
-    assert sorted((r.event_id, r.timestamp[-3:]) for r in table.collect()) == [("a", "00Z"), ("b", "02Z")]
+    expected = [("a", "view", "02Z"), ("b", "view", "02Z")]
+    assert sorted((r.event_id, r.event_type, r.timestamp[-3:]) for r in spark.table("dedup").collect()) == expected
+    plain = codec.decode(spark.read.text(path), schemas.CLIENT_EVENT)
+    unreadable = plain.limit(1).withColumns({"timestamp": F.lit("?"), "event_id": F.lit("a"), "event_type": F.lit("a")})
+    for table in (plain, events.with_event_time(plain), plain.unionByName(unreadable)):
+        found = events.drop_duplicates(table)
+        assert sorted((r.event_id, r.event_type, r.timestamp[-3:]) for r in found.collect()) == expected
+        assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_screening_stream(spark, tmp_path):
@@ -280,6 +307,60 @@ def test_screening_stream(spark, tmp_path):
     assert audit == {"p0": "FILTERED", "p1": "PASSED", "p2": "PASSED", None: "DEAD", "p9": "PASSED"}
 
 
+@pytest.mark.parametrize("job", [False, True])
+def test_banned_set_is_fixed_at_the_start(spark, tmp_path, job):
+    """The file changes while the stream runs; all batches see the set of the start, and the next start sees the new one."""
+    from marketstream.config import ScreeningConfig
+    from marketstream.streaming import jobs
+
+    banned = tmp_path / "banned.json"
+    banned.write_text('["weapons"]')
+    path = write(tmp_path / "in", [[json.dumps({"id": f"{b}-{c}", "category": c}) for c in ("weapons", "alcohol")] for b in range(4)])
+    out, sent = str(tmp_path / "out"), []
+
+    def publish(passed):
+        banned.write_text('["alcohol"]')
+        sent.extend(json.loads(r.value)["id"] for r in passed.collect())
+
+    def source(_):
+        return spark.readStream.option("maxFilesPerTrigger", 1).text(path).select(
+            F.lit("k").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
+
+    def start():
+        if job:
+            return jobs.start_screening(spark, ScreeningConfig(banned_path=str(banned)), out, source, publish)
+        return screening_stream.start(source(spark), files.control_set(spark, str(banned)), out, f"{out}/checkpoint", trigger=None, publish=publish)
+
+    start().awaitTermination()
+    assert sorted(sent) == [f"{b}-alcohol" for b in range(4)]
+    assert progress.total(spark, f"{out}/totals") == 8
+    write(tmp_path / "in", [[json.dumps({"id": f"{b}-{c}", "category": c}) for c in ("weapons", "alcohol")] for b in range(5)])
+    start().awaitTermination()
+    assert sorted(sent)[-1] == "4-weapons" and progress.total(spark, f"{out}/totals") == 10
+
+
+def test_recommendation_job(spark, tmp_path):
+    from marketstream.config import StreamConfig
+    from marketstream.streaming import jobs
+
+    path, sent = write(tmp_path / "in", BATCHES[:2]), []
+    query = jobs.start_recommendations(
+        spark, StreamConfig(), str(tmp_path / "out"), lambda s: files.text_messages(s, path, streaming=True),
+        lambda found: sent.extend(ranking.as_messages(found).collect()))
+    query.awaitTermination()
+    read = jobs.recommendations_read(spark.createDataFrame([(r.key, r.value) for r in sent], "key string, value string"))
+    lists = batch_lists(spark, write(tmp_path / "kept", without_late(BATCHES[:2])))
+    assert {r.product_id for r in read.collect()} == {p for products in lists.values() for p in products}
+
+
+def test_settings_are_strict():
+    from marketstream import config
+
+    assert config.env_int("N", 5, {}) == 5 and config.env_int("N", 5, {"N": "7"}) == 7
+    with pytest.raises(ValueError, match="N is not a whole number"):
+        config.env_int("N", 5, {"N": "seven"})
+
+
 def test_mirror_stream(spark, tmp_path):
     rows = [("k", "v", "client-events", 1), ("k2", "v2", "__x", 0), ("k3", "v3", "products-raw", 2)]
     src = str(tmp_path / "in")

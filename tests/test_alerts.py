@@ -1,4 +1,3 @@
-import math
 import random
 
 import pytest
@@ -6,7 +5,7 @@ from pyspark.sql import functions as F
 
 from marketstream.functions import labels as lb
 from marketstream.operators import dashboards, relabel, routing, rules, series
-from marketstream.streaming import alert_clock, pacing
+from marketstream.streaming import alert_clock
 
 T0 = 1704067200
 SAMPLE = "ts long, metric string, labels map<string,string>, value double"
@@ -134,17 +133,29 @@ def test_inhibition_needs_equal_labels(spark):
     assert routing.inhibit(firing_rows(spark, bare)).filter("inhibited").count() == 1
 
 
-def test_groups_and_message_parts(spark):
-    rows = [("Lag", "warning", {"group": f"g{i}", "topic": "t"}) for i in range(120)] + [("Disk", "warning", {"broker": "b"})]
-    alerts = firing_rows(spark, rows)
-    found = {r.group_alertname: r for r in routing.groups(alerts).collect()}
-    assert found["Lag"].n_alerts == 120 and found["Lag"].common_labels == {"topic": "t"}
+@pytest.mark.parametrize("n", [1, 50, 51, 400])
+def test_groups_and_messages_have_one_form_at_any_size(spark, n):
+    rows = [("Lag", "warning", {"group": f"g{i}", "topic": "t"}) for i in range(n)] + [("Disk", "warning", {"broker": "b"})]
+    alerts = firing_rows(spark, rows).withColumn("status", F.lit("firing"))
+    found = {r.group_alertname: r for r in routing.groups(alerts, ["group", "topic", "broker"]).collect()}
+    shared = {"topic": "t"} if n > 1 else {"topic": "t", "group": "g0"}
+    assert found["Lag"].n_alerts == n and found["Lag"].common_labels == shared
     assert found["Disk"].group_broker == "b" and found["Disk"].common_labels == {"broker": "b"}
-    texts = routing.messages(alerts.withColumn("description", lb.label_text(F.col("labels"))), per_message=20).collect()
-    lag = [r for r in texts if r.group_alertname == "Lag"]
-    assert all(r.parts == 6 for r in lag)
-    told = [line for r in lag for line in r.text.split("\n") if "Описание" in line]
-    assert sorted(told) == sorted(f"<b>Описание:</b> group=g{i},topic=t" for i in range(120))
+    parts = routing.messages(alerts.withColumn("description", lb.label_text(F.col("labels")))).filter("group_alertname = 'Lag'")
+    told = [(r.place, r.alert, r.text) for r in parts.orderBy("place", "alert").collect()]
+    assert [t for t in told if t[0] != routing.LINE] == [(0, "", "🔴 <b>Lag</b>"), (2, "", "<i>Время: Lag summary</i>")]
+    assert sorted(t[2].split("\n")[-1] for t in told[1:-1]) == sorted(f"<b>Описание:</b> group=g{i},topic=t" for i in range(n))
+
+
+def test_resolved_alerts_are_told(spark):
+    rows = [("A", "critical", {"x": "1"}), ("A", "critical", {"x": "2"})]
+    firing = firing_rows(spark, rows).withColumn("value", F.lit(1.0))
+    changes = rules.transitions(firing.filter(F.col("labels")["x"] == "1"), 30, 300)
+    told = routing.notified(firing, changes).withColumns({"summary": F.lit("s"), "description": F.lit("d")})
+    parts = at_seconds(routing.messages(told), "place", "text")
+    assert [(r.t, r.text.split("\n")[0]) for r in parts if r.place < 2] == [
+        (0, "🔴 <b>A</b>"), (0, "<b>Статус:</b> FIRING"), (0, "<b>Статус:</b> FIRING"),
+        (300, "🟢 <b>A</b>"), (300, "<b>Статус:</b> RESOLVED")]
 
 
 def test_routes(spark):
@@ -155,104 +166,12 @@ def test_routes(spark):
 
 def test_transitions(spark):
     ticks = [0, 30, 60, 500, 530]
-    df = firing_rows(spark, [("A", "critical", {"x": str(t)}) for t in ticks])
+    df = firing_rows(spark, [("A", "critical", {"x": str(t)}) for t in ticks]).withColumn("value", F.lit(1.0))
     df = df.withColumn("ts", F.timestamp_seconds(T0 + F.col("labels")["x"].cast("long"))).withColumn("labels", lb.label_map({"k": F.lit("v")}))
     assert [(r.t, r.status) for r in at_seconds(rules.transitions(df, 30, 300), "status", ts="at")] == sorted(
         [(0, "firing"), (360, "resolved"), (500, "firing"), (830, "resolved")], key=lambda r: tuple(map(str, r)))
 
 
-def random_changes(seed, groups=6):
-    """Alternating firing and resolved times of a few alerts per group."""
-    rng = random.Random(seed)
-    rows = []
-    for g in range(groups):
-        for a in range(rng.randint(1, 4)):
-            t = rng.randint(0, 4000)
-            for _ in range(rng.randint(1, 6)):
-                rows.append((f"G{g}", "critical" if g % 2 else "warning", {"broker": f"b{g}", "n": str(a)}, T0 + t, "firing"))
-                t += rng.choice([20, 200, 1000, 9000])
-                rows.append((f"G{g}", "critical" if g % 2 else "warning", {"broker": f"b{g}", "n": str(a)}, T0 + t, "resolved"))
-                t += rng.choice([10, 250, 299, 300, 301, 2000])
-    return rows
-
-
-def simulate(rows):
-    """The definition, one group at a time, look by look."""
-    told = []
-    for name in sorted({r[0] for r in rows}):
-        events = sorted((t - T0, status == "firing", labels["n"]) for n, _, labels, t, status in rows if n == name)
-        wait, every, again = (5, 300, 900) if rows_severity(rows, name) == "critical" else (30, 300, 7200)
-        # Firing counts by second decide the lives of the group.
-        lives, n, clear = [], 0, None
-        for t in sorted({e[0] for e in events}):
-            if n == 0 and (clear is None or t - clear >= every):
-                lives.append([])
-            now = [e for e in events if e[0] == t]
-            lives[-1] += now
-            n += sum(1 if f else -1 for _, f, _ in now)
-            clear = t
-        for life in lives:
-            look, sent, known, state = life[0][0] + wait, None, set(), set()
-            rest = list(life)
-            while rest or known:
-                while rest and rest[0][0] <= look:
-                    _, f, who = rest.pop(0)
-                    (state.add if f else state.discard)(who)
-                if state != known:
-                    told.append((name, look, "resolved" if not state else "changed" if sent is not None else "new", len(state)))
-                    known, sent = set(state), look
-                elif state and look - sent >= again:
-                    told.append((name, look, "repeat", len(state)))
-                    sent = look
-                look += every
-    return sorted(told)
-
-
-def rows_severity(rows, name):
-    return next(r[1] for r in rows if r[0] == name)
-
-
-def changes_df(spark, rows):
-    df = spark.createDataFrame(rows, "alertname string, severity string, labels map<string,string>, t long, status string")
-    return routing.route(df.withColumn("at", F.timestamp_seconds("t")).drop("t"))
-
-
-def as_told(df):
-    return sorted((r.group_alertname, r.t, r.reason, r.n_firing)
-                  for r in at_seconds(df, "group_alertname", "reason", "n_firing", ts="at"))
-
-
-@pytest.mark.parametrize("seed", range(5))
-def test_notifications_by_simulation(spark, seed):
-    rows = random_changes(seed)
-    assert as_told(routing.notifications(changes_df(spark, rows))) == simulate(rows)
-
-
-def test_notifications_repeat_until_the_end(spark):
-    rows = [("A", "critical", {"n": "1"}, T0, "firing")]
-    told = as_told(routing.notifications(changes_df(spark, rows), until=F.lit(T0 + 3000)))
-    assert [(t, reason) for _, t, reason, _ in told] == [(5, "new"), (905, "repeat"), (1805, "repeat"), (2705, "repeat")]
-
-
-@pytest.mark.parametrize("files", [1, 4])
-def test_paced_stream_equals_the_table(spark, tmp_path, files):
-    rows = sorted(random_changes(11), key=lambda r: r[3])
-    end = max(r[3] for r in rows) + 100_000
-    rows.append(("end", "warning", {"n": "0"}, end, "firing"))
-    size = math.ceil(len(rows) / files)
-    for i in range(files):
-        part = changes_df(spark, rows[i * size:(i + 1) * size]).coalesce(1)
-        part.write.mode("append").parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    query = (
-        pacing.paced(stream).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
-        .outputMode("append").trigger(availableNow=True).start(str(tmp_path / "out"))
-    )
-    query.awaitTermination()
-    got = [r for r in as_told(spark.read.parquet(str(tmp_path / "out"))) if r[0] != "end"]
-    assert got == [r for r in simulate(rows[:-1])]
-
-
 def test_clock_agrees_with_the_table(spark, tmp_path):
     rng = random.Random(5)
     rows = []
@@ -269,10 +188,29 @@ def test_clock_agrees_with_the_table(spark, tmp_path):
     schema = samples(spark, rows[:1]).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     alert_clock.start(stream, str(tmp_path / "out"), str(tmp_path / "cp"), chosen, trigger=None).awaitTermination()
-    columns = ["alertname", lb.label_text(F.col("labels")).alias("l"), "state"]
+    columns = ["alertname", lb.label_text(F.col("labels")).alias("l"), "state", "value", F.unix_seconds("active_at"), "severity"]
     got = at_seconds(spark.read.parquet(str(tmp_path / "out/states")), *columns)
     last = max(t for t, *_ in rows) // 30 * 30
     table = rules.states(rules.evaluate(samples(spark, rows), chosen, end=last), chosen)
     expected = at_seconds(table, *columns)
     assert {r.state for r in expected} == {"pending", "firing"}
     assert got == expected
+
+
+def test_clock_remembers_since_when_an_alert_holds(spark, tmp_path):
+    tags = {"job": "kafka", "cluster": "c", "broker": "kafka-1"}
+    rows = [(T0 + 30 * i, "up", tags, 0.0) for i in range(100)]
+    chosen = [r for r in rules.RULES if r.alertname == "KafkaBrokerDown"]
+    for i in range(0, 100, 20):
+        samples(spark, rows[i:i + 20]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    schema = samples(spark, rows[:1]).schema
+    for _ in range(2):  # the second start finds nothing new
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        alert_clock.start(stream, str(tmp_path / "out"), str(tmp_path / "cp"), chosen, trigger=None).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out/states"))
+    assert got.count() == 100 and [r.t for r in got.select((F.unix_seconds("active_at") - T0).alias("t")).distinct().collect()] == [0]
+
+
+def test_sums_keep_small_values(spark):
+    rows = [(T0, "m", {"a": str(i)}, 0.001) for i in range(3)]
+    assert series.sum_by(series.at_ticks(samples(spark, rows))).filter(F.unix_seconds("ts") == T0).first().value == pytest.approx(0.003)

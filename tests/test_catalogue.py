@@ -129,6 +129,43 @@ def test_large_set_is_not_broadcast(spark):
     assert joined.count() == 500
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_screens_take_map_columns_and_streams(spark, tmp_path, small):
+    from pyspark.sql import Row
+
+    rows = [Row(id=str(i), category=c, tags={"k": str(i)}, deep=[{"m": {"x": i}}]) for i, c in enumerate(["hot", None, "cold", "hot"])]
+    schema = "id string, category string, tags map<string,string>, deep array<struct<m:map<string,int>>>"
+    table = spark.createDataFrame(rows, schema)
+    names = spark.createDataFrame([("hot",)], "category string")
+    assert ids(screening.passed(table, names, small=small)) == ["1", "2"]
+    assert ids(screening.filtered(table, names, small=small)) == ["0", "3"]
+    assert screening.audit(table, names, small=small).filter("status = 'PASSED'").count() == 2
+    table.write.parquet(str(tmp_path / "in"))
+    stream = screening.passed(spark.readStream.schema(table.schema).parquet(str(tmp_path / "in")), names, small=small)
+    stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(
+        str(tmp_path / "out")).awaitTermination()
+    assert ids(spark.read.parquet(str(tmp_path / "out"))) == ["1", "2"]
+
+
+def test_running_values_across_ranges(spark):
+    rows = [(i * 3, (i * 7919) % 101) for i in range(200)]
+    table = spark.createDataFrame(rows, "at long, v long")
+    for levels, width in ((2, 32), (3, 9), (1, 700)):
+        for combine, python in ((F.max, max), (F.sum, sum)):
+            got = {r.at: r.o for r in numbering.before(table, [], "at", "v", combine, "o", levels, width).collect()}
+            assert got == {a: python([v for b, v in rows if b < a]) if a else None for a, _ in rows}
+    with pytest.raises(Exception, match="out of range"):
+        numbering.before(table, [], "at", "v", F.sum, "o", 2, 10).collect()
+
+
+@pytest.mark.parametrize("name", ["late_rows", "product_receipts"])
+def test_no_ordered_pass_in_one_task(spark, sf_dir, name):
+    from marketstream.plans import registry
+
+    plan = registry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "SinglePartition" not in plan
+
+
 def test_json_lines_are_json(spark, tmp_path, catalogue_file):
     path = str(tmp_path / "out")
     file_sink.append_json_lines(files.catalogue(spark, catalogue_file).coalesce(1), path)
