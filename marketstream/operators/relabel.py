@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketstream.functions import codec
 from marketstream.functions import labels as lb
 
 # Fixed value: broker name inside a scrape address.
@@ -82,14 +83,17 @@ def bean_metrics(lines: DataFrame, line: str = "line") -> DataFrame:
 
     The last rule takes what is left and lower-cases the name. Empty labels are left out.
     """
-    text = F.col(line)
+    text, number = F.col(line), F.lit(None).cast("int")
+    for i, (pattern, _, _) in reversed(list(enumerate(BEAN_RULES))):
+        number = F.when(text.rlike(pattern), i).otherwise(number)
+    # The rule is found once; metric and labels then take their groups from that rule's pattern alone.
+    ruled = codec.computed_once(lines, "_rule", number)
     metric, labels = F.lit(None).cast("string"), F.lit(None).cast("map<string,string>")
-    for i, (pattern, name, label_templates) in reversed(list(enumerate(BEAN_RULES))):
-        hit = text.rlike(pattern)
+    for i, (pattern, name, label_templates) in enumerate(BEAN_RULES):
         built = _filled(text, pattern, name)
         if i == len(BEAN_RULES) - 1:
             built = F.lower(built)
         label_values = lb.label_map({k: _filled(text, pattern, t) for k, t in label_templates.items()})
-        metric = F.when(hit, built).otherwise(metric)
-        labels = F.when(hit, label_values).otherwise(labels)
-    return lines.withColumn("metric", metric).withColumn("labels", labels)
+        metric = F.when(F.col("_rule") == i, built).otherwise(metric)
+        labels = F.when(F.col("_rule") == i, label_values).otherwise(labels)
+    return ruled.withColumn("metric", metric).withColumn("labels", labels).drop("_rule")

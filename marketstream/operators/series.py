@@ -113,94 +113,116 @@ def last_values(samples: DataFrame) -> DataFrame:
         "metric", lb.from_series_key(F.col("series")).alias("labels"), "ts", "value")
 
 
-def increases(samples: DataFrame, span: str | int, bucket: str | int = 3600) -> DataFrame:
-    """Each sample's increase over the one before it, for use over spans: ``metric, series, bucket, at, value, inc, home``.
+#: Samples of one series that are ordered together lie in one of these, whatever span is asked for.
+BUCKET = "5 minutes"
 
-    A fall is a counter reset: the new value is the increase since. Two samples of a series at the same time count
-    as one, the larger.
 
-    A series is cut into time buckets, and each bucket also gets the last ``span`` of the bucket before it (rows
-    with ``home`` false). Spans that end in the bucket need no more, so no task sorts more of a series than one
-    bucket and one span. The first sample of a span counts as its start, so an increase that a bucket cannot see
-    is one that no span uses.
+def _identified(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``id, at, value`` with one row per series and time, and the names of the ids: ``id, metric, labels``.
+
+    The id is a hash of metric and labels, so that label sets travel once per series and not with each sample. Of samples
+    at the same time the largest counts.
     """
-    span_us = times.seconds(span) * MICROS
-    width = max(times.seconds(bucket) * MICROS, span_us)
-    unique = keyed(samples).groupBy("metric", "series", "at").agg(F.max("value").alias("value"))
-    own = round_down(F.col("at"), width)
-    near_end = F.col("at") >= own + width - span_us
-    copies = F.when(near_end, F.array(own, own + width)).otherwise(F.array(own))
-    previous = F.lag("value").over(W.partitionBy("metric", "series", "bucket").orderBy("at"))
-    inc = F.when(F.col("value") >= previous, F.col("value") - previous).when(previous.isNotNull(), F.col("value"))
-    return (
-        unique.withColumn("bucket", F.explode(copies))
-        .withColumn("home", own == F.col("bucket"))
-        .withColumn("inc", F.coalesce(inc, F.lit(0.0)))
-    )
+    rows = keyed(samples).withColumn("id", F.xxhash64("metric", "series"))
+    names = rows.select("id", "metric", "series").distinct().select("id", "metric", lb.from_series_key(F.col("series")).alias("labels"))
+    return rows.groupBy("id", "at").agg(F.max("value").alias("value")), names
 
 
-def rate(samples: DataFrame, span: str | int = 60, bucket: str | int = 3600) -> DataFrame:
-    """Per-second increase at each sample over the ``span`` before it, ends included; null for a lone sample.
+def _climb(value: Column, before: Column) -> Column:
+    """The increase since the value before; a fall is a counter reset, and the new value is the increase since."""
+    return F.when(value >= before, value - before).when(before.isNotNull(), value).otherwise(F.lit(0.0))
 
-    There is no extrapolation to the span's edges.
 
-    A sliding window frame would be summed anew for every row. Instead each sample also leaves a mark one span
-    later, which names the sample that spans start at from there on; one running pass over samples and marks
-    then knows the start of every span.
-    """
-    group = ["metric", "series", "bucket"]
-    ordered = W.partitionBy(*group).orderBy("at")
-    running = ordered.rowsBetween(W.unboundedPreceding, 0)
-    climbed = increases(samples, span, bucket).withColumn("_sum", F.sum("inc").over(running))
-    climbed = climbed.withColumns({"_next_at": F.lead("at").over(ordered), "_next_sum": F.lead("_sum").over(ordered)})
-
-    def place(pos: Column, kind: int, first_at: Column, first_sum: Column) -> Column:
-        return F.struct(pos.alias("pos"), F.lit(kind).alias("kind"),
-                        first_at.cast("bigint").alias("first_at"), first_sum.cast("double").alias("first_sum"))
+def _climbed(unique: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """Samples with ``inc``, their increase over the one before, and ``sum``, all increases so far; and the table of buckets.
 
-    # At equal positions a sample comes before the mark: a span includes its start.
-    places = F.array(
-        place(F.col("at"), 0, F.lit(None), F.lit(None)),
-        place(F.col("at") + times.seconds(span) * MICROS, 1, F.col("_next_at"), F.col("_next_sum")),
+    A series is cut into buckets of time. Each bucket is ordered by itself; what a bucket has to know of the others (the value
+    before its first sample, the increases before it, the sample after its last) comes from a table with one row per bucket.
+    """
+    local, key = W.partitionBy("id", "bucket").orderBy("at"), ["id", "bucket"]
+    rows = unique.withColumn("bucket", round_down(F.col("at"), width))
+    rows = rows.withColumn("inc", _climb(F.col("value"), F.lag("value").over(local)))
+    ends = rows.groupBy(*key).agg(
+        F.min("at").alias("_at"), F.min_by("value", "at").alias("_first"), F.max_by("value", "at").alias("_last"), F.sum("inc").alias("_inside")
     )
-    passed = W.partitionBy(*group).orderBy("pos", "kind").rowsBetween(W.unboundedPreceding, 0)
+    buckets = W.partitionBy("id").orderBy("bucket")
+    ends = ends.withColumn("_entry", _climb(F.col("_first"), F.lag("_last").over(buckets)))
+    earlier = F.coalesce(F.sum(F.col("_entry") + F.col("_inside")).over(buckets.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+    ends = ends.withColumn("_base", earlier + F.col("_entry"))
+    ends = ends.withColumns({"_after_at": F.lead("_at").over(buckets), "_after_sum": F.lead("_base").over(buckets)})
+    joined = rows.join(ends.select(*key, "_at", "_entry", "_base", "_after_at", "_after_sum"), key)
+    is_first = F.col("at") == F.col("_at")
+    running = F.col("_base") + F.sum("inc").over(local.rowsBetween(W.unboundedPreceding, 0))
+    climbed = joined.withColumn("sum", running).withColumn("inc", F.when(is_first, F.col("_entry")).otherwise(F.col("inc")))
+    return climbed.drop("_at", "_entry", "_base"), ends.select(*key, "_at", "_base")
+
+
+def rate(samples: DataFrame, span: str | int = 60, bucket: str | int = BUCKET) -> DataFrame:
+    """Per-second increase at each sample over the ``span`` before it, ends included; null for a lone sample.
 
-    def at_start(marked: str, own: str) -> Column:
-        return F.coalesce(F.last(marked, ignorenulls=True).over(passed), F.first(own).over(passed))
+    There is no extrapolation to the span's edges.
 
-    elapsed = (F.col("at") - F.col("_from_at")) / F.lit(MICROS)
-    return (
-        climbed.select(*group, "at", "value", "home", "_sum", F.inline(places))
-        .withColumns({"_from_at": at_start("first_at", "at"), "_from_sum": at_start("first_sum", "_sum")})
-        .filter((F.col("kind") == 0) & F.col("home"))
-        .select("metric", lb.from_series_key(F.col("series")).alias("labels"), F.timestamp_micros("at").alias("ts"),
-                "value", F.try_divide(F.col("_sum") - F.col("_from_sum"), elapsed).alias("rate"))
+    Each sample leaves a mark one span later, which names the sample that spans start at from there on. The marks of a
+    bucket are ordered with its samples, and the newest mark of the buckets before is carried on, so no task orders more of
+    a series than the samples and marks of one bucket.
+    """
+    width, span_us, key = times.seconds(bucket) * MICROS, times.seconds(span) * MICROS, ["id", "bucket"]
+    unique, names = _identified(samples)
+    climbed, ends = _climbed(unique, width)
+    local = W.partitionBy(*key).orderBy("at")
+    mark = F.struct(
+        F.coalesce(F.lead("at").over(local), F.col("_after_at")).alias("at"),
+        F.coalesce(F.lead("sum").over(local), F.col("_after_sum")).alias("sum"),
+    )
+    marked = climbed.withColumn("_mark", mark).drop("_after_at", "_after_sum")
+    pos = F.col("at") + span_us
+    places = F.array(
+        F.struct(F.col("bucket"), F.col("at").alias("pos"), F.lit(0).alias("kind"), F.lit(None).cast("struct<at:bigint,sum:double>").alias("from")),
+        F.struct(round_down(pos, width).alias("bucket"), pos.alias("pos"), F.lit(1).alias("kind"), F.col("_mark").alias("from")),
     )
+    # At equal positions a sample comes before the mark: a span includes its start.
+    placed = marked.select("id", "at", "value", "sum", F.inline(places))
+    newest = placed.filter("kind = 1").groupBy(*key).agg(F.max_by("from", "pos").alias("_newest"))
+    # The first sample of a series is where its spans start until there is a mark.
+    starts = W.partitionBy("id").orderBy("bucket")
+    all_buckets = placed.select(*key).distinct().join(newest, key, "left").join(ends, key, "left")
+    origin = F.when(F.col("_at").isNotNull(), F.struct(F.col("_at").alias("at"), F.col("_base").alias("sum")))
+    carried = all_buckets.select(*key, F.coalesce(
+        F.last("_newest", ignorenulls=True).over(starts.rowsBetween(W.unboundedPreceding, -1)),
+        F.first(origin, ignorenulls=True).over(starts.rowsBetween(W.unboundedPreceding, 0)),
+    ).alias("_carried"))
+    passed = W.partitionBy(*key).orderBy("pos", "kind").rowsBetween(W.unboundedPreceding, 0)
+    begun = placed.withColumn("_begun", F.last("from", ignorenulls=True).over(passed)).filter("kind = 0")
+    found = begun.join(carried, key).withColumn("_start", F.coalesce("_begun", "_carried"))
+    elapsed = (F.col("at") - F.col("_start.at")) / F.lit(MICROS)
+    rated = found.select("id", "at", "value", F.try_divide(F.col("sum") - F.col("_start.sum"), elapsed).alias("rate"))
+    return rated.join(names, "id").select("metric", "labels", F.timestamp_micros("at").alias("ts"), "value", "rate")
 
 
 def rate_at_ticks(
-    samples: DataFrame, span: str | int = 60, step: str | int = 30, bucket: str | int = 3600, end: int | None = None
+    samples: DataFrame, span: str | int = 60, step: str | int = 30, bucket: str | int = BUCKET, end: int | None = None
 ) -> DataFrame:
     """The rate over the ``span`` before each tick: ``metric, labels, ts, value``. A span with one sample has none.
 
-    Each sample is copied to the ticks whose span holds it (about ``span / step``) and summed there.
+    Each sample is copied to the ticks whose span holds it (about ``span / step``) and summed there, before the shuffle as far
+    as a task has samples of the same tick.
     """
     span_us, step_us = times.seconds(span) * MICROS, times.seconds(step) * MICROS
     first, last = round_up(F.col("at"), step_us), round_down(F.col("at") + span_us, step_us)
     if end is not None:
         last = F.least(last, F.lit(end * MICROS))
     ticks = F.explode(F.sequence(F.col("_first"), F.col("_last"), F.lit(step_us))).alias("tick")
+    unique, names = _identified(samples)
     sums = (
-        increases(samples, span, bucket)
-        .filter("home")
+        _climbed(unique, times.seconds(bucket) * MICROS)[0]
         .withColumns({"_first": first, "_last": last})
         .filter(F.col("_last") >= F.col("_first"))
-        .select("metric", "series", "at", "inc", ticks)
-        .groupBy("metric", "series", "tick")
+        .select("id", "at", "inc", ticks)
+        .groupBy("id", "tick")
         # A series has one sample per time here, so the first increase is unambiguous.
         .agg(F.sum("inc").alias("_all"), F.min_by("inc", "at").alias("_first"), F.min("at").alias("_start"), F.max("at").alias("_end"))
         .filter(F.col("_end") > F.col("_start"))
     )
     value = (F.col("_all") - F.col("_first")) / ((F.col("_end") - F.col("_start")) / F.lit(MICROS))
-    return sums.select("metric", lb.from_series_key(F.col("series")).alias("labels"),
-                       F.timestamp_micros("tick").alias("ts"), value.alias("value"))
+    found = sums.select("id", F.timestamp_micros("tick").alias("ts"), value.alias("value"))
+    return found.join(names, "id").select("metric", "labels", "ts", "value")

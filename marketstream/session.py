@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,10 +55,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def is_directory(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` is a folder on whichever file system it names."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()
+    """True when the Parquet table at ``path`` is a folder of files, on whichever file system it names."""
+    name = path.rstrip("/").rpartition("/")[2]
+    found = spark.read.parquet(path).inputFiles()
+    return len(found) != 1 or unquote(found[0].rpartition("/")[2]) != name
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:

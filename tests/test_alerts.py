@@ -91,6 +91,23 @@ def test_rate_by_brute_force(spark):
         assert ticks == {t: expected(t, 60) for t in range(0, 2070, 30) if expected(t, 60) is not None}
 
 
+def test_rate_of_a_hot_series(spark):
+    """A third of all samples belong to one series and one day; no ordered group of rows holds more than a bucket of it."""
+    hot = spark.range(6000).select((F.col("id") * 14).alias("t"), F.lit("hot").alias("who"))
+    cold = spark.range(12000).select((F.col("id") * 7).alias("t"), F.concat(F.lit("s"), F.col("id") % 200).alias("who"))
+    rows = hot.union(cold).select(
+        F.timestamp_seconds(F.lit(T0) + F.col("t")).alias("ts"), F.lit("m").alias("metric"),
+        F.create_map(F.lit("a"), "who").alias("labels"), (F.col("t") % 1000).cast("double").alias("value"))
+    unique, _ = series._identified(rows)
+    climbed, _ = series._climbed(unique, 300 * series.MICROS)
+    sizes = [r["count"] for r in climbed.groupBy("id", "bucket").count().collect()]
+    assert sum(sizes) == 18000 and max(sizes) <= 300 / 14 + 1
+    found = series.rate(rows, "1 hour")
+    assert found.count() == 18000
+    # Near 1 a second but for resets, which lose at most one step.
+    assert found.filter("labels.a = 'hot' and (rate > 1.001 or rate < 0.9)").filter(F.unix_seconds("ts") > T0 + 3600).count() == 0
+
+
 def test_beans(spark):
     lines = [
         ("kafka.server<type=BrokerTopicMetrics, name=MessagesInPerSec><>OneMinuteRate",
