@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS`` (default 8) and ``BENCH_QUERIES`` (names, comma
-separated) choose what runs. Each query is run once to warm up and then timed over all its rows, without
+separated) choose what runs; ``BENCH_CHECKPOINT_DIR`` takes the intermediate tables (default: a new temporary folder). Each query is run once to warm up and then timed over all its rows, without
 bringing them to the driver.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from marketstream.plans import registry
@@ -36,6 +37,7 @@ def main() -> None:
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
         spark__ui__showConsoleProgress="false",
         spark__log__level="ERROR",
+        spark__checkpoint__dir=os.environ.get("BENCH_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="bench-"),
     )
     queries, took = registry.queries(), {}
     for name in names:

@@ -9,6 +9,7 @@ import glob
 import math
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -54,7 +55,8 @@ def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
     spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8",
-                          spark__log__level="ERROR", spark__ui__showConsoleProgress="false")
+                          spark__log__level="ERROR", spark__ui__showConsoleProgress="false",
+                          spark__checkpoint__dir=tempfile.mkdtemp(prefix="oracle-"))
     db, sqls, bad = connect(sf_dir), entry.oracle_sql(), 0
     for name, query in entry.queries().items():
         if wanted and not any(w in name for w in wanted):
