@@ -96,7 +96,8 @@ def count_pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def counted() -> pa.RecordBatch:
         a, b = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((b, a))
+        held.clear()
+        order = np.argsort(pair(a, b))
         a, b = a[order], b[order]
         new = np.ones(len(a), bool)
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
@@ -109,7 +110,6 @@ def count_pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append((before(flat, first), flat))
             if sum(len(x) for x, _ in held) >= STEP:
                 yield counted()
-                held.clear()
     if held:
         yield counted()
 
@@ -262,7 +262,8 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
         F.lit(WORD).cast("tinyint").alias("kind"), F.col("word").alias("key"), model.log_base(F.col("count")).alias("cold_base"),
         (F.col("log_p") + F.when(F.col("word") == END, 0.0).otherwise(F.col("log_alpha"))).alias("cold_score"),
     )
-    found = looked_up.join(cold_pairs.union(cold_words), ["kind", "key"], "left")
+    # The model's side has each key once, so its share of a partition is far smaller than the lookups; hashing it spares sorting them.
+    found = looked_up.join(cold_pairs.union(cold_words).hint("shuffle_hash"), ["kind", "key"], "left")
     is_word, is_known = F.col("kind") == WORD, F.col("cold_score").isNotNull()
     # A pair that is not stored changes nothing.
     found = found.filter((F.col("kind") != PAIR) | is_known)

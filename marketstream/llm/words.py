@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are handled in pieces of about so many bytes, which bounds the memory of a task.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def byte_set(*ranges: tuple[int, int]) -> np.ndarray:
