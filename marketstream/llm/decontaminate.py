@@ -23,7 +23,7 @@ WINDOW = 13
 SHARE = 20
 #: Suffixes start at so many places of a shard; a power of two below 2 ** 21, so that two ranks and a place fit 64 bits.
 SHARD = 1 << 20
-#: Suffixes are sorted by so many words; at least the window.
+#: Suffixes are sorted by so many words, or by the window if it is longer.
 DEPTH = 16
 #: Benchmark texts sent to the tasks at once.
 BLOCK_BYTES = 16 << 20
@@ -146,11 +146,11 @@ def scan_words(found: words.Words, items: Items, window: int, shard: int) -> tup
     known = vocabulary[np.minimum(at, len(vocabulary) - 1)] == items.hashes
     query = np.where(known, at + 1, 0)
     item_of = np.repeat(np.arange(len(items.ids)), np.diff(items.first))
-    cover, matches = np.zeros(len(text) + 1, np.int64), []
+    cover, matches, depth = np.zeros(len(text) + 1, np.int64), [], max(DEPTH, window)
     for a in range(0, len(text), shard):
-        seq = text[a : a + shard + DEPTH]
+        seq = text[a : a + shard + depth]
         dense = seq if seq.max() <= len(seq) else np.unique(seq, return_inverse=True)[1]
-        order = suffix_array(dense, min(shard, len(seq)), max(DEPTH, window))
+        order = suffix_array(dense, min(shard, len(seq)), depth)
         which, lo, hi = search(seq, order, query, begins, sizes)
         if not len(which):
             continue

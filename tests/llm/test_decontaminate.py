@@ -80,6 +80,13 @@ def test_blocks_and_shards_do_not_change_the_result(spark, make):
         assert all(r["n_hit"] == whole[r["doc_id"]]["n_hit"] for r in got)
 
 
+def test_longer_windows(spark, make):
+    items, texts = case(4)
+    got = decontaminate.report(make(texts), bench_table(spark, items), window=25, shard=40).collect()
+    for r in got:
+        assert [r["n_words"], r["n_hit"], r["n_items"]] == list(brute(texts[r["doc_id"] - 1], items, 25)[:3])
+
+
 def test_suffix_array_is_sorted():
     rng = np.random.default_rng(1)
     seq = rng.integers(0, 4, 500)
