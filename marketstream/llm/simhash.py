@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from marketstream.llm.common import written
 from marketstream.llm.components import components
 from marketstream.llm.words import GOLDEN, mix
+from marketstream.operators.membership import join_set
 
 BITS = 64
 SHINGLE = 3
@@ -128,6 +129,8 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **
     found = near_duplicates(docs, doc_id, text, **options)
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(doc_id)).distinct()
     repeated = docs.groupBy(doc_id).count().filter((F.col("count") > 1) & F.col(doc_id).isNotNull()).select(doc_id)
-    kept = docs.join(gone, doc_id, "left_anti")
-    single = kept.join(repeated, doc_id, "left_anti")
-    return single.unionByName(kept.join(repeated, doc_id, "left_semi").dropDuplicates([doc_id])).select(*docs.columns)
+    # Texts stay where they are while the ids that go are few enough to be broadcast, by their measured size.
+    kept = join_set(docs, written(gone, "gone"), doc_id, "left_anti")
+    several = written(repeated, "repeated")
+    single = join_set(kept, several, doc_id, "left_anti")
+    return single.unionByName(join_set(kept, several, doc_id, "left_semi").dropDuplicates([doc_id])).select(*docs.columns)
