@@ -17,7 +17,7 @@ from marketstream.llm import words
 from marketstream.llm.common import free_name
 
 #: Labelled documents that are fitted, at most: the bound of the sample.
-MOST_LABELLED = 12_000
+MOST_LABELLED = 6_000
 DIMENSIONS = 1 << 18
 #: Bytes of a word's beginning that are a feature of their own.
 PREFIX = 4
