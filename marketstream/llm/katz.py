@@ -33,6 +33,8 @@ HOT_WORDS = 1 << 18
 HOT_PAIRS = 1 << 20
 #: Tokens whose pairs are counted together before they are shuffled.
 STEP = 1 << 22
+#: Rows that a task hands over at once.
+ROWS = 1 << 18
 
 #: Stand-ins for the end of a text, a token like any other, and for what comes before its first word.
 END, START = 1, 2
@@ -94,24 +96,31 @@ def count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def count_pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def counted() -> pa.RecordBatch:
-        a, b = (np.concatenate(x) for x in zip(*held, strict=True))
+    def counted() -> Iterator[pa.RecordBatch]:
+        a = np.concatenate([x for x, _ in held])
+        b = np.concatenate([x for _, x in held])
         held.clear()
-        order = np.argsort(pair(a, b))
-        a, b = a[order], b[order]
+        # Half of the bits of either word put equal pairs side by side; rows in the order of the first word travel smaller.
+        order = np.argsort((a & np.uint64(0xFFFFFFFF00000000)) | (b >> np.uint64(32)))
+        a = a[order]
+        b = b[order]
+        del order
         new = np.ones(len(a), bool)
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        n = np.diff(np.append(np.flatnonzero(new), len(a)))
-        columns = [pa.array(a[new].view(np.int64)), pa.array(b[new].view(np.int64)), pa.array(n)]
-        return pa.RecordBatch.from_arrays(columns, ["a", "b", "n"])
+        at = np.flatnonzero(new)
+        for i in range(0, len(at), ROWS):
+            part = at[i : i + ROWS + 1]
+            n = np.diff(part) if len(part) > ROWS else np.diff(np.append(part, len(a)))
+            columns = [pa.array(a[part[: len(n)]].view(np.int64)), pa.array(b[part[: len(n)]].view(np.int64)), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n"])
 
     for batch in batches:
         for _, flat, first in tokens(batch["text"]):
             held.append((before(flat, first), flat))
             if sum(len(x) for x, _ in held) >= STEP:
-                yield counted()
+                yield from counted()
     if held:
-        yield counted()
+        yield from counted()
 
 
 def discounts(seen: dict[int, int], most: int = MOST_DISCOUNTED) -> list[float]:
