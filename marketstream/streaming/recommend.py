@@ -115,13 +115,15 @@ def start_update(
             older = stored(counts_path, [base - SNAPSHOT] if base else []) + stored(changes_path, range(max(base - SNAPSHOT, 0), base))
             write_batch(_open_counts(older, by, size, lateness) if older else changes.limit(0), counts_path, base)
         now = stored(changes_path, [batch_id])[0]
+        if batch_id > 0 and now.isEmpty():
+            return  # a batch that only moves the watermark changes no list
         touched = now.select(*within).distinct()
         known = functools.reduce(DataFrame.unionByName, stored(counts_path, [base]) + stored(changes_path, range(base, batch_id + 1)))
         # Null-safe: events without a user form a group too. The touched groups are picked before anything is ranked.
         same = functools.reduce(operator.and_, [known[c].eqNullSafe(touched[c]) for c in within])
         picked = known.join(touched, same, "left_semi")
-        # Counts only grow, so the larger one is the newer one.
-        newest = picked.groupBy("window", *by).agg(F.max("n").alias("n"))
+        # Counts only grow, so the larger one is the newer one. The first batch has no older ones.
+        newest = picked.groupBy("window", *by).agg(F.max("n").alias("n")) if batch_id > 0 else now
         _write(ranking.as_lists(ranking.top_k(newest, within, k), within), output, batch_id, publish)
         if batch_id == base + 1:
             # The snapshot's batch is done, so nothing reads what it was made from again.
