@@ -163,7 +163,8 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     decided = lists.toDF(*(free_name(docs, n) for n in names))
     i, h, c = decided.columns
     keyed = docs.withColumn(hashed, F.xxhash64(text))
-    both = keyed.join(decided, F.col(doc_id).eqNullSafe(F.col(i)) & (F.col(hashed) == F.col(h)))
+    # There is a decision for nearly every document, so they are never broadcast, however few there happen to be.
+    both = keyed.join(decided.hint("merge"), F.col(doc_id).eqNullSafe(F.col(i)) & (F.col(hashed) == F.col(h)))
     several = F.size(c) > 1
     order = Window.partitionBy(doc_id, hashed).orderBy(hashed)
     one = both.filter(~several).withColumn(nth, F.lit(1))
