@@ -22,7 +22,7 @@ from marketstream.llm.words import GOLDEN, mix
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 #: Documents of a bucket at the lowest level, on average, and buckets that meet in one of the next.
-BUCKET = 2_000
+BUCKET = 1_000
 FAN_IN = 64
 SEED = 1
 
