@@ -32,7 +32,7 @@ LEAST_PAIR = 2
 HOT_WORDS = 1 << 18
 HOT_PAIRS = 1 << 20
 #: Tokens whose pairs are counted together before they are shuffled.
-STEP = 1 << 22
+STEP = 1 << 21
 #: Rows that a task hands over at once.
 ROWS = 1 << 18
 
