@@ -1,9 +1,8 @@
 """Katz backoff language model of word pairs.
 
-The probability of a word after another is, for a pair seen often enough, its Good-Turing discounted share of the first
+The probability of a word after another is, for a pair that was seen, its Good-Turing discounted share of the first
 word's count; for others it backs off to the word's own discounted share, times a weight of the first word that makes
-its probabilities add up to 1 exactly. A word never seen takes what the discounts leave over. Pairs seen once are
-discounted to nothing, so only repeated pairs are stored.
+its probabilities add up to 1 exactly. A word never seen takes what the discounts leave over.
 
 Model tables hold one row per word and per stored pair. For scoring, the most frequent rows, a fixed number, travel to
 the tasks that read the documents; the others are looked up by a join, so no table needs to fit anywhere as a whole.
@@ -27,7 +26,7 @@ from marketstream.llm.common import written
 #: Counts up to this one are discounted.
 MOST_DISCOUNTED = 5
 #: Pairs seen less often are not stored.
-LEAST_PAIR = 2
+LEAST_PAIR = 1
 #: Bounds of what the tasks get of the model: rows of the most frequent words and pairs.
 HOT_WORDS = 1 << 18
 HOT_PAIRS = 1 << 20

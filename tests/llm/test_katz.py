@@ -72,6 +72,25 @@ def test_equals_the_definition(make, monkeypatch, seed, hot):
         assert r["score"] == pytest.approx(sum(math.log10(two(a, b)) for a, b in zip([START, *seq], seq, strict=False)))
 
 
+def test_pairs_seen_once_keep_their_discounted_share(make):
+    texts = ["x y", "x y", "x z", "x v", "u z", "u y z"]
+    pairs, words = Counter(), Counter()
+    for text in texts:
+        seq = tokens(text)
+        words.update(seq)
+        pairs.update(zip([START, *seq], seq, strict=False))
+    model = katz.train(make(texts))
+    assert model.pairs.count() == len(pairs) and min(pairs.values()) == 1
+    assert {r["count"] for r in model.pairs.collect()} == set(pairs.values())
+    share = lambda a, b, of: katz.discounts(Counter(pairs.values()))[pairs[a, b] - 1] * pairs[a, b] / of
+    # All pairs of the text were seen, two of them once, so nothing is left to backing off.
+    wanted = share(START, "x", len(texts)) * share("x", "v", words["x"]) * share("v", END, words["v"])
+    # Half a count is always left to the unseen followers of a word.
+    left = {a: min(1, words[a] / (words[a] + 0.5) / sum(share(a, b, words[a]) for x, b in pairs if x == a)) for a in "xv"}
+    left[START] = min(1, len(texts) / (len(texts) + 0.5) / sum(share(START, b, len(texts)) for x, b in pairs if x == START))
+    assert katz.score(make(["x v"]), model).first()["score"] == pytest.approx(math.log10(wanted * math.prod(left.values())))
+
+
 def test_probabilities_add_up_to_one():
     two, words, firsts, unknown = brute([t for t in corpus(4) if t])
     for a in firsts:
