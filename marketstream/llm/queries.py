@@ -45,7 +45,7 @@ def op6_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans.deduplicated(table(spark, sf_dir, "documents"))
+    return spans.deduplicated(table(spark, sf_dir, "documents"), both_ways=True)
 
 
 def op8_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Substring dedup by sliding runs of sentences.
 
 Every run of several consecutive sentences is hashed; runs with equal hashes are joined over all documents, and sentences
-that a repeated run covers go wherever the run does not stand for the first time. A run begins at each sentence and is
-the shortest one of at least two sentences that has enough words. A sentence ends with a full stop, question or
+that a repeated run covers go wherever the run does not stand for the first time. The runs that are hashed are, from each
+sentence on and, with ``both_ways``, also up to each sentence, the shortest one of at least two sentences that has enough
+words; with both, every sentence of a longer run lies in one of them. A sentence ends with a full stop, question or
 exclamation mark or line; a very long one, as in text without marks, also after words that a hash picks, so that
 the same passage is cut alike wherever it stands.
 """
@@ -67,15 +68,15 @@ class Runs(NamedTuple):
     repeated: np.ndarray  #: whether the text has the same run before
 
 
-def runs(s: Sentences, least_words: int, least: int) -> Runs:
-    n = len(s.first)
-    i = np.arange(n)
-    enough = np.searchsorted(s.after, s.first + least_words) + 1
-    after = np.maximum(enough, i + least)
-    after = np.where(s.after - s.first >= max(LONG_RUN, least_words), i + 1, after)
-    last_of_text = np.searchsorted(s.text, s.text, "right")
-    ok = after <= last_of_text
-    i, after = i[ok], after[ok]
+def runs(s: Sentences, least_words: int, least: int, both_ways: bool) -> Runs:
+    i = np.arange(len(s.first))
+    alone = s.after - s.first >= max(LONG_RUN, least_words)
+    after = np.where(alone, i + 1, np.maximum(np.searchsorted(s.after, s.first + least_words) + 1, i + least))
+    since = np.where(alone, i, np.minimum(np.searchsorted(s.first, s.after - least_words, "right") - 1, i + 1 - least))
+    onward, back = after <= np.searchsorted(s.text, s.text, "right"), both_ways & (since >= np.searchsorted(s.text, s.text))
+    both = np.concatenate([i[onward], since[back]]), np.concatenate([after[onward], i[back] + 1])
+    size = len(i) + 1
+    i, after = np.divmod(np.unique(both[0] * size + both[1]), size)
     begin, end = s.first[i], s.after[after - 1]
     high = words.run_hashes(s.found.hashes, begin, end)
     low = words.run_hashes(words.mix(s.found.hashes + words.GOLDEN), begin, end)
@@ -91,13 +92,13 @@ def runs(s: Sentences, least_words: int, least: int) -> Runs:
 RUN = "doc bigint, doc_id bigint, first int, after int, high bigint, low bigint"
 
 
-def all_runs(docs: DataFrame, least_words: int, least: int) -> DataFrame:
+def all_runs(docs: DataFrame, least_words: int, least: int, both_ways: bool) -> DataFrame:
     """One row per document and different run: where it stands first in the document."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, _, found in words.each_piece(batch["text"], words.ALPHANUMERIC):
-                r = runs(sentences(found), least_words, least)
+                r = runs(sentences(found), least_words, least, both_ways)
                 new = ~r.repeated
                 at = pa.array(r.text[new] + a)
                 yield pa.RecordBatch.from_arrays(
@@ -111,14 +112,14 @@ def all_runs(docs: DataFrame, least_words: int, least: int) -> DataFrame:
     return docs.mapInArrow(emit, RUN)
 
 
-def rewritten(text: str | None, gone: list, least_words: int, least: int) -> tuple:
+def rewritten(text: str | None, gone: list, least_words: int, least: int, both_ways: bool) -> tuple:
     """The text without the sentences of ``gone`` runs and of its own repeated runs; sentences, words, and of each how many went."""
     if text is None:
         return None, 0, 0, 0, 0
     raw = text.encode()
     found = words.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), words.ALPHANUMERIC)
     s = sentences(found)
-    r = runs(s, least_words, least)
+    r = runs(s, least_words, least, both_ways)
     cover = np.zeros(len(s.first) + 1, np.int64)
     np.add.at(cover, np.concatenate([r.first[r.repeated], [x["first"] for x in gone]]).astype(np.int64), 1)
     np.add.at(cover, np.concatenate([r.after[r.repeated], [x["after"] for x in gone]]).astype(np.int64), -1)
@@ -139,26 +140,28 @@ RESULT = pa.struct([("text", pa.string()), ("n_sentences", pa.int64()), ("n_remo
 
 def deduplicated(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, least: int = LEAST_SENTENCES,
+    both_ways: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, text without repeated runs, n_sentences, n_removed, n_words, n_words_removed.
 
     Of a run that stands in several documents, the one with the smallest id keeps it, in its first place. Rows that repeat
     an id are one document: they keep what that id keeps. Documents without an id come last and are one document in this
-    sense. A null text stays null; texts without a word stay as they are.
+    sense. A null text stays null; texts without a word stay as they are. Without ``both_ways``, the last sentences of a
+    repeated run stay if no shortest run ends with them.
     """
     rows = docs.select(F.xxhash64(doc_id, text).alias("doc"), F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     order = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    found = written(all_runs(rows, least_words, least).withColumn("order", order).drop("doc_id"), "runs")
+    found = written(all_runs(rows, least_words, least, both_ways).withColumn("order", order).drop("doc_id"), "runs")
     firsts = found.groupBy("high", "low").agg(F.min("order").alias("keeper"), F.max("order").alias("latest"))
     firsts = written(firsts.filter("keeper < latest").drop("latest"), "repeated-runs")
     again = found.join(firsts, ["high", "low"]).filter(F.col("order") > F.col("keeper"))
-    # As many rows as a document has sentences meet here.
+    # At most twice as many rows as a document has sentences meet here.
     gone = again.select("doc", "first", "after").distinct().groupBy("doc").agg(F.collect_list(F.struct("first", "after")).alias("gone"))
 
     @F.arrow_udf("struct<text:string,n_sentences:bigint,n_removed:bigint,n_words:bigint,n_words_removed:bigint>")
     def rewrite(texts: pa.Array, gone: pa.Array) -> pa.Array:
         both = zip(texts.to_pylist(), gone.to_pylist(), strict=True)
-        out = [rewritten(t, g or [], least_words, least) for t, g in both]
+        out = [rewritten(t, g or [], least_words, least, both_ways) for t, g in both]
         return pa.StructArray.from_arrays([pa.array(x, k.type) for x, k in zip(zip(*out, strict=True), RESULT, strict=True)] if out else [pa.array([], k.type) for k in RESULT], fields=list(RESULT))
 
     done = rows.join(written(gone, "removed-runs"), "doc", "left").select("doc_id", rewrite(F.col("text"), F.col("gone")).alias("out"))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from helpers import WORDS, clashing, prose, sentence
-from marketstream.llm import spans, words
+from marketstream.llm import queries, spans, words
 
 
 def brute(docs, least_words=spans.LEAST_WORDS, least=spans.LEAST_SENTENCES):
@@ -60,6 +60,43 @@ def test_equals_brute_force(make, seed):
         assert [bytes(raw[a:b]).lower() for a, b in zip(found.starts, found.ends, strict=True)] == left
 
 
+def cut_alike(text):
+    raw = (text or "").encode()
+    found = words.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), words.ALPHANUMERIC)
+    s = spans.sentences(found)
+    said = [bytes(raw[a:b]).lower() for a, b in zip(found.starts, found.ends, strict=True)]
+    return [tuple(said[a:b]) for a, b in zip(s.first, s.after, strict=True)]
+
+
+def by_all_runs(docs):
+    """How many words each document loses when every run of at least two sentences and enough words counts."""
+    cut, keeper, runs = {key: cut_alike(text) for key, text in docs}, {}, {}
+    for key, own in cut.items():
+        runs[key] = []
+        for i in range(len(own)):
+            for j in range(i + 1, len(own) + 1):
+                size = sum(map(len, own[i:j]))
+                if size >= spans.LEAST_WORDS and (j - i >= spans.LEAST_SENTENCES or size >= spans.LONG_RUN):
+                    run = tuple(w for x in own[i:j] for w in x)
+                    runs[key].append((run, i, j))
+                    keeper[run] = min(keeper.get(run, (key, i)), (key, i))
+    gone = {key: {k for run, i, j in found if keeper[run] != (key, i) for k in range(i, j)} for key, found in runs.items()}
+    return {key: sum(len(cut[key][k]) for k in found) for key, found in gone.items()}
+
+
+def test_every_sentence_of_a_repeated_run_goes(spark, make, tmp_path):
+    rng = random.Random(11)
+    shapes = [(10, 10, 10, 3), (3, 10, 10, 10), (9, 3, 9), (2, 2, 20, 2, 2), (16, 1), (1, 1, 1, 13), (20, 5, 1, 1)]
+    passages = [" ".join(sentence(rng, n) + "." for n in shape) for shape in shapes]
+    texts = [*passages, *passages] + [prose(rng, 2) + "\n" + p + "\n" + prose(rng, 2) for p in passages]
+    texts += [" ".join(sentence(rng, rng.randrange(1, 14)) + "." for _ in range(8)) for _ in range(6)] * 2
+    make(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    lost = {r["doc_id"]: r["n_words_removed"] for r in queries.op7_sentence_spans(spark, str(tmp_path)).collect()}
+    assert lost == by_all_runs(list(enumerate(texts, 1)))
+    sizes = [sum(shape) for shape in shapes]
+    assert [lost[i] for i in range(1, 22)] == [0] * 7 + sizes + sizes
+
+
 def test_planted_passages_go_and_clean_texts_stay(make):
     rng = random.Random(9)
     clean = [prose(rng, 12) for _ in range(40)]
