@@ -3,9 +3,10 @@
 Every run of several consecutive sentences is hashed; runs with equal hashes are joined over all documents, and sentences
 that a repeated run covers go wherever the run does not stand for the first time. The runs that are hashed are, from each
 sentence on and, with ``both_ways``, also up to each sentence, the shortest one of at least two sentences that has enough
-words; with both, every sentence of a longer run lies in one of them. A sentence ends with a full stop, question or
-exclamation mark or line; a very long one, as in text without marks, also after words that a hash picks, so that
-the same passage is cut alike wherever it stands.
+words; with both, every sentence of a longer run lies in one of them. A sentence ends with a full stop, question or exclamation mark of any script or a line;
+in a longer one, as in text without marks, every word counts as a sentence, so that a passage is found wherever it stands
+and as far as it goes. Where a text joins a passage's first or last sentence to other words, runs from the mark that
+follows or up to the mark before take its words one by one.
 """
 
 from __future__ import annotations
@@ -25,11 +26,12 @@ from marketstream.llm.common import written
 LEAST_WORDS = 16
 LEAST_SENTENCES = 2
 LONG_RUN = 48
-#: Sentences of more words are cut after about one word in ``CUT``.
+#: Sentences of more words are taken word by word.
 LONG_SENTENCE = 24
-CUT = 8
 
 MARKS = words.byte_set((0x0A, 0x0A), (0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
+#: Marks of several bytes: wide forms, ellipsis, next line, line and paragraph separators, and the marks of other scripts.
+WIDE_MARKS = [np.frombuffer(c.encode(), np.uint8) for c in "。｡．！？…‼⁇⁈⁉؟۔।॥։။።፧។\u0085\u2028\u2029"]
 
 
 class Sentences(NamedTuple):
@@ -37,6 +39,40 @@ class Sentences(NamedTuple):
     first: np.ndarray  #: its first word
     after: np.ndarray  #: the word after its last
     found: words.Words
+    whole: np.ndarray  #: number of the sentence that it is, or is a word of
+
+
+def wide_marks(data: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """Where marks of several bytes begin, and their bytes, mark by mark."""
+    lead = np.flatnonzero(data >= 0xC2)
+    out = []
+    for mark in WIDE_MARKS if len(lead) else ():
+        at = lead[data[lead] == mark[0]]
+        for k in range(1, len(mark)):
+            at = at[at + k < len(data)]
+            at = at[data[at + k] == mark[k]]
+        out.append((at, len(mark)))
+    return out
+
+
+def split_words(data: np.ndarray, offsets: np.ndarray) -> words.Words:
+    """Words without the marks; a kana or ideograph, written without spaces, is a word of its own."""
+    member = words.ALPHANUMERIC[data]
+    for at, size in wide_marks(data):
+        for k in range(size):
+            member[at + k] = False
+    starts, ends = words.runs(member, offsets)
+    lead = np.flatnonzero(data >= 0xE3)
+    lead = lead[lead + 1 < len(data)]
+    first, second = data[lead], data[lead + 1]
+    three = ((first == 0xE3) & ((second >= 0x81) & (second <= 0x83) | (second >= 0x90))) | ((first >= 0xE4) & (first <= 0xE9))
+    four = (first == 0xF0) & (second >= 0xA0) & (second <= 0xB3)
+    cuts = np.unique(np.concatenate([lead[three], lead[three] + 3, lead[four], lead[four] + 4]))
+    if len(cuts):
+        within = np.searchsorted(starts, cuts, "right") - 1
+        cuts = cuts[(within >= 0) & (starts[within] < cuts) & (cuts < ends[within])]
+        starts, ends = np.sort(np.append(starts, cuts)), np.sort(np.append(ends, cuts))
+    return words.Words(words.span_hashes(data, starts, ends), np.searchsorted(starts, offsets), starts, ends, data, offsets)
 
 
 def starts_of(kind: np.ndarray) -> np.ndarray:
@@ -49,14 +85,15 @@ def starts_of(kind: np.ndarray) -> np.ndarray:
 def sentences(found: words.Words) -> Sentences:
     n = len(found.hashes)
     text = np.repeat(np.arange(len(found.first) - 1), np.diff(found.first))
-    marks = np.concatenate([[0], np.cumsum(MARKS[found.data])])[found.starts] if n else np.zeros(0, np.int64)
+    is_mark = MARKS[found.data]
+    for at, _ in wide_marks(found.data):
+        is_mark[at] = True
+    marks = np.concatenate([[0], np.cumsum(is_mark)])[found.starts] if n else np.zeros(0, np.int64)
     begins = starts_of(text) | starts_of(marks)
     number = np.cumsum(begins) - 1
     size = np.bincount(number, minlength=1)[number] if n else number
-    cut = (size > LONG_SENTENCE) & (found.hashes % np.uint64(CUT) == 0)
-    begins[1:] |= cut[:-1]
-    first = np.flatnonzero(begins)
-    return Sentences(text[first], first, np.append(first[1:], n)[: len(first)], found)
+    first = np.flatnonzero(begins | (size > LONG_SENTENCE))
+    return Sentences(text[first], first, np.append(first[1:], n)[: len(first)], found, number[first])
 
 
 class Runs(NamedTuple):
@@ -73,10 +110,22 @@ def runs(s: Sentences, least_words: int, least: int, both_ways: bool) -> Runs:
     alone = s.after - s.first >= max(LONG_RUN, least_words)
     after = np.where(alone, i + 1, np.maximum(np.searchsorted(s.after, s.first + least_words) + 1, i + least))
     since = np.where(alone, i, np.minimum(np.searchsorted(s.first, s.after - least_words, "right") - 1, i + 1 - least))
-    onward, back = after <= np.searchsorted(s.text, s.text, "right"), both_ways & (since >= np.searchsorted(s.text, s.text))
-    both = np.concatenate([i[onward], since[back]]), np.concatenate([after[onward], i[back] + 1])
-    size = len(i) + 1
-    i, after = np.divmod(np.unique(both[0] * size + both[1]), size)
+    # Near the ends of a long sentence, words that are a whole sentence elsewhere: their run goes on to the next sentence.
+    whole_first, whole_after = np.searchsorted(s.whole, s.whole), np.searchsorted(s.whole, s.whole, "right")
+    left, so_far = s.after[whole_after - 1] - s.first, s.after - s.first[whole_first]
+    near = lambda size: both_ways & (size >= least_words) & (size <= LONG_SENTENCE)
+    pairs = [
+        (np.ones(len(i), bool), i, after),
+        (np.full(len(i), both_ways), since, i + 1),
+        (near(left), i, whole_after + least - 1),
+        (near(so_far), whole_first - least + 1, i + 1),
+    ]
+    text_first, text_after = np.searchsorted(s.text, s.text), np.searchsorted(s.text, s.text, "right")
+    width, keys = len(i) + 1, []
+    for wanted, begin, end in pairs:
+        wanted = wanted & (begin >= text_first) & (end <= text_after)
+        keys.append(begin[wanted] * width + end[wanted])
+    i, after = np.divmod(np.unique(np.concatenate(keys)), width)
     begin, end = s.first[i], s.after[after - 1]
     high = words.run_hashes(s.found.hashes, begin, end)
     low = words.run_hashes(words.mix(s.found.hashes + words.GOLDEN), begin, end)
@@ -97,7 +146,10 @@ def all_runs(docs: DataFrame, least_words: int, least: int, both_ways: bool) ->
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, _, found in words.each_piece(batch["text"], words.ALPHANUMERIC):
+            data, offsets = words.texts_of(batch["text"])
+            for a, b in words.pieces(offsets):
+                part = offsets[a : b + 1]
+                found = split_words(data[part[0] : part[-1]], part - part[0])
                 r = runs(sentences(found), least_words, least, both_ways)
                 new = ~r.repeated
                 at = pa.array(r.text[new] + a)
@@ -117,7 +169,7 @@ def rewritten(text: str | None, gone: list, least_words: int, least: int, both_w
     if text is None:
         return None, 0, 0, 0, 0
     raw = text.encode()
-    found = words.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), words.ALPHANUMERIC)
+    found = split_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
     s = sentences(found)
     r = runs(s, least_words, least, both_ways)
     cover = np.zeros(len(s.first) + 1, np.int64)
@@ -155,7 +207,7 @@ def deduplicated(
     firsts = found.groupBy("high", "low").agg(F.min("order").alias("keeper"), F.max("order").alias("latest"))
     firsts = written(firsts.filter("keeper < latest").drop("latest"), "repeated-runs")
     again = found.join(firsts, ["high", "low"]).filter(F.col("order") > F.col("keeper"))
-    # At most twice as many rows as a document has sentences meet here.
+    # At most a few rows for each sentence of a document meet here.
     gone = again.select("doc", "first", "after").distinct().groupBy("doc").agg(F.collect_list(F.struct("first", "after")).alias("gone"))
 
     @F.arrow_udf("struct<text:string,n_sentences:bigint,n_removed:bigint,n_words:bigint,n_words_removed:bigint>")

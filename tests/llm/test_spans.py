@@ -97,6 +97,31 @@ def test_every_sentence_of_a_repeated_run_goes(spark, make, tmp_path):
     assert [lost[i] for i in range(1, 22)] == [0] * 7 + sizes + sizes
 
 
+def test_passages_in_unmarked_text_go_as_a_whole(spark, make, tmp_path):
+    rng = random.Random(12)
+    around = lambda p: f"{sentence(rng, 40)} {p} {sentence(rng, 40)}"
+    passages = [sentence(rng, n) for n in (16, 17, 20, 30, 51, 60)]
+    # The first sentence stands alone, then is joined to other words; the same for the last one.
+    marked = [". ".join(sentence(rng, n) for n in shape) for shape in ((10, 12, 9, 11), (20, 12, 9, 18), (16, 8, 8, 16), (24, 3, 9, 24))]
+    texts = [around(p) for p in passages] + [around(p) for p in passages]
+    texts += [p + "." for p in marked] + [sentence(rng, 30) + " " + p + "." for p in marked] + [p + " " + sentence(rng, 30) for p in marked]
+    make(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    lost = [r["n_words_removed"] for r in sorted(queries.op7_sentence_spans(spark, str(tmp_path)).collect(), key=lambda r: r["doc_id"])]
+    sizes = [len(p.split()) for p in marked]
+    assert lost == [0] * 6 + [16, 17, 20, 30, 51, 60] + [0] * 4 + sizes * 2
+
+
+def test_marks_of_other_scripts(spark, make, tmp_path):
+    rng = random.Random(13)
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(n))
+    shared = [han(9) + "。" + han(12) + "！", f"{sentence(rng, 9)}؟ {sentence(rng, 9)}।"]
+    texts = [a + p + b for p in shared for a, b in ((han(7) + "。", han(8) + "？"), (han(6) + "。", han(5) + "。"))]
+    make(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in queries.op7_sentence_spans(spark, str(tmp_path)).collect()}
+    assert [rows[i]["n_words_removed"] for i in (1, 2, 3, 4)] == [0, 21, 0, 18]
+    assert rows[2]["text"] == texts[1].replace(shared[0], "") and rows[2]["n_sentences"] == 4
+
+
 def test_planted_passages_go_and_clean_texts_stay(make):
     rng = random.Random(9)
     clean = [prose(rng, 12) for _ in range(40)]
