@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketstream.functions.codec import computed_once
+from marketstream.llm.license_texts import TEXTS
 
 SHINGLE = 5
 LEAST = 0.8
@@ -23,8 +24,8 @@ BANDS = 32
 #: Bound of the templates: they are a parameter, and are broadcast.
 MOST_TEMPLATE_WORDS = 1_000_000
 
-# The notices that are looked for.
-NOTICES = {
+# The notices, headers and texts that are looked for.
+NOTICES = TEXTS | {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",

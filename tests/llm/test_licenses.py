@@ -4,7 +4,7 @@ import random
 import re
 
 from helpers import clashing, prose
-from marketstream.llm import licenses
+from marketstream.llm import licenses, queries
 
 
 def cut(text, n=5):
@@ -44,6 +44,16 @@ def test_equals_every_window(make):
     assert got == {i: f for i, t in enumerate(texts, 1) if (f := brute(t, notices))} and len(got) > 25
 
 
+def test_query_finds_whole_texts_and_headers(spark, make, tmp_path):
+    rng = random.Random(4)
+    names = ["MIT-text", "BSD-3-Clause-text", "ISC-text", "Apache-2.0-header", "GPL-3.0-header", "MPL-2.0-header", "CC-BY-SA-4.0"]
+    texts = [prose(rng, 9) + "\n" + licenses.NOTICES[name] + "\n" + prose(rng, 9) for name in names]
+    make([*texts, prose(rng, 30)]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r["doc_id"], r["license_id"]): r["containment"] for r in queries.op4_license_scan(spark, str(tmp_path)).collect()}
+    assert [got.get((i, name)) for i, name in enumerate(names, 1)] == [1.0] * len(names)
+    assert all(doc_id <= len(names) for doc_id, _ in got)
+
+
 def test_bands_guarantee_retrieval():
     assert all(licenses.chance(m, max(1, m // 4)) > 0.999999 for m in range(1, 500))
 
