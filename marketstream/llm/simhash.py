@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketstream.llm.common import written
+from marketstream.llm.common import free_name, written
 from marketstream.llm.components import components
 from marketstream.llm.words import GOLDEN, mix
 from marketstream.operators.membership import join_set
@@ -98,6 +98,15 @@ def links(fingerprints: DataFrame, most_bits: int = MOST_BITS, n_pivots: int = N
     return near.filter(distance(F.col("a"), F.col("b")) <= most_bits).select("a", "b").distinct()
 
 
+def grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, most_bits: int, n_pivots: int) -> tuple[DataFrame, DataFrame]:
+    """The rows as doc_id and fingerprint, and of each fingerprint the least id and the root of its component."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle).alias("fingerprint"))
+    rows = written(rows, "fingerprints")
+    classes = written(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "classes")
+    roots = components(links(classes, most_bits, n_pivots)).select(F.col("node").alias("fingerprint"), "root")
+    return rows, classes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, most_bits: int = MOST_BITS,
     n_pivots: int = N_PIVOTS,
@@ -109,17 +118,41 @@ def near_duplicates(
     fingerprint 0 and is linked like any other. Repeated rows stay; documents without an id take part, and
     component_id is null only where no document of the component has one.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle).alias("fingerprint"))
-    rows = written(rows, "fingerprints")
-    classes = written(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "classes")
-    roots = components(links(classes, most_bits, n_pivots)).select(F.col("node").alias("fingerprint"), "root")
-    rooted = classes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    rows, rooted = grouped(docs, doc_id, text, shingle, most_bits, n_pivots)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     members = rooted.join(named, "root").select("fingerprint", "component_id")
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return rows.join(members, "fingerprint").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def one_row_each(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, most_bits: int = MOST_BITS,
+    n_pivots: int = N_PIVOTS,
+) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest id and then fingerprint; the columns stay as they are.
+
+    Rows that repeat an id with other texts are decided by their own text. Rows without an id cannot be told apart from
+    others and all stay.
+    """
+    rows, rooted = grouped(docs, doc_id, text, shingle, most_bits, n_pivots)
+    named = rooted.filter(F.col("least").isNotNull())
+    keepers = named.groupBy("root").agg(F.min(F.struct("least", "fingerprint")).alias("keeper")).select("keeper.*")
+    keys = rows.filter(F.col("doc_id").isNotNull()).groupBy("doc_id", "fingerprint").count()
+    kept = keepers.select(F.col("least").alias("doc_id"), "fingerprint", F.lit(True).alias("stays"))
+    keys = written(keys.join(kept, ["doc_id", "fingerprint"], "left"), "keys")
+    key = free_name(docs, "_key")
+    struct = F.struct(F.col("doc_id").alias("id"), F.col("fingerprint").alias("fingerprint")).alias(key)
+    with_key = lambda some: some.withColumn(key, F.struct(F.col(doc_id).alias("id"), fingerprint(F.col(text), shingle).alias("fingerprint")))
+    gone = written(keys.filter(F.col("stays").isNull()).select(struct), "gone")
+    several = written(keys.filter(F.col("stays") & (F.col("count") > 1)).select("doc_id", "fingerprint"), "repeated")
+    again = several.select(struct)
+    # Texts stay where they are while the keys that go are few enough to be broadcast, by their measured size.
+    single = join_set(join_set(with_key(docs), gone, key, "left_anti"), again, key, "left_anti")
+    ids = several.select(F.col("doc_id").alias(doc_id)).distinct()
+    repeated = join_set(with_key(join_set(docs, ids, doc_id, "left_semi")), again, key, "left_semi").dropDuplicates([key])
+    return single.unionByName(repeated).select(*docs.columns)
+
+
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest id; the columns stay as they are.
 

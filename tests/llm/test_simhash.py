@@ -5,6 +5,7 @@ import random
 import pytest
 import xxhash
 
+import corpus_pipeline
 from helpers import clashing, prose
 from marketstream.llm import components, simhash
 
@@ -77,6 +78,15 @@ def test_long_chains_are_one_component(spark):
     assert got == {i: 0 for i in range(1, 301)} | {1001: 1000, 2000: 1000}
 
 
+def test_no_row_goes_for_another_text_of_its_id(spark, make):
+    rng = random.Random(6)
+    a, b, c, d = (prose(rng) for _ in range(4))
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (3, b, "x"), (4, c, "x"), (4, c, "x"), (4, d, "x"), (None, a, "x"), (None, a, "x")]
+    stage = dict(corpus_pipeline.STAGES)["SimHash near-dedup"]
+    got = [(r["doc_id"], r["text"]) for r in stage(spark, make(rows), "").collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (2, b), (4, c), (4, d), (None, a), (None, a)], key=str)
+
+
 def test_odd_rows(odd, empty):
     rows = simhash.near_duplicates(clashing(odd, "fingerprint", "component_id")).collect()
     assert len(rows) == odd.count()
