@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marketstream.llm import licenses, lines, queries, sharding
+from marketstream.llm import fill_in_middle, licenses, lines, queries, sharding, vector_file
 
 #: The CRC-32 of a text's bytes, bit by bit from its polynomial; the table is made by the rule, not listed.
 CRC_TABLE = """
@@ -97,5 +97,56 @@ SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_li
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id AND d.text = k.text"""
 
 
+def op12_fill_in_middle() -> str:
+    p, s, m = fill_in_middle.PREFIX, fill_in_middle.SUFFIX, fill_in_middle.MIDDLE
+    draw = [f"('0x' || h[{8 * i + 1}:{8 * i + 8}])::BIGINT" for i in range(4)]
+    return f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('{fill_in_middle.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), cut AS (
+  SELECT *, least({draw[0]} % (len(u) + 1), {draw[1]} % (len(u) + 1)) AS a, greatest({draw[0]} % (len(u) + 1), {draw[1]} % (len(u) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '{p}') OR contains(t, '{s}') OR contains(t, '{m}') OR {draw[2]} % 100 >= {100 - fill_in_middle.PLAIN} THEN 'plain'
+      WHEN {draw[3]} % 100 < {fill_in_middle.SUFFIX_FIRST} THEN 'spm' ELSE 'psm' END AS form
+  FROM texts
+), parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS before, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS after FROM cut
+)
+SELECT doc_id, len(u) AS n, form, CASE WHEN form <> 'plain' THEN length(before) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{p}' || before || '{s}' || after || '{m}' || middle
+    ELSE '{s}' || after || '{p}' || before || '{m}' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts"""
+
+
+def op13_vector_file_clusters() -> str:
+    n, k = vector_file.N_COMPONENTS, vector_file.K
+    distance = "list_sum(list_transform(list_zip(f.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    steps = [f"""
+kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({vector_file.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {n} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {n}
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('{vector_file.SEED}:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS k, v FROM kept QUALIFY k < {k}
+)"""]
+    for i in range(vector_file.ROUNDS + 1):
+        steps.append(f"a{i} AS (SELECT r, min({{'d': {distance}, 'k': k}}) AS best FROM kept f, c{i} c GROUP BY r)")
+        if i < vector_file.ROUNDS:
+            steps.append(f"""means{i} AS (
+  SELECT k, list(((s - ((s % n + n) % n)) // n)::BIGINT ORDER BY place) AS v FROM (
+    SELECT best.k AS k, place, sum(x)::BIGINT AS s, count(*) AS n
+    FROM (SELECT best, unnest(v) AS x, unnest(range({n})) AS place FROM a{i} JOIN kept USING (r)) GROUP BY best.k, place
+  ) GROUP BY k
+), c{i + 1} AS (SELECT c.k, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN means{i} m USING (k))""")
+    last = vector_file.ROUNDS
+    return f"""
+WITH {", ".join(steps)}
+SELECT vec_id, best.k::INTEGER AS cluster, best.d AS distance, sum(best.d) OVER (PARTITION BY best.k)::BIGINT AS cluster_inertia,
+  sum(best.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{last} JOIN kept USING (r) JOIN c{last} c ON c.k = best.k"""
+
+
 def statements() -> dict[str, str]:
-    return {f.__name__: f() for f in (op3_rendezvous_shards, op4_license_scan, op10_line_templates)}
+    return {f.__name__: f() for f in (op3_rendezvous_shards, op4_license_scan, op10_line_templates, op12_fill_in_middle, op13_vector_file_clusters)}

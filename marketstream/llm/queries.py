@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketstream.llm import decontaminate, fingerprints, katz, licenses, lines, mixing, quality, sharding, simhash, spans
+from marketstream.llm import (
+    decontaminate, fill_in_middle, fingerprints, katz, licenses, lines, mixing, quality, sentencepieces, sharding, simhash, spans,
+    vector_file,
+)
 from marketstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 40
+#: The vocabulary of op11, a file of the package of public tokenizers.
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +66,20 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.deduplicated(table(spark, sf_dir, "documents"))
 
 
+def op11_sentencepiece_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return sentencepieces.report(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.report(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_file_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_file.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -74,5 +93,8 @@ QUERIES: dict[str, Query] = {
         op8_simhash_pivots,
         op9_pivotal_mixture,
         op10_line_templates,
+        op11_sentencepiece_rounds,
+        op12_fill_in_middle,
+        op13_vector_file_clusters,
     )
 }

@@ -26,7 +26,7 @@ def test_one_row_per_document(spark, sf_dir, name):
 
 def test_every_number_is_there():
     names = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert names == list(range(1, 11)) and len(corpus_pipeline.STAGES) == 5 and "pipeline" in entry.queries()
+    assert names == list(range(1, 14)) and len(corpus_pipeline.STAGES) == 5 and "pipeline" in entry.queries()
 
 
 def test_pipeline(spark, sf_dir):
