@@ -30,7 +30,9 @@ NONE = np.int32(2**31 - 1)
 #: A place whose character was joined to the one before.
 GONE = -2
 #: Texts are encoded in pieces of about so many bytes.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 17
+#: Ids that are decoded at once.
+STEP_IDS = 1 << 16
 #: What decoding gives for the unknown id.
 UNKNOWN = " ⁇ "
 
@@ -251,6 +253,12 @@ def encode(data: np.ndarray, offsets: np.ndarray, model: Model) -> tuple[np.ndar
     return ids, np.r_[0, np.cumsum(n_ids)]
 
 
+def spans_of(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> bytes:
+    """The bytes of all spans, one after the other."""
+    ends = np.cumsum(size)
+    return data[np.arange(ends[-1]) + np.repeat(begin - (ends - size), size)].tobytes()
+
+
 def _each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
     return "�" * (error.end - error.start), error.end
 
@@ -273,8 +281,8 @@ def decode(ids: np.ndarray, offsets: np.ndarray, model: Model) -> list[str]:
     begin[head] += 1
     size[head] -= 1
     ends = np.cumsum(size)
-    source = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - size), size)
-    data = model.surfaces[source].tobytes()
+    steps = (slice(i, i + STEP_IDS) for i in range(0, len(ids), STEP_IDS))
+    data = b"".join(spans_of(model.surfaces, begin[part], size[part]) for part in steps)
     # A silent id says nothing, but bytes before and after it are no character together.
     cuts = np.union1d(offsets, np.flatnonzero(model.silent[ids]))
     edges = np.r_[0, ends][cuts].tolist()
