@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketstream.llm.common import free_name
-from marketstream.llm.words import GOLDEN, mix, pieces, texts_of
+from marketstream.llm.words import GOLDEN, mix, pieces, run_hashes, texts_of
 
 SPACE = "▁"
 #: More than any rank.
@@ -30,51 +30,53 @@ NONE = np.int32(2**31 - 1)
 #: A place whose character was joined to the one before.
 GONE = -2
 #: Texts are encoded in pieces of about so many bytes.
-STEP_BYTES = 1 << 17
+STEP_BYTES = 1 << 19
+#: Equal words meet in one of 2 ** SLOT_BITS slots.
+SLOT_BITS = 18
 #: Ids that are decoded at once.
 STEP_IDS = 1 << 16
 #: What decoding gives for the unknown id.
 UNKNOWN = " ⁇ "
 
 
+#: An odd number that spreads keys over the table, 2 ** 32 divided by the golden ratio.
+SPREAD = np.uint32(2654435769)
+
+
 class Lookup(NamedTuple):
-    """A hash table of 64-bit keys, probed for many keys at once."""
+    """A hash table of whole numbers from 0 below 2 ** 31, probed for many keys at once."""
 
-    keys: np.ndarray
-    values: np.ndarray
+    entries: np.ndarray  #: key * 2 ** 32 + value, or -1: key and value come from one place of memory
 
     @classmethod
     def of(cls, found: dict[int, int]) -> Lookup:
-        size = 1 << max(4, (4 * len(found)).bit_length())
-        keys, values = np.full(size, -1, np.int64), np.full(size, -1, np.int32)
-        new, put = np.fromiter(found, np.int64, len(found)), np.fromiter(found.values(), np.int32, len(found))
-        at = cls.places(new, size)
+        entries = np.full(1 << max(4, (4 * len(found)).bit_length()), -1, np.int64)
+        keys, values = (np.fromiter(x, np.int64, len(found)) for x in (found, found.values()))
+        new = keys << 32 | values
+        at = cls.places(keys.astype(np.int32), len(entries))
         while len(new):
-            free = keys[at] == -1
             first = np.zeros(len(at), bool)
             first[np.unique(at, return_index=True)[1]] = True
-            taken = free & first
-            keys[at[taken]], values[at[taken]] = new[taken], put[taken]
-            new, put, at = new[~taken], put[~taken], (at[~taken] + 1) & (size - 1)
-        return cls(keys, values)
+            put = first & (entries[at] == -1)
+            entries[at[put]] = new[put]
+            new, at = new[~put], (at[~put] + 1) & (len(entries) - 1)
+        return cls(entries)
 
     @staticmethod
     def places(keys: np.ndarray, size: int) -> np.ndarray:
-        return (mix(keys.astype(np.uint64) * GOLDEN) & np.uint64(size - 1)).astype(np.int64)
+        return (keys.view(np.uint32) * SPREAD >> np.uint32(33 - size.bit_length())).astype(np.int64)
 
     def get(self, keys: np.ndarray) -> np.ndarray:
         """The value of each key, -1 where there is none."""
-        at = self.places(keys, len(self.keys))
-        there = self.keys[at]
-        out = np.where(there == keys, self.values[at], -1)
-        open_ = np.flatnonzero((there != keys) & (there != -1))
-        while len(open_):
-            at[open_] = (at[open_] + 1) & (len(self.keys) - 1)
-            there = self.keys[at[open_]]
-            hit = there == keys[open_]
-            out[open_[hit]] = self.values[at[open_[hit]]]
-            open_ = open_[~hit & (there != -1)]
-        return out
+        at = self.places(keys, len(self.entries))
+        there = self.entries.take(at)
+        other = np.flatnonzero(((there >> 32) != keys) & (there != -1))
+        while len(other):
+            next_ = (at[other] + 1) & (len(self.entries) - 1)
+            at[other], found = next_, self.entries.take(next_)
+            there[other] = found
+            other = other[((found >> 32) != keys[other]) & (found != -1)]
+        return there.astype(np.int32)
 
 
 class Model(NamedTuple):
@@ -83,7 +85,7 @@ class Model(NamedTuple):
     n_symbols: int
     pairs: Lookup  #: left symbol * n_symbols + right symbol -> the joint piece
     beside: Lookup  #: the same key of two characters that some piece holds side by side
-    rank: np.ndarray  #: by piece: 0 for the best score, equal for equal scores
+    rank: np.ndarray  #: by piece: 0 for the best score, equal for equal scores; the last value stands for no piece
     hasty: np.ndarray  #: by piece: whether it can be part of a piece of no worse rank
     byte_ids: np.ndarray  #: by byte: its piece
     surfaces: np.ndarray  #: the bytes that each id decodes to, one after the other
@@ -108,6 +110,8 @@ def model_of(proto: bytes) -> Model:
     others = sorted({c for name in normal for c in name} - set(symbol))
     symbol |= {c: len(names) + i for i, c in enumerate(others)}
     n = len(names) + len(others)
+    if n * n >= 1 << 31:
+        raise ValueError("the vocabulary is too large")
     known = normal | symbol
     pairs, beside = {}, {}
     scores = np.array([sp.get_score(i) for i in ids])
@@ -129,7 +133,7 @@ def model_of(proto: bytes) -> Model:
     for b, i in enumerate(byte_ids):
         raw[i] = bytes([b])
     return Model(
-        by_code, len(names), n, Lookup.of(pairs), Lookup.of(beside), rank, hasty, byte_ids,
+        by_code, len(names), n, Lookup.of(pairs), Lookup.of(beside), np.append(rank, NONE), hasty, byte_ids,
         np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(x) for x in raw]),
         np.array([kind[i] == "n" and name.startswith(SPACE) for i, name in enumerate(names)]),
         np.array([kind[i] == "c" for i in ids]),
@@ -149,33 +153,25 @@ def join_all(symbols: np.ndarray, starts: np.ndarray, model: Model) -> np.ndarra
     ``starts`` marks the first symbol of each word.
     """
     out = symbols.copy()
-    n = np.int64(model.n_symbols)
+    n = np.int32(model.n_symbols)
 
     def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        return model.pairs.get(left.astype(np.int64) * n + right)
-
-    def rank_of(piece: np.ndarray) -> np.ndarray:
-        return np.where(piece >= 0, model.rank[piece], NONE)
+        return model.pairs.get(left * n + right)
 
-    alone = starts & np.r_[starts[1:], True]
-    place = np.flatnonzero(~alone)
+    place = np.flatnonzero(~(starts & np.r_[starts[1:], True])).astype(np.int32)
     symbol, first = symbols[place], starts[place]
     piece = np.full(len(place), -1, np.int32)
     inner = np.flatnonzero(~first[1:])
     piece[inner] = joined(symbol[inner], symbol[inner + 1])
-    rank = rank_of(piece)
     while len(place):
+        rank = model.rank[piece]
         heads = np.flatnonzero(first)
         best = np.minimum.reduceat(rank, heads)
-        sizes = np.diff(np.r_[heads, len(place)])
-        if (best == NONE).any():
-            going = np.repeat(best != NONE, sizes)
-            place, symbol, first, piece, rank = (x[going] for x in (place, symbol, first, piece, rank))
-            sizes, best = sizes[best != NONE], best[best != NONE]
-            if not len(place):
-                break
-        word = np.repeat(np.arange(len(sizes)), sizes)
-        at = leftmost(np.flatnonzero(rank == best[word]))
+        sizes = np.diff(heads, append=len(place))
+        going = best != NONE
+        if not going.any():
+            break
+        at = leftmost(np.flatnonzero(rank == np.repeat(np.where(going, best, -1), sizes)))
         new = piece[at]
         if model.hasty[new].any():
             # Neighbours as they are when the joins to the left are made and those to the right are not.
@@ -183,31 +179,56 @@ def join_all(symbols: np.ndarray, starts: np.ndarray, model: Model) -> np.ndarra
             before = np.where(linked, np.r_[new[:1], new[:-1]], symbol[np.maximum(at - 1, 0)])
             after = np.minimum(at + 2, len(symbol) - 1)
             soon = np.minimum(
-                np.where(first[at], NONE, rank_of(joined(before, new))),
-                np.where((at + 2 < len(symbol)) & ~first[after], rank_of(joined(new, symbol[after])), NONE),
+                np.where(first[at], NONE, model.rank[joined(before, new)]),
+                np.where((at + 2 < len(symbol)) & ~first[after], model.rank[joined(new, symbol[after])], NONE),
             )
-            ends = np.flatnonzero(soon <= best[word[at]])
+            word = np.searchsorted(heads, at, "right") - 1
+            ends = np.flatnonzero(soon <= best[word])
             until = np.full(len(sizes), len(symbol))
-            np.minimum.at(until, word[at[ends]], at[ends])
-            kept = at <= until[word[at]]
+            np.minimum.at(until, word[ends], at[ends])
+            kept = at <= until[word]
             at, new = at[kept], new[kept]
         out[place[at]], out[place[at + 1]] = new, GONE
         symbol[at] = new
-        stays = np.ones(len(place), bool)
-        stays[at + 1] = False
-        at = at - np.arange(len(at))  # where the joint symbols stand after compaction
-        place, symbol, first, piece, rank = (x[stays] for x in (place, symbol, first, piece, rank))
-        touched = np.zeros(len(symbol), bool)
+        # Each joint symbol and the one before it, which may be a joint symbol too, meet new neighbours.
+        touched = np.zeros(len(place), bool)
         touched[at] = True
         touched[at[~first[at]] - 1] = True
+        stays = np.repeat(going, sizes)
+        stays[at + 1] = False
+        left = np.flatnonzero(stays)
+        place, symbol, first, piece, touched = (x.take(left) for x in (place, symbol, first, piece, touched))
         again = np.flatnonzero(touched)
         piece[again] = -1
-        some = again[~np.r_[first, True][again + 1]]
+        some = again[~np.append(first, True)[again + 1]]
         piece[some] = joined(symbol[some], symbol[some + 1])
-        rank[again] = rank_of(piece[again])
     return out
 
 
+def join_once(symbols: np.ndarray, starts: np.ndarray, model: Model) -> np.ndarray:
+    """``join_all``, but equal words are joined once.
+
+    Words meet by a hash in a table of slots, each of which keeps one word; the others of its hash are compared with it
+    symbol by symbol and take its result. Words that lost their slot to one of another hash are joined themselves.
+    """
+    heads = np.flatnonzero(starts)
+    sizes = np.diff(heads, append=len(starts))
+    hashes = run_hashes(mix(symbols.astype(np.uint64) * GOLDEN), heads, heads + sizes)
+    slots = np.zeros(1 << SLOT_BITS, np.int64)
+    slot = hashes >> np.uint64(64 - SLOT_BITS)
+    me = np.arange(len(heads))
+    slots[slot] = me
+    other = slots[slot]
+    other = np.where((hashes[other] == hashes) & (sizes[other] == sizes), other, me)
+    source = np.arange(len(symbols)) + np.repeat(heads[other] - heads, sizes)
+    if not (symbols[source] == symbols).all():
+        return join_all(symbols, starts, model)
+    chosen = np.repeat(other == me, sizes)
+    out = np.empty_like(symbols)
+    out[chosen] = join_all(symbols[chosen], starts[chosen], model)
+    return out[source]
+
+
 def whole_words(starts: np.ndarray, step: int) -> list[int]:
     """The ends of parts of about ``step`` symbols that cut no word, so that a long text needs no more memory at once."""
     heads = np.r_[np.flatnonzero(starts), len(starts)]
@@ -236,9 +257,9 @@ def encode(data: np.ndarray, offsets: np.ndarray, model: Model) -> tuple[np.ndar
     starts[begins] = True
     inner = np.flatnonzero(~starts)
     for some in (inner[i : i + STEP_BYTES] for i in range(0, len(inner), STEP_BYTES)):
-        starts[some] = model.beside.get(symbols[some - 1].astype(np.int64) * model.n_symbols + symbols[some]) < 0
+        starts[some] = model.beside.get(symbols[some - 1] * np.int32(model.n_symbols) + symbols[some]) < 0
     edges = whole_words(starts, STEP_BYTES)
-    out = np.concatenate([join_all(symbols[a:b], starts[a:b], model) for a, b in zip(edges, edges[1:], strict=False)] or [symbols])
+    out = np.concatenate([join_once(symbols[a:b], starts[a:b], model) for a, b in zip(edges, edges[1:], strict=False)] or [symbols])
     place = np.flatnonzero(out != GONE)
     found = out[place]
     spelt = (found < 0) | (found >= model.n_pieces)  # by its bytes

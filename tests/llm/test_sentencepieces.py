@@ -49,10 +49,11 @@ def test_chosen_texts(library, model):
     assert decode(encode(CHOSEN, model), model) == [t.replace("▁", " ") for t in CHOSEN]
 
 
-@pytest.mark.parametrize("step", [64, pieces.STEP_BYTES])
-def test_random_texts(library, model, monkeypatch, step):
-    """Texts of random characters and of random pieces, whole and in small parts."""
+@pytest.mark.parametrize(("step", "bits"), [(64, 2), (pieces.STEP_BYTES, pieces.SLOT_BITS), (pieces.STEP_BYTES, 1)])
+def test_random_texts(library, model, monkeypatch, step, bits):
+    """Texts of random characters and of random pieces, whole and in small parts, with many and few slots for equal words."""
     monkeypatch.setattr(pieces, "STEP_BYTES", step)
+    monkeypatch.setattr(pieces, "SLOT_BITS", bits)
     rng = random.Random(3)
     names = [library.id_to_piece(i).replace("▁", " ") for i in range(259, library.get_piece_size())]
     kinds = ["ab", "abc ", "ethaisnorld", "  \n\t-=", "абвгде ", "漢字的是一 在", "".join(sorted(set("".join(names)))), names]
@@ -62,6 +63,12 @@ def test_random_texts(library, model, monkeypatch, step):
     assert decode(got, model) == texts
 
 
+def test_words_of_one_hash(library, model, monkeypatch):
+    """Words are compared, so equal hashes of different words change nothing."""
+    monkeypatch.setattr(pieces, "run_hashes", lambda values, starts, ends: np.zeros(len(starts), np.uint64))
+    assert encode(CHOSEN, model) == [library.encode(t) for t in CHOSEN]
+
+
 def test_random_ids(library, model):
     """Any ids decode as the library decodes them: controls, unknown ids and bytes that are no text."""
     rng = random.Random(4)
