@@ -17,6 +17,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +31,11 @@ NONE = np.int32(2**31 - 1)
 #: A place whose character was joined to the one before.
 GONE = -2
 #: Texts are encoded in pieces of about so many bytes.
-STEP_BYTES = 1 << 19
+STEP_BYTES = 1 << 18
 #: Equal words meet in one of 2 ** SLOT_BITS slots.
 SLOT_BITS = 18
 #: Ids that are decoded at once.
-STEP_IDS = 1 << 16
+STEP_IDS = 1 << 17
 #: What decoding gives for the unknown id.
 UNKNOWN = " ⁇ "
 
@@ -328,10 +329,10 @@ def encoded(text: Column, proto: bytes) -> Column:
         for a, b in pieces(offsets, STEP_BYTES):
             part = offsets[a : b + 1]
             found, firsts = encode(data[part[0] : part[-1]], part - part[0], model)
-            ids.append(found)
+            ids.append(found.astype(np.int32, copy=False))
             sizes.append(np.diff(firsts))
         ends = np.cumsum(np.concatenate(sizes)).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
 
     return ids_of(text)
 
@@ -342,10 +343,13 @@ def decoded(ids: Column, proto: bytes) -> Column:
     @F.arrow_udf("string")
     def texts_of_ids(lists: pa.Array) -> pa.Array:
         model = model_of(proto)
-        lists = lists.fill_null([]) if lists.null_count else lists
-        values = lists.flatten().fill_null(0).to_numpy(zero_copy_only=False)
-        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-        return pa.array(decode(values, np.r_[0, np.cumsum(sizes)].astype(np.int64), model), pa.string())
+        out = [pa.array([], pa.string())]
+        sizes = pc.coalesce(pc.list_value_length(lists), pa.scalar(0, pa.int32())).to_numpy(zero_copy_only=False)
+        offsets = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
+        for a, b in pieces(offsets, STEP_IDS):
+            values = lists.slice(a, b - a).flatten().fill_null(0).to_numpy(zero_copy_only=False)
+            out.append(pa.array(decode(values, offsets[a : b + 1] - offsets[a], model), pa.string()))
+        return pa.concat_arrays(out)
 
     return texts_of_ids(ids)
 
