@@ -6,6 +6,7 @@ hours old where a live system looks every 30 seconds.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from marketstream.functions import text, times
 from marketstream.operators import dashboards, relabel, routing, rules, series
 from marketstream.session import materialise, scratch_dir
 from marketstream.sources import tables
-from marketstream.streaming import alert_clock
+from marketstream.streaming import alert_clock, transitions
 
 STEP, MAX_AGE = "6 hours", "12 hours"
 SPAN = "1 day"
@@ -253,9 +254,8 @@ def humanised_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.events(spark, sf_dir).select("event_id", text.humanise(value).alias("human"))
 
 
-def alert_clock_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The states of the table's samples as they arrive, a slice of time in each start of the stream."""
-    work, slices = scratch_dir(spark, "clock"), 5
+def clock_slices(spark: SparkSession, sf_dir: str, work: str, slices: int) -> Iterator[None]:
+    """The table's samples as they arrive: after each slice of time the alert clock has run below ``work``."""
     samples = tables.metric_samples(spark, sf_dir, {r.metric for r in RULES})
     first, last = tables.events(spark, sf_dir).agg(F.unix_seconds(F.min("ts")), F.unix_seconds(F.max("ts"))).first()
     at = F.unix_seconds("ts")
@@ -264,9 +264,27 @@ def alert_clock_states(spark: SparkSession, sf_dir: str) -> DataFrame:
         samples.filter((at >= edges[0]) & (at < edges[1])).write.mode("append").parquet(f"{work}/samples")
         stream = spark.readStream.schema(samples.schema).parquet(f"{work}/samples")
         alert_clock.start(stream, work, f"{work}/checkpoint", RULES, STEP, MAX_AGE, trigger=None).awaitTermination()
+        yield
+
+
+def alert_clock_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The states of the table's samples, a slice of time in each start of the stream."""
+    work = scratch_dir(spark, "clock")
+    for _ in clock_slices(spark, sf_dir, work, 5):
+        pass
     return shown(rounded(spark.read.schema(alert_clock.STATE).parquet(f"{work}/states")).drop("batch_id"))
 
 
+def alert_stream_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Who fires and who resolves, from the clock's ticks and timers, up to the last tick of the table."""
+    work = scratch_dir(spark, "changes")
+    for _ in clock_slices(spark, sf_dir, work, 3):
+        transitions.start(
+            alert_clock.ticks(spark, work), f"{work}/changes", f"{work}/timers", STEP, routing.RESOLVE_TIMEOUT, trigger=None
+        ).awaitTermination()
+    return shown(spark.read.schema(transitions.CHANGES).parquet(f"{work}/changes").drop("batch_id", "value"))
+
+
 QUERIES = {
     "bean_to_metric": bean_to_metric,
     "metric_relabel": metric_relabel,
@@ -302,4 +320,5 @@ QUERIES = {
     "alert_messages": alert_messages,
     "humanised_values": humanised_values,
     "alert_clock_states": alert_clock_states,
+    "alert_stream_transitions": alert_stream_transitions,
 }

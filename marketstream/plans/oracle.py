@@ -634,6 +634,9 @@ SELECT {bound('t')} AS ts, group_alertname, group_cluster, group_broker, 2, '',
     "humanised_values": f"""
 SELECT event_id, {human('v')} AS human
 FROM (SELECT event_id, round(value, 0) * [0.001, 1.0, 1000.0, 1e6, 1e9][event_id % 5 + 1]::double AS v FROM events)""",
+    "alert_stream_transitions": with_ctes(SAMPLES, INSTANT, ALL_RULES, CHANGES, select=f"""
+SELECT alertname, severity, labels, {bound('moment')} AS "at", status FROM changes
+WHERE moment <= (SELECT max({epoch('ts')}) // 21600 * 21600 FROM events)"""),
     "alert_clock_states": with_ctes(SAMPLES, INSTANT, ALL_RULES, select=f"""
 SELECT alertname, labels, {bound('t')} AS ts, value, {bound('since')} AS active_at, state, severity FROM states
 WHERE t <= (SELECT max(epoch_us(ts)) // 1000000 // {STEP} * {STEP} FROM events)"""),

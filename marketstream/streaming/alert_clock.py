@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,6 +15,9 @@ from marketstream.sinks import triggered
 from marketstream.sinks.files import batch_folder, write_batch
 
 
+#: Rows of ``ticks``: the firing alerts of each tick and, without an alert name, the last tick that was evaluated.
+TICK = "alertname string, severity string, labels map<string,string>, ts timestamp, value double"
+NAMES = ["alertname", "severity", "labels", "ts", "value"]
 STATE = "alertname string, labels map<string,string>, ts timestamp, value double, active_at timestamp, state string, severity string"
 
 
@@ -33,6 +36,9 @@ def start(
     look back at, and one row for each alert open at the last tick, with the time it has held since; so its cost does not
     grow with the stream's age, and a state is that of a table of all samples however old the alert is. Samples that
     arrive after their tick was evaluated count for later ticks only.
+
+    ``ticks`` gets the firing rows of each batch with one row for the batch's last tick, so that a reader knows how far
+    evaluation has come even when nothing fires.
     """
     step_s, age_s = times.seconds(step), times.seconds(max_age)
     recent_path, states_path, open_path = f"{output}/recent", f"{output}/states", f"{output}/open"
@@ -66,6 +72,9 @@ def start(
             both = alert_rules.states(ticks.unionByName(known), rules, step, F.col("since")).drop("since")
             found = both if done is None else both.filter(F.col("ts") > F.timestamp_seconds(F.lit(done)))
         write_batch(found.select(*still_open.columns), states_path, batch_id)
+        told = stored(still_open, states_path, batch_id).filter(F.col("state") == "firing")
+        clock = spark.range(0 if end is None else 1).select(F.timestamp_seconds(F.lit(end)).alias("ts"))
+        write_batch(told.unionByName(clock, allowMissingColumns=True).select(*NAMES), f"{output}/ticks", batch_id)
         if end is not None and (done is None or end > done):
             # An alert that does not hold at the last tick starts over when it holds again.
             still_open = stored(still_open, states_path, batch_id).filter(F.col("ts") == F.timestamp_seconds(F.lit(end)))
@@ -77,3 +86,8 @@ def start(
 
     writer = samples.writeStream.option("checkpointLocation", checkpoint).foreachBatch(evaluate)
     return triggered(writer, trigger).start()
+
+
+def ticks(spark: SparkSession, output: str) -> DataFrame:
+    """The clock's ``ticks`` as a stream, which ``transitions.changes`` takes."""
+    return spark.readStream.schema(TICK).parquet(f"{output}/ticks")

@@ -1,0 +1,104 @@
+"""Alert changes on a stream: equal to those of the table, over restarts, gaps and ticks out of order."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketstream.functions import labels as lb
+from marketstream.operators import rules
+from marketstream.streaming import alert_clock, transitions
+
+T0 = 1_704_067_200
+TICK = alert_clock.TICK
+
+
+def ticks(spark, rows):
+    """(alert, second) rows; no alert: the clock only."""
+    full = [(n, n and "critical", n and {"name": n}, s, n and float(s)) for n, s in rows]
+    df = spark.createDataFrame(full, "alertname string, severity string, labels map<string,string>, s bigint, value double")
+    return df.withColumn("ts", F.timestamp_seconds(F.col("s") + T0)).select(*alert_clock.NAMES)
+
+
+def told(df):
+    return sorted((r["alertname"], r["l"], r["t"], r["status"], r["value"]) for r in df.select(
+        "alertname", lb.label_text(F.col("labels")).alias("l"), (F.unix_seconds("at") - T0).alias("t"), "status", "value").collect())
+
+
+def run(spark, tmp_path, batches, name="x", starts=1, **options):
+    """All batches, one micro-batch each, in ``starts`` starts of the query."""
+    out = str(tmp_path / name)
+    per = -(-len(batches) // starts)
+    for i, batch in enumerate(batches):
+        ticks(spark, batch).coalesce(1).write.mode("append").parquet(f"{out}/ticks")
+        if (i + 1) % per and i + 1 < len(batches):
+            continue
+        stream = spark.readStream.schema(TICK).option("maxFilesPerTrigger", 1).parquet(f"{out}/ticks")
+        transitions.start(stream, f"{out}/changes", f"{out}/cp", trigger=None, **options).awaitTermination()
+    return told(spark.read.schema(transitions.CHANGES).parquet(f"{out}/changes"))
+
+
+def test_an_alert_resolves_when_nothing_arrives(spark, tmp_path):
+    batches = [[("a", 0), ("a", 30)], [("a", 60), (None, 60)], [(None, 300)], [(None, 360)], [(None, 390)]]
+    assert run(spark, tmp_path, batches[:3], "open") == [("a", "name=a", 0, "firing", 0.0)]
+    assert run(spark, tmp_path, batches) == [("a", "name=a", 0, "firing", 0.0), ("a", "name=a", 360, "resolved", 60.0)]
+
+
+def test_a_tick_at_the_end_of_the_quiet_time_goes_on(spark, tmp_path):
+    batches = [[("a", 0)], [("a", 300)], [(None, 599)], [("a", 601)], [(None, 2000)]]
+    assert [c[2:4] for c in run(spark, tmp_path, batches)] == [(0, "firing"), (600, "resolved"), (601, "firing"), (901, "resolved")]
+
+
+def test_one_leap_of_time_tells_everything(spark, tmp_path):
+    """All ticks in one batch, hours apart: no change waits for a later batch."""
+    found = run(spark, tmp_path, [[("a", 0), ("a", 5000), ("b", 100), (None, 90_000)]])
+    assert [c[0:1] + c[2:4] for c in found] == [
+        ("a", 0, "firing"), ("a", 300, "resolved"), ("a", 5000, "firing"), ("a", 5300, "resolved"), ("b", 100, "firing"), ("b", 400, "resolved")]
+
+
+@pytest.mark.parametrize("starts", [1, 4])
+def test_random_ticks_out_of_order(spark, tmp_path, starts):
+    """Within the lateness order does not matter, and rows that are written twice count once."""
+    rng = random.Random(starts)
+    rows = [(name, t) for name in "abc" for t in range(0, 9000, 30) if rng.random() < (0.1 if name == "a" else 0.5)]
+    rows += [(None, t) for t in range(0, 9000, 300)]
+    rows.sort(key=lambda r: r[1] + rng.random() * 110)
+    size = 150
+    batches = [rows[i : i + size] for i in range(0, len(rows), size)]
+    batches[1] = batches[1] + batches[1][:20]
+    got = run(spark, tmp_path, [*batches, [(None, 20_000)]], starts=starts, lateness=120)
+    expected = told(rules.transitions(ticks(spark, sorted({r for r in rows if r[0]}))))
+    assert got == expected and len({c[0] for c in got}) == 3
+
+
+def test_state_ends_with_the_alert(spark, tmp_path):
+    """Resolved alerts leave nothing behind."""
+    out = str(tmp_path / "x")
+    ticks(spark, [(n, 0) for n in "abcdef"] + [(None, 5000)]).coalesce(1).write.parquet(f"{out}/ticks")
+    stream = spark.readStream.schema(TICK).parquet(f"{out}/ticks")
+    query = transitions.start(stream, f"{out}/changes", f"{out}/cp", trigger=None)
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 0
+
+
+def test_clock_and_changes(spark, tmp_path):
+    """Samples to states to changes, in slices: the same as from one table of samples."""
+    rng = random.Random(8)
+    rows = []
+    for t in range(0, 7200, 30):
+        for b in (1, 2):
+            down = (t // 1200) % 2 == b % 2 and rng.random() < 0.97
+            rows.append((T0 + t, "up", {"job": "kafka", "cluster": "c", "broker": f"kafka-{b}"}, 0.0 if down else 1.0))
+    schema = "s bigint, metric string, labels map<string,string>, value double"
+    as_samples = lambda part: spark.createDataFrame(part, schema).select(F.timestamp_seconds("s").alias("ts"), "metric", "labels", "value")
+    chosen = [r for r in rules.RULES if r.alertname == "KafkaBrokerDown"]
+    out = str(tmp_path / "out")
+    for i in range(0, len(rows), 160):
+        as_samples(rows[i : i + 160]).coalesce(1).write.mode("append").parquet(f"{out}/in")
+        stream = spark.readStream.schema(as_samples(rows[:1]).schema).parquet(f"{out}/in")
+        alert_clock.start(stream, out, f"{out}/cp", chosen, trigger=None).awaitTermination()
+        transitions.start(alert_clock.ticks(spark, out), f"{out}/changes", f"{out}/cp2", trigger=None).awaitTermination()
+    firing = rules.states(rules.evaluate(as_samples(rows), chosen, end=T0 + 7170), chosen).filter("state = 'firing'")
+    expected = [c for c in told(rules.transitions(firing)) if c[2] <= 7170]
+    got = told(spark.read.schema(transitions.CHANGES).parquet(f"{out}/changes"))
+    assert got == expected and {c[3] for c in got} == {"firing", "resolved"}
