@@ -131,6 +131,15 @@ marked AS (
   SELECT a.event_id, a.batch, a.s, (SELECT max(b.s) - 600 FROM arriving b WHERE b.batch < a.batch) AS mark
   FROM arriving a)
 SELECT event_id, batch, {bound('mark')} AS watermark FROM marked WHERE (s // 120) * 120 + 300 <= mark""",
+    "late_stream": f"""
+WITH arriving AS (
+  SELECT event_id, least(event_id * 4 // (SELECT count(*) FROM events), 3) AS batch,
+         {epoch('ts')} - CASE WHEN event_id % 40 = 7 THEN 172800 ELSE 0 END AS s FROM events),
+marks AS (SELECT batch, lag(high) OVER (ORDER BY batch) - 600 AS mark
+          FROM (SELECT batch, max(max(s)) OVER (ORDER BY batch) AS high FROM arriving GROUP BY batch))
+SELECT event_id, coalesce((s // 120) * 120 + 300 <= mark, false) AS late,
+       CASE WHEN (s // 120) * 120 + 300 <= mark THEN {bound('mark')} END AS watermark
+FROM arriving JOIN marks USING (batch)""",
     "sliding_counts_5m_2m": counts(300, 120),
     "sliding_counts_1d_12h": counts(DAY, DAY // 2),
     "sliding_counts_7d_1d": counts(7 * DAY, DAY),

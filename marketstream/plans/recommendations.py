@@ -11,16 +11,19 @@ from marketstream.functions import codec, times
 from marketstream.operators import activity, events, ranking, readback
 from marketstream.session import scratch_dir
 from marketstream.sinks import triggered
+from marketstream.sinks.files import write_batch
 from marketstream.sources import files, tables
-from marketstream.streaming import jobs, recommend
+from marketstream.streaming import jobs, lateness, recommend
 
 SPARSE = ("7 days", "1 day")
 REFERENCE = ("5 minutes", "2 minutes")
+#: Micro-batches of ``late_stream``.
+LATE_BATCHES = 4
 
 
-def timed_events(spark: SparkSession, sf_dir: str, streaming: bool = False, lateness: str | None = None) -> DataFrame:
+def timed_events(spark: SparkSession, sf_dir: str, streaming: bool = False, wait: str | None = None) -> DataFrame:
     source = tables.client_events(spark, sf_dir, streaming, with_product=True)
-    return events.with_event_time(events.with_product(source), lateness)
+    return events.with_event_time(events.with_product(source), wait)
 
 
 def bounds(df: DataFrame) -> DataFrame:
@@ -164,16 +167,16 @@ def recommend_lists(size: str, slide: str):
 def recommend_stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest list of each (window, user) after the whole table has been streamed."""
     work = scratch_dir(spark, "recommend-update")
-    stream = timed_events(spark, sf_dir, streaming=True, lateness="10 minutes")
+    stream = timed_events(spark, sf_dir, streaming=True, wait="10 minutes")
     query = recommend.start_update(stream, work, f"{work}/checkpoint", *SPARSE, trigger=None)
     query.awaitTermination()
-    return listed(recommend.latest(recommend.results(spark, work)))
+    return listed(recommend.current(spark, work))
 
 
 def recommend_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lists of the windows that the final watermark has closed."""
     work = scratch_dir(spark, "recommend-append")
-    stream = timed_events(spark, sf_dir, streaming=True, lateness="10 minutes")
+    stream = timed_events(spark, sf_dir, streaming=True, wait="10 minutes")
     query = recommend.start_append(stream, work, f"{work}/checkpoint", *SPARSE, trigger=None)
     query.awaitTermination()
     return listed(recommend.results(spark, work))
@@ -209,6 +212,32 @@ def recommendation_stream_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(read.schema).parquet(f"{work}/read")
 
 
+def streamed_in_order(spark: SparkSession, sf_dir: str, work: str, files_: int) -> DataFrame:
+    """The stragglers of ``late_rows`` as a stream of ``files_`` files in the order of their ids, one to a micro-batch."""
+    source = tables.events(spark, sf_dir)
+    shifted = F.when(F.col("event_id") % 40 == 7, F.col("ts") - F.expr("INTERVAL 2 DAYS")).otherwise(F.col("ts"))
+    n = source.count()
+    arriving = source.select("event_id", F.date_trunc("second", shifted).alias("event_time"),
+                             F.least(F.floor(F.col("event_id") * files_ / n), F.lit(files_ - 1)).alias("part"))
+    for part in range(files_):
+        arriving.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{work}/in")
+    return spark.readStream.schema(arriving.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
+
+
+def late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event once: put aside as late by the split stream, with its watermark, or counted by the stream behind it."""
+    work = scratch_dir(spark, "late")
+    stream = streamed_in_order(spark, sf_dir, work, LATE_BATCHES)
+    lateness.start(stream, work, f"{work}/checkpoint", *REFERENCE, "10 minutes", trigger=None).awaitTermination()
+    on_time = lateness.on_time(spark, work, stream.schema, "10 minutes", maxFilesPerTrigger="2")
+    counted = activity.sliding_counts(on_time, *REFERENCE, by=["event_id"])
+    writer = counted.writeStream.outputMode("update").option("checkpointLocation", f"{work}/counting")
+    triggered(writer.foreachBatch(lambda batch, i: write_batch(batch, f"{work}/counts", i)), None).start().awaitTermination()
+    counts = spark.read.schema(counted.schema).parquet(f"{work}/counts").select("event_id").distinct()
+    aside = lateness.late(spark, work, stream.schema).select("event_id", times.format_rfc3339(F.col("watermark")).alias("watermark"))
+    return aside.withColumn("late", F.lit(True)).unionByName(counts.withColumn("late", F.lit(False)), allowMissingColumns=True)
+
+
 QUERIES = {
     "recommendation_stream_read": recommendation_stream_read,
     "event_decode": event_decode,
@@ -221,6 +250,7 @@ QUERIES = {
     "event_time_parse": event_time_parse,
     "dedup_events": dedup_events,
     "late_rows": late_rows,
+    "late_stream": late_stream,
     "sliding_counts_5m_2m": counts(*REFERENCE),
     "sliding_counts_1d_12h": counts("1 day", "12 hours"),
     "sliding_counts_7d_1d": counts(*SPARSE),

@@ -14,15 +14,16 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from marketstream.operators import activity, ranking
 from marketstream.session import delete_folder
 from marketstream.sinks import kafka as kafka_sink
-from marketstream.sinks import triggered
+from marketstream.sinks import triggered, upsert
 from marketstream.sinks.files import batch_folder, write_batch
 
-COUNTS, CHANGES, RESULTS = "counts", "changes", "results"
+COUNTS, CHANGES, RESULTS, TABLE = "counts", "changes", "results", "table"
 
 #: Batches between two snapshots of the open counts.
 SNAPSHOT = 10
@@ -97,7 +98,7 @@ def start_update(
     The aggregate emits changed counts only, but a rank also depends on the unchanged ones. So each batch writes its
     changes, and every ``SNAPSHOT`` batches the counts of all windows still open are put together into a snapshot. A batch
     reads the last snapshot and the changes since, keeps the groups it touches and ranks those alone. A batch that runs
-    again reads the same tables and replaces its own folders.
+    again reads the same tables and replaces its own folders. ``current`` reads the newest lists.
     """
     by = [c for c in within if c != "window"] + ["product_id"]
     counts = activity.sliding_counts(timed_events, size, slide, by)
@@ -114,6 +115,11 @@ def start_update(
         if batch_id == base:
             older = stored(counts_path, [base - SNAPSHOT] if base else []) + stored(changes_path, range(max(base - SNAPSHOT, 0), base))
             write_batch(_open_counts(older, by, size, lateness) if older else changes.limit(0), counts_path, base)
+        if batch_id == base + 1:
+            # The snapshot's batch is done, so nothing reads what it was made from again.
+            delete_folder(spark, batch_folder(counts_path, base - SNAPSHOT))
+            for done in range(base - SNAPSHOT, base):
+                delete_folder(spark, batch_folder(changes_path, done))
         now = stored(changes_path, [batch_id])[0]
         if batch_id > 0 and now.isEmpty():
             return  # a batch that only moves the watermark changes no list
@@ -125,23 +131,30 @@ def start_update(
         # Counts only grow, so the larger one is the newer one. The first batch has no older ones.
         newest = picked.groupBy("window", *by).agg(F.max("n").alias("n")) if batch_id > 0 else now
         _write(ranking.as_lists(ranking.top_k(newest, within, k), within), output, batch_id, publish)
-        if batch_id == base + 1:
-            # The snapshot's batch is done, so nothing reads what it was made from again.
-            delete_folder(spark, batch_folder(counts_path, base - SNAPSHOT))
-            for done in range(base - SNAPSHOT, base):
-                delete_folder(spark, batch_folder(changes_path, done))
+        upsert.commit(spark, f"{output}/{RESULTS}", f"{output}/{TABLE}", batch_id, *_lists(within))
 
     writer = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(rank)
     return triggered(writer, trigger).start()
 
 
+def _lists(within: Sequence[str]) -> tuple[T.StructType, list[str]]:
+    """The type and the key of a list of the groups ``within``."""
+    groups = [T.StructField(c, T.StringType()) for c in within if c != "window"]
+    bounds = [T.StructField(c, T.TimestampType()) for c in ("window_start", "window_end")]
+    rest = [T.StructField("product_ids", T.ArrayType(T.StringType())), T.StructField("generated_at", T.StringType())]
+    return T.StructType([*groups, *rest, *bounds]), [f.name for f in (*groups, *bounds)]
+
+
+def current(spark: SparkSession, output: str, within: Sequence[str] = ("window", "user_id")) -> DataFrame:
+    """The newest list of each group; reads the base of the table and the batches since, however many there were."""
+    return upsert.current(spark, f"{output}/{RESULTS}", f"{output}/{TABLE}", *_lists(within)).drop("version")
+
+
 def results(spark: SparkSession, output: str) -> DataFrame:
     """All lists written so far, with the ``batch_id`` that wrote them."""
     return spark.read.parquet(f"{output}/{RESULTS}")
 
 
 def latest(written: DataFrame, within: Sequence[str] = ("window_start", "window_end", "user_id")) -> DataFrame:
-    """The newest list of each group."""
-    rest = [c for c in written.columns if c not in (*within, "batch_id")]
-    newest = F.max(F.struct("batch_id", *rest)).alias("_new")
-    return written.groupBy(*within).agg(newest).select(*within, *[F.col(f"_new.{c}").alias(c) for c in rest])
+    """The newest list of each group of a table of all lists."""
+    return upsert.newest(written, within).drop("batch_id")
