@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from marketstream.functions import labels as lb
 from marketstream.functions import times
+from marketstream.operators import membership
+from marketstream.session import materialise
 
 MICROS = 1_000_000
 DAY = 86_400 * MICROS
@@ -113,19 +115,17 @@ def last_values(samples: DataFrame) -> DataFrame:
         "metric", lb.from_series_key(F.col("series")).alias("labels"), "ts", "value")
 
 
-#: Samples of one series that are ordered together lie in one of these, whatever span is asked for.
-BUCKET = "5 minutes"
+#: Samples of one series that are ordered together lie in a bucket of time: an eighth of the span, but at least this long.
+LEAST_BUCKET = "5 minutes"
+BUCKETS_A_SPAN = 8
+LOOKUP, SAMPLE = 0, 1
 
 
-def _identified(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``id, at, value`` with one row per series and time, and the names of the ids: ``id, metric, labels``.
-
-    The id is a hash of metric and labels, so that label sets travel once per series and not with each sample. Of samples
-    at the same time the largest counts.
-    """
-    rows = keyed(samples).withColumn("id", F.xxhash64("metric", "series"))
-    names = rows.select("id", "metric", "series").distinct().select("id", "metric", lb.from_series_key(F.col("series")).alias("labels"))
-    return rows.groupBy("id", "at").agg(F.max("value").alias("value")), names
+def bucket_width(span: str | int, bucket: str | int | None) -> int:
+    """Microseconds of a bucket. A span takes few buckets, and a series that owns many samples still has many."""
+    if bucket is not None:
+        return times.seconds(bucket) * MICROS
+    return max(times.seconds(LEAST_BUCKET), times.seconds(span) // BUCKETS_A_SPAN) * MICROS
 
 
 def _climb(value: Column, before: Column) -> Column:
@@ -133,96 +133,125 @@ def _climb(value: Column, before: Column) -> Column:
     return F.when(value >= before, value - before).when(before.isNotNull(), value).otherwise(F.lit(0.0))
 
 
-def _climbed(unique: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
-    """Samples with ``inc``, their increase over the one before, and ``sum``, all increases so far; and the table of buckets.
+def _identified(samples: DataFrame) -> DataFrame:
+    """Samples with a time and a value, ``id, metric, series, at, value``; the id is a hash of metric and labels."""
+    complete = keyed(samples).filter(F.col("value").isNotNull() & F.col("at").isNotNull())
+    return complete.withColumn("id", F.xxhash64("metric", "series"))
+
+
+def _named(rows: DataFrame, samples: DataFrame) -> DataFrame:
+    """``rows`` with the ``metric`` and ``labels`` of their ``id``, which travel once per series and not with each row.
 
-    A series is cut into buckets of time. Each bucket is ordered by itself; what a bucket has to know of the others (the value
-    before its first sample, the increases before it, the sample after its last) comes from a table with one row per bucket.
+    The names are written down and measured: few are broadcast, many are joined.
     """
-    local, key = W.partitionBy("id", "bucket").orderBy("at"), ["id", "bucket"]
-    rows = unique.withColumn("bucket", round_down(F.col("at"), width))
-    rows = rows.withColumn("inc", _climb(F.col("value"), F.lag("value").over(local)))
-    ends = rows.groupBy(*key).agg(
-        F.min("at").alias("_at"), F.min_by("value", "at").alias("_first"), F.max_by("value", "at").alias("_last"), F.sum("inc").alias("_inside")
-    )
-    buckets = W.partitionBy("id").orderBy("bucket")
-    ends = ends.withColumn("_entry", _climb(F.col("_first"), F.lag("_last").over(buckets)))
-    earlier = F.coalesce(F.sum(F.col("_entry") + F.col("_inside")).over(buckets.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
-    ends = ends.withColumn("_base", earlier + F.col("_entry"))
-    ends = ends.withColumns({"_after_at": F.lead("_at").over(buckets), "_after_sum": F.lead("_base").over(buckets)})
-    joined = rows.join(ends.select(*key, "_at", "_entry", "_base", "_after_at", "_after_sum"), key)
-    is_first = F.col("at") == F.col("_at")
-    running = F.col("_base") + F.sum("inc").over(local.rowsBetween(W.unboundedPreceding, 0))
-    climbed = joined.withColumn("sum", running).withColumn("inc", F.when(is_first, F.col("_entry")).otherwise(F.col("inc")))
-    return climbed.drop("_at", "_entry", "_base"), ends.select(*key, "_at", "_base")
-
-
-def rate(samples: DataFrame, span: str | int = 60, bucket: str | int = BUCKET) -> DataFrame:
-    """Per-second increase at each sample over the ``span`` before it, ends included; null for a lone sample.
+    names = samples.select("id", "metric", "series").distinct()
+    names = materialise(names.select("id", "metric", lb.from_series_key(F.col("series")).alias("labels")), "names")
+    sizes = names.select("id", F.to_json("labels").alias("labels"))
+    return rows.join(F.broadcast(names) if membership.is_small(sizes) else names, "id")
+
 
-    There is no extrapolation to the span's edges.
+def _in_buckets(samples: DataFrame, width: int, span: int | None = None) -> DataFrame:
+    """Identified samples by bucket (``id, bucket, pos, kind, value``) with ``inside``, the increases of their bucket so far.
 
-    Each sample leaves a mark one span later, which names the sample that spans start at from there on. The marks of a
-    bucket are ordered with its samples, and the newest mark of the buckets before is carried on, so no task orders more of
-    a series than the samples and marks of one bucket.
+    Of samples at the same time the largest counts. With a ``span`` each sample also places a lookup one span earlier, in
+    front of a sample at that time. Rows are shuffled once here, without their labels.
     """
-    width, span_us, key = times.seconds(bucket) * MICROS, times.seconds(span) * MICROS, ["id", "bucket"]
-    unique, names = _identified(samples)
-    climbed, ends = _climbed(unique, width)
-    local = W.partitionBy(*key).orderBy("at")
-    mark = F.struct(
-        F.coalesce(F.lead("at").over(local), F.col("_after_at")).alias("at"),
-        F.coalesce(F.lead("sum").over(local), F.col("_after_sum")).alias("sum"),
+    places = [F.struct(F.col("at").alias("pos"), F.lit(SAMPLE).alias("kind"), "value")]
+    if span is not None:
+        places.append(F.struct((F.col("at") - span).alias("pos"), F.lit(LOOKUP).alias("kind"), F.lit(None).cast("double").alias("value")))
+    placed = samples.select("id", F.inline(F.array(*places)))
+    # The filter keeps every row. Joins need it, and one that stands here in all copies of the plan lets them share the shuffle.
+    dealt = placed.withColumn("bucket", round_down(F.col("pos"), width)).filter(F.col("bucket").isNotNull()).repartition("id", "bucket")
+    ordered = W.partitionBy("id", "bucket").orderBy("pos", "kind", "value")
+    again = (F.lead("pos").over(ordered) == F.col("pos")) & (F.lead("kind").over(ordered) == F.col("kind"))
+    once = dealt.withColumn("_again", F.coalesce(again, F.lit(False))).filter(~F.col("_again")).drop("_again")
+    before = F.last("value", ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, -1))
+    inc = F.when(F.col("kind") == SAMPLE, _climb(F.col("value"), before))
+    return once.withColumn("_inc", inc).withColumn("inside", F.sum("_inc").over(ordered.rowsBetween(W.unboundedPreceding, 0))).drop("_inc")
+
+
+def _summaries(rows: DataFrame) -> DataFrame:
+    """One row per bucket: what a bucket of a counter has to know of the others.
+
+    A bucket is summed up by its first and last sample and the increase between them. Summaries add up from left to right: the step from one
+    bucket's last to the next one's first sample joins them. ``base`` is the sum of all increases up to the bucket's
+    first sample, ``before`` the time of the last sample of earlier buckets, ``after`` time and sum of the first sample of later ones.
+    """
+    at = F.when(F.col("kind") == SAMPLE, F.col("pos"))
+    ends = rows.groupBy("id", "bucket").agg(
+        F.min(at).alias("_at"), F.max(at).alias("_until"), F.min_by("value", at).alias("_first"), F.max_by("value", at).alias("_last"),
+        F.max("inside").alias("_inside"),
     )
-    marked = climbed.withColumn("_mark", mark).drop("_after_at", "_after_sum")
-    pos = F.col("at") + span_us
-    places = F.array(
-        F.struct(F.col("bucket"), F.col("at").alias("pos"), F.lit(0).alias("kind"), F.lit(None).cast("struct<at:bigint,sum:double>").alias("from")),
-        F.struct(round_down(pos, width).alias("bucket"), pos.alias("pos"), F.lit(1).alias("kind"), F.col("_mark").alias("from")),
+    buckets = W.partitionBy("id").orderBy("bucket")
+    earlier, later = (w.rowsBetween(W.unboundedPreceding, -1) for w in (buckets, W.partitionBy("id").orderBy(F.desc("bucket"))))
+    entry = F.when(F.col("_first").isNotNull(), _climb(F.col("_first"), F.last("_last", ignorenulls=True).over(earlier)))
+    ends = ends.withColumn("_entry", entry)
+    ends = ends.withColumn("base", F.coalesce(F.sum(F.col("_entry") + F.col("_inside")).over(earlier), F.lit(0.0)) + F.col("_entry"))
+    first = F.when(F.col("_at").isNotNull(), F.struct(F.col("_at").alias("at"), F.col("base").alias("sum")))
+    return ends.select(
+        "id", "bucket", "base", F.last("_until", ignorenulls=True).over(earlier).alias("before"),
+        F.last(first, ignorenulls=True).over(later).alias("after"),
     )
-    # At equal positions a sample comes before the mark: a span includes its start.
-    placed = marked.select("id", "at", "value", "sum", F.inline(places))
-    newest = placed.filter("kind = 1").groupBy(*key).agg(F.max_by("from", "pos").alias("_newest"))
-    # The first sample of a series is where its spans start until there is a mark.
-    starts = W.partitionBy("id").orderBy("bucket")
-    all_buckets = placed.select(*key).distinct().join(newest, key, "left").join(ends, key, "left")
-    origin = F.when(F.col("_at").isNotNull(), F.struct(F.col("_at").alias("at"), F.col("_base").alias("sum")))
-    carried = all_buckets.select(*key, F.coalesce(
-        F.last("_newest", ignorenulls=True).over(starts.rowsBetween(W.unboundedPreceding, -1)),
-        F.first(origin, ignorenulls=True).over(starts.rowsBetween(W.unboundedPreceding, 0)),
-    ).alias("_carried"))
-    passed = W.partitionBy(*key).orderBy("pos", "kind").rowsBetween(W.unboundedPreceding, 0)
-    begun = placed.withColumn("_begun", F.last("from", ignorenulls=True).over(passed)).filter("kind = 0")
-    found = begun.join(carried, key).withColumn("_start", F.coalesce("_begun", "_carried"))
-    elapsed = (F.col("at") - F.col("_start.at")) / F.lit(MICROS)
-    rated = found.select("id", "at", "value", F.try_divide(F.col("sum") - F.col("_start.sum"), elapsed).alias("rate"))
-    return rated.join(names, "id").select("metric", "labels", F.timestamp_micros("at").alias("ts"), "value", "rate")
+
+
+def rate(samples: DataFrame, span: str | int = 60, bucket: str | int | None = None) -> DataFrame:
+    """Per-second increase at each sample over the ``span`` before it, ends included; null for a lone sample.
+
+    There is no extrapolation to the span's edges. The rate is the difference of two looked-up sums of increases: that at the
+    sample, and that at the first sample from one span earlier on. Both are found among the rows of one bucket, or in
+    the summary of the buckets, and meet by series and time.
+    """
+    span_us = times.seconds(span) * MICROS
+    width = bucket_width(span, bucket)
+    samples = _identified(samples)
+    rows = _in_buckets(samples, width, span_us)
+    falling = W.partitionBy("id", "bucket").orderBy(F.desc("pos"), F.desc("kind")).rowsBetween(W.unboundedPreceding, 0)
+    here = F.when(F.col("kind") == SAMPLE, F.struct(F.col("pos").alias("at"), F.col("inside").alias("sum")))
+    found = rows.withColumn("_next", F.last(here, ignorenulls=True).over(falling)).join(_summaries(rows), ["id", "bucket"])
+    is_lookup = F.col("kind") == LOOKUP
+    start_at = F.when(is_lookup, F.coalesce("_next.at", "after.at"))
+    start_sum = F.when(is_lookup, F.coalesce(F.col("base") + F.col("_next.sum"), F.col("after.sum")))
+    met = found.select(
+        "id", F.when(is_lookup, F.col("pos") + span_us).otherwise(F.col("pos")).alias("at"),
+        "value",
+        F.when(~is_lookup, F.col("base") + F.col("inside")).alias("_sum"), start_at.alias("_start"), start_sum.alias("_from"),
+    ).groupBy("id", "at").agg(*[F.max(c).alias(c) for c in ("value", "_sum", "_start", "_from")])
+    elapsed = (F.col("at") - F.col("_start")) / F.lit(MICROS)
+    rated = met.select("id", F.timestamp_micros("at").alias("ts"), "value", F.try_divide(F.col("_sum") - F.col("_from"), elapsed).alias("rate"))
+    return _named(rated, samples).select("metric", "labels", "ts", "value", "rate")
 
 
 def rate_at_ticks(
-    samples: DataFrame, span: str | int = 60, step: str | int = 30, bucket: str | int = BUCKET, end: int | None = None
+    samples: DataFrame, span: str | int = 60, step: str | int = 30, bucket: str | int | None = None, end: int | None = None
 ) -> DataFrame:
     """The rate over the ``span`` before each tick: ``metric, labels, ts, value``. A span with one sample has none.
 
-    Each sample is copied to the ticks whose span holds it (about ``span / step``) and summed there, before the shuffle as far
-    as a task has samples of the same tick.
+    A span's rate is the difference of the sums of increases at its last and its first sample. A sample is the last one of
+    the ticks up to the next sample, and the first one of those whose span begins after the sample before; it is sent to these alone, so
+    a tick of a series gets two rows, however many samples its span holds.
     """
     span_us, step_us = times.seconds(span) * MICROS, times.seconds(step) * MICROS
-    first, last = round_up(F.col("at"), step_us), round_down(F.col("at") + span_us, step_us)
+    samples = _identified(samples)
+    rows, at = _in_buckets(samples, bucket_width(span, bucket)), F.col("pos")
+    local = W.partitionBy("id", "bucket").orderBy("pos", "kind", "value")
+    neighbours = rows.withColumns({"_prior": F.lag("pos").over(local), "_next": F.lead("pos").over(local)})
+    found = neighbours.join(_summaries(rows), ["id", "bucket"])
+    prior, following = F.coalesce("_prior", "before"), F.coalesce("_next", "after.at")
+    begin, until = round_up(at, step_us), round_down(at + span_us, step_us)
     if end is not None:
-        last = F.least(last, F.lit(end * MICROS))
-    ticks = F.explode(F.sequence(F.col("_first"), F.col("_last"), F.lit(step_us))).alias("tick")
-    unique, names = _identified(samples)
-    sums = (
-        _climbed(unique, times.seconds(bucket) * MICROS)[0]
-        .withColumns({"_first": first, "_last": last})
-        .filter(F.col("_last") >= F.col("_first"))
-        .select("id", "at", "inc", ticks)
-        .groupBy("id", "tick")
-        # A series has one sample per time here, so the first increase is unambiguous.
-        .agg(F.sum("inc").alias("_all"), F.min_by("inc", "at").alias("_first"), F.min("at").alias("_start"), F.max("at").alias("_end"))
-        .filter(F.col("_end") > F.col("_start"))
+        until = F.least(until, F.lit(end * MICROS))
+    ranges = F.array(
+        F.struct(begin.alias("first"), F.least(until, round_down(following - 1, step_us)).alias("last"), F.lit(True).alias("is_last")),
+        F.struct(F.greatest(begin, round_up(prior + span_us + 1, step_us)).alias("first"), until.alias("last"), F.lit(False).alias("is_last")),
+    )
+    sent = (
+        found.select("id", at.alias("at"), (F.col("base") + F.col("inside")).alias("sum"), F.inline(ranges))
+        .filter(F.col("first") <= F.col("last"))
+        .withColumn("tick", F.explode(F.sequence("first", "last", F.lit(step_us))))
     )
-    value = (F.col("_all") - F.col("_first")) / ((F.col("_end") - F.col("_start")) / F.lit(MICROS))
-    found = sums.select("id", F.timestamp_micros("tick").alias("ts"), value.alias("value"))
-    return found.join(names, "id").select("metric", "labels", "ts", "value")
+    ends = {f"_{name}_{c}": F.max(F.when(F.col("is_last") == is_last, F.col(c))) for name, is_last in (("last", True), ("first", False)) for c in ("at", "sum")}
+    met = sent.groupBy("id", "tick").agg(*[c.alias(n) for n, c in ends.items()]).filter("_last_at > _first_at")
+    elapsed = (F.col("_last_at") - F.col("_first_at")) / F.lit(MICROS)
+    value = (F.col("_last_sum") - F.col("_first_sum")) / elapsed
+    rated = met.select("id", F.timestamp_micros("tick").alias("ts"), value.alias("value"))
+    return _named(rated, samples).select("metric", "labels", "ts", "value")

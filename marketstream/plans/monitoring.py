@@ -109,12 +109,12 @@ def byte_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = series.rate(byte_samples(spark, sf_dir), SPAN, STEP)
+    found = series.rate(byte_samples(spark, sf_dir), SPAN)
     return shown(found.select("labels", "ts", "value", F.round("rate", 6).alias("rate")))
 
 
 def metric_rate_at_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = series.rate_at_ticks(byte_samples(spark, sf_dir), SPAN, STEP, STEP)
+    found = series.rate_at_ticks(byte_samples(spark, sf_dir), SPAN, STEP)
     return shown(found.select("labels", "ts", F.round("value", 6).alias("value")))
 
 

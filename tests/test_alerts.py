@@ -61,7 +61,7 @@ def test_sum_of_nothing_has_no_row(spark):
     assert rules.evaluate(nothing, controller).count() == 0
 
 
-@pytest.mark.parametrize("bucket", [60, 90, 3600])
+@pytest.mark.parametrize("bucket", [7, 60, 90, 3600, None])
 def test_rate(spark, bucket):
     rows = [(T0 + 30 * i, "m", {}, float(v)) for i, v in enumerate([10, 40, 70, 5])]
     found = series.rate(samples(spark, rows), 60, bucket).orderBy("ts").collect()
@@ -84,7 +84,7 @@ def test_rate_by_brute_force(spark):
         return round(climbed / (inside[-1][0] - inside[0][0]), 9)
 
     df = samples(spark, [(T0 + t, "m", {"a": "1"}, v) for t, v in points])
-    for bucket in (100, 777):
+    for bucket in (13, 100, 777, None):
         got = {r.t: r.rate and round(r.rate, 9) for r in at_seconds(series.rate(df, 60, bucket), "rate")}
         assert got == {t: expected(t, 60) for t, _ in points}
         ticks = {r.t: round(r.value, 9) for r in at_seconds(series.rate_at_ticks(df, 60, 30, bucket), "value")}
@@ -98,16 +98,40 @@ def test_rate_of_a_hot_series(spark):
     rows = hot.union(cold).select(
         F.timestamp_seconds(F.lit(T0) + F.col("t")).alias("ts"), F.lit("m").alias("metric"),
         F.create_map(F.lit("a"), "who").alias("labels"), (F.col("t") % 1000).cast("double").alias("value"))
-    unique, _ = series._identified(rows)
-    climbed, _ = series._climbed(unique, 300 * series.MICROS)
-    sizes = [r["count"] for r in climbed.groupBy("id", "bucket").count().collect()]
-    assert sum(sizes) == 18000 and max(sizes) <= 300 / 14 + 1
+    placed = series._in_buckets(series._identified(rows), 300 * series.MICROS, 3600 * series.MICROS)
+    sizes = [r["count"] for r in placed.groupBy("id", "bucket").count().collect()]
+    assert sum(sizes) == 2 * 18000 and max(sizes) <= 2 * (300 / 14 + 1)
+    assert series.bucket_width("1 hour", None) == 450 * series.MICROS and series.bucket_width("1 minute", None) == 300 * series.MICROS
     found = series.rate(rows, "1 hour")
     assert found.count() == 18000
     # Near 1 a second but for resets, which lose at most one step.
     assert found.filter("labels.a = 'hot' and (rate > 1.001 or rate < 0.9)").filter(F.unix_seconds("ts") > T0 + 3600).count() == 0
 
 
+def test_rate_over_gaps_and_equal_times(spark):
+    """Spans across empty buckets; of samples at one time the larger counts; samples without a value or a time do not."""
+    rows = [(T0, 5.0), (T0, 9.0), (T0, 9.0), (T0 + 10, None), (T0 + 1000, 20.0), (T0 + 1000, 1.0), (None, 3.0), (T0 + 5000, 2.0), (T0 + 5001, 4.0)]
+    df = spark.createDataFrame([(t, "m", {"a": "1"}, v) for t, v in rows], "s bigint, metric string, labels map<string,string>, value double")
+    df = df.select(F.timestamp_seconds("s").alias("ts"), "metric", "labels", "value")
+    for bucket in (3, 100, None):
+        got = [(r.t, r.value, r.rate) for r in at_seconds(series.rate(df, 1000, bucket), "value", "rate")]
+        assert got == [(0, 9.0, None), (1000, 20.0, 0.011), (5000, 2.0, None), (5001, 4.0, 2.0)]
+        ticks = {r.t: r.value for r in at_seconds(series.rate_at_ticks(df, 1000, 200, bucket), "value")}
+        assert ticks == {1000: 0.011} | {t: 2.0 for t in range(5200, 6001, 200)}
+        assert series.rate_at_ticks(df, 1000, 200, bucket, end=T0 + 5400).count() == 3
+    assert series.rate(df.limit(0)).collect() == [] and series.rate_at_ticks(df.limit(0)).collect() == []
+
+
+def test_rates_shuffle_each_sample_once(spark):
+    """Samples are not copied to ticks, and the plan has few shuffles."""
+    df = samples(spark, [(T0 + 15 * i, "m", {"a": "1"}, float(i)) for i in range(100)])
+    for found, most in ((series.rate(df, "1 day"), 6), (series.rate_at_ticks(df, "1 day", 30), 6)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= most
+    sent = series.rate_at_ticks(df, "1 day", 30)
+    assert sent.count() == (100 * 15 + 86400) // 30 - 1
+
+
 def test_beans(spark):
     lines = [
         ("kafka.server<type=BrokerTopicMetrics, name=MessagesInPerSec><>OneMinuteRate",
