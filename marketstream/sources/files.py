@@ -9,30 +9,26 @@ from pyspark.sql import types as T
 
 from marketstream import schemas
 from marketstream.session import is_directory
+from marketstream.sources import json_array
 
 # The control set used when no file exists.
 DEFAULT_BANNED = ["tobacco", "alcohol", "weapons"]
 
 
 def catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of products; a broken file is an error."""
-    return spark.read.schema(schemas.PRODUCT).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    """The products of JSON arrays, read by as many tasks as the files have ranges; a broken file is an error."""
+    return json_array.read(spark, path, schemas.PRODUCT).select("element.*")
 
 
 def control_set(spark: SparkSession, path: str) -> DataFrame:
     """A JSON array of category names without duplicates; the default set when the file is missing."""
     try:
-        lines = spark.read.text(path, wholetext=True)
+        names = json_array.read(spark, path, T.StringType(), ",")
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([(c,) for c in DEFAULT_BANNED], "category string")
-    names = F.from_json("value", T.ArrayType(T.StringType()), {"mode": "FAILFAST"})
-    return (
-        lines.select(F.explode(names).alias("category"))
-        .filter(F.col("category").isNotNull())
-        .distinct()
-    )
+    return names.select(F.col("element").alias("category")).filter(F.col("category").isNotNull()).distinct()
 
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
