@@ -129,6 +129,38 @@ def test_large_set_is_not_broadcast(spark):
     assert joined.count() == 500
 
 
+@pytest.mark.parametrize("hits_small", [True, False])
+@pytest.mark.parametrize("how", ["left_anti", "left_semi", "left"])
+def test_set_joins_are_the_same_at_every_size(spark, monkeypatch, how, hits_small):
+    """Against Spark's own join: a key with a third of the rows, keys of the set that do not occur, nulls, repeated rows."""
+    n = 6000
+    rows = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 1, F.lit(None)).otherwise(
+        F.concat(F.lit("c"), F.pmod(F.xxhash64("id"), F.lit(500)).cast("string"))).alias("k"))
+    keys = spark.range(0, 4000, 3).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("k"), F.col("id").alias("more"))
+    keys = keys.union(spark.createDataFrame([("hot", 7), (None, 8)], "k string, more bigint"))
+    count = lambda df: sorted(map(str, df.groupBy(*df.columns).count().collect()))
+    expected = count(rows.join(keys, "k", how))
+    assert count(membership.join_set(rows, keys, "k", how, small=True)) == expected
+    monkeypatch.setattr(membership, "is_small", lambda df: hits_small)
+    assert count(membership.join_set(rows, keys, "k", how, small=False)) == expected
+
+
+def test_rows_of_a_hot_key_are_not_shuffled(spark):
+    """A table of one column whose key owns all rows: the large set is cut to the keys that occur, which are broadcast."""
+    rows = spark.range(100_000).select(F.when(F.col("id") < 10**9, "hot").alias("k"))
+    keys = spark.range(5000).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("k")).union(spark.sql("SELECT 'hot' AS k"))
+    joined = membership.join_set(rows, keys, "k", "left_semi", small=False)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and joined.count() == 100_000
+
+
+def test_filter_lets_few_other_keys_pass(spark):
+    keys = spark.range(20_000).select(F.col("id").cast("string").alias("k"))
+    other = spark.range(20_000, 40_000).select(F.col("id").cast("string").alias("k"))
+    assert membership.marked(keys, keys, "k").filter("__may").count() == 20_000
+    assert membership.marked(other, keys, "k").filter("__may").count() < 20
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_screens_take_map_columns_and_streams(spark, tmp_path, small):
     from pyspark.sql import Row
