@@ -11,7 +11,7 @@ from marketstream.operators import control_set, mirror, numbering, offsets, scre
 from marketstream.session import scratch_dir
 from marketstream.sinks import files as file_sink
 from marketstream.sinks import kafka as kafka_sink
-from marketstream.sources import files, tables
+from marketstream.sources import files, search_index, tables
 from marketstream.streaming import mirror as mirror_stream
 from marketstream.streaming import screening as screening_stream
 
@@ -161,6 +161,16 @@ def catalog_search(query: str | list[str]):
     return run
 
 
+def catalog_search_indexed(query: str | list[str]):
+    """The catalogue written in parts with their signatures, and searched through them."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        work = scratch_dir(spark, "search")
+        search_index.build(tables.catalogue(spark, sf_dir), work, 64)
+        return search.listing(search_index.find(spark, work, query))
+
+    return run
+
+
 def catalog_search_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.found(search.search(tables.catalogue(spark, sf_dir), "WIDGET"))
 
@@ -274,6 +284,7 @@ QUERIES = {
     "banned_remove": banned_remove,
     "catalog_search": catalog_search("widget"),
     "catalog_search_words": catalog_search(["RED", "widget"]),
+    "catalog_search_indexed": catalog_search_indexed(["RED", "widget"]),
     "catalog_search_count": catalog_search_count,
     "catalog_search_all": catalog_search_all,
     "catalog_search_tags": catalog_search_tags,

@@ -260,6 +260,7 @@ FROM catalog"""),
     "banned_remove": f"{TABLE_BANNED} EXCEPT SELECT lower(p_name) FROM part WHERE p_size <= 2",
     "catalog_search": listing("widget"),
     "catalog_search_words": listing("red widget"),
+    "catalog_search_indexed": listing("red widget"),
     "catalog_search_count": with_ctes(CATALOGUE_ROWS, select=f"SELECT count(*) AS found FROM catalog WHERE {search('widget')}"),
     "catalog_search_all": "SELECT count(*) AS found FROM part",
     "catalog_search_tags": with_ctes(CATALOGUE_ROWS, select="""
