@@ -11,8 +11,10 @@ from marketstream.operators import control_set, mirror, numbering, offsets, scre
 from marketstream.session import scratch_dir
 from marketstream.sinks import files as file_sink
 from marketstream.sinks import kafka as kafka_sink
+from marketstream.sinks import triggered
 from marketstream.sources import files, search_index, tables
 from marketstream.streaming import mirror as mirror_stream
+from marketstream.streaming import progress
 from marketstream.streaming import screening as screening_stream
 
 # The banned set that suits the table's categories.
@@ -264,6 +266,23 @@ def consumer_lag_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offsets.total_lag(lags(spark, sf_dir))
 
 
+def consumer_lag_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that has come through the first three quarters of the messages, by the offsets it committed, with a restart."""
+    work, sent = scratch_dir(spark, "lag"), tables.messages(spark, sf_dir).drop("value")
+    n = sent.count()
+    quarter = F.least(F.floor(F.col("offset") * 4 / max(n, 1)), F.lit(3))
+    for i in range(3):
+        sent.filter(quarter == i).write.mode("append").parquet(f"{work}/topic")
+        if i != 1:
+            stream = spark.readStream.schema(sent.schema).parquet(f"{work}/topic")
+            writer = stream.writeStream.option("checkpointLocation", f"{work}/checkpoint")
+            read = progress.tracked(lambda batch, batch_id: None, f"{work}/offsets")
+            triggered(writer.foreachBatch(read), None).start().awaitTermination()
+    ends = offsets.partition_counts(sent)
+    lag = offsets.consumer_lag(progress.committed(spark, f"{work}/offsets", "reader"), ends)
+    return lag.withColumn("partition", F.col("partition").cast("bigint"))
+
+
 QUERIES = {
     "catalog_publish": catalog_publish,
     "catalog_decode": catalog_decode,
@@ -298,4 +317,5 @@ QUERIES = {
     "partition_counts": partition_counts,
     "consumer_lag": consumer_lag,
     "consumer_lag_total": consumer_lag_total,
+    "consumer_lag_stream": consumer_lag_stream,
 }

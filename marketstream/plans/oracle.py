@@ -290,6 +290,11 @@ WHERE topic IN ('products-raw', 'products-filtered', 'client-events')"""),
 SELECT topic, part AS partition, count(*) AS n, max(seq) + 1 AS log_end_offset FROM client_events GROUP BY topic, part"""),
     "consumer_lag": with_ctes(CLIENT_EVENTS, LAGS, select="""
 SELECT "group", topic, partition, current_offset, log_end_offset, log_end_offset - current_offset AS lag FROM lags"""),
+    "consumer_lag_stream": with_ctes(CLIENT_EVENTS, """
+read AS (SELECT topic, part, max(seq) + 1 AS current_offset, count(*) AS n FROM client_events
+         WHERE seq * 4 // (SELECT count(*) FROM events) < 3 GROUP BY topic, part)""", select="""
+SELECT 'reader' AS "group", topic, part AS partition, current_offset, n, log_end_offset, log_end_offset - current_offset AS lag
+FROM read JOIN (SELECT topic, part, max(seq) + 1 AS log_end_offset FROM client_events GROUP BY topic, part) USING (topic, part)"""),
     "consumer_lag_total": with_ctes(CLIENT_EVENTS, LAGS, select="""
 SELECT "group", topic, cast(sum(log_end_offset - current_offset) AS bigint) AS lag FROM lags GROUP BY "group", topic"""),
 }

@@ -20,10 +20,10 @@ from pyspark.sql.streaming import StreamingQuery
 from marketstream.operators import activity, ranking
 from marketstream.session import delete_folder
 from marketstream.sinks import kafka as kafka_sink
-from marketstream.sinks import triggered, upsert
+from marketstream.sinks import once, triggered, upsert
 from marketstream.sinks.files import batch_folder, write_batch
 
-COUNTS, CHANGES, RESULTS, TABLE = "counts", "changes", "results", "table"
+COUNTS, CHANGES, RESULTS, TABLE, LEDGER = "counts", "changes", "results", "table", "ledger"
 
 #: Batches between two snapshots of the open counts.
 SNAPSHOT = 10
@@ -32,17 +32,27 @@ Publish = Callable[[DataFrame], None]
 
 
 def to_kafka(brokers: str, topic: str, security: dict[str, str] | None = None) -> Publish:
-    """Send each batch's recommendations to a topic, keyed by user. A replayed batch is sent again."""
+    """Send each batch's recommendations to a topic, keyed by user. A replayed batch is sent again, unless the stream is
+    given a way to read what the topic has (``recorded``)."""
     return lambda recommended: kafka_sink.publish(ranking.as_messages(recommended), brokers, topic, security)
 
 
-def _write(lists: DataFrame, output: str, batch_id: int, publish: Publish | None) -> None:
-    """Write the batch's recommendations and publish the written rows, so both agree."""
-    recommended = ranking.recommendations(lists)
-    write_batch(recommended, f"{output}/{RESULTS}", batch_id)
+def _write(lists: DataFrame, output: str, batch_id: int, publish: Publish | None, recorded: once.Recorded | None) -> None:
+    """Write the batch's recommendations and publish the written rows, so both agree.
+
+    With ``recorded`` each message is published once: a batch whose publishing had begun keeps the rows it wrote, which
+    bear the time they were made at.
+    """
+    spark, recommended = lists.sparkSession, ranking.recommendations(lists)
+    ledger, schema = f"{output}/{LEDGER}", recommended.schema
+    if not (recorded and once.noted(spark, ledger, once.BEGUN, batch_id)):
+        write_batch(recommended, f"{output}/{RESULTS}", batch_id)
     if publish:
-        spark = lists.sparkSession
-        publish(spark.read.schema(recommended.schema).parquet(batch_folder(f"{output}/{RESULTS}", batch_id)))
+        stored = spark.read.schema(schema).parquet(batch_folder(f"{output}/{RESULTS}", batch_id))
+        if recorded:
+            once.send(stored, batch_id, ledger, publish, recorded)
+        else:
+            publish(stored)
 
 
 def start_append(
@@ -55,6 +65,7 @@ def start_append(
     within: Sequence[str] = ("window", "user_id"),
     trigger: str | None = "60 seconds",
     publish: Publish | None = None,
+    recorded: once.Recorded | None = None,
 ) -> StreamingQuery:
     """Write each window's lists once, after the watermark has passed its end.
 
@@ -65,7 +76,7 @@ def start_append(
 
     def rank(closed: DataFrame, batch_id: int) -> None:
         lists = ranking.as_lists(ranking.top_k(closed, within, k), within)
-        _write(lists, output, batch_id, publish)
+        _write(lists, output, batch_id, publish, recorded)
 
     writer = counts.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(rank)
     return triggered(writer, trigger).start()
@@ -92,13 +103,15 @@ def start_update(
     within: Sequence[str] = ("window", "user_id"),
     trigger: str | None = "60 seconds",
     publish: Publish | None = None,
+    recorded: once.Recorded | None = None,
 ) -> StreamingQuery:
     """After every micro-batch, write the current list of each group whose counts changed.
 
     The aggregate emits changed counts only, but a rank also depends on the unchanged ones. So each batch writes its
     changes, and every ``SNAPSHOT`` batches the counts of all windows still open are put together into a snapshot. A batch
     reads the last snapshot and the changes since, keeps the groups it touches and ranks those alone. A batch that runs
-    again reads the same tables and replaces its own folders. ``current`` reads the newest lists.
+    again reads the same tables and replaces its own folders. ``current`` reads the newest lists. ``recorded`` reads what the
+    sink has of a batch; with it, a batch that runs again publishes only what is missing.
     """
     by = [c for c in within if c != "window"] + ["product_id"]
     counts = activity.sliding_counts(timed_events, size, slide, by)
@@ -130,7 +143,7 @@ def start_update(
         picked = known.join(touched, same, "left_semi")
         # Counts only grow, so the larger one is the newer one. The first batch has no older ones.
         newest = picked.groupBy("window", *by).agg(F.max("n").alias("n")) if batch_id > 0 else now
-        _write(ranking.as_lists(ranking.top_k(newest, within, k), within), output, batch_id, publish)
+        _write(ranking.as_lists(ranking.top_k(newest, within, k), within), output, batch_id, publish, recorded)
         upsert.commit(spark, f"{output}/{RESULTS}", f"{output}/{TABLE}", batch_id, *_lists(within))
 
     writer = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(rank)

@@ -13,7 +13,7 @@ from marketstream.functions import codec
 from marketstream.operators import membership, screening
 from marketstream.session import materialise
 from marketstream.sinks import kafka as kafka_sink
-from marketstream.sinks import triggered
+from marketstream.sinks import once, triggered
 from marketstream.sinks.files import batch_folder, write_batch
 from marketstream.streaming import progress
 
@@ -26,11 +26,13 @@ def screen_stream(products: DataFrame, banned: DataFrame, normalise: bool = Fals
 
 def start(
     messages: DataFrame, banned: DataFrame, output: str, checkpoint: str, normalise: bool = False,
-    trigger: str | None = "60 seconds", publish: Callable[[DataFrame], None] | None = None,
+    trigger: str | None = "60 seconds", publish: Callable[[DataFrame], None] | None = None, recorded: once.Recorded | None = None,
 ) -> StreamingQuery:
     """Screen product messages into ``output``: ``passed`` (key, value), ``audit`` and ``dead`` tables.
 
-    ``publish`` gets each batch's passed messages as well; a batch that runs again is published again. The banned set is written down at the start; changes of its source count from the next start on.
+    ``publish`` gets each batch's passed messages as well. A batch that runs again is published again, or only what the sink
+    lacks of it where ``recorded`` reads what the sink has. The banned set is written down at the start; changes of its source
+    count from the next start on.
     Each micro-batch is decoded and matched once; the audited rows are written and the other outputs read them.
     """
     fixed = materialise(banned, "banned")
@@ -47,7 +49,11 @@ def start(
         passed = kafka_sink.passed_messages(done.filter(F.col("status") == screening.PASSED))
         write_batch(passed, f"{output}/passed", batch_id)
         if publish:
-            publish(spark.read.schema(passed.schema).parquet(batch_folder(f"{output}/passed", batch_id)))
+            stored = spark.read.schema(passed.schema).parquet(batch_folder(f"{output}/passed", batch_id))
+            if recorded:
+                once.send(stored, batch_id, f"{output}/ledger", publish, recorded)
+            else:
+                publish(stored)
         write_batch(done.filter("dead").select("key", "raw"), f"{output}/dead", batch_id)
 
     run = progress.counted(screen, f"{output}/totals")
