@@ -30,6 +30,16 @@ def any_contains_ci(texts: Column, needle: str) -> Column:
     return F.coalesce(F.exists(texts, lambda t: contains_ci(t, needle)), F.lit(False))
 
 
+def whole_number(text: Column, what: str) -> Column:
+    """A text of digits with an optional sign as a whole number of 64 bits; any other text is an error that names ``what``.
+
+    Null stays null. Blanks are no digits, and an empty text is an error.
+    """
+    number = F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint"))
+    wrong = F.raise_error(F.concat(F.lit(f"{what} is not a whole number: "), text))
+    return F.when(text.isNull(), F.lit(None)).otherwise(F.coalesce(number, wrong)).cast("bigint")
+
+
 def price_text(price: Column, currency: Column) -> Column:
     return F.format_string("%.2f %s", price, currency)
 

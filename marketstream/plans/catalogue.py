@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketstream import schemas
+from marketstream import config, schemas
 from marketstream.functions import codec, text
-from marketstream.operators import control_set, mirror, numbering, offsets, screening, search
+from marketstream.operators import control_set, mirror, numbering, offsets, ranking, screening, search
 from marketstream.session import scratch_dir
 from marketstream.sinks import files as file_sink
 from marketstream.sinks import kafka as kafka_sink
 from marketstream.sinks import triggered
 from marketstream.sources import files, search_index, tables
 from marketstream.streaming import mirror as mirror_stream
-from marketstream.streaming import progress
+from marketstream.streaming import jobs, progress
 from marketstream.streaming import screening as screening_stream
 
 # The banned set that suits the table's categories.
@@ -283,6 +285,42 @@ def consumer_lag_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lag.withColumn("partition", F.col("partition").cast("bigint"))
 
 
+def whole_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number in each event's properties, as text with and without a sign, read strictly."""
+    number = F.get_json_object("props", "$.k")
+    signed = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("+"), number)).when(F.col("event_id") % 3 == 1, F.concat(F.lit("-00"), number)).otherwise(number)
+    return tables.events(spark, sf_dir).select("event_id", text.whole_number(signed, "k").alias("k"))
+
+
+def marketplace_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All jobs run in turn over the tables' messages: what the store holds, and what readers of the lists see."""
+    work = scratch_dir(spark, "graph")
+    events_config = config.StreamConfig()
+    products_config = config.ScreeningConfig(banned_path=f"{work}/banned")
+    spark.createDataFrame([(json.dumps(BANNED),)], "value string").coalesce(1).write.text(f"{work}/banned")
+
+    def put(name: str):
+        as_bytes = [F.col(c).cast("binary").alias(c) for c in ("key", "value")]
+        return lambda found: found.select(*as_bytes).write.mode("append").parquet(f"{work}/topics/{name}")
+
+    def source(name: str):
+        return lambda session: session.readStream.schema("key binary, value binary").parquet(f"{work}/topics/{name}")
+
+    topics = [events_config.topic_in, events_config.topic_out, products_config.topic_in, products_config.topic_out]
+    put(events_config.topic_in)(tables.unnumbered_messages(spark, sf_dir))
+    put(products_config.topic_in)(catalog_publish(spark, sf_dir))
+    send = {
+        products_config.topic_out: put(products_config.topic_out),
+        events_config.topic_out: lambda found: put(events_config.topic_out)(ranking.as_messages(found)),
+    }
+    jobs.marketplace(spark, events_config, products_config, work, {t: source(t) for t in topics}, send).run_in_turn()
+    stored = spark.read.schema(schemas.PRODUCT).json(f"{work}/storage/products").select(
+        F.lit("stored").alias("kind"), F.col("id").alias("key"), F.lit(None).cast("bigint").alias("position"), F.col("name").alias("value"))
+    listed = spark.read.schema("user_id string, position bigint, product_id string").parquet(f"{work}/read-back/read").select(
+        F.lit("listed").alias("kind"), F.col("user_id").alias("key"), "position", F.col("product_id").alias("value"))
+    return stored.unionByName(listed)
+
+
 QUERIES = {
     "catalog_publish": catalog_publish,
     "catalog_decode": catalog_decode,
@@ -318,4 +356,6 @@ QUERIES = {
     "consumer_lag": consumer_lag,
     "consumer_lag_total": consumer_lag_total,
     "consumer_lag_stream": consumer_lag_stream,
+    "whole_numbers": whole_numbers,
+    "marketplace_graph": marketplace_graph,
 }

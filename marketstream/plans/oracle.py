@@ -295,6 +295,11 @@ read AS (SELECT topic, part, max(seq) + 1 AS current_offset, count(*) AS n FROM
          WHERE seq * 4 // (SELECT count(*) FROM events) < 3 GROUP BY topic, part)""", select="""
 SELECT 'reader' AS "group", topic, part AS partition, current_offset, n, log_end_offset, log_end_offset - current_offset AS lag
 FROM read JOIN (SELECT topic, part, max(seq) + 1 AS log_end_offset FROM client_events GROUP BY topic, part) USING (topic, part)"""),
+    "whole_numbers": f"""
+SELECT event_id, CASE WHEN event_id % 3 = 1 THEN -{K} ELSE {K} END AS k FROM events""",
+    "marketplace_graph": with_ctes(CATALOGUE_ROWS, *ranked(300, 120), select=f"""
+SELECT 'stored' AS kind, id AS key, NULL::bigint AS position, name AS value FROM catalog WHERE NOT {IS_BANNED}
+UNION ALL SELECT 'listed', user_id, rank, product_id FROM ranked WHERE rank <= 5"""),
     "consumer_lag_total": with_ctes(CLIENT_EVENTS, LAGS, select="""
 SELECT "group", topic, cast(sum(log_end_offset - current_offset) AS bigint) AS lag FROM lags GROUP BY "group", topic"""),
 }

@@ -36,21 +36,3 @@ RECOMMENDATION = T.StructType([
     T.StructField("generated_at", T.StringType()),
     T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
 ])
-
-# The columns of Spark's Kafka source.
-MESSAGE = T.StructType([
-    T.StructField("key", T.BinaryType()),
-    T.StructField("value", T.BinaryType()),
-    T.StructField("topic", T.StringType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("timestampType", T.IntegerType()),
-])
-
-METRIC_SAMPLE = T.StructType([
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("metric", T.StringType()),
-    T.StructField("labels", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("value", T.DoubleType()),
-])

@@ -64,10 +64,6 @@ def stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def batch(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    return spark.read.format("kafka").options(**options).load()
-
-
 def client_events(spark: SparkSession, config: StreamConfig) -> DataFrame:
     """All events of the input topic; progress lives in the query's checkpoint."""
     security = security_options(config.user, config.password, config.ca_path)

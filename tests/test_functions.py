@@ -117,3 +117,16 @@ def test_search_event_moves_its_argument(spark):
     assert found["click"].user_id == "user-7"
     assert found["click"].event_id == "click-1704873600000000000"
     assert found["click"].timestamp == "2024-01-10T08:00:00Z"
+
+
+@pytest.mark.parametrize(("value", "expected"), [("0", 0), ("-7", -7), ("+007", 7), ("9223372036854775807", 2**63 - 1), (None, None)])
+def test_whole_number(spark, value, expected):
+    df = spark.createDataFrame([(value,)], "t string")
+    assert df.select(text.whole_number(F.col("t"), "N")).first()[0] == expected
+
+
+@pytest.mark.parametrize("value", ["", " 1", "1 ", "1.0", "1e3", "seven", "--1", "+", "9223372036854775808", "0x1", "1_000", "１"])
+def test_whole_number_rejects(spark, value):
+    df = spark.createDataFrame([(value,)], "t string")
+    with pytest.raises(Exception, match="N is not a whole number"):
+        df.select(text.whole_number(F.col("t"), "N")).collect()
