@@ -8,11 +8,12 @@ where they do not; a line with its variable tokens blanked is its template.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketstream.functions.codec import computed_once
 from marketstream.llm.common import written
+from marketstream.operators.membership import join_set
 
 VARIABLE = "<*>"
 #: Leading tokens that choose the leaf.
@@ -37,28 +38,49 @@ def parsed(docs: DataFrame, doc_id: str, text: str, leading: int) -> DataFrame:
     return tokens.filter(F.size("tokens") > 0).select("doc", "line", leaf.alias("leaf"), "tokens")
 
 
+def by_hash(masked: Column) -> list[Column]:
+    """128 bits that stand for a masked line or a template in every step that compares them."""
+    return [F.xxhash64(masked).alias("h1"), F.xxhash64(F.lit("second"), masked).alias("h2")]
+
+
+LINE = ["leaf", "h1", "h2"]
+
+
 def recurring(lines: DataFrame, least: int, fixed: float) -> DataFrame:
-    """The lines (doc, line) of ``lines`` whose template stands in at least ``least`` documents."""
+    """The lines (doc, line) of ``lines`` whose template stands in at least ``least`` documents.
+
+    Only whether a count reaches ``least`` matters. So of the documents of a line ``least`` are enough, and the others are left
+    out before the shuffle; a line that has as many recurs by itself, and only the few documents of rarer lines have to be
+    put together by template.
+    """
     leaves = lines.select("leaf", "doc").distinct().groupBy("leaf").count().filter(F.col("count") >= least).select("leaf")
-    # Only lines in leaves of several documents can recur; whole tokens travel for these alone.
-    shared = lines.join(written(leaves, "leaves"), "leaf", "left_semi")
+    # Only lines in leaves of several documents can recur.
+    shared = join_set(lines, written(leaves, "leaves"), "leaf", "left_semi")
     shared = written(shared.select("doc", "line", "leaf", F.array_join(masked(F.col("tokens")), " ").alias("masked")), "shared-lines")
-    different = shared.select("leaf", "masked", "doc").distinct().groupBy("leaf", "masked").agg(F.count("*").alias("docs"))
-    different = written(different, "different-lines")
-    at = different.select("leaf", "masked", "docs", F.posexplode(F.split("masked", " ")).alias("place", "token"))
+    hashed = shared.select("doc", "line", "leaf", *by_hash(F.col("masked")))
+    nth = F.dense_rank().over(Window.partitionBy(*LINE).orderBy("doc"))
+    some = hashed.select(*LINE, "doc").withColumn("nth", nth).filter(F.col("nth") <= least).select(*LINE, "doc").distinct()
+    some = written(some, "documents-of-lines")
+    counts = some.groupBy(*LINE).agg(F.count("*").alias("docs"))
+    texts = shared.select("leaf", "masked").distinct().select("leaf", "masked", *by_hash(F.col("masked")))
+    different = written(texts.join(counts, LINE), "different-lines")
+    at = different.select(*LINE, "docs", F.posexplode(F.split("masked", " ")).alias("place", "token"))
     common = at.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("together")).filter(F.col("together") >= least)
     is_fixed = F.col("together").isNotNull() & (F.col("token") != VARIABLE)
     kept = at.join(common, ["leaf", "place", "token"], "left").select(
-        "leaf", "masked", F.struct("place", F.when(is_fixed, F.col("token")).otherwise(VARIABLE).alias("token")).alias("at")
+        *LINE, "docs", F.struct("place", F.when(is_fixed, F.col("token")).otherwise(VARIABLE).alias("token")).alias("at")
     )
     # As many rows as a line has tokens meet here.
-    whole = kept.groupBy("leaf", "masked").agg(F.array_sort(F.collect_list("at"))["token"].alias("tokens"))
+    whole = kept.groupBy(*LINE, "docs").agg(F.array_sort(F.collect_list("at"))["token"].alias("tokens"))
     share = F.size(F.filter("tokens", lambda t: t != VARIABLE)) / F.size("tokens")
-    templates = written(whole.filter(share >= fixed).select("leaf", "masked", F.array_join("tokens", " ").alias("template")), "templates")
-    found = shared.join(templates, ["leaf", "masked"])
-    often = found.select("leaf", "template", "doc").distinct().groupBy("leaf", "template").count().filter(F.col("count") >= least)
-    drop = templates.join(often, ["leaf", "template"], "left_semi").select("leaf", "masked")
-    return shared.join(drop, ["leaf", "masked"], "left_semi").select("doc", "line")
+    template = F.struct("leaf", *by_hash(F.array_join("tokens", " "))).alias("template")
+    templates = written(whole.filter(share >= fixed).select(*LINE, "docs", template), "templates")
+    rare = some.join(templates.filter(F.col("docs") < least), LINE).select("template", "doc").distinct()
+    often = rare.groupBy("template").count().filter(F.col("count") >= least).select("template")
+    often = written(often.union(templates.filter(F.col("docs") >= least).select("template")).distinct(), "recurring")
+    key = F.struct(*LINE).alias("key")
+    drop = written(join_set(templates, often, "template", "left_semi").select(key), "lines-to-drop")
+    return join_set(hashed.select("doc", "line", key), drop, "key", "left_semi").select("doc", "line")
 
 
 def without(text: Column, gone: Column) -> Column:
@@ -87,8 +109,9 @@ def deduplicated(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     gone = recurring(parsed(rows, "doc_id", "text", leading), least, fixed)
     # As many rows as a document has lines meet here.
-    lists = gone.distinct().groupBy("doc").agg(F.collect_list("line").alias("gone"))
-    keyed = rows.withColumn("doc", F.xxhash64("doc_id", "text")).join(lists, "doc", "left")
+    lists = written(gone.distinct().groupBy("doc").agg(F.collect_list("line").alias("gone")), "lines-of-documents")
+    # Texts that keep all their lines stay where they are, whatever the number of the others.
+    keyed = join_set(rows.withColumn("doc", F.xxhash64("doc_id", "text")), lists, "doc", "left", small=False)
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
     return keyed.select(
         "doc_id", n_lines.cast("bigint").alias("n_lines"),
