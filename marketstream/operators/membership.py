@@ -72,6 +72,14 @@ def join_set(df: DataFrame, keys: DataFrame, on: str, how: str, small: bool | No
         keys = materialise(keys.join(occurring, on, "left_semi"), "members")
         if is_small(keys):
             return df.join(F.broadcast(keys), on, how)
+    return filtered_join(df, keys, on, how)
+
+
+def filtered_join(df: DataFrame, keys: DataFrame, on: str, how: str) -> DataFrame:
+    """The join by the filter alone: rows that pass it are shuffled, the others are not. One plan at every size.
+
+    For keys that are known to occur in ``df``, and for streams.
+    """
     tested = marked(df, keys, on)
     moved = tested.filter(MAY).drop(MAY).join(keys, on, how)
     if how == "left_semi":
