@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from marketstream.functions.codec import computed_once
 from marketstream.llm.common import written
-from marketstream.operators.membership import join_set
+from marketstream.operators.membership import filtered_join, join_set
 
 VARIABLE = "<*>"
 #: Leading tokens that choose the leaf.
@@ -110,8 +110,8 @@ def deduplicated(
     gone = recurring(parsed(rows, "doc_id", "text", leading), least, fixed)
     # As many rows as a document has lines meet here.
     lists = written(gone.distinct().groupBy("doc").agg(F.collect_list("line").alias("gone")), "lines-of-documents")
-    # Texts that keep all their lines stay where they are, whatever the number of the others.
-    keyed = join_set(rows.withColumn("doc", F.xxhash64("doc_id", "text")), lists, "doc", "left", small=False)
+    # Texts that keep all their lines stay where they are.
+    keyed = filtered_join(rows.withColumn("doc", F.xxhash64("doc_id", "text")), lists, "doc", "left")
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
     return keyed.select(
         "doc_id", n_lines.cast("bigint").alias("n_lines"),
