@@ -7,7 +7,6 @@ where they do not; a line with its variable tokens blanked is its template.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,17 +83,18 @@ def recurring(lines: DataFrame, least: int, fixed: float) -> DataFrame:
 
 
 def without(text: Column, gone: Column) -> Column:
-    """``text`` without the lines whose numbers are in ``gone``; null stays null."""
+    """``text`` without the lines that ``gone`` marks by a 1 at their place; null stays null, and a null ``gone`` keeps all."""
+    is_gone = lambda i: F.coalesce(F.substring(gone, i + 1, F.lit(1)) == F.lit(b"1"), F.lit(False))
+    return F.array_join(F.filter(F.split(text, "\n"), lambda line, i: ~is_gone(i)), "\n")
 
-    @F.arrow_udf("string")
-    def rest(texts: pa.Array, numbers: pa.Array) -> pa.Array:
-        out = []
-        for t, gone in zip(texts.to_pylist(), numbers.to_pylist(), strict=True):
-            drop = set(gone or ())
-            out.append(t if t is None or not drop else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in drop))
-        return pa.array(out, pa.string())
 
-    return rest(text, gone)
+def as_marks(numbers: Column) -> Column:
+    """Line numbers, rising, as bytes: 1 at each of them, 0 before and between. A place is then found without a search."""
+    def until(n: Column, i: Column) -> Column:
+        before = F.when(i == 0, F.lit(-1)).otherwise(F.get(numbers, i - 1))
+        return F.concat(F.repeat(F.lit("0"), n - before - 1), F.lit("1"))
+
+    return F.array_join(F.transform(numbers, until), "").cast("binary")
 
 
 def deduplicated(
@@ -109,11 +109,12 @@ def deduplicated(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     gone = recurring(parsed(rows, "doc_id", "text", leading), least, fixed)
     # As many rows as a document has lines meet here.
-    lists = written(gone.distinct().groupBy("doc").agg(F.collect_list("line").alias("gone")), "lines-of-documents")
-    # Texts that keep all their lines stay where they are.
-    keyed = filtered_join(rows.withColumn("doc", F.xxhash64("doc_id", "text")), lists, "doc", "left")
+    numbers = written(gone.distinct().groupBy("doc").agg(F.array_sort(F.collect_list("line")).alias("numbers")), "lines-of-documents")
+    lists = numbers.select("doc", F.size("numbers").alias("n"), as_marks(F.col("numbers")).alias("gone"))
+    # Texts that keep all their lines stay where they are. The others are joined in one way at every size.
+    keyed = filtered_join(rows.withColumn("doc", F.xxhash64("doc_id", "text")), lists.hint("merge"), "doc", "left")
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
     return keyed.select(
         "doc_id", n_lines.cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_dropped"), without(F.col("text"), F.col("gone")).alias("text"),
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n_dropped"), without(F.col("text"), F.col("gone")).alias("text"),
     )
