@@ -19,8 +19,8 @@ VARIABLE = "<*>"
 LEADING = 3
 #: A template recurs when it stands in so many documents; as many make a token of a leaf fixed.
 LEAST_DOCUMENTS = 10
-#: A template has to be fixed in at least this share of its tokens; looser ones say too little about a line.
-LEAST_FIXED = 0.6
+#: A template has at least so many fixed tokens; one of variable tokens alone says nothing about a line.
+LEAST_FIXED = 1
 
 TOKEN = r"[^\x09-\x0D\x20]+"
 
@@ -45,7 +45,7 @@ def by_hash(masked: Column) -> list[Column]:
 LINE = ["leaf", "h1", "h2"]
 
 
-def recurring(lines: DataFrame, least: int, fixed: float) -> DataFrame:
+def recurring(lines: DataFrame, least: int, fixed: int) -> DataFrame:
     """The lines (doc, line) of ``lines`` whose template stands in at least ``least`` documents.
 
     Only whether a count reaches ``least`` matters. So of the documents of a line ``least`` are enough, and the others are left
@@ -71,9 +71,9 @@ def recurring(lines: DataFrame, least: int, fixed: float) -> DataFrame:
     )
     # As many rows as a line has tokens meet here.
     whole = kept.groupBy(*LINE, "docs").agg(F.array_sort(F.collect_list("at"))["token"].alias("tokens"))
-    share = F.size(F.filter("tokens", lambda t: t != VARIABLE)) / F.size("tokens")
+    n_fixed = F.size(F.filter("tokens", lambda t: t != VARIABLE))
     template = F.struct("leaf", *by_hash(F.array_join("tokens", " "))).alias("template")
-    templates = written(whole.filter(share >= fixed).select(*LINE, "docs", template), "templates")
+    templates = written(whole.filter(n_fixed >= fixed).select(*LINE, "docs", template), "templates")
     rare = some.join(templates.filter(F.col("docs") < least), LINE).select("template", "doc").distinct()
     often = rare.groupBy("template").count().filter(F.col("count") >= least).select("template")
     often = written(often.union(templates.filter(F.col("docs") >= least).select("template")).distinct(), "recurring")
@@ -99,7 +99,7 @@ def as_marks(numbers: Column) -> Column:
 
 def deduplicated(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-    leading: int = LEADING, least: int = LEAST_DOCUMENTS, fixed: float = LEAST_FIXED,
+    leading: int = LEADING, least: int = LEAST_DOCUMENTS, fixed: int = LEAST_FIXED,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_dropped and text without the lines of recurring templates.
 

@@ -83,7 +83,7 @@ WITH split_lines AS (
 ), templates AS (
   SELECT n, lead, tokens, list(CASE WHEN c.token IS NULL THEN '{blank}' ELSE s.token END ORDER BY place) AS template
   FROM spread s LEFT JOIN common c USING (n, lead, place, token) GROUP BY ALL
-  HAVING count(CASE WHEN c.token IS NOT NULL AND c.token <> '{blank}' THEN 1 END) >= {lines.LEAST_FIXED} * n
+  HAVING count(CASE WHEN c.token IS NOT NULL AND c.token <> '{blank}' THEN 1 END) >= {lines.LEAST_FIXED}
 ), often AS (
   SELECT n, lead, template FROM shared JOIN templates USING (n, lead, tokens) GROUP BY ALL HAVING count(DISTINCT (doc_id, text)) >= {least}
 ), gone AS (
