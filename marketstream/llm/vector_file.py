@@ -1,7 +1,7 @@
 """Exact integer k-means over a VA-file: vectors compressed to cells of a few bits per dimension.
 
 Each dimension is divided into 2 ** BITS cells between its least and largest value, at marks spaced by the dimension's mean and
-spread. A row of the file holds a vector's cells, two to a byte, beside the whole vector. In every round a lookup
+spread. A row of the file holds a vector's cells, a few bits each, beside the whole vector. In every round a lookup
 table gives, for each dimension, cell and centroid, the least and the largest squared difference that a value of that
 cell can have; their sums enclose the vector's distance to each centroid. A centroid whose interval begins above
 the end of another one's cannot be nearest. Only where several intervals overlap is the whole vector fetched and compared, with those centroids
@@ -27,7 +27,9 @@ K = 16
 ROUNDS = 3
 SCALE = 64
 SEED = 1
-BITS = 4
+BITS = 6
+#: The cells between the two outer ones reach so many spreads from the mean.
+REACH = 3.5
 #: Integers are kept within this bound either way, so that 64 squared differences stay within 63 bits.
 BOUND = 1 << 27
 #: Vectors handled at once.
@@ -64,8 +66,8 @@ def integers(column: pa.Array, n: int, scale: int) -> np.ndarray:
 
 
 def marks_of(low: np.ndarray, high: np.ndarray, mean: np.ndarray, spread: np.ndarray, bits: int = BITS) -> Marks:
-    """Cells between the extremes, cut at equal steps from two and a half spreads below the mean to as many above."""
-    steps = np.linspace(-2.5, 2.5, (1 << bits) - 1)
+    """Cells between the extremes, cut at equal steps from ``REACH`` spreads below the mean to as many above."""
+    steps = np.linspace(-REACH, REACH, (1 << bits) - 1)
     cuts = np.clip(np.floor(mean[:, None] + spread[:, None] * steps).astype(np.int64), low[:, None], high[:, None])
     return Marks(np.c_[low, cuts + 1], np.c_[cuts, high])
 
@@ -95,12 +97,14 @@ def cells_of(x: np.ndarray, marks: Marks) -> np.ndarray:
     return np.stack([np.searchsorted(high[:-1], x[:, d]) for d, high in enumerate(marks.high)], axis=1).astype(np.uint8)
 
 
-def packed(cells: np.ndarray) -> np.ndarray:
-    return cells[:, 0::2] | (cells[:, 1::2] << 4)
+def packed(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Bit by bit: the lowest bits of all components, then the next ones."""
+    return np.concatenate([np.packbits((cells >> b) & 1, axis=1) for b in range(bits)], axis=1)
 
 
-def unpacked(data: np.ndarray) -> np.ndarray:
-    return np.stack([data & 15, data >> 4], axis=2).reshape(len(data), -1)
+def unpacked(data: np.ndarray, n: int, bits: int = BITS) -> np.ndarray:
+    planes = np.split(data, bits, axis=1)
+    return sum(np.unpackbits(plane, axis=1, count=n) << b for b, plane in enumerate(planes))
 
 
 def lookup(marks: Marks, centroids: np.ndarray) -> Tables:
@@ -174,7 +178,7 @@ def parts_of(batches: Iterator[pa.RecordBatch], tables: Tables, centroids: np.nd
     for batch in batches:
         for at in range(0, batch.num_rows, STEP):
             part = batch.slice(at, STEP)
-            cells, vectors = unpacked(fixed_binary(part.column(1), np.uint8)), fixed_binary(part.column(2), np.int32)
+            cells, vectors = unpacked(fixed_binary(part.column(1), np.uint8), centroids.shape[1]), fixed_binary(part.column(2), np.int32)
             yield part.column(0), vectors, nearest(cells, vectors, tables, centroids)[0]
 
 
@@ -208,7 +212,7 @@ def clustered(
 ) -> DataFrame:
     """One row per usable vector: vec_id, cluster, distance, cluster_inertia, inertia, centroid (its final components).
 
-    Usable are vectors of ``n`` components (an even number) without nulls and non-finite values; others give no row. Components become
+    Usable are vectors of ``n`` components without nulls and non-finite values; others give no row. Components become
     floor(scale * x), held within 2 ** 27 either way. The first centroids are the ``k`` vectors of least hash of their ids, or all
     where there are fewer; after ``rounds`` rounds vectors are assigned once more. Ties go to the smaller number. Rows
     that repeat count as often as they stand, with or without an id. Without usable vectors the result is empty.

@@ -103,7 +103,7 @@ def test_intervals_enclose_distances():
     x = np.floor(rng.normal(0, 8, (500, 64)) + rng.choice([-60, 0, 60], (500, 1))).astype(np.int64)
     marks = va.marks_of(x.min(axis=0), x.max(axis=0), x.mean(axis=0), x.std(axis=0))
     cells = va.cells_of(x, marks)
-    assert (va.unpacked(va.packed(cells)) == cells).all() and cells.max() < 1 << va.BITS
+    assert (va.unpacked(va.packed(cells), 64) == cells).all() and va.packed(cells).shape[1] == 8 * va.BITS and cells.max() < 1 << va.BITS
     centroids = np.stack([x[x.mean(axis=1) < -30].mean(axis=0), x[abs(x.mean(axis=1)) < 30].mean(axis=0)]).astype(np.int64)
     tables = va.lookup(marks, centroids)
     d = np.arange(64)
