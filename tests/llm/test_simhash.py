@@ -1,5 +1,6 @@
 """SimHash fingerprints and components against all pairs."""
 
+import itertools
 import random
 
 import pytest
@@ -8,6 +9,7 @@ import xxhash
 import corpus_pipeline
 from helpers import clashing, prose
 from marketstream.llm import components, simhash
+from marketstream.operators import membership
 
 
 def brute_fingerprint(text, n=3):
@@ -97,3 +99,19 @@ def test_odd_rows(odd, empty):
     ids = sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)
     assert kept.columns == docs.columns and ids == [-11, 1, 3, 4, 7, 8, 9, 10, 12]
     assert simhash.near_duplicates(empty).collect() == [] and simhash.deduplicated(empty).collect() == []
+
+
+def test_one_row_each_is_the_same_beyond_the_broadcast_bound(make, odd, monkeypatch):
+    """Keys to drop are broadcast up to a bound and found through a filter beyond it; ids, repeats and missing ids come out alike."""
+    rng = random.Random(7)
+    texts = [prose(rng) for _ in range(12)]
+    docs = make([(i % 40, texts[rng.randrange(12)] + rng.choice(["", " one more"]), "a") for i in range(90)] + [(None, texts[0], "b")] * 3)
+    for table in (docs, clashing(odd, "_key", "fingerprint", "__may")):
+        rows = lambda: sorted(map(str, simhash.one_row_each(table).collect()))
+        small = rows()
+        for hits_small in (True, False):
+            calls = itertools.cycle([False, hits_small])  # the set is large; then the keys of it that occur are measured
+            with monkeypatch.context() as patch:
+                patch.setattr(membership, "is_small", lambda df, calls=calls: next(calls))
+                assert rows() == small
+    assert simhash.one_row_each(odd.limit(0)).collect() == []
