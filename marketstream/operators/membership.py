@@ -44,12 +44,22 @@ def bloom(keys: DataFrame, on: str) -> DataFrame:
     return keys.filter(F.col(on).isNotNull()).select(word.alias(WORD), mask.alias(MASK)).groupBy(WORD).agg(F.bit_or(MASK).alias(FOUND))
 
 
-def marked(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """``df`` with ``__may``: false where the key is certainly not among ``keys`` or null."""
-    word, mask = word_and_mask(F.col(on))
-    tested = df.withColumns({WORD: word, MASK: mask}).join(F.broadcast(bloom(keys, on)), WORD, "left")
-    may = F.col(on).isNotNull() & (F.col(FOUND).bitwiseAND(F.col(MASK)) == F.col(MASK))
-    return tested.withColumn(MAY, F.coalesce(may, F.lit(False))).drop(WORD, MASK, FOUND)
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def marked(df: DataFrame, keys: DataFrame, on: str, may: str = MAY) -> DataFrame:
+    """``df`` with the new column ``may``: false where the key is certainly not among ``keys`` or null."""
+    word, mask, found = (unused(df, name) for name in (WORD, MASK, FOUND))
+    at, bits = word_and_mask(F.col(on))
+    words = bloom(keys, on).select(F.col(WORD).alias(word), F.col(FOUND).alias(found))
+    tested = df.withColumns({word: at, mask: bits}).join(F.broadcast(words), word, "left")
+    passes = F.col(on).isNotNull() & (F.col(found).bitwiseAND(F.col(mask)) == F.col(mask))
+    return tested.withColumn(may, F.coalesce(passes, F.lit(False))).drop(word, mask, found)
 
 
 def join_set(df: DataFrame, keys: DataFrame, on: str, how: str, small: bool | None = None) -> DataFrame:
@@ -68,7 +78,7 @@ def join_set(df: DataFrame, keys: DataFrame, on: str, how: str, small: bool | No
     if small:
         return df.join(F.broadcast(keys), on, how)
     if not df.isStreaming:
-        occurring = marked(df.select(on), keys, on).filter(MAY).select(on).distinct()
+        occurring = marked(df.select(on), keys, on).filter(F.col(MAY)).select(on).distinct()
         keys = materialise(keys.join(occurring, on, "left_semi"), "members")
         if is_small(keys):
             return df.join(F.broadcast(keys), on, how)
@@ -80,8 +90,9 @@ def filtered_join(df: DataFrame, keys: DataFrame, on: str, how: str) -> DataFram
 
     For keys that are known to occur in ``df``, and for streams.
     """
-    tested = marked(df, keys, on)
-    moved = tested.filter(MAY).drop(MAY).join(keys, on, how)
+    may = unused(df, MAY)
+    tested = marked(df, keys, on, may)
+    moved = tested.filter(F.col(may)).drop(may).join(keys, on, how)
     if how == "left_semi":
         return moved
-    return tested.filter(~F.col(MAY)).drop(MAY).unionByName(moved, allowMissingColumns=how == "left")
+    return tested.filter(~F.col(may)).drop(may).unionByName(moved, allowMissingColumns=how == "left")

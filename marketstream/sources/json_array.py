@@ -153,7 +153,7 @@ def elements(spark: SparkSession, path: str, separator: str) -> DataFrame:
     else:
         order = lines.withColumn("_row", F.monotonically_increasing_id()).join(begins, RANGE)
         known = order.repartition(*RANGE).sortWithinPartitions(*RANGE, "_row").drop("_row")
-    found = _joined(known.mapInArrow(_pieces(separator), PIECE))
+    found = _joined(materialise(known.mapInArrow(_pieces(separator), PIECE), "json-pieces"))
     blank = F.col("text").rlike(r"^\s*$")
     empty = blank & (F.col("begin") == "[") & (F.col("end") == "]")
     inner = F.col("begin").isin("[", ",") & F.col("end").isin(",", "]") & ~blank

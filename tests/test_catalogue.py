@@ -138,6 +138,7 @@ def test_set_joins_are_the_same_at_every_size(spark, monkeypatch, how, hits_smal
         F.concat(F.lit("c"), F.pmod(F.xxhash64("id"), F.lit(500)).cast("string"))).alias("k"))
     keys = spark.range(0, 4000, 3).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("k"), F.col("id").alias("more"))
     keys = keys.union(spark.createDataFrame([("hot", 7), (None, 8)], "k string, more bigint"))
+    rows = rows.selectExpr("k", "'theirs' AS __may", "1 AS __word", "'x' AS __found")
     count = lambda df: sorted(map(str, df.groupBy(*df.columns).count().collect()))
     expected = count(rows.join(keys, "k", how))
     assert count(membership.join_set(rows, keys, "k", how, small=True)) == expected
