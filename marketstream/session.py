@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # Settable on a running session, so an engine call works on whatever session it is given.
@@ -33,7 +35,11 @@ def build_session(app: str = "marketstream", master: str | None = None, **conf:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings every operator relies on (UTC, RocksDB state)."""
+    """Apply the settings every operator relies on (UTC, RocksDB state).
+
+    Python workers look for the package where the driver found it, unless they are told a place already; on a cluster it is shipped.
+    """
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
