@@ -120,7 +120,8 @@ def as_json_array(rows: DataFrame, path: str) -> str:
     listed = F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]"))
     # A fixed number of rows goes to each file, so none grows with the table.
     cut = rows.withColumn("_file", F.pmod(F.xxhash64("value"), F.lit(1 + rows.count() // 10_000)))
-    cut.groupBy("_file").agg(listed.alias("value")).select("value").write.text(path)
+    # Without the limit a task writes all its groups into one file.
+    cut.groupBy("_file").agg(listed.alias("value")).select("value").write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 

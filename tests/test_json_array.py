@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketstream.operators import membership
+from marketstream.plans import catalogue
 from marketstream.sources import files, json_array
 
 KIND = T.StructType([
@@ -101,3 +102,10 @@ def test_escaped_quotes():
 
     odd, _ = json_array.marks(np.frombuffer(rb'a"\"\\"b"\\\"c"', np.uint8))
     assert odd.tolist() == [False] + [True] * 5 + [False] * 2 + [True] * 6 + [False]
+
+
+def test_every_written_file_holds_one_array(spark, tmp_path):
+    rows = spark.range(45_000).select(F.to_json(F.struct(F.col("id"), F.lit("a").alias("s"))).alias("value"))
+    path = catalogue.as_json_array(rows, str(tmp_path / "arrays"))
+    assert all(len(json.loads(f.read_text())) for f in tmp_path.glob("arrays/*.txt"))
+    assert json_array.read(spark, path, KIND).select("element.id").distinct().count() == 45_000
