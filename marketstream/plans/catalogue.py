@@ -118,8 +118,8 @@ def catalog_stream_passed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def as_json_array(rows: DataFrame, path: str) -> str:
     """Write a column of JSON values as files that each hold one array."""
     listed = F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]"))
-    # A fixed number of rows goes to each file, so none grows with the table.
-    cut = rows.withColumn("_file", F.pmod(F.xxhash64("value"), F.lit(1 + rows.count() // 10_000)))
+    # A fixed number of rows goes to each file, so none grows with the table; rows are dealt by place, as a value may repeat often.
+    cut = rows.withColumn("_file", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 + rows.count() // 10_000)))
     # Without the limit a task writes all its groups into one file.
     cut.groupBy("_file").agg(listed.alias("value")).select("value").write.option("maxRecordsPerFile", 1).text(path)
     return path

@@ -109,3 +109,11 @@ def test_every_written_file_holds_one_array(spark, tmp_path):
     path = catalogue.as_json_array(rows, str(tmp_path / "arrays"))
     assert all(len(json.loads(f.read_text())) for f in tmp_path.glob("arrays/*.txt"))
     assert json_array.read(spark, path, KIND).select("element.id").distinct().count() == 45_000
+
+
+def test_repeated_names_are_dealt_over_the_files(spark, tmp_path):
+    rows = spark.range(45_000).select(F.lit('"tobacco"').alias("value"))
+    path = catalogue.as_json_array(rows, str(tmp_path / "names"))
+    sizes = [len(json.loads(f.read_text())) for f in tmp_path.glob("names/*.txt")]
+    assert sum(sizes) == 45_000 and max(sizes) < 20_000
+    assert [r["category"] for r in files.control_set(spark, path).collect()] == ["tobacco"]
