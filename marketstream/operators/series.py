@@ -50,6 +50,28 @@ def keyed(samples: DataFrame) -> DataFrame:
         "metric", lb.series_key(F.col("labels")).alias("series"), F.unix_micros("ts").alias("at"), "value")
 
 
+def _last_in_ticks(samples: DataFrame, step_us: int) -> DataFrame:
+    """The last sample of each series up to each tick, after the tick before: ``metric, series, tick, at, value``."""
+    return (
+        keyed(samples)
+        .withColumn("tick", round_up(F.col("at"), step_us))
+        .groupBy("metric", "series", "tick")
+        .agg(
+            F.max("at").alias("at"),
+            F.max_by("value", order_within(F.col("at") - F.col("tick") + step_us, step_us, F.col("value"))).alias("value"),
+        )
+    )
+
+
+def last_in_ticks(samples: DataFrame, step: str | int = 30) -> DataFrame:
+    """The samples that ``at_ticks`` may use, as samples: at most one of a series and tick.
+
+    Cutting parts of a table, and their union again, leaves the samples that cutting the table leaves.
+    """
+    return _last_in_ticks(samples, times.seconds(step) * MICROS).select(
+        F.timestamp_micros("at").alias("ts"), "metric", lb.from_series_key(F.col("series")).alias("labels"), "value")
+
+
 def at_ticks(
     samples: DataFrame, step: str | int = 30, max_age: str | int = 300, end: int | None = None
 ) -> DataFrame:
@@ -61,15 +83,7 @@ def at_ticks(
     """
     step_us, age_us = times.seconds(step) * MICROS, times.seconds(max_age) * MICROS
     key = ["metric", "series"]
-    latest = (
-        keyed(samples)
-        .withColumn("tick", round_up(F.col("at"), step_us))
-        .groupBy(*key, "tick")
-        .agg(
-            F.max("at").alias("at"),
-            F.max_by("value", order_within(F.col("at") - F.col("tick") + step_us, step_us, F.col("value"))).alias("value"),
-        )
-    )
+    latest = _last_in_ticks(samples, step_us)
     following = F.lead("tick").over(W.partitionBy(*key).orderBy("tick"))
     bounds = [round_down(F.col("at") + age_us, step_us), following - step_us]
     if end is not None:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketstream.functions import times
 from marketstream.operators import rules as alert_rules
+from marketstream.operators import series
 from marketstream.session import delete_folder
 from marketstream.sinks import triggered
 from marketstream.sinks.files import batch_folder, write_batch
@@ -32,7 +33,8 @@ def start(
 ) -> StreamingQuery:
     """Write ``states`` for each tick once a sample at or after it has been seen.
 
-    A micro-batch evaluates the ticks since the one before. From batch to batch it keeps the samples that later ticks can
+    A micro-batch evaluates the ticks since the one before. Its samples are read once, and of each series only the last one
+    up to each tick is written and looked at again. From batch to batch it keeps those that later ticks can
     look back at, and one row for each alert open at the last tick, with the time it has held since; so its cost does not
     grow with the stream's age, and a state is that of a table of all samples however old the alert is. Samples that
     arrive after their tick was evaluated count for later ticks only.
@@ -49,7 +51,7 @@ def start(
 
     def evaluate(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.select("ts", "metric", "labels", "value")
+        batch = series.last_in_ticks(batch, step)
 
         def stored(df: DataFrame, path: str, number: int) -> DataFrame:
             return spark.read.schema(df.schema).parquet(batch_folder(path, number))

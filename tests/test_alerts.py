@@ -255,3 +255,22 @@ def test_clock_remembers_since_when_an_alert_holds(spark, tmp_path):
 def test_sums_keep_small_values(spark):
     rows = [(T0, "m", {"a": str(i)}, 0.001) for i in range(3)]
     assert series.sum_by(series.at_ticks(samples(spark, rows))).filter(F.unix_seconds("ts") == T0).first().value == pytest.approx(0.003)
+
+
+def test_clock_keeps_one_sample_of_a_series_and_tick(spark, tmp_path):
+    """However many samples a batch has, some late, at equal times or null; states are those of the table."""
+    rng, rows = random.Random(9), []
+    for i in range(2000):
+        at = T0 + rng.randrange(300) + 300 * (i // 1000) - rng.choice([0, 0, 0, 40])
+        rows.append((at, "up", {"job": "kafka", "broker": f"kafka-{i % 3}"}, rng.choice([0.0, 0.0, 1.0, None])))
+    rows += [(None, "up", {"job": "kafka"}, 0.0), (T0 + 599, "up", None, 0.0)]
+    chosen, out = [r for r in rules.RULES if r.alertname == "KafkaBrokerDown"], str(tmp_path / "out")
+    schema = "s bigint, metric string, labels map<string,string>, value double"
+    table = spark.createDataFrame(rows, schema).select(F.timestamp_seconds("s").alias("ts"), "metric", "labels", "value")
+    table.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(table.schema).parquet(str(tmp_path / "in"))
+    alert_clock.start(stream, out, str(tmp_path / "cp"), chosen, trigger=None).awaitTermination()
+    assert 60 <= spark.read.parquet(f"{out}/arrived").count() <= 3 * 22 + 2
+    columns = ["alertname", lb.label_text(F.col("labels")).alias("l"), "state", "value", F.unix_seconds("active_at"), "severity"]
+    expected = at_seconds(rules.states(rules.evaluate(table, chosen, end=(T0 + 599) // 30 * 30), chosen), *columns)
+    assert expected and at_seconds(spark.read.parquet(f"{out}/states"), *columns) == expected
