@@ -212,29 +212,33 @@ def recommendation_stream_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(read.schema).parquet(f"{work}/read")
 
 
-def streamed_in_order(spark: SparkSession, sf_dir: str, work: str, files_: int) -> DataFrame:
-    """The stragglers of ``late_rows`` as a stream of ``files_`` files in the order of their ids, one to a micro-batch."""
+def in_order(spark: SparkSession, sf_dir: str, parts: int) -> DataFrame:
+    """The stragglers of ``late_rows`` with the ``part`` they arrive in, by the order of their ids."""
     source = tables.events(spark, sf_dir)
     shifted = F.when(F.col("event_id") % 40 == 7, F.col("ts") - F.expr("INTERVAL 2 DAYS")).otherwise(F.col("ts"))
     n = source.count()
-    arriving = source.select("event_id", F.date_trunc("second", shifted).alias("event_time"),
-                             F.least(F.floor(F.col("event_id") * files_ / n), F.lit(files_ - 1)).alias("part"))
-    for part in range(files_):
-        arriving.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{work}/in")
-    return spark.readStream.schema(arriving.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
+    return source.select("event_id", F.date_trunc("second", shifted).alias("event_time"),
+                         F.least(F.floor(F.col("event_id") * parts / n), F.lit(parts - 1)).alias("part"))
 
 
 def late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event once: put aside as late by the split stream, with its watermark, or counted by the stream behind it."""
+    """Every event once: put aside as late by the split stream, with its watermark, or counted by the stream behind it.
+
+    A part, in files of any number, is one micro-batch of the split; the counting stream takes two whole ones of these at a time.
+    """
     work = scratch_dir(spark, "late")
-    stream = streamed_in_order(spark, sf_dir, work, LATE_BATCHES)
-    lateness.start(stream, work, f"{work}/checkpoint", *REFERENCE, "10 minutes", trigger=None).awaitTermination()
-    on_time = lateness.on_time(spark, work, stream.schema, "10 minutes", maxFilesPerTrigger="2")
-    counted = activity.sliding_counts(on_time, *REFERENCE, by=["event_id"])
-    writer = counted.writeStream.outputMode("update").option("checkpointLocation", f"{work}/counting")
-    triggered(writer.foreachBatch(lambda batch, i: write_batch(batch, f"{work}/counts", i)), None).start().awaitTermination()
+    arriving = in_order(spark, sf_dir, LATE_BATCHES)
+    schema = arriving.drop("part").schema
+    for part in range(LATE_BATCHES):
+        arriving.filter(F.col("part") == part).drop("part").write.mode("append").parquet(f"{work}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{work}/in")
+        lateness.start(stream, work, f"{work}/checkpoint", *REFERENCE, "10 minutes", trigger=None).awaitTermination()
+        if part % 2 or part == LATE_BATCHES - 1:
+            counted = activity.sliding_counts(lateness.on_time(spark, work, schema, "10 minutes"), *REFERENCE, by=["event_id"])
+            writer = counted.writeStream.outputMode("update").option("checkpointLocation", f"{work}/counting")
+            triggered(writer.foreachBatch(lambda batch, i: write_batch(batch, f"{work}/counts", i)), None).start().awaitTermination()
     counts = spark.read.schema(counted.schema).parquet(f"{work}/counts").select("event_id").distinct()
-    aside = lateness.late(spark, work, stream.schema).select("event_id", times.format_rfc3339(F.col("watermark")).alias("watermark"))
+    aside = lateness.late(spark, work, schema).select("event_id", times.format_rfc3339(F.col("watermark")).alias("watermark"))
     return aside.withColumn("late", F.lit(True)).unionByName(counts.withColumn("late", F.lit(False)), allowMissingColumns=True)
 
 

@@ -67,7 +67,7 @@ def late(spark: SparkSession, output: str, schema: T.StructType) -> DataFrame:
 
 
 def on_time(spark: SparkSession, output: str, schema: T.StructType, lateness: str | int = "10 minutes", **options: str) -> DataFrame:
-    """The other events as a stream with a watermark, to be counted."""
+    """The other events as a stream with a watermark, to be counted. A limit of files is for splits that write one file a batch."""
     rows = spark.readStream.schema(_schema(schema)).options(**options).parquet(f"{output}/{ROWS}")
     kept = rows.filter(~F.col("late")).select(*schema.names)
     return kept.withWatermark("event_time", f"{times.seconds(lateness)} seconds")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketstream.operators import activity
+from marketstream.plans import recommendations
 from marketstream.sinks import triggered, upsert
 from marketstream.sinks.files import batch_folder, write_batch
 from marketstream.streaming import lateness, recommend
@@ -141,3 +142,22 @@ def test_lists_of_the_table_are_the_newest(spark, tmp_path, monkeypatch):
     last = max(int(f.rpartition("=")[2]) for f in glob.glob(f"{out}/changes/batch_id=*"))
     assert last > 12
     assert len(glob.glob(f"{out}/changes/batch_id=*")) <= 2 * 4 + 1 and len(glob.glob(f"{out}/counts/batch_id=*")) <= 2
+
+
+def test_batches_of_many_files_are_counted_whole(spark, tmp_path, monkeypatch):
+    """Parts are written by many tasks, and late and counted are still all events, each once."""
+    rng, settings = random.Random(3), ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    rows = [(i, T0 + rng.randrange(30 * 86_400)) for i in range(4000)]
+    found = spark.createDataFrame(rows, "event_id bigint, s bigint").select("event_id", F.timestamp_seconds("s").alias("ts"))
+    found.repartition(6).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(recommendations, "scratch_dir", lambda _, name: str(tmp_path / name))
+    before = {k: spark.conf.get(k) for k in settings}
+    for k in settings:
+        spark.conf.set(k, "4000")
+    try:
+        got = recommendations.late_stream(spark, str(tmp_path)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(list((tmp_path / "late" / "in").glob("*.parquet"))) >= 3 * recommendations.LATE_BATCHES
+    assert sorted(r["event_id"] for r in got) == list(range(4000)) and {r["late"] for r in got} == {True, False}
