@@ -140,6 +140,31 @@ def test_planted_passages_go_and_clean_texts_stay(make):
         assert rows[k]["text"] == texts[k]
 
 
+def test_only_what_goes_is_written(make, monkeypatch):
+    rng, rows = random.Random(14), {}
+    keep = spans.written
+
+    def counted(df, name):
+        out = keep(df, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(spans, "written", counted)
+    clean = [prose(rng, 12) for _ in range(30)]
+    assert all(r["n_removed"] == 0 for r in spans.deduplicated(make(clean)).collect())
+    assert set(rows.values()) == {0}
+    # A copy that the same task reads is one range of sentences a round, not a row per run.
+    rows.clear()
+    got = {r["doc_id"]: r["n_removed"] for r in spans.deduplicated(make([clean[0]] * 5).coalesce(1)).collect()}
+    assert got == {1: 0} | dict.fromkeys(range(2, 6), 12)
+    assert rows["repeated-runs"] <= 4 * 2 * spans.ROUNDS
+
+
+def test_touching_ranges_are_joined():
+    text, first, after = (np.array(x) for x in ([0, 0, 0, 0, 2, 2, 3], [0, 1, 4, 9, 0, 7, 7], [3, 2, 6, 12, 7, 9, 8]))
+    assert [list(x) for x in spans.joined(text, first, after)] == [[0, 0, 0, 2, 3], [0, 4, 9, 0, 7], [3, 6, 12, 9, 8]]
+
+
 def test_odd_rows(odd, empty):
     rows = spans.deduplicated(clashing(odd, "doc", "first", "order", "gone")).collect()
     assert len(rows) == odd.count()
