@@ -1,6 +1,7 @@
 """The backoff model against a direct evaluation of its definition."""
 
 import math
+import os
 import random
 import re
 import zlib
@@ -91,6 +92,27 @@ def test_pairs_seen_once_keep_their_discounted_share(make):
     assert katz.score(make(["x v"]), model).first()["score"] == pytest.approx(math.log10(wanted * math.prod(left.values())))
 
 
+def test_pairs_seen_once_are_stored_only_where_asked_for(make):
+    docs = make(["x y", "x y", "x z", "u v", "u v w", "x z y"])
+    learned = docs.doc_id < 6
+    model = katz.train(docs.select("text", "doc_id"), learned)
+    every = katz.train(docs.filter(learned))
+    # Of (x z), (z END), (v END), (v w) and (w END), all seen once, the last text asks for the first.
+    assert sorted(r["count"] for r in every.pairs.collect()) == [1] * 5 + [2, 2, 2, 2, 3]
+    assert sorted(r["count"] for r in model.pairs.collect()) == [1, 2, 2, 2, 2, 3]
+    assert model[2:] == pytest.approx(every[2:])
+    few = {r["doc_id"]: r["score"] for r in katz.score(docs, model, learned=learned).collect()}
+    assert few == pytest.approx({r["doc_id"]: r["score"] for r in katz.score(docs, every).collect()})
+
+
+def test_counts_of_pairs_go_when_the_model_stands(make, monkeypatch):
+    kept, names = katz.written, []
+    monkeypatch.setattr(katz, "written", lambda df, name: names.append((name, out := kept(df, name))) or out)
+    katz.train(make(["x y", "x z"]))
+    left = {name: all(os.path.exists(f.removeprefix("file://")) for f in df.inputFiles()) for name, df in names}
+    assert left == {"word-counts": False, "pair-counts": False, "contexts": False, "pairs": True, "words": True}
+
+
 def test_probabilities_add_up_to_one():
     two, words, firsts, unknown = brute([t for t in corpus(4) if t])
     for a in firsts:
