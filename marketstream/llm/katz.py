@@ -184,7 +184,8 @@ def train(texts: DataFrame, learned: Column | None = None) -> Model:
     parts, seen_types = [], dict.fromkeys(range(1, MOST_DISCOUNTED + 2), 0)
     for k in range(ROUNDS):
         totals = rows.mapInArrow(count_pairs(k), "a bigint, b bigint, n bigint, asked boolean")
-        totals = totals.groupBy("a", "b").agg(F.sum("n").alias("count"), F.max("asked").alias("asked"))
+        # A task has few rows of one pair, so they are summed up only where they meet.
+        totals = totals.repartition("a", "b").groupBy("a", "b").agg(F.sum("n").alias("count"), F.max("asked").alias("asked"))
         seen = Observation()
         rare = [F.count_if(F.col("count") == r).alias(str(r)) for r in seen_types]
         parts.append(written(totals.observe(seen, *rare).filter(F.col("count") >= LEAST_PAIR), "pair-counts"))
@@ -240,19 +241,35 @@ class Hot(NamedTuple):
 
     keys: np.ndarray
     values: list[np.ndarray]
+    first: np.ndarray  #: by the leading bits of a key, the first row with these bits or higher ones
+    shift: int
 
     def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
+        """The row of each key, and whether it has one."""
+        leading = (keys >> np.uint64(self.shift)).astype(np.int64)
+        at, after = self.first[leading], self.first[leading + 1]
+        known = np.zeros(len(keys), bool)
+        # Hashes are spread evenly, so there are a few rows at most to compare with.
+        left = np.flatnonzero(at < after)
+        while len(left):
+            same = self.keys[at[left]] == keys[left]
+            known[left[same]] = True
+            left = left[~same]
+            at[left] += 1
+            left = left[at[left] < after[left]]
+        return at, known
+
+
+def hot_table(keys: np.ndarray, values: list[np.ndarray]) -> Hot:
+    order = np.argsort(keys)
+    bits = max(1, len(keys).bit_length())
+    first = np.searchsorted(keys[order] >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+    return Hot(keys[order], [v[order] for v in values], first, 64 - bits)
 
 
 def hot_rows(rows: DataFrame, key: str, values: list[str], least: int) -> Hot:
     got = rows.filter(F.col("count") >= least).select(key, *values).toArrow()
-    keys = got[key].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    return Hot(keys[order], [got[v].to_numpy()[order] for v in values])
+    return hot_table(got[key].to_numpy().view(np.uint64), [got[v].to_numpy() for v in values])
 
 
 SUMMARY, PAIR, WORD = 0, 1, 2
@@ -323,21 +340,22 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     looked_up = rows.mapInArrow(evaluate, LOOKED_UP)
     none = F.lit(None).cast("double")
     cold_pairs = model.pairs.filter(F.col("count") < least_pair).select(
-        F.lit(PAIR).cast("tinyint").alias("kind"), F.col("pair").alias("key"), none.alias("cold_base"), F.col("gain").alias("cold_score"),
+        F.lit(PAIR).cast("tinyint").alias("cold_kind"), F.col("pair").alias("key"), none.alias("cold_base"), F.col("gain").alias("cold_score"),
         (F.col("log_seen") - F.lit(log_once)).alias("cold_own"),
     )
     followed = lambda c: F.when(F.col("word") == END, 0.0).otherwise(F.col(c))
     cold_words = model.words.filter(F.col("count") < least_word).select(
-        F.lit(WORD).cast("tinyint").alias("kind"), F.col("word").alias("key"), model.log_base(F.col("count")).alias("cold_base"),
+        F.lit(WORD).cast("tinyint").alias("cold_kind"), F.col("word").alias("key"), model.log_base(F.col("count")).alias("cold_base"),
         (F.col("log_p") + followed("log_alpha")).alias("cold_score"), followed("log_share").alias("cold_own"),
     )
     # The model's side has each key once, so its share of a partition is far smaller than the lookups; hashing it spares sorting them.
-    found = looked_up.join(cold_pairs.union(cold_words).hint("shuffle_hash"), ["kind", "key"], "left")
-    is_word, is_known = F.col("kind") == WORD, F.col("cold_own").isNotNull()
-    cold = F.when(F.col("own"), F.col("cold_own")).otherwise(F.col("cold_score"))
+    # One number as the key is found sooner than two; a text's id may be like a hash, so kinds are compared as well.
+    found = looked_up.join(cold_pairs.union(cold_words).hint("shuffle_hash"), "key", "left")
+    is_word, is_known = F.col("kind") == WORD, F.col("kind").eqNullSafe(F.col("cold_kind"))
+    cold = F.when(is_known & F.col("own"), F.col("cold_own")).when(is_known, F.col("cold_score"))
     # A pair that is not stored changes nothing.
     found = found.filter((F.col("kind") != PAIR) | is_known)
-    base = F.when(is_word, F.coalesce("cold_base", F.lit(math.log10(0.5 / size)))).otherwise(F.col("base"))
+    base = F.when(is_word, F.coalesce(F.when(is_known, F.col("cold_base")), F.lit(math.log10(0.5 / size)))).otherwise(F.col("base"))
     value = F.when(is_word, F.coalesce(cold, F.lit(model.log_p_unknown))).otherwise(F.col("score") + F.coalesce(cold, F.lit(0.0)))
     known = F.when(is_word, is_known.cast("int")).otherwise(F.col("known"))
     summary = F.col("kind") == SUMMARY

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from helpers import clashing
@@ -119,6 +120,18 @@ def test_probabilities_add_up_to_one():
         assert sum(two(a, b) for b in words) + two(a, "unknown") == pytest.approx(1)
 
 
+def test_hot_rows_are_found():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 2, 1000):
+        keys = np.unique(np.append(rng.integers(0, 1 << 64, n, np.uint64), np.array([katz.END, 3, 4, (1 << 64) - 1][: n], np.uint64)))
+        rng.shuffle(keys)
+        asked = np.concatenate([keys, keys + np.uint64(1), rng.integers(0, 1 << 64, 500, np.uint64), np.array([0, 1], np.uint64)])
+        hot = katz.hot_table(keys, [keys * np.uint64(3)])
+        at, known = hot.look_up(asked)
+        assert known.tolist() == np.isin(asked, keys).tolist()
+        assert (hot.values[0][at[known]] == asked[known] * np.uint64(3)).all()
+
+
 def test_discounts():
     usual = katz.discounts({1: 1000, 2: 400, 3: 220, 4: 140, 5: 100, 6: 75})
     assert all(0 < d < 1 for d in usual) and usual == sorted(usual)
